@@ -145,3 +145,32 @@ def clean_step_counts(consolidated: DataFrame, *, count_col: str, keep_sizes: Co
         F.count(F.lit(1)).alias("n_consolidated"),
         F.count_if(F.coalesce(keep_sizes, F.lit(False))).alias("n_size_ok"),
         F.count_if(F.coalesce(keep_sizes & keep_codes, F.lit(False))).alias("n_code_ok"))
+
+
+# a comma outside double quotes (quotes assumed balanced within a line)
+_FIELD_SEP = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def field_count(line: str | Column) -> Column:
+    """Number of CSV fields in a text line; a blank line counts as 0."""
+    c = F.col(line) if isinstance(line, str) else line
+    return F.when(F.length(c) == 0, F.lit(0)).otherwise(F.size(F.split(c, _FIELD_SEP, -1)))
+
+
+def ragged_rows_filter(lines: DataFrame, *, arity: int, column: str = "value",
+                       names: Sequence[str] | None = None,
+                       skip_line: str | None = None) -> DataFrame:
+    """F7 + S8: keep lines with exactly ``arity`` CSV fields and parse them
+    positionally into string columns.
+
+    Blank lines and lines with too few or too many fields are dropped.  A
+    header line is *not* skipped unless given as ``skip_line`` (the original
+    keeps it when it has the right arity).
+    """
+    names = list(names) if names else [f"_c{i}" for i in range(arity)]
+    schema = ", ".join(f"`{n}` STRING" for n in names)
+    kept = lines.filter(field_count(column) == arity)
+    if skip_line is not None:
+        kept = kept.filter(F.col(column) != F.lit(skip_line))
+    parsed = F.from_csv(F.col(column), schema, {"mode": "PERMISSIVE"})
+    return kept.select(parsed.alias("_r")).select([F.col(f"_r.`{n}`").alias(n) for n in names])

@@ -169,3 +169,129 @@ def q_recent_activity_filter(spark, d):
     """F5 with the trailing-only frame (-3, 0), the documented intent."""
     rolled = features.rolling_sum(features.lag_feature(_full(spark, d)), following=0)
     return features.recent_activity_filter(rolled)
+
+
+# --------------------------------------------------------------------------
+# step 2: cleaning
+# --------------------------------------------------------------------------
+from panelkit.functions import headers  # noqa: E402
+from panelkit.functions.exprs import not_in_codes, safe_double, safe_int  # noqa: E402
+from panelkit.operators import clean  # noqa: E402
+from panelkit.sources.tables import read_table  # noqa: E402
+
+# test-table parameters (the original thresholds of 400 customers would empty
+# the test tables, whose supplier-years have ~50-120 distinct orders)
+TEST_MIN_CUSTOMERS = 80
+TEST_MIN_SALES = 2000
+TEST_CODES = (7, 8, 9)
+
+
+def _power(spark, d):
+    return roles.utility_sales(spark, d)
+
+
+@query("size_filter")
+def q_size_filter(spark, d):
+    return clean.size_filter(_power(spark, d),
+                             {"Customers": TEST_MIN_CUSTOMERS, "Sales_MWh": TEST_MIN_SALES})
+
+
+@query("code_exclusion")
+def q_code_exclusion(spark, d):
+    p = _power(spark, d).withColumn(
+        "Utility_ID", F.when(F.col("Utility_ID") != "3.0", F.col("Utility_ID")))
+    out = clean.exclude_codes(p, "Utility_ID", TEST_CODES)
+    return clean.cast_columns(out, ints=["Utility_ID"]).select(
+        "Utility_Name", "State", "Year", "Utility_ID")
+
+
+@query("min_size_filter")
+def q_min_size_filter(spark, d):
+    return clean.min_size_filter(_power(spark, d), "Customers", 90)
+
+
+@query("safe_cast")
+def q_safe_cast(spark, d):
+    part = read_table(spark, d, "part").select("p_partkey", "p_name", "p_size")
+    return part.select(
+        "p_partkey",
+        safe_int("p_name").alias("name_int"),
+        safe_double("p_name").alias("name_double"),
+        safe_int(F.col("p_size").cast("string")).alias("size_int"),
+        safe_int(F.concat(F.col("p_size").cast("string"), F.lit(".0"))).alias("size_dot_int"))
+
+
+@query("unit_price")
+def q_unit_price(spark, d):
+    li = read_table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    li = li.select(
+        "l_orderkey", "l_linenumber",
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("Revenue_Thousands"),
+        F.when(F.col("l_linenumber") == 1, F.lit(0).cast("bigint"))
+        .otherwise(F.col("l_quantity").cast("bigint")).alias("Sales_MWh"))
+    return clean.with_unit_price(li)
+
+
+@query("normalize_text")
+def q_normalize_text(spark, d):
+    messy = _power(spark, d).select(
+        F.concat(F.lit(" "), F.col("Utility_Name"), F.lit("\t")).alias("Utility_Name"),
+        F.concat(F.lit("  "), F.lower("State"), F.lit(" ")).alias("State"), "Year")
+    return clean.normalize_text(messy)
+
+
+@query("header_mapping")
+def q_header_mapping(spark, d):
+    return headers.apply_header_map(roles.raw_sheet(_power(spark, d)))
+
+
+@query("conform_schema")
+def q_conform_schema(spark, d):
+    return clean.conform_schema(_power(spark, d).drop("Customers", "Utility_ID"))
+
+
+@query("conform_rows")
+def q_conform_rows(spark, d):
+    return clean.conform_rows(roles.facility_list_rows(_fac(spark, d)))
+
+
+@query("ragged_rows_filter")
+def q_ragged_rows_filter(spark, d):
+    part = read_table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    # a line per part; every 7th part lost its name field -> 4 fields, dropped
+    lines = part.select(F.concat_ws(
+        ",", F.col("p_partkey").cast("string"),
+        F.when(F.col("p_partkey") % 7 != 0, F.col("p_name")),
+        "p_brand", "p_type", F.col("p_size").cast("string")).alias("value"))
+    return clean.ragged_rows_filter(
+        lines, arity=5, names=["p_partkey", "p_name", "p_brand", "p_type", "p_size"])
+
+
+@query("consolidate_duplicates")
+def q_consolidate_duplicates(spark, d):
+    return clean.consolidate_duplicates(roles.sales_grain(spark, d), order="src_order")
+
+
+@query("duplicate_groups")
+def q_duplicate_groups(spark, d):
+    return clean.duplicate_groups(_power(spark, d))
+
+
+@query("detect_year")
+def q_detect_year(spark, d):
+    li = read_table(spark, d, "lineitem").select(
+        "l_suppkey", F.year("l_shipdate").alias("Data Year"))
+    return clean.detect_year(li, by=["l_suppkey"])
+
+
+@query("clean_step_counts")
+def q_clean_step_counts(spark, d):
+    cons = clean.consolidate_duplicates(roles.sales_grain(spark, d), order="src_order",
+                                        count_as="_n")
+    return clean.clean_step_counts(
+        cons, count_col="_n", keep_sizes=F.col("Sales_MWh") > S.MIN_SALES,
+        keep_codes=not_in_codes("Utility_ID", TEST_CODES))
+
+
+from panelkit import schemas as S  # noqa: E402

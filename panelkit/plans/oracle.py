@@ -137,3 +137,94 @@ SELECT State, Year, DC_Opened, Cumulative_DC, round(Avg_kWh, 6) AS Avg_kWh,
 FROM (SELECT *, sum(DC_Opened) OVER (PARTITION BY State ORDER BY Year
                 ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS r FROM lagged)
 WHERE r > 0""")
+
+
+# step 2: cleaning ------------------------------------------------------------
+add("size_filter", POWER, """
+SELECT Utility_Name, State, Year, Utility_ID, Revenue_Thousands, Sales_MWh, Customers,
+       round(Price_Per_kWh, 6) AS Price_Per_kWh
+FROM power WHERE Customers > 80 AND Sales_MWh > 2000""")
+add("code_exclusion", POWER, """
+SELECT Utility_Name, State, Year, CAST(try_cast(Utility_ID AS DOUBLE) AS INTEGER) AS Utility_ID
+FROM (SELECT Utility_Name, State, Year, nullif(Utility_ID, '3.0') AS Utility_ID FROM power)
+WHERE NOT (CAST(try_cast(Utility_ID AS DOUBLE) AS INTEGER) IN (7, 8, 9))""")
+add("min_size_filter", POWER, """
+SELECT Utility_Name, State, Year, Utility_ID, Revenue_Thousands, Sales_MWh, Customers,
+       round(Price_Per_kWh, 6) AS Price_Per_kWh
+FROM power WHERE Customers >= 90""")
+ORACLE["safe_cast"] = """
+SELECT p_partkey,
+       CAST(try_cast(p_name AS DOUBLE) AS INTEGER) AS name_int,
+       round(try_cast(p_name AS DOUBLE), 6) AS name_double,
+       CAST(try_cast(CAST(p_size AS VARCHAR) AS DOUBLE) AS INTEGER) AS size_int,
+       CAST(try_cast(CAST(p_size AS VARCHAR) || '.0' AS DOUBLE) AS INTEGER) AS size_dot_int
+FROM part"""
+ORACLE["unit_price"] = """
+SELECT l_orderkey, l_linenumber, rev AS Revenue_Thousands, qty AS Sales_MWh,
+       round(rev / nullif(qty, 0), 6) AS Price_Per_kWh
+FROM (SELECT l_orderkey, l_linenumber,
+             CAST(round(l_extendedprice * 100) AS BIGINT) AS rev,
+             CASE WHEN l_linenumber = 1 THEN CAST(0 AS BIGINT)
+                  ELSE CAST(l_quantity AS BIGINT) END AS qty
+      FROM lineitem)"""
+add("normalize_text", POWER, "SELECT Utility_Name, upper(State) AS State, Year FROM power")
+add("header_mapping", POWER, """
+SELECT Utility_ID, Utility_Name, State, Revenue_Thousands, Sales_MWh, Customers FROM power""")
+add("conform_schema", POWER, """
+SELECT CAST(NULL AS VARCHAR) AS Utility_ID, Utility_Name, State, Year, Revenue_Thousands,
+       Sales_MWh, CAST(NULL AS DOUBLE) AS Customers, round(Price_Per_kWh, 6) AS Price_Per_kWh
+FROM power""")
+add("conform_rows", FAC, """
+SELECT Facility_ID, Facility_Name, Operator, lower(State) AS City, State,
+       'Utility of ' || State AS Utility_Name,
+       CAST(NULL AS VARCHAR) AS Latitude, CAST(NULL AS VARCHAR) AS Longitude,
+       CAST(Opening_Year AS VARCHAR) AS Opening_Year, CAST(NULL AS VARCHAR) AS Opening_Month,
+       CAST(Capacity_MW AS VARCHAR) AS Capacity_MW, CAST(NULL AS VARCHAR) AS Verified,
+       CAST(NULL AS VARCHAR) AS Data_Source, CAST(NULL AS VARCHAR) AS Source_URL,
+       CAST(NULL AS VARCHAR) AS Notes
+FROM fac""")
+ORACLE["ragged_rows_filter"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
+       CAST(p_size AS VARCHAR) AS p_size
+FROM part WHERE p_partkey % 7 <> 0"""
+
+GRAIN = SYA.replace("l_suppkey, CAST(year", "l_suppkey, l_returnflag, CAST(year") \
+    .replace("GROUP BY 1, 2", "GROUP BY 1, 2, 3").replace("sya AS", "gsya AS") + """,
+grain AS (
+  SELECT s.s_name AS Utility_Name, n.n_name AS State, a.Year,
+         CASE WHEN a.l_returnflag = 'A' THEN NULL
+              WHEN a.l_returnflag = 'N' THEN CAST(a.l_suppkey AS VARCHAR) || '.0'
+              ELSE CAST(a.l_suppkey AS VARCHAR) || '.9' END AS Utility_ID,
+         a.l_returnflag AS src_order,
+         a.rev AS Revenue_Thousands, a.qty AS Sales_MWh, a.cust AS Customers
+  FROM gsya a JOIN supplier s ON a.l_suppkey = s.s_suppkey
+       JOIN nation n ON s.s_nationkey = n.n_nationkey
+),
+cons AS (
+  SELECT Utility_Name, State, Year,
+         arg_min(Utility_ID, src_order) FILTER (WHERE Utility_ID IS NOT NULL) AS Utility_ID,
+         CAST(coalesce(sum(Revenue_Thousands), 0) AS BIGINT) AS Revenue_Thousands,
+         CAST(coalesce(sum(Sales_MWh), 0) AS BIGINT) AS Sales_MWh,
+         CAST(coalesce(sum(Customers), 0) AS BIGINT) AS Customers,
+         count(*) AS n
+  FROM grain GROUP BY 1, 2, 3
+)"""
+add("consolidate_duplicates", GRAIN, """
+SELECT Utility_Name, State, Year, Utility_ID, Revenue_Thousands, Sales_MWh, Customers,
+       round(Revenue_Thousands / nullif(Sales_MWh, 0), 6) AS Price_Per_kWh
+FROM cons""")
+add("duplicate_groups", POWER, """
+SELECT Utility_Name, State, count(*) AS n_rows FROM power GROUP BY 1, 2 HAVING count(*) > 1""")
+ORACLE["detect_year"] = """
+SELECT l_suppkey, Year FROM (
+  SELECT l_suppkey, y AS Year,
+         row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, y) AS rn
+  FROM (SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS y, count(*) AS n
+        FROM lineitem GROUP BY 1, 2))
+WHERE rn = 1"""
+add("clean_step_counts", GRAIN, """
+SELECT CAST(sum(n) AS BIGINT) AS n_raw, count(*) AS n_consolidated,
+       count(*) FILTER (WHERE Sales_MWh > 400) AS n_size_ok,
+       count(*) FILTER (WHERE Sales_MWh > 400 AND
+             NOT (CAST(try_cast(Utility_ID AS DOUBLE) AS INTEGER) IN (7, 8, 9))) AS n_code_ok
+FROM cons""")

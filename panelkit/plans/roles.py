@@ -111,7 +111,8 @@ def power_costs(power: DataFrame, *, min_sales: float = S.MIN_SALES) -> DataFram
 def sales_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows with duplicates: sales at (supplier, year, return flag) grain.
 
-    The id is NULL on 'A' rows so that "first non-NULL id" has work to do.
+    The id is NULL on 'A' rows and differs between 'N' ('<key>.0') and 'R'
+    ('<key>.9') rows, so "first non-NULL id in flag order" has work to do.
     """
     agg = supplier_year_sales(_recent_lines(spark, sf_dir), keys=("l_suppkey", "l_returnflag"))
     return (_with_supplier(spark, sf_dir, agg)
@@ -119,9 +120,40 @@ def sales_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("State"),
                     F.col("Year"),
                     F.when(F.col("l_returnflag") != "A",
-                           F.concat_ws("-", F.col("l_suppkey").cast("string"), F.col("l_returnflag")))
+                           F.concat(F.col("l_suppkey").cast("string"),
+                                    F.when(F.col("l_returnflag") == "N", F.lit(".0"))
+                                    .otherwise(F.lit(".9"))))
                     .alias("Utility_ID"),
                     F.col("l_returnflag").alias("src_order"),
                     F.col("rev").alias("Revenue_Thousands"),
                     F.col("qty").alias("Sales_MWh"),
                     F.col("cust").alias("Customers")))
+
+
+def raw_sheet(power: DataFrame, blocks: int = 5) -> DataFrame:
+    """The sales rows laid out like a raw annual sheet: 'Data Year',
+    'Utility Number', 'Utility Name', 'State', then (revenue, sales, count)
+    blocks with repeated names suffixed .1 .. .4; the last block is the total,
+    earlier blocks hold partial (sector-like) shares."""
+    cols = [F.col("Year").alias("Data Year"),
+            F.col("Utility_ID").alias("Utility Number"),
+            F.col("Utility_Name").alias("Utility Name"),
+            F.col("State").alias("State")]
+    for b in range(blocks):
+        sfx = "" if b == 0 else f".{b}"
+        last = b == blocks - 1
+        for src, name in (("Revenue_Thousands", "Thousand Dollars"),
+                          ("Sales_MWh", "Megawatthours"), ("Customers", "Count")):
+            val = F.col(src) if last else (F.col(src) * (b + 1)).cast("bigint") / blocks
+            cols.append(val.alias(name + sfx))
+    return power.select(cols)
+
+
+def facility_list_rows(fac: DataFrame) -> DataFrame:
+    """Facilities as a raw 10-field positional list (all text, _c0.._c9)."""
+    vals = [F.col("Facility_ID"), F.col("Facility_Name"), F.col("Operator"),
+            F.lower(F.col("State")), F.col("State"),
+            F.lit(None).cast("string"), F.lit(None).cast("string"),
+            F.col("Opening_Year").cast("string"), F.col("Capacity_MW").cast("string"),
+            F.concat(F.lit("Utility of "), F.col("State"))]
+    return fac.select([v.alias(f"_c{i}") for i, v in enumerate(vals)])
