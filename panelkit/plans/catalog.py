@@ -295,3 +295,89 @@ def q_clean_step_counts(spark, d):
 
 
 from panelkit import schemas as S  # noqa: E402
+
+
+# --------------------------------------------------------------------------
+# step 3: join validation and quality
+# --------------------------------------------------------------------------
+from panelkit.operators import quality  # noqa: E402
+
+_FU_COLS = ["Facility_ID", "Facility_Name", "Utility_Name", "State", "Opening_Year"]
+
+
+def _fu(spark, d):
+    return roles.facility_utilities(spark, d)
+
+
+def _latest_power(spark, d):
+    """The cleaned sales file of the latest year (one yearly file, as the
+    original validation reads)."""
+    p = clean.size_filter(_power(spark, d),
+                          {"Customers": TEST_MIN_CUSTOMERS, "Sales_MWh": TEST_MIN_SALES})
+    return p.filter(F.col("Year") == p.agg(F.max("Year")).scalar())
+
+
+def _fu_join(spark, d):
+    p = _power(spark, d).select("Utility_Name", "State", "Year", "Price_Per_kWh")
+    return quality.inner_join(_fu(spark, d).select(*_FU_COLS), p, ["Utility_Name", "State"])
+
+
+@query("facility_utility_join")
+def q_facility_utility_join(spark, d):
+    return _fu_join(spark, d)
+
+
+@query("distinct_facilities")
+def q_distinct_facilities(spark, d):
+    return quality.distinct_rows(_fu(spark, d),
+                                 ["Facility_Name", "Utility_Name", "State", "Opening_Year"])
+
+
+@query("matched_keys")
+def q_matched_keys(spark, d):
+    return quality.matched_keys(_fu(spark, d), _latest_power(spark, d), "Utility_Name")
+
+
+@query("missing_keys")
+def q_missing_keys(spark, d):
+    return quality.missing_keys(_fu(spark, d), _latest_power(spark, d), "Utility_Name")
+
+
+@query("key_match_report")
+def q_key_match_report(spark, d):
+    return quality.key_match_report(_fu(spark, d), _latest_power(spark, d), "Utility_Name")
+
+
+@query("join_preview")
+def q_join_preview(spark, d):
+    return quality.preview(_fu_join(spark, d),
+                           ["Facility_Name", "Utility_Name", "State", "Opening_Year", "Year",
+                            "Facility_ID"])
+
+
+@query("top_states")
+def q_top_states(spark, d):
+    return quality.top_values(
+        clean.size_filter(_power(spark, d),
+                          {"Customers": TEST_MIN_CUSTOMERS, "Sales_MWh": TEST_MIN_SALES}),
+        "State")
+
+
+@query("price_summary")
+def q_price_summary(spark, d):
+    return quality.summary(_power(spark, d), "Price_Per_kWh")
+
+
+@query("growth_comparison")
+def q_growth_comparison(spark, d):
+    """Per state first / last price over the panel years, growth, total
+    openings and a high / low openings flag (>= 4)."""
+    full = _full(spark, d)
+    per = full.groupBy("State").agg(
+        F.min_by("Avg_kWh", "Year").alias("first_price"),
+        F.max_by("Avg_kWh", "Year").alias("last_price"),
+        F.sum("DC_Opened").alias("total_opened"))
+    return per.select(
+        "State", "first_price", "last_price", "total_opened",
+        F.try_divide(F.col("last_price") - F.col("first_price"), F.col("first_price")).alias("growth"),
+        F.when(F.col("total_opened") >= 4, "high").otherwise("low").alias("group"))

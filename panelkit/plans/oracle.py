@@ -228,3 +228,59 @@ SELECT CAST(sum(n) AS BIGINT) AS n_raw, count(*) AS n_consolidated,
        count(*) FILTER (WHERE Sales_MWh > 400 AND
              NOT (CAST(try_cast(Utility_ID AS DOUBLE) AS INTEGER) IN (7, 8, 9))) AS n_code_ok
 FROM cons""")
+
+
+# step 3: join validation and quality ---------------------------------------------
+FU = POWER + """,
+fu AS (
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS Facility_ID, c.c_name AS Facility_Name,
+         n.n_name AS State, s.s_name AS Utility_Name,
+         CAST(year(o.o_orderdate) AS INTEGER) AS Opening_Year
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+       JOIN nation n ON c.c_nationkey = n.n_nationkey
+       LEFT JOIN (SELECT l_orderkey, l_suppkey FROM lineitem WHERE l_linenumber = 1) l
+              ON o.o_orderkey = l.l_orderkey
+       LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  WHERE o.o_orderpriority = '1-URGENT' AND o.o_totalprice > 480000
+),
+sized AS (SELECT * FROM power WHERE Customers > 80 AND Sales_MWh > 2000),
+latest AS (SELECT * FROM sized WHERE Year = (SELECT max(Year) FROM sized)),
+lk AS (SELECT DISTINCT Utility_Name FROM fu WHERE Utility_Name IS NOT NULL),
+rk AS (SELECT DISTINCT Utility_Name FROM latest WHERE Utility_Name IS NOT NULL),
+fj AS (
+  SELECT f.Facility_ID, f.Facility_Name, f.Utility_Name, f.State, f.Opening_Year, p.Year,
+         p.Price_Per_kWh
+  FROM fu f JOIN power p ON f.Utility_Name = p.Utility_Name AND f.State = p.State
+)"""
+add("facility_utility_join", FU, """
+SELECT Facility_ID, Facility_Name, Utility_Name, State, Opening_Year, Year,
+       round(Price_Per_kWh, 6) AS Price_Per_kWh FROM fj""")
+add("distinct_facilities", FU,
+    "SELECT DISTINCT Facility_Name, Utility_Name, State, Opening_Year FROM fu")
+add("matched_keys", FU, "SELECT Utility_Name FROM lk INTERSECT SELECT Utility_Name FROM rk")
+add("missing_keys", FU, "SELECT Utility_Name FROM lk EXCEPT SELECT Utility_Name FROM rk")
+add("key_match_report", FU, """
+SELECT (SELECT count(*) FROM lk) AS n_left, (SELECT count(*) FROM rk) AS n_right,
+       (SELECT count(*) FROM lk JOIN rk USING (Utility_Name)) AS n_matched,
+       (SELECT count(*) FROM lk ANTI JOIN rk USING (Utility_Name)) AS n_missing,
+       round(100.0 * (SELECT count(*) FROM lk JOIN rk USING (Utility_Name))
+             / nullif((SELECT count(*) FROM lk), 0), 1) AS pct_matched""")
+add("join_preview", FU, """
+SELECT Facility_ID, Facility_Name, Utility_Name, State, Opening_Year, Year,
+       round(Price_Per_kWh, 6) AS Price_Per_kWh
+FROM fj ORDER BY Facility_Name, Utility_Name, State, Opening_Year, Year, Facility_ID LIMIT 5""")
+add("top_states", FU, """
+SELECT State, count(*) AS n_rows FROM sized GROUP BY State ORDER BY n_rows DESC, State LIMIT 5""")
+add("price_summary", POWER, """
+SELECT round(avg(Price_Per_kWh), 6) AS mean, round(min(Price_Per_kWh), 6) AS min,
+       round(max(Price_Per_kWh), 6) AS max, count(*) AS n,
+       round(median(Price_Per_kWh), 6) AS median
+FROM power WHERE Price_Per_kWh IS NOT NULL""")
+add("growth_comparison", PANEL, """
+SELECT State, round(first_price, 6) AS first_price, round(last_price, 6) AS last_price,
+       total_opened,
+       round((last_price - first_price) / nullif(first_price, 0), 6) AS growth,
+       CASE WHEN total_opened >= 4 THEN 'high' ELSE 'low' END AS "group"
+FROM (SELECT State, arg_min(Avg_kWh, Year) AS first_price, arg_max(Avg_kWh, Year) AS last_price,
+             CAST(sum(DC_Opened) AS BIGINT) AS total_opened
+      FROM full_panel GROUP BY State)""")

@@ -157,3 +157,30 @@ def facility_list_rows(fac: DataFrame) -> DataFrame:
             F.col("Opening_Year").cast("string"), F.col("Capacity_MW").cast("string"),
             F.concat(F.lit("Utility of "), F.col("State"))]
     return fac.select([v.alias(f"_c{i}") for i, v in enumerate(vals)])
+
+
+def facility_utilities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facilities with the utility that serves them: the supplier of the
+    order's first line item (NULL when the order has no line 1).
+
+    The line-item side is reduced to line 1 at the scan; the join is on the
+    order key, so Spark can also prune it with a runtime filter built from the
+    (small) urgent-order side.
+    """
+    orders = (read_table(spark, sf_dir, "orders")
+              .filter((F.col("o_orderpriority") == URGENT) & (F.col("o_totalprice") > LARGE_ORDER))
+              .select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"))
+    first_line = (read_table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") == 1)
+                  .select("l_orderkey", "l_suppkey"))
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    return (orders.join(cust, orders.o_custkey == cust.c_custkey)
+            .join(_nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(first_line, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+            .join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+            .select(F.col("o_orderkey").cast("string").alias("Facility_ID"),
+                    F.col("c_name").alias("Facility_Name"),
+                    F.col("n_name").alias("State"),
+                    F.col("s_name").alias("Utility_Name"),
+                    F.year("o_orderdate").alias("Opening_Year"),
+                    F.col("o_totalprice").alias("Capacity_MW")))
