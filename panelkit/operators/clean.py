@@ -174,3 +174,27 @@ def ragged_rows_filter(lines: DataFrame, *, arity: int, column: str = "value",
         kept = kept.filter(F.col(column) != F.lit(skip_line))
     parsed = F.from_csv(F.col(column), schema, {"mode": "PERMISSIVE"})
     return kept.select(parsed.alias("_r")).select([F.col(f"_r.`{n}`").alias(n) for n in names])
+
+
+def clean_sheet(raw: DataFrame, *, file_col: str = "_file",
+                year_header: str = S.YEAR_HEADER) -> DataFrame:
+    """One raw sheet (or many, told apart by ``file_col``) -> the required
+    8-column layout: header mapping, the sheet's year (most common
+    ``year_header`` value per file, smallest on ties), numbers coerced
+    (bad -> NULL), price recomputed, names trimmed, states trimmed and
+    upper-cased, missing columns added as NULL."""
+    from panelkit.functions.headers import header_map
+
+    mapping = header_map([c for c in raw.columns if c != file_col])
+    years = (detect_year(raw.select(file_col, F.col(f"`{year_header}`").alias("_y")),
+                         by=[file_col], year="_y")
+             .select(file_col, safe_int("Year").alias("Year")))
+    df = raw.select(file_col, *[F.col(f"`{s}`").alias(d) for s, d in mapping.items()])
+    # one row per file on the right: AQE broadcasts it when measured small
+    df = df.join(years, on=file_col, how="left").drop(file_col)
+    df = cast_columns(df, doubles=[c for c in ("Revenue_Thousands", "Sales_MWh", "Customers")
+                                   if c in df.columns])
+    if "Revenue_Thousands" in df.columns and "Sales_MWh" in df.columns:
+        df = with_unit_price(df)
+    df = normalize_text(df)
+    return conform_schema(df)

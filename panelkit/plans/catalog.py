@@ -381,3 +381,104 @@ def q_growth_comparison(spark, d):
         "State", "first_price", "last_price", "total_opened",
         F.try_divide(F.col("last_price") - F.col("first_price"), F.col("first_price")).alias("growth"),
         F.when(F.col("total_opened") >= 4, "high").otherwise("low").alias("group"))
+
+
+# --------------------------------------------------------------------------
+# step 4: sources and sinks (round trips through the shared scratch folder)
+# --------------------------------------------------------------------------
+import re  # noqa: E402
+
+from panelkit.session import scratch_path  # noqa: E402
+from panelkit.sinks import writers  # noqa: E402
+from panelkit.sources import csv as csv_src  # noqa: E402
+
+PANEL_SCHEMA = T.StructType([
+    T.StructField("State", T.StringType()), T.StructField("Year", T.IntegerType()),
+    T.StructField("DC_Opened", T.LongType()), T.StructField("Cumulative_DC", T.LongType()),
+    T.StructField("Avg_kWh", T.DoubleType()), T.StructField("PrevPrice", T.DoubleType())])
+
+
+def _facility_table(spark, d):
+    """Facilities in the 15-column file layout, typed (year as a double)."""
+    rows = clean.conform_rows(roles.facility_list_rows(_fac(spark, d)))
+    return rows.select([F.col(n).cast(t).alias(n) for n, t in S.FACILITY_FIELDS])
+
+
+@query("csv_scan_schema")
+def q_csv_scan_schema(spark, d):
+    path = scratch_path(spark, "facilities_csv")
+    writers.write_csv(_facility_table(spark, d), path)
+    return csv_src.read_facilities(spark, path)
+
+
+@query("csv_glob_scan")
+def q_csv_glob_scan(spark, d):
+    base = scratch_path(spark, "power_years")
+    p = _power(spark, d).select(*S.POWER_COLUMNS)
+    writers.write_csv(p.withColumn("_file_year", F.col("Year")), base,
+                      partition_by=["_file_year"])
+    return csv_src.read_power_costs(spark, f"{base}/_file_year=*/*.csv",
+                                    thresholds={"Sales_MWh": S.MIN_SALES})
+
+
+@query("csv_infer_scan")
+def q_csv_infer_scan(spark, d):
+    path = scratch_path(spark, "power_infer")
+    cols = ["Utility_Name", "State", "Year", "Utility_ID", "Customers", "Price_Per_kWh"]
+    writers.write_csv(_power(spark, d).select(*cols), path)
+    return csv_src.read_inferred_csv(spark, path)
+
+
+@query("preamble_csv_scan")
+def q_preamble_csv_scan(spark, d):
+    path = scratch_path(spark, "sheets")
+    sheet = roles.raw_sheet(_power(spark, d))
+    header = [re.sub(r"\.\d+$", "", c) for c in sheet.columns]
+    writers.write_sheets(sheet.withColumn("_sheet_year", F.col("`Data Year`")), path,
+                         sheet="_sheet_year", columns=sheet.columns, header=header,
+                         preamble=["Utility sales by sector (test export)",
+                                   "Values in thousand dollars, megawatthours and counts"])
+    return clean.clean_sheet(csv_src.read_preamble_csv(spark, path))
+
+
+@query("parquet_scan")
+def q_parquet_scan(spark, d):
+    li = read_table(spark, d, "lineitem")
+    return (li.filter(F.col("l_shipdate") >= F.lit(roles.SALES_SINCE).cast("timestamp_ntz"))
+            .select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity",
+                    F.year("l_shipdate").alias("Year")))
+
+
+@query("parquet_roundtrip")
+def q_parquet_roundtrip(spark, d):
+    path = scratch_path(spark, "panel_parquet")
+    writers.write_parquet(flagship(spark, d), path)
+    return spark.read.parquet(path)
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, d):
+    path = scratch_path(spark, "panel_csv")
+    writers.write_csv(flagship(spark, d), path, single_file=True)
+    return csv_src.read_typed_csv(spark, path, PANEL_SCHEMA)
+
+
+@query("partitioned_write")
+def q_partitioned_write(spark, d):
+    path = scratch_path(spark, "power_by_year")
+    writers.write_csv(_power(spark, d), path, partition_by=["Year"])
+    schema = T.StructType([
+        T.StructField("Utility_Name", T.StringType()), T.StructField("State", T.StringType()),
+        T.StructField("Utility_ID", T.StringType()),
+        T.StructField("Revenue_Thousands", T.LongType()), T.StructField("Sales_MWh", T.LongType()),
+        T.StructField("Customers", T.LongType()), T.StructField("Price_Per_kWh", T.DoubleType()),
+        T.StructField("Year", T.IntegerType())])
+    return spark.read.option("header", True).schema(schema).csv(path)
+
+
+@query("project_alias")
+def q_project_alias(spark, d):
+    return (flagship(spark, d)
+            .select("State", "Year", "DC_Opened", F.col("Avg_kWh").alias("label"),
+                    F.col("PrevPrice").alias("prev"))
+            .withColumnsRenamed({"DC_Opened": "opened", "Year": "yr"}))

@@ -284,3 +284,41 @@ SELECT State, round(first_price, 6) AS first_price, round(last_price, 6) AS last
 FROM (SELECT State, arg_min(Avg_kWh, Year) AS first_price, arg_max(Avg_kWh, Year) AS last_price,
              CAST(sum(DC_Opened) AS BIGINT) AS total_opened
       FROM full_panel GROUP BY State)""")
+
+
+# step 4: sources and sinks -----------------------------------------------------
+add("csv_scan_schema", FAC, """
+SELECT Facility_ID, Facility_Name, Operator, lower(State) AS City, State,
+       'Utility of ' || State AS Utility_Name, Opening_Year,
+       round(Capacity_MW, 6) AS Capacity_MW
+FROM fac""")
+add("csv_glob_scan", PC, """
+SELECT Utility_Name, State, Year, Utility_ID, Customers, round(Price_Per_kWh, 6) AS Price_Per_kWh
+FROM pc""")
+add("csv_infer_scan", POWER, """
+SELECT Utility_Name, State, Year, CAST(Utility_ID AS DOUBLE) AS Utility_ID,
+       CAST(Customers AS INTEGER) AS Customers, round(Price_Per_kWh, 6) AS Price_Per_kWh
+FROM power""")
+add("preamble_csv_scan", POWER, """
+SELECT Utility_ID, Utility_Name, upper(State) AS State, Year,
+       CAST(Revenue_Thousands AS DOUBLE) AS Revenue_Thousands,
+       CAST(Sales_MWh AS DOUBLE) AS Sales_MWh, CAST(Customers AS DOUBLE) AS Customers,
+       round(Price_Per_kWh, 6) AS Price_Per_kWh
+FROM power""")
+ORACLE["parquet_scan"] = """
+SELECT l_orderkey, l_suppkey, l_linenumber, round(l_quantity, 6) AS l_quantity,
+       CAST(year(l_shipdate) AS INTEGER) AS Year
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01 00:00:00'"""
+add("parquet_roundtrip", PANEL,
+    "SELECT State, Year, DC_Opened, Cumulative_DC, round(Avg_kWh, 6) AS Avg_kWh, "
+    "round(PrevPrice, 6) AS PrevPrice FROM panel")
+add("csv_roundtrip", PANEL,
+    "SELECT State, Year, DC_Opened, Cumulative_DC, round(Avg_kWh, 6) AS Avg_kWh, "
+    "round(PrevPrice, 6) AS PrevPrice FROM panel")
+add("partitioned_write", POWER, """
+SELECT Utility_Name, State, Utility_ID, Revenue_Thousands, Sales_MWh, Customers,
+       round(Price_Per_kWh, 6) AS Price_Per_kWh, Year
+FROM power""")
+add("project_alias", PANEL,
+    "SELECT State, Year AS yr, DC_Opened AS opened, round(Avg_kWh, 6) AS label, "
+    "round(PrevPrice, 6) AS prev FROM panel")
