@@ -482,3 +482,150 @@ def q_project_alias(spark, d):
             .select("State", "Year", "DC_Opened", F.col("Avg_kWh").alias("label"),
                     F.col("PrevPrice").alias("prev"))
             .withColumnsRenamed({"DC_Opened": "opened", "Year": "yr"}))
+
+
+# --------------------------------------------------------------------------
+# step 5: ML features
+# --------------------------------------------------------------------------
+from panelkit.operators import model as ml  # noqa: E402
+from panelkit.operators import scenario as sc  # noqa: E402
+from panelkit.session import ensure_checkpoint_dir  # noqa: E402
+
+
+def _encoded(spark, d):
+    p = flagship(spark, d)
+    return ml.feature_stages().fit(p).transform(p)
+
+
+@query("string_index")
+def q_string_index(spark, d):
+    p = flagship(spark, d)
+    return ml.state_indexer().fit(p).transform(p).select("State", "Year", "StateIndex")
+
+
+@query("one_hot")
+def q_one_hot(spark, d):
+    return ml.sparse_slots(_encoded(spark, d), "StateVec", ["State", "Year"])
+
+
+@query("assemble_features")
+def q_assemble_features(spark, d):
+    return ml.sparse_slots(_encoded(spark, d), "features", ["State", "Year"])
+
+
+@query("hash_split")
+def q_hash_split(spark, d):
+    return ml.hash_split(flagship(spark, d), ["State", "Year"]).select(
+        "State", "Year", "bucket", "split")
+
+
+# --------------------------------------------------------------------------
+# step 6: scenarios (SQL-checked with a fixed linear score)
+# --------------------------------------------------------------------------
+def _wide_linear(spark, d):
+    return sc.scenario_wide(flagship(spark, d), sc.linear_scorer())
+
+
+@query("scenario_scale")
+def q_scenario_scale(spark, d):
+    return sc.scale_scenarios(flagship(spark, d))
+
+
+@query("scenario_wide")
+def q_scenario_wide(spark, d):
+    return _wide_linear(spark, d)
+
+
+@query("scenario_long")
+def q_scenario_long(spark, d):
+    return sc.scenario_long(_wide_linear(spark, d))
+
+
+@query("label_map")
+def q_label_map(spark, d):
+    long = sc.scenario_long(_wide_linear(spark, d),
+                            values=sc.prediction_columns() + ["Avg_kWh"])
+    return sc.label_scenarios(long)
+
+
+@query("scenario_series")
+def q_scenario_series(spark, d):
+    p = flagship(spark, d)
+    long = sc.label_scenarios(sc.scenario_long(sc.scenario_wide(p, sc.linear_scorer())))
+    return sc.scenario_series(long, value=p.agg(F.min("State")).scalar())
+
+
+@query("scenario_delta")
+def q_scenario_delta(spark, d):
+    return sc.scenario_delta(_wide_linear(spark, d))
+
+
+# --------------------------------------------------------------------------
+# step 7: model
+# --------------------------------------------------------------------------
+@query("regression_metrics")
+def q_regression_metrics(spark, d):
+    """Metrics of the "price = previous price" baseline on the panel."""
+    m = ml.regression_metrics(flagship(spark, d), label="Avg_kWh", prediction="PrevPrice")
+    # a money figure: cents (6 places of a 1e8 value exceed double precision)
+    return m.withColumn("household_error", F.round("household_error", 2))
+
+
+def training_table(spark, d) -> DataFrame:
+    """Encoded panel with label and split, checkpointed to the shared folder
+    (it is re-read by every fold and grid point)."""
+    ensure_checkpoint_dir(spark)
+    t = ml.hash_split(_encoded(spark, d).withColumn("label", F.col("Avg_kWh")), ["State", "Year"])
+    return t.checkpoint(eager=True)
+
+
+def _fit_forest(spark, d):
+    t = training_table(spark, d)
+    m = ml.forest(num_trees=20, max_depth=5, seed=42).fit(t.filter(F.col("split") == "train"))
+    return t, m
+
+
+@query("rf_train_score")
+def q_rf_train_score(spark, d):
+    t, m = _fit_forest(spark, d)
+    return m.transform(t.filter(F.col("split") == "test")).select(
+        "State", "Year", "label", "prediction")
+
+
+@query("best_params")
+def q_best_params(spark, d):
+    """Small grid (2 x 2, 2 folds): the full 30 x 4 grid is available via
+    ``ml.tune`` defaults."""
+    t = training_table(spark, d)
+    _, table = ml.tune(t.filter(F.col("split") == "train"), ml.forest(seed=42),
+                       num_trees=[10, 20], max_depth=[2, 4], folds=2, parallelism=4)
+    return table
+
+
+@query("feature_importance")
+def q_feature_importance(spark, d):
+    t, m = _fit_forest(spark, d)
+    rows = ml.grouped_importances(m, t)
+    return spark.createDataFrame(rows, "feature string, importance double")
+
+
+@query("rf_counterfactual")
+def q_rf_counterfactual(spark, d):
+    t, m = _fit_forest(spark, d)
+    return sc.scenario_wide(t, sc.model_scorer(m))
+
+
+@query("run_log")
+def q_run_log(spark, d):
+    """Parameters, held-out metrics and grouped importances as text lines,
+    written to the shared folder and read back."""
+    t, m = _fit_forest(spark, d)
+    scored = m.transform(t.filter(F.col("split") == "test"))
+    met = ml.regression_metrics(scored).first()
+    imp = dict(ml.grouped_importances(m, t))
+    lines = [f"NumTrees: {m.getNumTrees}", f"MaxDepth: {m.getOrDefault('maxDepth')}",
+             f"RMSE: {met['rmse']}", f"R2:   {met['r2']}"]
+    lines += [f"IMPORTANCE - {k}: {imp.get(k, 0.0)}" for k in S.FEATURE_INPUTS]
+    path = scratch_path(spark, "run_logs")
+    writers.write_text_lines(spark.createDataFrame([(x,) for x in lines], "value string"), path)
+    return spark.read.text(path)

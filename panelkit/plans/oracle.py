@@ -322,3 +322,97 @@ FROM power""")
 add("project_alias", PANEL,
     "SELECT State, Year AS yr, DC_Opened AS opened, round(Avg_kWh, 6) AS label, "
     "round(PrevPrice, 6) AS prev FROM panel")
+
+
+# step 5: ML features --------------------------------------------------------------
+IDX = PANEL + """,
+idx AS (
+  SELECT State, CAST(row_number() OVER (ORDER BY n DESC, State) - 1 AS DOUBLE) AS StateIndex
+  FROM (SELECT State, count(*) AS n FROM panel GROUP BY State))
+"""
+add("string_index", IDX,
+    "SELECT p.State, p.Year, i.StateIndex FROM panel p JOIN idx i ON p.State = i.State")
+add("one_hot", IDX, """
+SELECT p.State, p.Year, CAST(i.StateIndex AS INTEGER) AS slot, 1.0 AS value
+FROM panel p JOIN idx i ON p.State = i.State""")
+add("assemble_features", IDX, """
+SELECT State, Year, 0 AS slot, CAST(DC_Opened AS DOUBLE) AS value FROM panel WHERE DC_Opened <> 0
+UNION ALL
+SELECT State, Year, 1 AS slot, round(PrevPrice, 6) AS value FROM panel WHERE PrevPrice <> 0
+UNION ALL
+SELECT p.State, p.Year, CAST(i.StateIndex AS INTEGER) + 2 AS slot, 1.0 AS value
+FROM panel p JOIN idx i ON p.State = i.State""")
+add("hash_split", PANEL, """
+SELECT State, Year, bucket, CASE WHEN bucket < 80 THEN 'train' ELSE 'test' END AS split
+FROM (SELECT State, Year,
+             CAST(('0x' || substr(md5(State || '#' || CAST(Year AS VARCHAR)), 1, 8)) AS BIGINT) % 100
+               AS bucket
+      FROM panel)""")
+
+# step 6: scenarios (linear score prev + 0.001 * opened) --------------------------
+SCEN = PANEL + """,
+wide AS (
+  SELECT State, Year, DC_Opened, PrevPrice, Avg_kWh,
+         PrevPrice + 0.001::DOUBLE * DC_Opened AS Pred_baseline,
+         DC_Opened * 0.9::DOUBLE AS DC_minus10, PrevPrice + 0.001::DOUBLE * (DC_Opened * 0.9::DOUBLE) AS Pred_minus10,
+         DC_Opened * 1.1::DOUBLE AS DC_plus10, PrevPrice + 0.001::DOUBLE * (DC_Opened * 1.1::DOUBLE) AS Pred_plus10,
+         DC_Opened * 1.2::DOUBLE AS DC_plus20, PrevPrice + 0.001::DOUBLE * (DC_Opened * 1.2::DOUBLE) AS Pred_plus20,
+         DC_Opened * 0.75::DOUBLE AS DC_slow75, PrevPrice + 0.001::DOUBLE * (DC_Opened * 0.75::DOUBLE) AS Pred_slow75,
+         DC_Opened * 1.5::DOUBLE AS DC_fast150, PrevPrice + 0.001::DOUBLE * (DC_Opened * 1.5::DOUBLE) AS Pred_fast150,
+         DC_Opened * 0.0::DOUBLE AS DC_ban0, PrevPrice + 0.001::DOUBLE * (DC_Opened * 0.0::DOUBLE) AS Pred_ban0
+  FROM panel),
+long AS (
+  UNPIVOT wide ON Pred_baseline, Pred_minus10, Pred_plus10, Pred_plus20, Pred_slow75,
+                 Pred_fast150, Pred_ban0
+  INTO NAME Scenario VALUE PredictedPrice),
+labels(code, label) AS (VALUES ('Pred_baseline', 'Baseline'), ('Pred_minus10', '-10%'),
+  ('Pred_plus10', '+10%'), ('Pred_plus20', '+20%'), ('Pred_slow75', '-25%'),
+  ('Pred_fast150', '+50%'), ('Pred_ban0', 'x0'))
+"""
+add("scenario_scale", PANEL, """
+SELECT p.State, p.Year, p.Cumulative_DC, round(p.Avg_kWh, 6) AS Avg_kWh,
+       round(p.PrevPrice, 6) AS PrevPrice, s.Scenario, s.Factor,
+       round(p.DC_Opened * s.Factor, 6) AS DC_Opened
+FROM panel p CROSS JOIN (VALUES ('baseline', 1.0::DOUBLE), ('minus10', 0.9::DOUBLE),
+  ('plus10', 1.1::DOUBLE), ('plus20', 1.2::DOUBLE), ('slow75', 0.75::DOUBLE),
+  ('fast150', 1.5::DOUBLE), ('ban0', 0.0::DOUBLE)) s(Scenario, Factor)""")
+add("scenario_wide", SCEN, """
+SELECT State, Year, DC_Opened, round(PrevPrice, 6) AS PrevPrice, round(Avg_kWh, 6) AS Avg_kWh,
+       round(Pred_baseline, 6) AS Pred_baseline,
+       round(DC_minus10, 6) AS DC_minus10, round(Pred_minus10, 6) AS Pred_minus10,
+       round(DC_plus10, 6) AS DC_plus10, round(Pred_plus10, 6) AS Pred_plus10,
+       round(DC_plus20, 6) AS DC_plus20, round(Pred_plus20, 6) AS Pred_plus20,
+       round(DC_slow75, 6) AS DC_slow75, round(Pred_slow75, 6) AS Pred_slow75,
+       round(DC_fast150, 6) AS DC_fast150, round(Pred_fast150, 6) AS Pred_fast150,
+       round(DC_ban0, 6) AS DC_ban0, round(Pred_ban0, 6) AS Pred_ban0
+FROM wide""")
+add("scenario_long", SCEN,
+    "SELECT State, Year, Scenario, round(PredictedPrice, 6) AS PredictedPrice FROM long")
+add("label_map", SCEN, """
+SELECT l.State, l.Year, b.label AS Scenario, round(l.PredictedPrice, 6) AS PredictedPrice
+FROM (SELECT State, Year, Scenario, PredictedPrice FROM long
+      UNION ALL SELECT State, Year, 'Avg_kWh', Avg_kWh FROM wide) l
+LEFT JOIN labels b ON l.Scenario = b.code""")
+add("scenario_series", SCEN, """
+SELECT l.State, l.Year, b.label AS Scenario, round(l.PredictedPrice, 6) AS PredictedPrice
+FROM long l LEFT JOIN labels b ON l.Scenario = b.code
+WHERE l.State = (SELECT min(State) FROM panel)""")
+add("scenario_delta", SCEN, """
+SELECT State, Year, Scenario, round(Delta, 6) AS Delta FROM (
+  UNPIVOT (SELECT State, Year, Pred_minus10 - Pred_baseline AS minus10,
+                  Pred_plus10 - Pred_baseline AS plus10, Pred_plus20 - Pred_baseline AS plus20,
+                  Pred_slow75 - Pred_baseline AS slow75, Pred_fast150 - Pred_baseline AS fast150,
+                  Pred_ban0 - Pred_baseline AS ban0 FROM wide)
+  ON minus10, plus10, plus20, slow75, fast150, ban0 INTO NAME Scenario VALUE Delta)""")
+
+# step 7: model (baseline "price = previous price") --------------------------------
+add("regression_metrics", PANEL, """
+SELECT n, round(rmse, 6) AS rmse, round(mae, 6) AS mae,
+       round(1.0 - sse / (n * var_l), 6) AS r2,
+       round(rmse / mean_label, 6) AS rmse_share_of_mean,
+       round(rmse * 10000, 2) AS household_error, round(mean_label, 6) AS mean_label
+FROM (SELECT count(*) AS n, sqrt(avg((PrevPrice - Avg_kWh) * (PrevPrice - Avg_kWh))) AS rmse,
+             avg(abs(PrevPrice - Avg_kWh)) AS mae,
+             sum((PrevPrice - Avg_kWh) * (PrevPrice - Avg_kWh)) AS sse,
+             var_pop(Avg_kWh) AS var_l, avg(Avg_kWh) AS mean_label
+      FROM panel)""")
