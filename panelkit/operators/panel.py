@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from panelkit.session import materialize
+
 
 def year_bounds(df: DataFrame, *, time: str = "Year",
                 lo: str = "min_year", hi: str = "max_year") -> DataFrame:
@@ -46,25 +48,45 @@ def panel_grid(entities: DataFrame, bounds: DataFrame, *, key: str = "State",
     return distinct_keys(entities, key=key).select(key, F.explode(years).alias(time))
 
 
+def event_counts(facilities: DataFrame, *, key: str = "State",
+                 event_time: str = "Opening_Year", out: str = "n",
+                 sums: tuple[str, ...] = ()) -> DataFrame:
+    """(key, event year, n): the one pass over raw event rows.
+
+    Grid, yearly counts and pre-period counts are all derived from this small
+    aggregate, so the raw rows are scanned and shuffled once (partial
+    aggregation first, so a hot key is reduced map side).  NULL years form
+    their own group, so their key still enters the grid.
+    """
+    return facilities.groupBy(key, event_time).agg(
+        F.count(F.lit(1)).alias(out), *[F.sum(c).alias(c) for c in sums])
+
+
+def _tally(weight: str | None) -> Column:
+    return F.count(F.lit(1)) if weight is None else F.sum(weight)
+
+
 def openings_by_year(facilities: DataFrame, bounds: DataFrame, *, key: str = "State",
                      event_time: str = "Opening_Year", time: str = "Year",
-                     lo: str = "min_year", out: str = "DC_Opened") -> DataFrame:
+                     lo: str = "min_year", out: str = "DC_Opened",
+                     weight: str | None = None) -> DataFrame:
     """F4 + A3: count of events per (key, year) from the first bound on.
 
     Rows with a NULL event year fail the predicate and are never counted,
-    although their key still enters the grid.
+    although their key still enters the grid.  ``weight`` sums a count
+    column instead (input already aggregated by :func:`event_counts`).
     """
     return (facilities.filter(F.col(event_time) >= _bound(bounds, lo))
             .groupBy(key, F.col(event_time).alias(time))
-            .agg(F.count(F.lit(1)).alias(out)))
+            .agg(_tally(weight).alias(out)))
 
 
 def pre_period_count(facilities: DataFrame, bounds: DataFrame, *, key: str = "State",
                      event_time: str = "Opening_Year", lo: str = "min_year",
-                     out: str = "Pre_DC") -> DataFrame:
+                     out: str = "Pre_DC", weight: str | None = None) -> DataFrame:
     """F3 + A2: count of events per key before the first bound."""
     return (facilities.filter(F.col(event_time) < _bound(bounds, lo))
-            .groupBy(key).agg(F.count(F.lit(1)).alias(out)))
+            .groupBy(key).agg(_tally(weight).alias(out)))
 
 
 def left_join_fill(left: DataFrame, right: DataFrame, on: list[str],
@@ -142,6 +164,31 @@ def cumulative_sum_column(df: DataFrame, *, key: str = "State", time: str = "Yea
     return running_total(df, key=key, time=time, value=value, base=base, out=out)
 
 
+def cumulative_panel(facilities: DataFrame, sales: DataFrame, *, key: str = "State",
+                     event_time: str = "Opening_Year", time: str = "Year",
+                     price: str = "Price_Per_kWh",
+                     materialize_inputs: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(grid with yearly and running counts, average prices).
+
+    Each input is reduced once - events to (key, year, n), sales to the mean
+    price per (key, year) - and the bounds come from the price table (same
+    years as the sales rows).  Left to itself the optimizer pushes each
+    branch's filters and projections into its own copy of the scan, so the
+    two small aggregates are materialized and every branch reads them.
+    """
+    counts = event_counts(facilities, key=key, event_time=event_time)
+    prices = avg_price(sales, key=key, time=time, price=price)
+    if materialize_inputs:
+        # both are bounded by keys x years; written once, read by every branch
+        counts, prices = materialize(counts), materialize(prices)
+    bounds = year_bounds(prices, time=time)
+    grid = panel_grid(counts, bounds, key=key, time=time)
+    by_year = openings_by_year(counts, bounds, key=key, event_time=event_time, time=time,
+                               weight="n")
+    pre = pre_period_count(counts, bounds, key=key, event_time=event_time, weight="n")
+    return cumulative_openings(grid, by_year, pre, key=key, time=time), prices
+
+
 def build_panel(facilities: DataFrame, sales: DataFrame, *, key: str = "State",
                 event_time: str = "Opening_Year", time: str = "Year",
                 price: str = "Price_Per_kWh", preceding: int | None = None,
@@ -154,12 +201,8 @@ def build_panel(facilities: DataFrame, sales: DataFrame, *, key: str = "State",
     from panelkit.operators import features
     from panelkit.schemas import RECENT_FOLLOWING, RECENT_PRECEDING
 
-    bounds = year_bounds(sales, time=time)
-    grid = panel_grid(facilities, bounds, key=key, time=time)
-    by_year = openings_by_year(facilities, bounds, key=key, event_time=event_time, time=time)
-    pre = pre_period_count(facilities, bounds, key=key, event_time=event_time)
-    cum = cumulative_openings(grid, by_year, pre, key=key, time=time)
-    prices = avg_price(sales, key=key, time=time, price=price)
+    cum, prices = cumulative_panel(facilities, sales, key=key, event_time=event_time,
+                                   time=time, price=price)
     full = price_integration(cum, prices, key=key, time=time)
     lagged = features.lag_feature(full, key=key, time=time)
     rolled = features.rolling_sum(

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from panelkit.operators import features, panel
 from panelkit.plans import roles
+from panelkit.session import materialize
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -52,14 +53,12 @@ def _bounds(spark, d):
 
 
 def _cum(spark, d):
-    fac, b = _fac(spark, d), _bounds(spark, d)
-    return panel.cumulative_openings(
-        panel.panel_grid(fac, b), panel.openings_by_year(fac, b),
-        panel.pre_period_count(fac, b))
+    return panel.cumulative_panel(_fac(spark, d), _pc(spark, d))[0]
 
 
 def _full(spark, d):
-    return panel.price_integration(_cum(spark, d), panel.avg_price(_pc(spark, d)))
+    cum, prices = panel.cumulative_panel(_fac(spark, d), _pc(spark, d))
+    return panel.price_integration(cum, prices)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +85,14 @@ def q_year_spine(spark, d):
     return panel.year_spine(_bounds(spark, d))
 
 
+def _inputs(spark, d):
+    """Facility counts (+ capacity) per (state, year) and prices per (state,
+    year), each computed once and written; bounds from the prices."""
+    counts = materialize(panel.event_counts(_fac(spark, d), sums=("Capacity_MW",)))
+    prices = materialize(panel.avg_price(_pc(spark, d)))
+    return counts, prices, panel.year_bounds(prices)
+
+
 @query("distinct_states")
 def q_distinct_states(spark, d):
     return panel.distinct_keys(_fac(spark, d))
@@ -93,32 +100,36 @@ def q_distinct_states(spark, d):
 
 @query("panel_grid")
 def q_panel_grid(spark, d):
-    return panel.panel_grid(_fac(spark, d), _bounds(spark, d))
+    counts, _, b = _inputs(spark, d)
+    return panel.panel_grid(counts, b)
 
 
 @query("openings_by_year")
 def q_openings_by_year(spark, d):
-    return panel.openings_by_year(_fac(spark, d), _bounds(spark, d))
+    counts, _, b = _inputs(spark, d)
+    return panel.openings_by_year(counts, b, weight="n")
 
 
 @query("pre_period_count")
 def q_pre_period_count(spark, d):
-    return panel.pre_period_count(_fac(spark, d), _bounds(spark, d))
+    counts, _, b = _inputs(spark, d)
+    return panel.pre_period_count(counts, b, weight="n")
 
 
 @query("left_join_fill")
 def q_left_join_fill(spark, d):
-    fac, b = _fac(spark, d), _bounds(spark, d)
-    return panel.left_join_fill(panel.panel_grid(fac, b), panel.openings_by_year(fac, b),
+    counts, _, b = _inputs(spark, d)
+    return panel.left_join_fill(panel.panel_grid(counts, b),
+                                panel.openings_by_year(counts, b, weight="n"),
                                 ["State", "Year"], {"DC_Opened": 0})
 
 
 @query("fill_missing")
 def q_fill_missing(spark, d):
-    fac, b = _fac(spark, d), _bounds(spark, d)
-    df = (panel.panel_grid(fac, b)
-          .join(panel.openings_by_year(fac, b), ["State", "Year"], "left")
-          .join(panel.pre_period_count(fac, b), ["State"], "left"))
+    counts, _, b = _inputs(spark, d)
+    df = (panel.panel_grid(counts, b)
+          .join(panel.openings_by_year(counts, b, weight="n"), ["State", "Year"], "left")
+          .join(panel.pre_period_count(counts, b, weight="n"), ["State"], "left"))
     return panel.fill_missing(df, {"DC_Opened": 0, "Pre_DC": 0})
 
 
@@ -131,14 +142,11 @@ def q_cumulative_openings(spark, d):
 def q_cumulative_capacity(spark, d):
     """Capacity opened per (state, year) plus pre-period capacity,
     accumulated over the grid."""
-    fac, b = _fac(spark, d), _bounds(spark, d)
-    lo = b.select("min_year").scalar()
-    yearly = (fac.filter(F.col("Opening_Year") >= lo)
-              .groupBy("State", F.col("Opening_Year").alias("Year"))
-              .agg(F.sum("Capacity_MW").alias("MW_Opened")))
-    pre = (fac.filter(F.col("Opening_Year") < lo)
-           .groupBy("State").agg(F.sum("Capacity_MW").alias("Pre_MW")))
-    df = panel.left_join_fill(panel.panel_grid(fac, b), yearly, ["State", "Year"], {"MW_Opened": 0.0})
+    counts, _, b = _inputs(spark, d)
+    yearly = panel.openings_by_year(counts, b, weight="Capacity_MW", out="MW_Opened")
+    pre = panel.pre_period_count(counts, b, weight="Capacity_MW", out="Pre_MW")
+    df = panel.left_join_fill(panel.panel_grid(counts, b), yearly, ["State", "Year"],
+                              {"MW_Opened": 0.0})
     df = panel.left_join_fill(df, pre, ["State"], {"Pre_MW": 0.0})
     return (panel.cumulative_sum_column(df, value="MW_Opened", base="Pre_MW", out="Cum_MW")
             .select("State", "Year", "MW_Opened", "Cum_MW"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", app: str = "panelkit",
@@ -63,3 +63,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark)}/panelkit-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a small, reused intermediate once and continue from a copy
+    written to the shared checkpoint folder.
+
+    Used for aggregates whose size is bounded by the key space (states x
+    years), never for raw rows: every later branch reads the written copy
+    instead of re-running the scans, and a lost executor cannot force the
+    upstream work to run again.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
