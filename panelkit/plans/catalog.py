@@ -637,3 +637,49 @@ def q_run_log(spark, d):
     path = scratch_path(spark, "run_logs")
     writers.write_text_lines(spark.createDataFrame([(x,) for x in lines], "value string"), path)
     return spark.read.text(path)
+
+
+# --------------------------------------------------------------------------
+# streaming: yearly sales files as a file stream -> running average price
+# --------------------------------------------------------------------------
+from panelkit.streaming import yearly_prices  # noqa: E402
+
+
+@query("stream_avg_price")
+def q_stream_avg_price(spark, d):
+    """Yearly sales files (one written per year) consumed as a stream, two
+    files per micro-batch; the result equals the batch ``avg_price``."""
+    src, out, ckpt = (scratch_path(spark, "stream_src"), scratch_path(spark, "stream_out"),
+                      scratch_path(spark, "stream_ckpt"))
+    p = _power(spark, d).select(*S.POWER_COLUMNS)
+    writers.write_csv(p.repartition("Year"), src)
+    stream = yearly_prices.price_stream(spark, src, thresholds={"Sales_MWh": S.MIN_SALES},
+                                        files_per_batch=2)
+    yearly_prices.run_until_caught_up(stream, out, ckpt)
+    return spark.read.parquet(out)
+
+
+# --------------------------------------------------------------------------
+# optional: alternative learners (X6) and difference-in-differences
+# --------------------------------------------------------------------------
+from panelkit.operators import effects  # noqa: E402
+
+
+@query("diff_in_diff")
+def q_diff_in_diff(spark, d):
+    return effects.diff_in_diff(_full(spark, d))
+
+
+@query("alt_learners")
+def q_alt_learners(spark, d):
+    """Held-out rmse / r2 of the forest, gradient-boosted trees and linear
+    regression on the same deterministic split."""
+    t = training_table(spark, d)
+    train, test = t.filter(F.col("split") == "train"), t.filter(F.col("split") == "test")
+    out = None
+    for name, est in (("forest", ml.forest(num_trees=20, max_depth=5, seed=42)),
+                      ("gbt", ml.other_learner("gbt")), ("linear", ml.other_learner("linear"))):
+        m = ml.regression_metrics(est.fit(train).transform(test)).select(
+            F.lit(name).alias("learner"), "n", "rmse", "r2")
+        out = m if out is None else out.unionByName(m)
+    return out

@@ -416,3 +416,25 @@ FROM (SELECT count(*) AS n, sqrt(avg((PrevPrice - Avg_kWh) * (PrevPrice - Avg_kW
              sum((PrevPrice - Avg_kWh) * (PrevPrice - Avg_kWh)) AS sse,
              var_pop(Avg_kWh) AS var_l, avg(Avg_kWh) AS mean_label
       FROM panel)""")
+
+
+# streaming ------------------------------------------------------------------------
+add("stream_avg_price", PANEL, "SELECT State, Year, round(Avg_kWh, 6) AS Avg_kWh FROM prices")
+
+
+# optional: difference-in-differences ----------------------------------------------
+add("diff_in_diff", PANEL, """
+, flagged AS (
+  SELECT *, sum(DC_Opened) OVER (PARTITION BY State) >= 4 AS treated,
+         Year > (SELECT (min(Year) + max(Year)) / 2.0 FROM full_panel) AS post
+  FROM full_panel),
+cells AS (
+  SELECT avg(Avg_kWh) FILTER (WHERE treated AND NOT post) AS treated_before,
+         avg(Avg_kWh) FILTER (WHERE treated AND post) AS treated_after,
+         avg(Avg_kWh) FILTER (WHERE NOT treated AND NOT post) AS control_before,
+         avg(Avg_kWh) FILTER (WHERE NOT treated AND post) AS control_after
+  FROM flagged)
+SELECT round(treated_before, 6) AS treated_before, round(treated_after, 6) AS treated_after,
+       round(control_before, 6) AS control_before, round(control_after, 6) AS control_after,
+       round((treated_after - treated_before) - (control_after - control_before), 6) AS did
+FROM cells""")

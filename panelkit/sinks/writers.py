@@ -42,22 +42,29 @@ def write_text_lines(df: DataFrame, path: str, *, single_file: bool = True,
 
 
 def write_sheets(df: DataFrame, path: str, *, sheet: str, preamble: Sequence[str],
-                 columns: Sequence[str] | None = None, header: Sequence[str] | None = None) -> None:
-    """Write one raw sheet per value of ``sheet``: ``preamble`` lines, then a
+                 columns: Sequence[str] | None = None, header: Sequence[str] | None = None,
+                 files_per_sheet: int = 4) -> None:
+    """Write raw sheets: every file starts with the ``preamble`` lines and a
     header line (``header`` names, repeats allowed), then CSV rows.
 
-    Each sheet's lines are co-located by ``repartition(sheet)`` and written in
-    (sheet, line order) so each file starts with its preamble.
+    A sheet value is spread over ``files_per_sheet`` files (rows assigned by
+    a hash of their content), each its own directory
+    ``_sheet=<value>/_part=<k>/``, so one large sheet is written by several
+    tasks instead of one.  Each (sheet, part) group is co-located and written
+    in line order, so every file begins with its preamble.
     """
     columns = list(columns or [c for c in df.columns if c != sheet])
     header = list(header or columns)
     head_text = ",".join(f'"{h}"' if "," in h else h for h in header)
     fixed = [*preamble, head_text]
-    data = df.select(F.col(sheet).alias("_sheet"), F.lit(len(fixed)).alias("_ord"),
-                     F.to_csv(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("value"))
-    tops = (df.select(F.col(sheet).alias("_sheet")).distinct()
-            .select("_sheet", F.posexplode(F.array(*[F.lit(t) for t in fixed])).alias("_ord", "value")))
+    cols = [F.col(f"`{c}`") for c in columns]
+    part = F.pmod(F.xxhash64(*cols), F.lit(files_per_sheet))
+    data = df.select(F.col(sheet).alias("_sheet"), part.alias("_part"),
+                     F.lit(len(fixed)).alias("_ord"), F.to_csv(F.struct(*cols)).alias("value"))
+    tops = (data.select("_sheet", "_part").distinct()
+            .select("_sheet", "_part",
+                    F.posexplode(F.array(*[F.lit(t) for t in fixed])).alias("_ord", "value")))
     lines = data.unionByName(tops)
-    (lines.repartition("_sheet").sortWithinPartitions("_sheet", "_ord")
-     .select("_sheet", "value")
-     .write.mode("overwrite").partitionBy("_sheet").text(path))
+    (lines.repartition("_sheet", "_part").sortWithinPartitions("_sheet", "_part", "_ord")
+     .select("_sheet", "_part", "value")
+     .write.mode("overwrite").partitionBy("_sheet", "_part").text(path))
