@@ -497,7 +497,6 @@ def q_project_alias(spark, d):
 # --------------------------------------------------------------------------
 from panelkit.operators import model as ml  # noqa: E402
 from panelkit.operators import scenario as sc  # noqa: E402
-from panelkit.session import ensure_checkpoint_dir  # noqa: E402
 
 
 def _encoded(spark, d):
@@ -580,11 +579,10 @@ def q_regression_metrics(spark, d):
 
 
 def training_table(spark, d) -> DataFrame:
-    """Encoded panel with label and split, checkpointed to the shared folder
+    """Encoded panel with label and split, written once to the shared folder
     (it is re-read by every fold and grid point)."""
-    ensure_checkpoint_dir(spark)
     t = ml.hash_split(_encoded(spark, d).withColumn("label", F.col("Avg_kWh")), ["State", "Year"])
-    return t.checkpoint(eager=True)
+    return materialize(t, "training_table")
 
 
 def _fit_forest(spark, d):

@@ -65,14 +65,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/panelkit-scratch/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     """Compute a small, reused intermediate once and continue from a copy
-    written to the shared checkpoint folder.
+    written as parquet under the shared checkpoint folder.
 
     Used for aggregates whose size is bounded by the key space (states x
     years), never for raw rows: every later branch reads the written copy
     instead of re-running the scans, and a lost executor cannot force the
-    upstream work to run again.
+    upstream work to run again.  (A reliable ``checkpoint()`` of an
+    unpersisted DataFrame would compute the plan twice: once for the eager
+    action and once more to write the checkpoint.)
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
