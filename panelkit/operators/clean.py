@@ -16,6 +16,14 @@ from panelkit.functions.exprs import (normalize_key, normalize_name, not_in_code
                                       safe_double, safe_int, unit_price)
 
 
+def require_columns(df: DataFrame, columns: Sequence[str], what: str = "input") -> DataFrame:
+    """fail early, naming the missing columns."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{what} lacks required column(s) {missing}; has {df.columns}")
+    return df
+
+
 def size_filter(df: DataFrame, thresholds: Mapping[str, float]) -> DataFrame:
     """every listed column strictly above its threshold (NULL drops)."""
     cond: Column | None = None

@@ -145,5 +145,10 @@ def regression_metrics(df: DataFrame, *, label: str = "label", prediction: str =
 
 
 def load_pipeline(path: str) -> PipelineModel:
-    """Saved feature stages + model."""
+    """Saved feature stages (indexer, encoder, assembler)."""
     return PipelineModel.load(path)
+
+
+def load_forest(path: str) -> RandomForestRegressionModel:
+    """Saved forest."""
+    return RandomForestRegressionModel.load(path)

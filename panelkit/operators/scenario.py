@@ -88,6 +88,16 @@ def scenario_long(wide: DataFrame, *, keys: Sequence[str] = ("State", "Year"),
     return wide.unpivot(list(keys), values, name, value)
 
 
+def pivot_scenarios(long: DataFrame, *, keys: Sequence[str] = ("State", "Year"),
+                    name: str = "Scenario", value: str = "PredictedPrice",
+                    codes: Sequence[str] | None = None) -> DataFrame:
+    """Long -> wide, one column per scenario code.  The value list is fixed,
+    so Spark plans no extra job to find the distinct codes and the column
+    order is stable; one aggregation grouped by the keys."""
+    codes = list(codes or prediction_columns())
+    return long.groupBy(*keys).pivot(name, codes).agg(F.first(value))
+
+
 def label_scenarios(long: DataFrame, *, column: str = "Scenario",
                     labels: Sequence[tuple[str, str]] = S.SCENARIO_LABELS) -> DataFrame:
     """Scenario code -> chart label; unknown codes become NULL."""

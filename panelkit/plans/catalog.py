@@ -617,8 +617,21 @@ def q_feature_importance(spark, d):
 
 @query("rf_counterfactual")
 def q_rf_counterfactual(spark, d):
-    t, m = _fit_forest(spark, d)
-    return sc.scenario_wide(t, sc.model_scorer(m))
+    """Train, save the feature stages and the forest (K6), load both back
+    (S10, S11) and score the written panel (K1 -> S3) under every scenario."""
+    panel_path = scratch_path(spark, "panel_features")
+    writers.write_parquet(flagship(spark, d), panel_path)
+    p = spark.read.parquet(panel_path)
+    stages = ml.feature_stages().fit(p)
+    enc = stages.transform(p).withColumn("label", F.col("Avg_kWh"))
+    forest = ml.forest(num_trees=20, max_depth=5, seed=42).fit(
+        ml.hash_split(enc, ["State", "Year"]).filter(F.col("split") == "train"))
+    stages_path, model_path = scratch_path(spark, "feature_stages"), scratch_path(spark, "forest")
+    stages.write().overwrite().save(stages_path)
+    forest.write().overwrite().save(model_path)
+    loaded_stages = ml.load_pipeline(stages_path)
+    loaded_forest = ml.load_forest(model_path)
+    return sc.scenario_wide(loaded_stages.transform(p), sc.model_scorer(loaded_forest))
 
 
 @query("run_log")
@@ -681,3 +694,9 @@ def q_alt_learners(spark, d):
             F.lit(name).alias("learner"), "n", "rmse", "r2")
         out = m if out is None else out.unionByName(m)
     return out
+
+
+@query("scenario_pivot")
+def q_scenario_pivot(spark, d):
+    """Long scenario table back to one prediction column per scenario."""
+    return sc.pivot_scenarios(sc.scenario_long(_wide_linear(spark, d)))

@@ -438,3 +438,9 @@ SELECT round(treated_before, 6) AS treated_before, round(treated_after, 6) AS tr
        round(control_before, 6) AS control_before, round(control_after, 6) AS control_after,
        round((treated_after - treated_before) - (control_after - control_before), 6) AS did
 FROM cells""")
+add("scenario_pivot", SCEN, """
+SELECT State, Year, round(Pred_baseline, 6) AS Pred_baseline,
+       round(Pred_minus10, 6) AS Pred_minus10, round(Pred_plus10, 6) AS Pred_plus10,
+       round(Pred_plus20, 6) AS Pred_plus20, round(Pred_slow75, 6) AS Pred_slow75,
+       round(Pred_fast150, 6) AS Pred_fast150, round(Pred_ban0, 6) AS Pred_ban0
+FROM wide""")

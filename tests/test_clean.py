@@ -141,3 +141,15 @@ def test_conform_schema_adds_typed_nulls(spark):
     assert out.columns == S.REQUIRED_COLUMNS
     assert dict(out.dtypes)["Customers"] == "double"
     assert out.collect()[0].Utility_ID is None
+
+
+def test_required_columns_and_missing_input(spark, scratch):
+    from pyspark.errors import AnalysisException
+
+    df = spark.createDataFrame([("a",)], "Utility_Name string")
+    assert clean.require_columns(df, ["Utility_Name"]) is df
+    with pytest.raises(ValueError, match="State"):
+        clean.require_columns(df, ["Utility_Name", "State"])
+    # A missing input path surfaces as an error, not an empty table
+    with pytest.raises(AnalysisException):
+        csv_src.read_facilities(spark, scratch("does-not-exist")).count()

@@ -106,3 +106,26 @@ def test_tuning_picks_lowest_rmse(spark):
     rows = table.collect()
     best = [r for r in rows if r.is_best]
     assert len(best) == 1 and best[0].avg_metric == min(r.avg_metric for r in rows)
+
+
+def test_pivot_inverts_unpivot(spark):
+    p = _panel(spark)
+    wide = sc.scenario_wide(p, sc.linear_scorer())
+    back = sc.pivot_scenarios(sc.scenario_long(wide))
+    cols = ["State", "Year"] + sc.prediction_columns()
+    assert sorted(map(tuple, back.select(cols).collect())) == \
+        sorted(map(tuple, wide.select(cols).collect()))
+
+
+def test_saved_models_load_and_score_the_same(spark, scratch):
+    p = _panel(spark)
+    stages = ml.feature_stages().fit(p)
+    enc = stages.transform(p).withColumn("label", F.col("Avg_kWh"))
+    m = ml.forest(num_trees=5, max_depth=3, seed=2).fit(enc)
+    sp, mp = scratch("stages"), scratch("forest")
+    stages.write().overwrite().save(sp)
+    m.write().overwrite().save(mp)
+    again = ml.load_forest(mp).transform(ml.load_pipeline(sp).transform(p))
+    a = {(r.State, r.Year): r.prediction for r in m.transform(enc).collect()}
+    b = {(r.State, r.Year): r.prediction for r in again.collect()}
+    assert a == b
