@@ -7,13 +7,23 @@ so that results compare across engines regardless of summation order.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from panelkit.operators import features, panel
+from panelkit import schemas as S
+from panelkit.functions import headers
+from panelkit.functions.exprs import not_in_codes, safe_double, safe_int
+from panelkit.operators import clean, effects, features, panel, quality
+from panelkit.operators import model as ml
+from panelkit.operators import scenario as sc
 from panelkit.plans import roles
-from panelkit.session import materialize
+from panelkit.session import materialize, scratch_path
+from panelkit.sinks import writers
+from panelkit.sources import csv as csv_src
+from panelkit.sources.tables import read_table
+from panelkit.streaming import yearly_prices
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -182,10 +192,6 @@ def q_recent_activity_filter(spark, d):
 # --------------------------------------------------------------------------
 # step 2: cleaning
 # --------------------------------------------------------------------------
-from panelkit.functions import headers  # noqa: E402
-from panelkit.functions.exprs import not_in_codes, safe_double, safe_int  # noqa: E402
-from panelkit.operators import clean  # noqa: E402
-from panelkit.sources.tables import read_table  # noqa: E402
 
 # test-table parameters (the original thresholds of 400 customers would empty
 # the test tables, whose supplier-years have ~50-120 distinct orders)
@@ -302,13 +308,9 @@ def q_clean_step_counts(spark, d):
         keep_codes=not_in_codes("Utility_ID", TEST_CODES))
 
 
-from panelkit import schemas as S  # noqa: E402
-
-
 # --------------------------------------------------------------------------
 # step 3: join validation and quality
 # --------------------------------------------------------------------------
-from panelkit.operators import quality  # noqa: E402
 
 _FU_COLS = ["Facility_ID", "Facility_Name", "Utility_Name", "State", "Opening_Year"]
 
@@ -394,11 +396,7 @@ def q_growth_comparison(spark, d):
 # --------------------------------------------------------------------------
 # step 4: sources and sinks (round trips through the shared scratch folder)
 # --------------------------------------------------------------------------
-import re  # noqa: E402
 
-from panelkit.session import scratch_path  # noqa: E402
-from panelkit.sinks import writers  # noqa: E402
-from panelkit.sources import csv as csv_src  # noqa: E402
 
 PANEL_SCHEMA = T.StructType([
     T.StructField("State", T.StringType()), T.StructField("Year", T.IntegerType()),
@@ -495,8 +493,6 @@ def q_project_alias(spark, d):
 # --------------------------------------------------------------------------
 # step 5: ML features
 # --------------------------------------------------------------------------
-from panelkit.operators import model as ml  # noqa: E402
-from panelkit.operators import scenario as sc  # noqa: E402
 
 
 def _encoded(spark, d):
@@ -653,7 +649,6 @@ def q_run_log(spark, d):
 # --------------------------------------------------------------------------
 # streaming: yearly sales files as a file stream -> running average price
 # --------------------------------------------------------------------------
-from panelkit.streaming import yearly_prices  # noqa: E402
 
 
 @query("stream_avg_price")
@@ -673,7 +668,6 @@ def q_stream_avg_price(spark, d):
 # --------------------------------------------------------------------------
 # optional: alternative learners (X6) and difference-in-differences
 # --------------------------------------------------------------------------
-from panelkit.operators import effects  # noqa: E402
 
 
 @query("diff_in_diff")
