@@ -164,9 +164,9 @@ def cumulative_sum_column(df: DataFrame, *, key: str = "State", time: str = "Yea
     return running_total(df, key=key, time=time, value=value, base=base, out=out)
 
 
-def cumulative_panel(facilities: DataFrame, sales: DataFrame, *, key: str = "State",
+def cumulative_panel(facilities: DataFrame | None, sales: DataFrame, *, key: str = "State",
                      event_time: str = "Opening_Year", time: str = "Year",
-                     price: str = "Price_Per_kWh",
+                     price: str = "Price_Per_kWh", counts: DataFrame | None = None,
                      materialize_inputs: bool = True) -> tuple[DataFrame, DataFrame]:
     """(grid with yearly and running counts, average prices).
 
@@ -176,7 +176,8 @@ def cumulative_panel(facilities: DataFrame, sales: DataFrame, *, key: str = "Sta
     branch's filters and projections into its own copy of the scan, so the
     two small aggregates are materialized and every branch reads them.
     """
-    counts = event_counts(facilities, key=key, event_time=event_time)
+    counts = (event_counts(facilities, key=key, event_time=event_time)
+              if counts is None else counts)
     prices = avg_price(sales, key=key, time=time, price=price)
     if materialize_inputs:
         # both are bounded by keys x years; written once, read by every branch
@@ -189,10 +190,11 @@ def cumulative_panel(facilities: DataFrame, sales: DataFrame, *, key: str = "Sta
     return cumulative_openings(grid, by_year, pre, key=key, time=time), prices
 
 
-def build_panel(facilities: DataFrame, sales: DataFrame, *, key: str = "State",
+def build_panel(facilities: DataFrame | None, sales: DataFrame, *, key: str = "State",
                 event_time: str = "Opening_Year", time: str = "Year",
                 price: str = "Price_Per_kWh", preceding: int | None = None,
-                following: int | None = None, keep_recent: bool = False) -> DataFrame:
+                following: int | None = None, keep_recent: bool = False,
+                counts: DataFrame | None = None) -> DataFrame:
     """The flagship panel: bounds -> grid -> openings -> running count ->
     average price -> lag -> recent-activity filter.
 
@@ -202,7 +204,7 @@ def build_panel(facilities: DataFrame, sales: DataFrame, *, key: str = "State",
     from panelkit.schemas import RECENT_FOLLOWING, RECENT_PRECEDING
 
     cum, prices = cumulative_panel(facilities, sales, key=key, event_time=event_time,
-                                   time=time, price=price)
+                                   time=time, price=price, counts=counts)
     full = price_integration(cum, prices, key=key, time=time)
     lagged = features.lag_feature(full, key=key, time=time)
     rolled = features.rolling_sum(

@@ -62,17 +62,22 @@ def _bounds(spark, d):
     return panel.year_bounds(_pc(spark, d))
 
 
+def _counts(spark, d):
+    """Facility counts per (state, year), orders reduced before the joins."""
+    return roles.facility_counts(spark, d)
+
+
 def _cum(spark, d):
-    return panel.cumulative_panel(_fac(spark, d), _pc(spark, d))[0]
+    return panel.cumulative_panel(None, _pc(spark, d), counts=_counts(spark, d))[0]
 
 
 def _full(spark, d):
-    cum, prices = panel.cumulative_panel(_fac(spark, d), _pc(spark, d))
+    cum, prices = panel.cumulative_panel(None, _pc(spark, d), counts=_counts(spark, d))
     return panel.price_integration(cum, prices)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panel.build_panel(_fac(spark, sf_dir), _pc(spark, sf_dir))
+    return panel.build_panel(None, _pc(spark, sf_dir), counts=_counts(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------
@@ -98,7 +103,7 @@ def q_year_spine(spark, d):
 def _inputs(spark, d):
     """Facility counts (+ capacity) per (state, year) and prices per (state,
     year), each computed once and written; bounds from the prices."""
-    counts = materialize(panel.event_counts(_fac(spark, d), sums=("Capacity_MW",)))
+    counts = materialize(_counts(spark, d), "facility_counts")
     prices = materialize(panel.avg_price(_pc(spark, d)))
     return counts, prices, panel.year_bounds(prices)
 

@@ -75,3 +75,13 @@ def test_hot_state_matches_brute_force(spark):
             run[s] += opened[(s, y)]
             want[(s, y)] = (opened[(s, y)], run[s])
     assert got == want
+
+
+@needs_tables
+def test_preaggregated_counts_equal_row_counts(spark):
+    from pyspark.sql import functions as F
+
+    a = roles.facility_counts(spark, SF).withColumn("Capacity_MW", F.round("Capacity_MW", 2))
+    b = (panel.event_counts(roles.facilities(spark, SF), sums=("Capacity_MW",))
+         .withColumn("Capacity_MW", F.round("Capacity_MW", 2)))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(a.columns).collect()))
