@@ -333,14 +333,14 @@ idx AS (
 add("string_index", IDX,
     "SELECT p.State, p.Year, i.StateIndex FROM panel p JOIN idx i ON p.State = i.State")
 add("one_hot", IDX, """
-SELECT p.State, p.Year, CAST(i.StateIndex AS INTEGER) AS slot, 1.0 AS value
+SELECT p.State, p.Year, CAST(i.StateIndex AS INTEGER) AS slot, CAST(1.0 AS DOUBLE) AS value
 FROM panel p JOIN idx i ON p.State = i.State""")
 add("assemble_features", IDX, """
 SELECT State, Year, 0 AS slot, CAST(DC_Opened AS DOUBLE) AS value FROM panel WHERE DC_Opened <> 0
 UNION ALL
 SELECT State, Year, 1 AS slot, round(PrevPrice, 6) AS value FROM panel WHERE PrevPrice <> 0
 UNION ALL
-SELECT p.State, p.Year, CAST(i.StateIndex AS INTEGER) + 2 AS slot, 1.0 AS value
+SELECT p.State, p.Year, CAST(i.StateIndex AS INTEGER) + 2 AS slot, CAST(1.0 AS DOUBLE) AS value
 FROM panel p JOIN idx i ON p.State = i.State""")
 add("hash_split", PANEL, """
 SELECT State, Year, bucket, CASE WHEN bucket < 80 THEN 'train' ELSE 'test' END AS split
