@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelkit.session import materialize
+from panelkit.session import materialize_all
 
 
 def year_bounds(df: DataFrame, *, time: str = "Year",
@@ -181,7 +181,7 @@ def cumulative_panel(facilities: DataFrame | None, sales: DataFrame, *, key: str
     prices = avg_price(sales, key=key, time=time, price=price)
     if materialize_inputs:
         # both are bounded by keys x years; written once, read by every branch
-        counts, prices = materialize(counts), materialize(prices)
+        counts, prices = materialize_all(counts, prices, names=("event_counts", "prices"))
     bounds = year_bounds(prices, time=time)
     grid = panel_grid(counts, bounds, key=key, time=time)
     by_year = openings_by_year(counts, bounds, key=key, event_time=event_time, time=time,

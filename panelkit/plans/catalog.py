@@ -19,7 +19,7 @@ from panelkit.operators import clean, effects, features, panel, quality
 from panelkit.operators import model as ml
 from panelkit.operators import scenario as sc
 from panelkit.plans import roles
-from panelkit.session import materialize, scratch_path
+from panelkit.session import materialize, materialize_all, scratch_path
 from panelkit.sinks import writers
 from panelkit.sources import csv as csv_src
 from panelkit.sources.tables import read_table
@@ -103,8 +103,8 @@ def q_year_spine(spark, d):
 def _inputs(spark, d):
     """Facility counts (+ capacity) per (state, year) and prices per (state,
     year), each computed once and written; bounds from the prices."""
-    counts = materialize(_counts(spark, d), "facility_counts")
-    prices = materialize(panel.avg_price(_pc(spark, d)))
+    counts, prices = materialize_all(_counts(spark, d), panel.avg_price(_pc(spark, d)),
+                                     names=("facility_counts", "prices"))
     return counts, prices, panel.year_bounds(prices)
 
 

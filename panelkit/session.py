@@ -79,3 +79,16 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def materialize_all(*dfs: DataFrame, names: tuple[str, ...] = ()) -> list[DataFrame]:
+    """:func:`materialize` several independent intermediates as concurrent
+    Spark jobs (one driver thread each), so their scans and shuffles share
+    the executors instead of running back to back."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    names = tuple(names) + tuple(f"materialized{i}" for i in range(len(names), len(dfs)))
+    if len(dfs) <= 1:
+        return [materialize(df, n) for df, n in zip(dfs, names)]
+    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
+        return list(pool.map(materialize, dfs, names))
