@@ -54,10 +54,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:
             pass
         return d
+    # local runs only (tests): nothing configured, so make one and register
+    # it with the context; later calls find it through getCheckpointDir()
     d = tempfile.mkdtemp(prefix="panelkit-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
-    spark.conf.set("spark.checkpoint.dir", d)
-    return d
+    return _configured_checkpoint_dir(spark) or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
