@@ -37,8 +37,8 @@ def read_facilities(spark: SparkSession, path: str) -> DataFrame:
     unused columns dropped."""
     df = read_typed_csv(spark, path, S.FACILITY_SCHEMA)
     return (df.fillna({"Capacity_MW": 0.0})
-            .withColumns({"Opening_Year": F.col("Opening_Year").cast("int"),
-                          "Opening_Month": F.col("Opening_Month").cast("int")})
+            .withColumns({"Opening_Year": F.col("Opening_Year").try_cast("int"),
+                          "Opening_Month": F.col("Opening_Month").try_cast("int")})
             .drop(*S.FACILITY_DROPPED))
 
 
