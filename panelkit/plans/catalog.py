@@ -449,7 +449,7 @@ def q_preamble_csv_scan(spark, d):
                          sheet="_sheet_year", columns=sheet.columns, header=header,
                          preamble=["Utility sales by sector (test export)",
                                    "Values in thousand dollars, megawatthours and counts"])
-    return clean.clean_sheet(csv_src.read_preamble_csv(spark, path))
+    return csv_src.read_preamble_csv(spark, path, per_layout=clean.clean_sheet)
 
 
 @query("parquet_scan")

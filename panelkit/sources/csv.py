@@ -10,13 +10,14 @@ rename plan; data never does.
 from __future__ import annotations
 
 import csv as _pycsv
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from panelkit import schemas as S
 from panelkit.functions.headers import dedupe_names
 from panelkit.operators import clean
+from panelkit.session import materialize
 
 
 def read_typed_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
@@ -58,13 +59,19 @@ def read_power_costs(spark: SparkSession, path_glob: str, *,
 def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Text lines with ``_file`` and ``_line`` (0-based line number within the
     file) for lines of the file's first split; later splits get NULL, which is
-    enough to recognise the first few lines of every file."""
-    raw = (spark.read.text(path)
+    enough to recognise the first few lines of every file.
+
+    The row id restarts per scan partition and counts rows in read order, so
+    within one file's first split it is consecutive; the first id per file
+    (one row per file) is written once and joined back.
+    """
+    # every file under the given paths, whatever their directory layout
+    raw = (spark.read.option("recursiveFileLookup", True).text(path)
            .select("value", F.col("_metadata.file_path").alias("_file"),
                    F.col("_metadata.file_block_start").alias("_blk"),
                    F.monotonically_increasing_id().alias("_id")))
-    firsts = (raw.filter(F.col("_blk") == 0).groupBy("_file")
-              .agg(F.min("_id").alias("_id0")))
+    firsts = materialize(raw.filter(F.col("_blk") == 0).groupBy("_file")
+                         .agg(F.min("_id").alias("_id0")), "first_line_ids")
     return (raw.join(firsts, on="_file", how="left")
             .select("value", "_file",
                     F.when(F.col("_blk") == 0, F.col("_id") - F.col("_id0")).alias("_line")))
@@ -75,27 +82,37 @@ def _parse_header(text: str) -> list[str]:
 
 
 def read_preamble_csv(spark: SparkSession, path: str | Sequence[str], *,
-                      skip: int = S.SHEET_PREAMBLE_LINES) -> DataFrame:
+                      skip: int = S.SHEET_PREAMBLE_LINES,
+                      per_layout: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Per file, drop ``skip`` preamble lines, take the next line as the
     header (repeated names get .1 .2 suffixes) and parse the rest as CSV text
-    columns named by it.  Files with different headers are parsed separately
-    and unioned by name.  A ``_file`` column is kept for per-file steps."""
+    columns named by it.  A ``_file`` column is kept for per-file steps.
+
+    Files with different headers are parsed separately; ``per_layout`` (for
+    example the header mapping of :func:`clean.clean_sheet`) runs on each
+    layout's rows before the results are unioned by name, so header rules
+    see one sheet layout at a time."""
     lines = numbered_lines(spark, path)
-    heads = lines.filter(F.col("_line") == skip).select("_file", F.col("value").alias("_hdr"))
-    layouts = [r["_hdr"] for r in heads.select("_hdr").distinct().collect()]
+    heads = materialize(lines.filter(F.col("_line") == skip)
+                        .select("_file", F.col("value").alias("_hdr")), "sheet_headers")
+    layouts = sorted(r["_hdr"] for r in heads.select("_hdr").distinct().collect())
+    if not layouts:
+        raise ValueError(f"no header line found in {path}")
     data = (lines.filter(F.col("_line").isNull() | (F.col("_line") > skip))
-            .filter(F.length("value") > 0)
-            .join(heads, on="_file", how="inner"))
+            .filter(F.length("value") > 0))
+    if len(layouts) > 1:
+        # one row per file on the right; AQE broadcasts it when measured small
+        data = data.join(heads, on="_file", how="inner")
     out: DataFrame | None = None
-    for text in sorted(layouts):
+    for text in layouts:
         names = _parse_header(text)
         schema = ", ".join(f"`{n}` STRING" for n in names)
-        part = (data.filter(F.col("_hdr") == text)
-                .select("_file", F.from_csv("value", schema).alias("_r"))
+        sel = data if len(layouts) == 1 else data.filter(F.col("_hdr") == text)
+        part = (sel.select("_file", F.from_csv("value", schema).alias("_r"))
                 .select("_file", *[F.col(f"_r.`{n}`").alias(n) for n in names]))
+        if per_layout is not None:
+            part = per_layout(part)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
-        raise ValueError(f"no header line found in {path}")
     return out
 
 

@@ -153,3 +153,22 @@ def test_required_columns_and_missing_input(spark, scratch):
     # A missing input path surfaces as an error, not an empty table
     with pytest.raises(AnalysisException):
         csv_src.read_facilities(spark, scratch("does-not-exist")).count()
+
+
+def test_preamble_sheets_with_two_layouts(spark, scratch):
+    # two sheets with different header layouts are parsed separately
+    path = scratch("sheets2")
+    a = spark.createDataFrame([(2019, "U1", "VA", 10.0, 100.0)],
+                              "`Data Year` int, `Utility Name` string, State string, "
+                              "`Thousand Dollars` double, Megawatthours double")
+    b = spark.createDataFrame([(2020, "U2", "TX", "5", 50.0, 25.0)],
+                              "`Data Year` int, `Utility Name` string, State string, "
+                              "`Utility Number` string, `Revenue Total` double, `Sales Total` double")
+    writers.write_sheets(a.withColumn("y", F.col("`Data Year`")), path + "/a", sheet="y",
+                         columns=a.columns, preamble=["t", "u"], files_per_sheet=1)
+    writers.write_sheets(b.withColumn("y", F.col("`Data Year`")), path + "/b", sheet="y",
+                         columns=b.columns, preamble=["t", "u"], files_per_sheet=1)
+    out = csv_src.read_preamble_csv(spark, [path + "/a", path + "/b"],
+                                    per_layout=clean.clean_sheet)
+    got = sorted((r.Year, r.Utility_Name, r.Utility_ID, r.Price_Per_kWh) for r in out.collect())
+    assert got == [(2019, "U1", None, 0.1), (2020, "U2", "5", 2.0)]
