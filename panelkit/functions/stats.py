@@ -30,7 +30,8 @@ def ranked_values(df: DataFrame, value: str, *, buckets: int = 1024,
     vc = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
     probs = [i / buckets for i in range(1, buckets)]
     row = vc.agg(F.percentile_approx("v", probs, accuracy).alias("e")).first()
-    edges = sorted(set(row["e"] or []))
+    # Bucketizer needs at least one inner split, even for an empty input
+    edges = sorted(set(row["e"] or [])) or [0.0]
     splits = [float("-inf")] + edges + [float("inf")]
     bk = Bucketizer(splits=splits, inputCol="v", outputCol="b").transform(vc)
     totals = bk.groupBy("b").agg(F.sum("c").alias("bc"))

@@ -57,3 +57,9 @@ def test_summary_row(spark):
     r = quality.summary(df, "p").collect()[0]
     assert (r["min"], r["max"], r["n"], r["median"]) == (1.0, 4.0, 3, 2.0)
     assert abs(r["mean"] - 7 / 3) < 1e-12
+
+
+def test_exact_median_empty_and_single(spark):
+    assert _median(spark, []) is None
+    assert _median(spark, [None, None]) is None
+    assert _median(spark, [3.5]) == 3.5
