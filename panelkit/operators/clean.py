@@ -70,13 +70,14 @@ def normalize_text(df: DataFrame, *, names: Sequence[str] = ("Utility_Name",),
 
 
 def conform_schema(df: DataFrame, required: Sequence[str] = S.REQUIRED_COLUMNS,
-                   types: Mapping[str, T.DataType] = S.REQUIRED_TYPES) -> DataFrame:
+                   types: Mapping[str, T.DataType] = S.REQUIRED_TYPES,
+                   keep: Sequence[str] = ()) -> DataFrame:
     """P10 + P11: add each missing required column as a typed NULL, then
-    project in the required order."""
+    project in the required order (plus any ``keep`` columns at the end)."""
     missing = {c: F.lit(None).cast(types[c]) for c in required if c not in df.columns}
     if missing:
         df = df.withColumns(missing)
-    return df.select(*required)
+    return df.select(*required, *[c for c in keep if c in df.columns])
 
 
 def conform_rows(df: DataFrame, fields: Sequence[str] = S.LIST_FIELDS,
@@ -185,24 +186,28 @@ def ragged_rows_filter(lines: DataFrame, *, arity: int, column: str = "value",
 
 
 def clean_sheet(raw: DataFrame, *, file_col: str = "_file",
-                year_header: str = S.YEAR_HEADER) -> DataFrame:
+                year_header: str = S.YEAR_HEADER, keep: Sequence[str] = ()) -> DataFrame:
     """One raw sheet (or many, told apart by ``file_col``) -> the required
     8-column layout: header mapping, the sheet's year (most common
     ``year_header`` value per file, smallest on ties), numbers coerced
     (bad -> NULL), price recomputed, names trimmed, states trimmed and
-    upper-cased, missing columns added as NULL."""
+    upper-cased, missing columns added as NULL.  ``keep`` carries extra
+    columns through (e.g. ``_file``, ``_line`` for file-order rules)."""
     from panelkit.functions.headers import header_map
 
-    mapping = header_map([c for c in raw.columns if c != file_col])
+    mapping = header_map([c for c in raw.columns if c != file_col and c not in keep])
     years = (detect_year(raw.select(file_col, F.col(f"`{year_header}`").alias("_y")),
                          by=[file_col], year="_y")
              .select(file_col, safe_int("Year").alias("Year")))
-    df = raw.select(file_col, *[F.col(f"`{s}`").alias(d) for s, d in mapping.items()])
+    df = raw.select(file_col, *[c for c in keep if c != file_col],
+                    *[F.col(f"`{s}`").alias(d) for s, d in mapping.items()])
     # one row per file on the right: AQE broadcasts it when measured small
-    df = df.join(years, on=file_col, how="left").drop(file_col)
+    df = df.join(years, on=file_col, how="left")
+    if file_col not in keep:
+        df = df.drop(file_col)
     df = cast_columns(df, doubles=[c for c in ("Revenue_Thousands", "Sales_MWh", "Customers")
                                    if c in df.columns])
     if "Revenue_Thousands" in df.columns and "Sales_MWh" in df.columns:
         df = with_unit_price(df)
     df = normalize_text(df)
-    return conform_schema(df)
+    return conform_schema(df, keep=keep)

@@ -699,3 +699,22 @@ def q_alt_learners(spark, d):
 def q_scenario_pivot(spark, d):
     """Long scenario table back to one prediction column per scenario."""
     return sc.pivot_scenarios(sc.scenario_long(_wide_linear(spark, d)))
+
+
+@query("sheet_consolidation")
+def q_sheet_consolidation(spark, d):
+    """Raw yearly sheets holding duplicate utility rows (one row per return
+    flag), written in (utility, flag) line order; read back, cleaned per
+    layout, and consolidated with "first non-NULL id" taken in file order."""
+    path = scratch_path(spark, "dup_sheets")
+    grain = roles.sales_grain(spark, d)
+    sheet = roles.raw_sheet(grain, carry=("src_order",))
+    cols = [c for c in sheet.columns if c != "src_order"]
+    header = [re.sub(r"\.\d+$", "", c) for c in cols]
+    writers.write_sheets(sheet.withColumn("_sheet_year", F.col("`Data Year`")), path,
+                         sheet="_sheet_year", columns=cols, header=header, files_per_sheet=1,
+                         order_by=["Utility Name", "src_order"],
+                         preamble=["Utility sales by sector (test export)", "duplicates kept"])
+    rows = csv_src.read_preamble_csv(
+        spark, path, per_layout=lambda df: clean.clean_sheet(df, keep=("_line",)))
+    return clean.consolidate_duplicates(rows, order="_line")

@@ -444,3 +444,9 @@ SELECT State, Year, round(Pred_baseline, 6) AS Pred_baseline,
        round(Pred_plus20, 6) AS Pred_plus20, round(Pred_slow75, 6) AS Pred_slow75,
        round(Pred_fast150, 6) AS Pred_fast150, round(Pred_ban0, 6) AS Pred_ban0
 FROM wide""")
+add("sheet_consolidation", GRAIN, """
+SELECT Utility_Name, State, Year, Utility_ID,
+       CAST(Revenue_Thousands AS DOUBLE) AS Revenue_Thousands,
+       CAST(Sales_MWh AS DOUBLE) AS Sales_MWh, CAST(Customers AS DOUBLE) AS Customers,
+       round(Revenue_Thousands / nullif(Sales_MWh, 0), 6) AS Price_Per_kWh
+FROM cons""")

@@ -150,7 +150,7 @@ def sales_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("cust").alias("Customers")))
 
 
-def raw_sheet(power: DataFrame, blocks: int = 5) -> DataFrame:
+def raw_sheet(power: DataFrame, blocks: int = 5, carry: tuple[str, ...] = ()) -> DataFrame:
     """The sales rows laid out like a raw annual sheet: 'Data Year',
     'Utility Number', 'Utility Name', 'State', then (revenue, sales, count)
     blocks with repeated names suffixed .1 .. .4; the last block is the total,
@@ -166,7 +166,7 @@ def raw_sheet(power: DataFrame, blocks: int = 5) -> DataFrame:
                           ("Sales_MWh", "Megawatthours"), ("Customers", "Count")):
             val = F.col(src) if last else (F.col(src) * (b + 1)).cast("bigint") / blocks
             cols.append(val.alias(name + sfx))
-    return power.select(cols)
+    return power.select(cols + [F.col(c) for c in carry])
 
 
 def facility_list_rows(fac: DataFrame) -> DataFrame:

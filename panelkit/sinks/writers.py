@@ -43,7 +43,7 @@ def write_text_lines(df: DataFrame, path: str, *, single_file: bool = True,
 
 def write_sheets(df: DataFrame, path: str, *, sheet: str, preamble: Sequence[str],
                  columns: Sequence[str] | None = None, header: Sequence[str] | None = None,
-                 files_per_sheet: int = 4) -> None:
+                 files_per_sheet: int = 4, order_by: Sequence[str] = ()) -> None:
     """Write raw sheets: every file starts with the ``preamble`` lines and a
     header line (``header`` names, repeats allowed), then CSV rows.
 
@@ -51,7 +51,8 @@ def write_sheets(df: DataFrame, path: str, *, sheet: str, preamble: Sequence[str
     a hash of their content), each its own directory
     ``_sheet=<value>/_part=<k>/``, so one large sheet is written by several
     tasks instead of one.  Each (sheet, part) group is co-located and written
-    in line order, so every file begins with its preamble.
+    in line order, so every file begins with its preamble; data rows follow
+    in ``order_by`` order (columns of ``df``, not necessarily written).
     """
     columns = list(columns or [c for c in df.columns if c != sheet])
     header = list(header or columns)
@@ -59,12 +60,16 @@ def write_sheets(df: DataFrame, path: str, *, sheet: str, preamble: Sequence[str
     fixed = [*preamble, head_text]
     cols = [F.col(f"`{c}`") for c in columns]
     part = F.pmod(F.xxhash64(*cols), F.lit(files_per_sheet))
+    keys = [F.col(f"`{c}`").cast("string").alias(f"_k{i}") for i, c in enumerate(order_by)]
     data = df.select(F.col(sheet).alias("_sheet"), part.alias("_part"),
-                     F.lit(len(fixed)).alias("_ord"), F.to_csv(F.struct(*cols)).alias("value"))
+                     F.lit(len(fixed)).alias("_ord"), *keys,
+                     F.to_csv(F.struct(*cols)).alias("value"))
     tops = (data.select("_sheet", "_part").distinct()
             .select("_sheet", "_part",
                     F.posexplode(F.array(*[F.lit(t) for t in fixed])).alias("_ord", "value")))
-    lines = data.unionByName(tops)
-    (lines.repartition("_sheet", "_part").sortWithinPartitions("_sheet", "_part", "_ord")
+    lines = data.unionByName(tops, allowMissingColumns=True)
+    sort_keys = [f"_k{i}" for i in range(len(order_by))]
+    (lines.repartition("_sheet", "_part")
+     .sortWithinPartitions("_sheet", "_part", "_ord", *sort_keys)
      .select("_sheet", "_part", "value")
      .write.mode("overwrite").partitionBy("_sheet", "_part").text(path))

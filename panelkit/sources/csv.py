@@ -12,7 +12,7 @@ from __future__ import annotations
 import csv as _pycsv
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from panelkit import schemas as S
 from panelkit.functions.headers import dedupe_names
@@ -57,24 +57,28 @@ def read_power_costs(spark: SparkSession, path_glob: str, *,
 
 
 def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Text lines with ``_file`` and ``_line`` (0-based line number within the
-    file) for lines of the file's first split; later splits get NULL, which is
-    enough to recognise the first few lines of every file.
+    """Text lines with ``_file`` and ``_line``, the 0-based line number within
+    the file, computed without reading any file in one task.
 
-    The row id restarts per scan partition and counts rows in read order, so
-    within one file's first split it is consecutive; the first id per file
-    (one row per file) is written once and joined back.
+    Within one split of a file the scan's row id is consecutive and in read
+    order.  Rows are counted per (file, split) - one small row per split -
+    and a window over each file's splits turns the counts into offsets; that
+    table is written once and joined back.
     """
     # every file under the given paths, whatever their directory layout
     raw = (spark.read.option("recursiveFileLookup", True).text(path)
            .select("value", F.col("_metadata.file_path").alias("_file"),
                    F.col("_metadata.file_block_start").alias("_blk"),
                    F.monotonically_increasing_id().alias("_id")))
-    firsts = materialize(raw.filter(F.col("_blk") == 0).groupBy("_file")
-                         .agg(F.min("_id").alias("_id0")), "first_line_ids")
-    return (raw.join(firsts, on="_file", how="left")
+    per_split = raw.groupBy("_file", "_blk").agg(F.min("_id").alias("_id0"),
+                                                 F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_file").orderBy("_blk")
+                              .rowsBetween(Window.unboundedPreceding, -1))
+    splits = materialize(per_split.withColumn("_before", F.coalesce(before, F.lit(0))),
+                         "split_offsets")
+    return (raw.join(splits, on=["_file", "_blk"], how="inner")
             .select("value", "_file",
-                    F.when(F.col("_blk") == 0, F.col("_id") - F.col("_id0")).alias("_line")))
+                    (F.col("_before") + F.col("_id") - F.col("_id0")).alias("_line")))
 
 
 def _parse_header(text: str) -> list[str]:
@@ -86,7 +90,8 @@ def read_preamble_csv(spark: SparkSession, path: str | Sequence[str], *,
                       per_layout: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Per file, drop ``skip`` preamble lines, take the next line as the
     header (repeated names get .1 .2 suffixes) and parse the rest as CSV text
-    columns named by it.  A ``_file`` column is kept for per-file steps.
+    columns named by it.  ``_file`` and ``_line`` (line number within the
+    file) are kept for per-file steps and for "first in file order" rules.
 
     Files with different headers are parsed separately; ``per_layout`` (for
     example the header mapping of :func:`clean.clean_sheet`) runs on each
@@ -98,8 +103,7 @@ def read_preamble_csv(spark: SparkSession, path: str | Sequence[str], *,
     layouts = sorted(r["_hdr"] for r in heads.select("_hdr").distinct().collect())
     if not layouts:
         raise ValueError(f"no header line found in {path}")
-    data = (lines.filter(F.col("_line").isNull() | (F.col("_line") > skip))
-            .filter(F.length("value") > 0))
+    data = lines.filter((F.col("_line") > skip) & (F.length("value") > 0))
     if len(layouts) > 1:
         # one row per file on the right; AQE broadcasts it when measured small
         data = data.join(heads, on="_file", how="inner")
@@ -108,8 +112,8 @@ def read_preamble_csv(spark: SparkSession, path: str | Sequence[str], *,
         names = _parse_header(text)
         schema = ", ".join(f"`{n}` STRING" for n in names)
         sel = data if len(layouts) == 1 else data.filter(F.col("_hdr") == text)
-        part = (sel.select("_file", F.from_csv("value", schema).alias("_r"))
-                .select("_file", *[F.col(f"_r.`{n}`").alias(n) for n in names]))
+        part = (sel.select("_file", "_line", F.from_csv("value", schema).alias("_r"))
+                .select("_file", "_line", *[F.col(f"_r.`{n}`").alias(n) for n in names]))
         if per_layout is not None:
             part = per_layout(part)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)

@@ -172,3 +172,28 @@ def test_preamble_sheets_with_two_layouts(spark, scratch):
                                     per_layout=clean.clean_sheet)
     got = sorted((r.Year, r.Utility_Name, r.Utility_ID, r.Price_Per_kWh) for r in out.collect())
     assert got == [(2019, "U1", None, 0.1), (2020, "U2", "5", 2.0)]
+
+
+def test_line_numbers_are_exact_across_splits(spark, scratch):
+    # files far larger than the split size: every line still gets its own
+    # line number within its file
+    path = scratch("lines")
+    lines = spark.range(0, 20000).selectExpr("concat('line-', lpad(cast(id as string), 6, '0')) AS value")
+    lines.coalesce(1).sortWithinPartitions("value").write.text(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        got = csv_src.numbered_lines(spark, path)
+        n_files = got.select("_file").distinct().count()
+        n_splits = spark.read.text(path).rdd.getNumPartitions()
+        rows = got.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    by_file = {}
+    for r in rows:
+        by_file.setdefault(r._file, []).append((r._line, r.value))
+    assert n_splits > 2 * n_files and len(rows) == 20000   # files span many splits
+    for items in by_file.values():
+        items.sort()
+        assert [n for n, _ in items] == list(range(len(items)))
+        assert [v for _, v in items] == sorted(v for _, v in items)
