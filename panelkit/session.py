@@ -93,3 +93,27 @@ def materialize_all(*dfs: DataFrame, names: tuple[str, ...] = ()) -> list[DataFr
         return [materialize(df, n) for df, n in zip(dfs, names)]
     with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
         return list(pool.map(materialize, dfs, names))
+
+
+def cluster_settings(largest_shuffle_bytes: int, total_cores: int, *,
+                     target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large cluster, sized from the biggest shuffle.
+
+    In these jobs the biggest shuffle is the line-item aggregation on
+    (supplier, year, order) before the distinct count, roughly a third of
+    the scanned line-item bytes.  Start with enough shuffle partitions that
+    each holds ``target_partition_bytes`` (and at least a few waves of the
+    cluster's cores); AQE then coalesces small ones, splits skewed ones and
+    switches joins to broadcast only when a side is measured small.
+    """
+    parts = max(2 * total_cores, -(-largest_shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    }

@@ -46,3 +46,11 @@ def test_unset_folder_gets_a_local_one_registered():
 def test_real_session_uses_its_setting(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     assert session.scratch_path(spark, "y").startswith(configured.rstrip("/"))
+
+
+def test_cluster_settings_scale_with_shuffle_size():
+    small = session.cluster_settings(10 << 30, total_cores=8000)
+    big = session.cluster_settings(30 << 40, total_cores=8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16000          # waves of cores
+    assert int(big["spark.sql.shuffle.partitions"]) == (30 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
