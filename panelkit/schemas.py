@@ -131,5 +131,14 @@ TRAIN_FRACTION = 0.8
 SPLIT_SEED = 19
 FEATURE_INPUTS = ["DC_Opened", "PrevPrice", "StateVec"]
 
+# --- FIXED VALUES: run log line formats, in order ---------------------------
+RUN_LOG_LINES = [
+    "NumTrees: {num_trees}",
+    "MaxDepth: {max_depth}",
+    "RMSE: {rmse}",
+    "R2:   {r2}",
+]
+RUN_LOG_IMPORTANCE = "IMPORTANCE - {name}: {value}"
+
 # household figure used in the error report: kWh per year
 HOUSEHOLD_KWH = 10000
