@@ -67,17 +67,19 @@ def scenario_wide(df: DataFrame, score: Scorer, *, opened: str = "DC_Opened",
     """M11 + M12 + J6: baseline prediction plus (DC_x, Pred_x) per scenario,
     columns in the order State, Year, DC_Opened, PrevPrice, Avg_kWh,
     Pred_baseline, DC_minus10, Pred_minus10, ..."""
-    out = score(df, opened, "Pred_baseline")
-    cols = [*keys, opened, *carry, "Pred_baseline"]
+    base = S.SCENARIO_BASELINE_PRED
+    out = score(df, opened, base)
+    cols = [*keys, opened, *carry, base]
     for name, factor in scenarios:
-        out = out.withColumn(f"DC_{name}", F.col(opened) * F.lit(float(factor)))
-        out = score(out, f"DC_{name}", f"Pred_{name}")
-        cols += [f"DC_{name}", f"Pred_{name}"]
+        dc, pred = S.SCENARIO_OPENED_COL.format(name=name), S.SCENARIO_PRED_COL.format(name=name)
+        out = out.withColumn(dc, F.col(opened) * F.lit(float(factor)))
+        out = score(out, dc, pred)
+        cols += [dc, pred]
     return out.select(*cols)
 
 
 def prediction_columns(scenarios: Sequence[tuple[str, float]] = S.SCENARIOS) -> list[str]:
-    return ["Pred_baseline"] + [f"Pred_{n}" for n, _ in scenarios]
+    return [S.SCENARIO_BASELINE_PRED] + [S.SCENARIO_PRED_COL.format(name=n) for n, _ in scenarios]
 
 
 def scenario_long(wide: DataFrame, *, keys: Sequence[str] = ("State", "Year"),
@@ -107,7 +109,8 @@ def label_scenarios(long: DataFrame, *, column: str = "Scenario",
 def scenario_delta(wide: DataFrame, *, keys: Sequence[str] = ("State", "Year"),
                    scenarios: Sequence[tuple[str, float]] = S.SCENARIOS) -> DataFrame:
     """Change of each scenario's prediction against the baseline, long."""
-    d = wide.select(*keys, *[(F.col(f"Pred_{n}") - F.col("Pred_baseline")).alias(n)
+    base = F.col(S.SCENARIO_BASELINE_PRED)
+    d = wide.select(*keys, *[(F.col(S.SCENARIO_PRED_COL.format(name=n)) - base).alias(n)
                              for n, _ in scenarios])
     return d.unpivot(list(keys), [n for n, _ in scenarios], "Scenario", "Delta")
 

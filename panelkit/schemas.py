@@ -110,6 +110,11 @@ SCENARIOS = [
     ("ban0", 0.0),
 ]
 
+# --- FIXED VALUES: wide scenario column names --------------------------------
+SCENARIO_BASELINE_PRED = "Pred_baseline"
+SCENARIO_OPENED_COL = "DC_{name}"
+SCENARIO_PRED_COL = "Pred_{name}"
+
 # --- FIXED VALUES: prediction column -> chart label, in order ---------------
 SCENARIO_LABELS = [
     ("Pred_baseline", "Baseline"),
