@@ -63,3 +63,13 @@ def test_exact_median_empty_and_single(spark):
     assert _median(spark, []) is None
     assert _median(spark, [None, None]) is None
     assert _median(spark, [3.5]) == 3.5
+
+
+def test_approximate_summary_is_close(spark):
+    vals = [float(i) for i in range(10001)]
+    df = spark.createDataFrame([(v,) for v in vals], "p double")
+    approx = quality.summary(df, "p", exact=False).first()
+    exact = quality.summary(df, "p").first()
+    assert exact["median"] == 5000.0
+    assert abs(approx["median"] - 5000.0) <= 2.0
+    assert (approx["min"], approx["max"], approx["n"]) == (0.0, 10000.0, 10001)
