@@ -197,3 +197,17 @@ def test_line_numbers_are_exact_across_splits(spark, scratch):
         items.sort()
         assert [n for n, _ in items] == list(range(len(items)))
         assert [v for _, v in items] == sorted(v for _, v in items)
+
+
+def test_null_keys_form_their_own_group(spark):
+    # Q9: missing names / states are NULL (not the text 'nan') and such rows
+    # are consolidated as a NULL group rather than dropped
+    rows = [(None, "AA", 2020, "1.0", 10.0, 100.0, 1.0),
+            (None, "AA", 2020, "2.0", 20.0, 100.0, 1.0),
+            ("U", None, 2020, "3.0", 5.0, 50.0, 1.0)]
+    df = spark.createDataFrame(rows, "Utility_Name string, State string, Year int, "
+                               "Utility_ID string, Revenue_Thousands double, Sales_MWh double, "
+                               "Customers double")
+    out = {(r.Utility_Name, r.State): r for r in clean.consolidate_duplicates(df).collect()}
+    assert set(out) == {(None, "AA"), ("U", None)}
+    assert out[(None, "AA")].Revenue_Thousands == 30.0 and out[(None, "AA")].Utility_ID == "1.0"
