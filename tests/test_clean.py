@@ -211,3 +211,14 @@ def test_null_keys_form_their_own_group(spark):
     out = {(r.Utility_Name, r.State): r for r in clean.consolidate_duplicates(df).collect()}
     assert set(out) == {(None, "AA"), ("U", None)}
     assert out[(None, "AA")].Revenue_Thousands == 30.0 and out[(None, "AA")].Utility_ID == "1.0"
+
+
+def test_read_positional_from_files(spark, scratch):
+    path = scratch("raw_list")
+    lines = ["a,b,c", "", "1,2", '4,"5,6",7', "8,9,10,11"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    got = sorted(tuple(r) for r in csv_src.read_positional(spark, path, arity=3,
+                                                           names=["x", "y", "z"]).collect())
+    assert got == [("4", "5,6", "7"), ("a", "b", "c")]
+    got = csv_src.read_positional(spark, path, arity=3, skip_line="a,b,c").collect()
+    assert [tuple(r) for r in got] == [("4", "5,6", "7")]
