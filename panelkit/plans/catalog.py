@@ -110,7 +110,7 @@ def _inputs(spark, d):
 
 @query("distinct_states")
 def q_distinct_states(spark, d):
-    return panel.distinct_keys(_fac(spark, d))
+    return panel.distinct_keys(_counts(spark, d))
 
 
 @query("panel_grid")

@@ -185,7 +185,9 @@ def facility_utilities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The line-item side is reduced to line 1 at the scan; the join is on the
     order key, so Spark can also prune it with a runtime filter built from the
-    (small) urgent-order side.
+    (small) urgent-order side.  Facility rows are the output here, so they
+    cannot be pre-aggregated; a customer holding many of them is split by
+    AQE's skew-join handling.
     """
     orders = (read_table(spark, sf_dir, "orders")
               .filter((F.col("o_orderpriority") == URGENT) & (F.col("o_totalprice") > LARGE_ORDER))
