@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import os
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -85,3 +86,19 @@ def test_preaggregated_counts_equal_row_counts(spark):
     b = (panel.event_counts(roles.facilities(spark, SF), sums=("Capacity_MW",))
          .withColumn("Capacity_MW", F.round("Capacity_MW", 2)))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(a.columns).collect()))
+
+
+@needs_tables
+def test_year_partitioned_layout_prunes_partitions(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from panelkit.sinks import writers
+
+    path = scratch("power_by_year")
+    writers.write_csv(roles.utility_sales(spark, SF), path, partition_by=["Year"])
+    df = spark.read.option("header", True).csv(path).filter(F.col("Year") >= 2000)
+    formatted = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    part = [re.sub(r"#\d+", "", ln) for ln in formatted.splitlines()
+            if ln.startswith("PartitionFilters")]
+    assert part and "isnotnull(Year" in part[0] and "(Year >= 2000)" in part[0]
+    assert {r.Year for r in df.select("Year").distinct().collect()} == {2000, 2001}
