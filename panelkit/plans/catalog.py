@@ -619,7 +619,8 @@ def q_feature_importance(spark, d):
 @query("rf_counterfactual")
 def q_rf_counterfactual(spark, d):
     """Train, save the feature stages and the forest (K6), load both back
-    (S10, S11) and score the written panel (K1 -> S3) under every scenario."""
+    (S10, S11), score the written panel (K1 -> S3) under every scenario and
+    write the scenario table as one CSV file with a header (K2)."""
     panel_path = scratch_path(spark, "panel_features")
     writers.write_parquet(flagship(spark, d), panel_path)
     p = spark.read.parquet(panel_path)
@@ -632,7 +633,11 @@ def q_rf_counterfactual(spark, d):
     forest.write().overwrite().save(model_path)
     loaded_stages = ml.load_pipeline(stages_path)
     loaded_forest = ml.load_forest(model_path)
-    return sc.scenario_wide(loaded_stages.transform(p), sc.model_scorer(loaded_forest))
+    wide = sc.scenario_wide(loaded_stages.transform(p), sc.model_scorer(loaded_forest))
+    # the scenario table is states x years rows: one CSV file with a header (K2)
+    out_path = scratch_path(spark, "counterfactuals")
+    writers.write_csv(wide, out_path, single_file=True)
+    return csv_src.read_typed_csv(spark, out_path, wide.schema)
 
 
 @query("run_log")
