@@ -90,3 +90,31 @@ def test_flagship_matches_brute_force(spark, fac, sales):
         "State", "Year", "DC_Opened", "Cumulative_DC",
         F.round("Avg_kWh", 9).alias("Avg_kWh"), F.round("PrevPrice", 9).alias("PrevPrice"))
     assert sorted(map(tuple, got.collect())) == _brute_panel(fac, sales)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["U1", "U2"]), st.sampled_from(["AA", "BB"]),
+                          st.sampled_from([2019, 2020]),
+                          st.one_of(st.none(), st.sampled_from(["1.0", "2.0", "3.0"])),
+                          st.one_of(st.none(), st.integers(0, 50).map(float)),
+                          st.one_of(st.none(), st.integers(0, 3).map(float)),
+                          st.one_of(st.none(), st.integers(0, 9).map(float))),
+                max_size=30))
+def test_consolidation_matches_brute_force(spark, rows):
+    from panelkit.operators import clean
+
+    data = [(*r[:4], i, *r[4:]) for i, r in enumerate(rows)]          # i = source order
+    df = spark.createDataFrame(data, "Utility_Name string, State string, Year int, "
+                               "Utility_ID string, ord int, Revenue_Thousands double, "
+                               "Sales_MWh double, Customers double")
+    got = {(r.Utility_Name, r.State, r.Year):
+           (r.Utility_ID, r.Revenue_Thousands, r.Sales_MWh, r.Customers, r.Price_Per_kWh)
+           for r in clean.consolidate_duplicates(df, order="ord").collect()}
+    want = {}
+    for key in {r[:3] for r in data}:
+        grp = sorted((r for r in data if r[:3] == key), key=lambda r: r[4])
+        ids = [r[3] for r in grp if r[3] is not None]
+        rev, sales, cust = (sum(r[j] for r in grp if r[j] is not None) for j in (5, 6, 7))
+        want[key] = (ids[0] if ids else None, float(rev), float(sales), float(cust),
+                     rev / sales if sales else None)
+    assert got == want
