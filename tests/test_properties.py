@@ -118,3 +118,22 @@ def test_consolidation_matches_brute_force(spark, rows):
         want[key] = (ids[0] if ids else None, float(rev), float(sales), float(cust),
                      rev / sales if sales else None)
     assert got == want
+
+
+_FIELD = st.one_of(
+    st.text(alphabet="abcxyz019 .-", max_size=6),
+    st.text(alphabet="abc, 12", max_size=6).map(lambda t: '"' + t + '"'))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.lists(_FIELD, min_size=1, max_size=12), min_size=1, max_size=20))
+def test_field_count_matches_csv_module(spark, rows):
+    import csv
+
+    from panelkit.operators import clean
+
+    lines = [",".join(r) for r in rows]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = [r.n for r in df.select(clean.field_count("value").alias("n")).collect()]
+    want = [len(next(csv.reader([x]))) if x else 0 for x in lines]
+    assert got == want
