@@ -278,11 +278,13 @@ def q_conform_rows(spark, d):
 @query("ragged_rows_filter")
 def q_ragged_rows_filter(spark, d):
     part = read_table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    # a line per part; every 7th part lost its name field -> 4 fields, dropped
+    # a raw line per part: very small parts lost their name field (4 fields),
+    # very large ones carry an extra trailing note (6 fields); both are dropped
     lines = part.select(F.concat_ws(
         ",", F.col("p_partkey").cast("string"),
-        F.when(F.col("p_partkey") % 7 != 0, F.col("p_name")),
-        "p_brand", "p_type", F.col("p_size").cast("string")).alias("value"))
+        F.when(F.col("p_size") >= 5, F.col("p_name")),
+        "p_brand", "p_type", F.col("p_size").cast("string"),
+        F.when(F.col("p_size") > 45, F.lit("oversize"))).alias("value"))
     return clean.ragged_rows_filter(
         lines, arity=5, names=["p_partkey", "p_name", "p_brand", "p_type", "p_size"])
 

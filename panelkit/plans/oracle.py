@@ -186,7 +186,7 @@ FROM fac""")
 ORACLE["ragged_rows_filter"] = """
 SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
        CAST(p_size AS VARCHAR) AS p_size
-FROM part WHERE p_partkey % 7 <> 0"""
+FROM part WHERE p_size BETWEEN 5 AND 45"""
 
 GRAIN = SYA.replace("l_suppkey, CAST(year", "l_suppkey, l_returnflag, CAST(year") \
     .replace("GROUP BY 1, 2", "GROUP BY 1, 2, 3").replace("sya AS", "gsya AS") + """,
