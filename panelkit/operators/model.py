@@ -144,7 +144,7 @@ def regression_metrics(df: DataFrame, *, label: str = "label", prediction: str =
         "mean_label")
 
 
-def load_pipeline(path: str) -> PipelineModel:
+def load_feature_stages(path: str) -> PipelineModel:
     """Saved feature stages (indexer, encoder, assembler)."""
     return PipelineModel.load(path)
 

@@ -633,7 +633,7 @@ def q_rf_counterfactual(spark, d):
     stages_path, model_path = scratch_path(spark, "feature_stages"), scratch_path(spark, "forest")
     stages.write().overwrite().save(stages_path)
     forest.write().overwrite().save(model_path)
-    loaded_stages = ml.load_pipeline(stages_path)
+    loaded_stages = ml.load_feature_stages(stages_path)
     loaded_forest = ml.load_forest(model_path)
     wide = sc.scenario_wide(loaded_stages.transform(p), sc.model_scorer(loaded_forest))
     # the scenario table is states x years rows: one CSV file with a header (K2)

@@ -125,7 +125,7 @@ def test_saved_models_load_and_score_the_same(spark, scratch):
     sp, mp = scratch("stages"), scratch("forest")
     stages.write().overwrite().save(sp)
     m.write().overwrite().save(mp)
-    again = ml.load_forest(mp).transform(ml.load_pipeline(sp).transform(p))
+    again = ml.load_forest(mp).transform(ml.load_feature_stages(sp).transform(p))
     a = {(r.State, r.Year): r.prediction for r in m.transform(enc).collect()}
     b = {(r.State, r.Year): r.prediction for r in again.collect()}
     assert a == b
