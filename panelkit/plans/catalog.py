@@ -730,3 +730,12 @@ def q_sheet_consolidation(spark, d):
     rows = csv_src.read_preamble_csv(
         spark, path, per_layout=lambda df: clean.clean_sheet(df, keep=("_line",)))
     return clean.consolidate_duplicates(rows, order="_line")
+
+
+@query("avg_price_weighted")
+def q_avg_price_weighted(spark, d):
+    """Q11 option: sales-weighted price per (state, year), sum(revenue) /
+    sum(sales), over the same filtered sales rows as the panel."""
+    p = clean.exclude_codes(clean.size_filter(_power(spark, d), {"Sales_MWh": S.MIN_SALES}),
+                            "Utility_ID", S.ADJUSTMENT_CODES)
+    return panel.avg_price(p, weighted_by="Sales_MWh", revenue="Revenue_Thousands")

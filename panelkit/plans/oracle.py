@@ -450,3 +450,10 @@ SELECT Utility_Name, State, Year, Utility_ID,
        CAST(Sales_MWh AS DOUBLE) AS Sales_MWh, CAST(Customers AS DOUBLE) AS Customers,
        round(Revenue_Thousands / nullif(Sales_MWh, 0), 6) AS Price_Per_kWh
 FROM cons""")
+add("avg_price_weighted", PC, """
+SELECT State, Year, round(CAST(sum(Revenue_Thousands) AS DOUBLE) / nullif(sum(Sales_MWh), 0), 6)
+       AS Avg_kWh
+FROM power
+WHERE Sales_MWh > 400
+  AND NOT (CAST(try_cast(Utility_ID AS DOUBLE) AS INTEGER) IN (99999, 88888, 77777))
+GROUP BY State, Year""")
