@@ -101,9 +101,11 @@ def consolidate_duplicates(df: DataFrame, *, keys: Sequence[str] = ("Utility_Nam
                            count_as: str | None = None) -> DataFrame:
     """A5: one row per key group.
 
-    * ``first``: first non-NULL value in ``order`` (a source row number or any
-      ordering column).  A distributed read has no file order, so the caller
+    * ``first``: first non-NULL value in ``order`` (a source line number from
+      :func:`sources.csv.numbered_lines`, or ``struct(_file, _line)`` across
+      files).  A distributed read has no implicit file order, so the caller
       names one; ``min_by`` keeps this a bounded two-value buffer per group.
+      Without ``order`` the smallest non-NULL value is taken (deterministic).
     * ``sums``: NULLs skipped, an all-NULL group sums to 0.
     * price recomputed from the summed revenue and sales (0 -> NULL).
     * ``count_as``: optionally the number of source rows per group.
