@@ -102,3 +102,16 @@ def test_year_partitioned_layout_prunes_partitions(spark, scratch):
             if ln.startswith("PartitionFilters")]
     assert part and "isnotnull(Year" in part[0] and "(Year >= 2000)" in part[0]
     assert {r.Year for r in df.select("Year").distinct().collect()} == {2000, 2001}
+
+
+@needs_tables
+def test_line_items_are_pre_aggregated_before_every_shuffle(spark):
+    # each Exchange fed (directly or through a projection) by the line-item
+    # scan must sit on a partial aggregate, so hot keys are combined map side
+    plan = _plan(roles.utility_sales(spark, SF)).splitlines()
+    scan_depths = [i for i, ln in enumerate(plan) if "FileScan parquet" in ln and "lineitem" in ln]
+    assert scan_depths
+    for i in scan_depths:
+        above = [ln for ln in plan[max(0, i - 6):i] if "Exchange" in ln or "HashAggregate" in ln]
+        # nearest operator of interest above the scan is a partial aggregate
+        assert above and "partial_" in above[-1], above
