@@ -22,11 +22,22 @@ def write_parquet(df: DataFrame, path: str, *, partition_by: Sequence[str] = (),
 
 
 def write_csv(df: DataFrame, path: str, *, header: bool = True, single_file: bool = False,
-              partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+              partition_by: Sequence[str] = (), files_per_partition: int | None = None,
+              mode: str = "overwrite") -> None:
     """K2/K4/K5: CSV with header; ``single_file`` for small results only;
-    ``partition_by`` writes one directory per value (``Year=2013/``)."""
+    ``partition_by`` writes one directory per value (``Year=2013/``).
+
+    By default every task writes a file for each value it holds (many small
+    files on a wide cluster).  ``files_per_partition=k`` first spreads each
+    value over k tasks by a hash of the row, giving at most k files per value
+    while a large value is still written in parallel.
+    """
     if single_file:
         df = df.coalesce(1)
+    elif partition_by and files_per_partition:
+        spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]),
+                        F.lit(files_per_partition))
+        df = df.repartition(*[F.col(c) for c in partition_by], spread)
     w = df.write.mode(mode).option("header", header)
     if partition_by:
         w = w.partitionBy(*partition_by)

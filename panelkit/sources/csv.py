@@ -27,9 +27,13 @@ def read_typed_csv(spark: SparkSession, path: str | Sequence[str], schema: T.Str
     return spark.read.option("header", header).option("mode", "PERMISSIVE").schema(schema).csv(path)
 
 
-def read_inferred_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Header names and inferred types (one extra pass over the data)."""
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+def read_inferred_csv(spark: SparkSession, path: str | Sequence[str], *,
+                      sampling_ratio: float = 1.0) -> DataFrame:
+    """Header names and inferred types.  Inference is an extra pass over
+    the input; on large inputs infer from a sample (``sampling_ratio`` < 1)
+    or, better, give the schema."""
+    return (spark.read.option("header", True).option("inferSchema", True)
+            .option("samplingRatio", sampling_ratio).csv(path))
 
 
 def read_facilities(spark: SparkSession, path: str) -> DataFrame:

@@ -222,3 +222,17 @@ def test_read_positional_from_files(spark, scratch):
     assert got == [("4", "5,6", "7"), ("a", "b", "c")]
     got = csv_src.read_positional(spark, path, arity=3, skip_line="a,b,c").collect()
     assert [tuple(r) for r in got] == [("4", "5,6", "7")]
+
+
+def test_partitioned_csv_files_per_value(spark, scratch):
+    import glob
+    import os
+
+    path = scratch("by_year")
+    df = spark.range(0, 4000).selectExpr("cast(id % 3 + 2019 as int) AS Year", "id")
+    writers.write_csv(df.repartition(16), path, partition_by=["Year"], files_per_partition=2)
+    for y in (2019, 2020, 2021):
+        files = glob.glob(os.path.join(path.replace("file:", ""), f"Year={y}", "*.csv"))
+        assert 1 <= len(files) <= 2
+    back = csv_src.read_inferred_csv(spark, path, sampling_ratio=0.5)
+    assert back.count() == 4000 and dict(back.dtypes)["Year"] == "int"
