@@ -429,7 +429,7 @@ def q_csv_glob_scan(spark, d):
     base = scratch_path(spark, "power_years")
     p = _power(spark, d).select(*S.POWER_COLUMNS)
     writers.write_csv(p.withColumn("_file_year", F.col("Year")), base,
-                      partition_by=["_file_year"])
+                      partition_by=["_file_year"], files_per_partition=4)
     return csv_src.read_power_costs(spark, f"{base}/_file_year=*/*.csv",
                                     thresholds={"Sales_MWh": S.MIN_SALES})
 
@@ -479,7 +479,7 @@ def q_csv_roundtrip(spark, d):
 @query("partitioned_write")
 def q_partitioned_write(spark, d):
     path = scratch_path(spark, "power_by_year")
-    writers.write_csv(_power(spark, d), path, partition_by=["Year"])
+    writers.write_csv(_power(spark, d), path, partition_by=["Year"], files_per_partition=4)
     schema = T.StructType([
         T.StructField("Utility_Name", T.StringType()), T.StructField("State", T.StringType()),
         T.StructField("Utility_ID", T.StringType()),
