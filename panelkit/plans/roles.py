@@ -7,6 +7,14 @@ original inputs.
   year): utility = supplier, state = supplier's nation, revenue = summed
   extended price in integer cents, sales = summed quantity, customers =
   distinct orders.
+* facility counts <- the same openings reduced per (customer, year) before the
+  customer join, then per (state, year): what the panel needs.
+* facility utilities <- facilities with the supplier of the order's first
+  line item as their utility (join validation).
+* duplicate-grain sales <- sales per (supplier, year, return flag), so one
+  utility-year appears up to three times (consolidation).
+* raw sheets and raw lists <- the sales or facility rows laid out like the
+  original raw inputs (repeated header blocks, 10 positional fields).
 
 Every role filters on raw columns right after the scan (pushed to parquet) and
 aggregates line items per (supplier, year) *before* joining the dimension
