@@ -115,3 +115,12 @@ def test_line_items_are_pre_aggregated_before_every_shuffle(spark):
         above = [ln for ln in plan[max(0, i - 6):i] if "Exchange" in ln or "HashAggregate" in ln]
         # nearest operator of interest above the scan is a partial aggregate
         assert above and "partial_" in above[-1], above
+
+
+@needs_tables
+def test_first_line_filter_reaches_the_scan(spark):
+    formatted = spark._jvm.PythonSQLUtils.explainString(
+        roles.facility_utilities(spark, SF)._jdf.queryExecution(), "formatted")
+    pushed = [re.sub(r"#\d+", "", ln) for ln in formatted.splitlines()
+              if ln.startswith("PushedFilters") and "l_linenumber" in ln]
+    assert pushed and "EqualTo(l_linenumber,1)" in pushed[0]
