@@ -8,7 +8,7 @@ import os
 import duckdb
 import pytest
 
-from scripts.compare import TABLES, digest
+from scripts.compare import SPARK_TO_DUCK, TABLES, digest
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
@@ -53,7 +53,9 @@ def test_query_matches_oracle(spark, duck, key):
     srows = [tuple(r) for r in df.collect()]
     cur = duck.execute(oracle_sql()[key])
     ocols = [c[0] for c in cur.description]
+    otypes = {c[0]: str(c[1]) for c in cur.description}
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == otypes
     assert len(srows) == len(orows)
     assert digest(df.columns, srows) == digest(ocols, orows)
