@@ -53,3 +53,65 @@ def op10_harmonic_packing(spark, sf_dir):
     from panelkit.llm.packing import pack_documents
 
     return pack_documents(read_documents(spark, sf_dir, "doc_id", "text"), tokenizer_path())
+
+
+@query
+def op7_ftrl_toxicity(spark, sf_dir):
+    """Toxicity of all documents; rows with crc32(doc_id) mod 5 = 0 held out."""
+    from panelkit.llm.common import crc_mod
+    from panelkit.llm.toxicity import fit_toxicity, toxicity_score
+
+    docs = read_documents(spark, sf_dir, "doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = fit_toxicity(docs, labels, usable=crc_mod("doc_id", 5) != 0)
+    out = docs.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+                      toxicity_score(model).alias("score"))
+    return out.select("*", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op9_subword_langid(spark, sf_dir):
+    """Language of all documents; rows with crc32(doc_id) mod 3 = 1 held out."""
+    from panelkit.llm.common import crc_mod
+    from panelkit.llm.langid import fit_language_model, identify
+
+    docs = read_documents(spark, sf_dir, "doc_id", "text", "lang")
+    model = fit_language_model(docs, usable=crc_mod("doc_id", 3) != 1)
+    out = docs.select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+                      identify(model).alias("p"))
+    return out.select("doc_id", "held_out", "p.lang_pred", "p.score", "p.rejected")
+
+
+@query
+def op6_sorted_projections(spark, sf_dir):
+    """Near-duplicate vectors of each label at cosine 0.93."""
+    from panelkit.llm.embed_dedup import near_duplicates
+
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query
+def op8_projection_forest(spark, sf_dir):
+    """Five nearest vectors of every vec_id divisible by 50, among all rows."""
+    from panelkit.llm.ann import nearest
+
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return nearest(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
+@query
+def op3_minhash_inverted_join(spark, sf_dir):
+    """Near-duplicate components of all documents at 0.75."""
+    from panelkit.llm.minhash import near_duplicates
+
+    return near_duplicates(read_documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query
+def op1_contextual_pii(spark, sf_dir):
+    """Personal data in all documents."""
+    from panelkit.llm.pii import extract
+
+    out = extract(read_documents(spark, sf_dir, "doc_id", "text"))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                      F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
