@@ -1,8 +1,9 @@
 """Toxicity by FTRL-proximal logistic regression.
 
 Features are hashed word unigrams, bigrams and one-word skip-grams of the
-whole text (lower case, ASCII punctuation as white space), each counted as
-present or not.  FTRL-proximal learns with a rate per coordinate and an L1
+whole text (lower case, ASCII punctuation as white space), and the stems
+(first five bytes) of longer words, so that inflected forms of a word add up;
+each counts as present or not.  FTRL-proximal learns with a rate per coordinate and an L1
 term that keeps most weights at exactly zero, so the model is a short list of
 (index, weight) that every task gets with its code.
 
@@ -26,14 +27,17 @@ _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _BLANK = bytes.maketrans(_MARKS, b" " * len(_MARKS))
 _SECOND = np.uint64(0x9E3779B97F4A7C15)
 _SKIP = np.uint64(0xD6E8FEB86659FD93)
+_STEM = 5
 
 
 def feature_ids(text: str | None, bits: int) -> np.ndarray:
-    """Hashed n-grams and skip-grams of one text, repeats included."""
-    words = hash_words((text or "").lower().encode("utf-8", "replace").translate(_BLANK).split())
+    """Hashed n-grams, skip-grams and stems of one text, repeats included."""
+    plain = (text or "").lower().encode("utf-8", "replace").translate(_BLANK).split()
+    words = hash_words(plain)
+    stems = mix64(hash_words([w[:_STEM] for w in plain if len(w) > _STEM]) ^ _SKIP)
     pairs = mix64(words[:-1] * _SECOND + words[1:])
     skips = mix64(words[:-2] * _SKIP + (words[2:] ^ _SECOND))
-    return (np.concatenate([mix64(words), pairs, skips]) >> np.uint64(64 - bits)).astype(np.int64)
+    return (np.concatenate([mix64(words), pairs, skips, stems]) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 @dataclass
@@ -61,8 +65,8 @@ class ToxicityModel:
         return score
 
 
-def ftrl(examples: list[tuple[np.ndarray, int]], bits: int, alpha: float = 0.1, beta: float = 1.0,
-         l1: float = 1.0, l2: float = 1.0, epochs: int = 3) -> tuple[np.ndarray, float]:
+def ftrl(examples: list[tuple[np.ndarray, int]], bits: int, alpha: float = 2.0, beta: float = 1.0,
+         l1: float = 6.0, l2: float = 0.0, epochs: int = 5) -> tuple[np.ndarray, float]:
     """(weights, bias) after ``epochs`` passes in the given order."""
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
     zb = nb = 0.0
@@ -82,7 +86,7 @@ def ftrl(examples: list[tuple[np.ndarray, int]], bits: int, alpha: float = 0.1,
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = None, key: str = "doc_id",
-                 text: str = "text", label: str = "toxic", bits: int = 20, max_train_rows: int = 8000,
+                 text: str = "text", label: str = "toxic", bits: int = 20, max_train_rows: int = 12_000,
                  **rates) -> ToxicityModel:
     """Fit on labelled documents.
 
