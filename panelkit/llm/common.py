@@ -7,6 +7,8 @@ the columns it is given by name and ignores all others.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Sequence
 
 import numpy as np
@@ -67,6 +69,13 @@ def text_batches(batches, *cols):
         yield batch, *(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in cols)
 
 
+def worker_store() -> dict:
+    """A dict that lives as long as this Python process (a Spark worker is
+    reused by later tasks), for caches that only save time."""
+    module = sys.modules.setdefault("_corpus_worker", types.ModuleType("_corpus_worker"))
+    return module.__dict__.setdefault("store", {})
+
+
 def crc_mod(key: str, n: int) -> Column:
     """crc32 of the key's text modulo ``n`` (null key: null)."""
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(n))

@@ -18,13 +18,14 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from panelkit.llm.common import gapless_slots, text_batches
+from panelkit.llm.common import gapless_slots, text_batches, worker_store
 from panelkit.session import materialize
 
 PIECE_SCHEMA = ("doc_id long, text_crc32 long, start long, length long, ids_crc32 long, "
@@ -48,69 +49,135 @@ def cut(tokens: int, capacity: int, slack: float) -> Iterator[tuple[int, int, in
         start += part
 
 
+class _Places(dict):
+    """Word -> number; an unseen word gets the next number and is listed."""
+
+    def __init__(self):
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word):
+        self[word] = n = len(self)
+        self.fresh.append(word)
+        return n
+
+
 class WordTokenizer:
-    """Token ids of whole texts through a cache of words.
+    """Token ids of texts through a cache of words.
 
-    Valid for tokenizers that never join text across ASCII white space and
-    drop it (``word_bpe_49k.json`` does both): the ids of a text are then the
-    ids of its words in order.  At most ``max_words`` words are held; a full
-    cache starts anew, which changes speed only.
+    Valid for tokenizers that never join text across ASCII white space, drop
+    it, and fold ASCII case (``word_bpe_49k.json`` does all three): the ids of
+    a text are then the ids of its words in order.  The first ``max_words``
+    words met are kept for the life of the Python worker (frequent words come
+    early); later ones are encoded where they occur.
     """
 
-    def __init__(self, path: str, max_words: int = 400_000, max_word_bytes: int = 64):
+    def __init__(self, path: str, max_words: int = 900_000):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already uses the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.max_words, self.max_word_bytes = max_words, max_word_bytes
-        self._reset()
-
-    def _reset(self):
-        self.place: dict[bytes, int] = {}
+        self.max_words = max_words
+        self.places = _Places()
         self.starts = np.zeros(1 << 16, np.int64)
         self.lengths = np.zeros(1 << 16, np.int64)
         self.flat = np.zeros(1 << 18, np.uint32)
-        self.used = 0
-
-    def _encode(self, words: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
-
-    def _learn(self, words: list[bytes]) -> None:
-        ids = self._encode(words)
-        n, m = len(self.place), sum(map(len, ids))
-        while n + len(words) > len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-        while self.used + m > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        for w, x in zip(words, ids):
-            i = len(self.place)
-            self.place[w] = i
-            self.starts[i], self.lengths[i] = self.used, len(x)
-            self.flat[self.used:self.used + len(x)] = x
-            self.used += len(x)
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = text.encode("utf-8", "replace").split()
-        if not words:
-            return np.empty(0, np.uint32)
-        place = self.place
-        try:
-            at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-        except KeyError:
-            fresh = [w for w in dict.fromkeys(words) if w not in place]
-            if len(fresh) > self.max_words or max(map(len, fresh)) > self.max_word_bytes:
-                # unusual text: not worth a place in the cache
-                return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-            if len(place) + len(fresh) > self.max_words:
-                self._reset()
-                place, fresh = self.place, list(dict.fromkeys(words))
-            self._learn(fresh)
-            at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        self.words = self.used = 0
+
+    @classmethod
+    def of_worker(cls, path: str) -> "WordTokenizer":
+        store = worker_store()
+        if (cls.__name__, path) not in store:
+            store[(cls.__name__, path)] = cls(path)
+        return store[(cls.__name__, path)]
+
+    def _ids_of(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word.  Words of letters alone are one unit to the
+        tokenizer, so many can go through it as one text."""
+        plain = [w for w in words if w.isalpha()]
+        other = [w for w in words if not w.isalpha()]
+        found: dict[str, list[int]] = {}
+        if plain:
+            e = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+            units = np.array(e.word_ids, np.int64)
+            if len(units) and units[-1] == len(plain) - 1:
+                cuts = np.searchsorted(units, np.arange(len(plain) + 1)).tolist()
+                ids = e.ids
+                found = {w: ids[i:j] for w, i, j in zip(plain, cuts, cuts[1:])}
+            else:  # a letter that the tokenizer splits at
+                other = words
+        if other:
+            found.update((w, e.ids) for w, e in zip(
+                other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)))
+        return [found[w] for w in words]
+
+    def _learn(self) -> None:
+        """Append the ids of the words listed as unseen.  A word of letters
+        followed by marks is its letters' ids and then its marks' ids."""
+        parts, new = [], {}
+        for w in self.places.fresh:
+            t = w.decode("utf-8", "replace")
+            core = t.rstrip(".,;:!?")
+            if len(core) < len(t) and core.isalpha():
+                parts.append((core, t[len(core):]))
+                new[core] = new[t[len(core):]] = None
+            else:
+                parts.append((t,))
+                new[t] = None
+        known = {}
+        for t in new:
+            n = self.places.get(t.encode("utf-8", "replace"), self.words)
+            if n < self.words:
+                known[t] = self.flat[self.starts[n]:self.starts[n] + self.lengths[n]].tolist()
+        fresh = [t for t in new if t not in known]
+        known.update(zip(fresh, self._ids_of(fresh)))
+        ids = [known[p[0]] if len(p) == 1 else known[p[0]] + known[p[1]] for p in parts]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        n, m = self.words + len(ids), self.used + int(sizes.sum())
+        while n > len(self.starts):
+            self.starts, self.lengths = (np.resize(x, 2 * len(x)) for x in (self.starts, self.lengths))
+        while m > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        ends = self.used + np.cumsum(sizes)
+        self.starts[self.words:n], self.lengths[self.words:n] = ends - sizes, sizes
+        self.flat[self.used:m] = np.fromiter(chain.from_iterable(ids), np.uint32, m - self.used)
+        self.words, self.used = n, m
+
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text."""
+        raw = [(t or "").encode("utf-8", "replace") for t in texts]
+        # special tokens are matched by case, everything else is folded
+        parts = [(r if b"<|" in r else r.lower()).split() for r in raw]
+        counts = np.fromiter(map(len, parts), np.int64, len(parts))
+        places, words, used = self.places, self.words, self.used
+        at = np.fromiter(map(places.__getitem__, chain.from_iterable(parts)), np.int64, int(counts.sum()))
+        if places.fresh:
+            self._learn()
         lengths = self.lengths[at]
         ends = np.cumsum(lengths)
-        index = np.arange(ends[-1]) + np.repeat(self.starts[at] - (ends - lengths), lengths)
-        return self.flat[index]
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.flat[np.arange(total) + np.repeat(self.starts[at] - (ends - lengths), lengths)]
+        if self.words > self.max_words:  # full: keep what was there before
+            for w in places.fresh:
+                del places[w]
+            self.words, self.used = words, used
+        places.fresh = []
+        cuts = np.concatenate([[0], ends])[np.cumsum(counts)]
+        return np.split(ids, cuts[:-1])
+
+
+def _runs(texts: list[str | None], chars: int = 1 << 19) -> Iterator[slice]:
+    """Slices of a batch with about ``chars`` characters each (one text at
+    least), which bounds the memory of a step."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= chars:
+            yield slice(start, i + 1)
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
 
 
 def token_pieces(docs: DataFrame, key: str, text: str, tokenizer_path: str, end_id: int,
@@ -118,15 +185,15 @@ def token_pieces(docs: DataFrame, key: str, text: str, tokenizer_path: str, end_
     """Tokenize whole texts and cut them; one row per piece (no token ids)."""
 
     def run(batches):
-        encode = WordTokenizer(tokenizer_path)
-        end = np.array([end_id], np.uint32)
+        tokenizer = WordTokenizer.of_worker(tokenizer_path)
         for batch, keys, texts in text_batches(batches, "doc_id", "text"):
             out = []
-            for d, t in zip(keys, texts):
-                ids = np.concatenate([encode(t or ""), end]).astype("<u4")
-                crc = zlib.crc32((t or "").encode("utf-8", "replace"))
-                out += [(d, crc, s, n, zlib.crc32(ids[s:s + n].tobytes()), len(ids), k)
-                        for s, n, k in cut(len(ids), capacity, slack)]
+            for part in _runs(texts):
+                for d, t, ids in zip(keys[part], texts[part], tokenizer.encode(texts[part])):
+                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                    crc = zlib.crc32((t or "").encode("utf-8", "replace"))
+                    out += [(d, crc, s, n, zlib.crc32(ids[s:s + n].tobytes()), len(ids), k)
+                            for s, n, k in cut(len(ids), capacity, slack)]
             cols = list(zip(*out)) or [()] * 7
             types = [pa.int64()] * 6 + [pa.int32()]
             yield pa.RecordBatch.from_arrays(
@@ -211,11 +278,11 @@ def read_sequences(docs: DataFrame, pieces: DataFrame, tokenizer_path: str, key:
     joined = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).join(spans, "doc_id")
 
     def run(batches):
-        encode = WordTokenizer(tokenizer_path)
+        tokenizer = WordTokenizer.of_worker(tokenizer_path)
         for _, texts, places in text_batches(batches, "text", "pieces"):
             rows = []
             for t, ps in zip(texts, places):
-                ids = np.append(encode(t or ""), np.uint32(end_id))
+                ids = np.append(tokenizer.encode([t])[0], np.uint32(end_id))
                 rows += [(p["sequence_id"], p["offset"], ids[p["start"]:p["start"] + p["length"]].tolist())
                          for p in ps]
             s, o, i = list(zip(*rows)) or ((), (), ())
