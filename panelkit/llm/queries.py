@@ -115,3 +115,12 @@ def op1_contextual_pii(spark, sf_dir):
     out = extract(read_documents(spark, sf_dir, "doc_id", "text"))
     return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
                       F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+@query
+def op5_fm_substrings(spark, sf_dir):
+    """Words of all documents in 35-word windows that occur elsewhere."""
+    from panelkit.llm.substring import repeated_spans
+
+    out = repeated_spans(read_documents(spark, sf_dir, "doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
