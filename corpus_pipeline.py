@@ -1,14 +1,98 @@
-"""Corpus pipeline: documents in, packed token sequences out."""
+"""Corpus pipeline: documents in, packed token sequences out.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and applies one operator of
+``panelkit.llm`` to all its predecessor kept.  All but the last return the
+columns of ``docs``.  Stages join their decisions back by document key and
+text hash; rows equal in both count as one document.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from panelkit.llm.common import crc_mod
+from panelkit.llm.minhash import representatives
+from panelkit.llm.mixing import mix_documents
+from panelkit.llm.packing import pack_documents
+from panelkit.llm.pii import extract, masked
+from panelkit.llm.queries import tokenizer_path
+from panelkit.llm.toxicity import fit_toxicity, toxicity_score
+from panelkit.session import materialize
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Whole rows beside their key, so that no column name can clash."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+                       F.col("doc_id").cast("long").alias("_d"), F.xxhash64("text").alias("_h"))
+
+
+def _same(other: DataFrame):
+    return F.col("_d").eqNullSafe(other["doc_id"]) & (F.col("_h") == other["text_hash"])
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below 0.5; learned from ``labels`` (held-out keys are
+    those of the toxicity query)."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = fit_toxicity(docs, labels, usable=crc_mod("doc_id", 5) != 0)
+    return docs.filter(toxicity_score(model) < 0.5)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    keep = materialize(representatives(docs), "keep")
+    rows = _keyed(docs).join(keep, _same(keep), "left_semi")
+    if not keep.filter("rows > 1").isEmpty():  # repeated rows of a kept document
+        rows = rows.dropDuplicates(["_d", "_h"])
+    return rows.select("row.*")
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind; ``n_chars`` follows the text."""
+    more = materialize(extract(docs).filter(F.size("added") > 0).select("doc_id", "text_hash", "added")
+                       .dropDuplicates(["doc_id", "text_hash"]), "added")
+    none = F.lit(None).cast(more.schema["added"].dataType)
+    if more.isEmpty():
+        rows = _keyed(docs).withColumn("added", none)
+    else:
+        rows = _keyed(docs).join(more, _same(more), "left")
+    rows = rows.select("row", masked(F.col("row")["text"], F.col("added")).alias("_text"))
+    new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
+    return rows.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    mix = mix_documents(docs).groupBy("doc_id", "source", "text_hash").agg(
+        F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    mix = materialize(mix.filter("copies > 0"), "mix")
+    rows = _keyed(docs).withColumn("_s", F.col("row")["source"])
+    if not mix.filter("rows > 1").isEmpty():  # their copies are given together
+        rows = rows.dropDuplicates(["_d", "_h", "_s"])
+    return (rows.join(mix, _same(mix) & F.col("_s").eqNullSafe(mix["source"]))
+            .select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of 4096 tokens."""
+    return pack_documents(docs, tokenizer_path())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("minhash_near_dedup", drop_near_duplicates),
+    ("pii", mask_personal_data),
+    ("mixing", mix_sources),
+    ("packing", pack),
+]
 
 #: Classifier training, similarity components and packing have no SQL form.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """All stages on ``documents``."""
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``, each written before the next reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage_{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -208,6 +208,31 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     are told apart by their sets.  Other columns are ignored; an empty table
     gives an empty result.
     """
+    component = F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("doc_id"))
+    return _classified(docs, key, text, percent, coordinates, matches, block).select(
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+        F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept"))
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75,
+                    coordinates: int = 48, matches: int = 21, block: int = 1024) -> DataFrame:
+    """``doc_id, text_hash, rows``: the one document to keep of each
+    component (smallest key; a null key only where there is no other), and
+    every document without shingles.  ``rows`` counts the input rows of that
+    key and text."""
+    rows = materialize(
+        _classified(docs, key, text, percent, coordinates, matches, block)
+        .groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows")), "classified")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "rows")
+    best = rows.filter("component is not null").groupBy("component").agg(F.min(order).alias("r"))
+    return best.select("r.doc_id", "r.text_hash", "r.rows").union(
+        rows.filter("component is null").select("doc_id", "text_hash", F.lit(1).cast("long")))
+
+
+def _classified(docs: DataFrame, key: str, text: str, percent: int, coordinates: int, matches: int,
+                block: int) -> DataFrame:
+    """``doc_id, text_hash, n, component, lowest`` per row; component is a
+    node id, null without shingles."""
     if not 0 < coordinates <= 64:
         raise ValueError("coordinates must be 1 to 64")
     profiles = materialize(_profiles(docs, key, text, coordinates), "profiles")
@@ -248,8 +273,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
                         .select("digest", "first", F.coalesce("component", "node").alias("component")), "named")
     lowest = named.groupBy(F.col("component").alias("_c")).agg(F.min("first").alias("lowest"))
     of_set = (named.join(lowest, F.col("component") == F.col("_c"))
-              .select(F.col("digest").alias("_digest"), "lowest"))
-    component = F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("doc_id"))
-    return (profiles.select("doc_id", "n", "digest").join(of_set, F.col("digest") == F.col("_digest"), "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                    F.coalesce(component == F.col("doc_id"), F.lit(False)).alias("kept")))
+              .select(F.col("digest").alias("_digest"), "component", "lowest"))
+    return (profiles.select("doc_id", "text_hash", "n", "digest")
+            .join(of_set, F.col("digest") == F.col("_digest"), "left")
+            .select("doc_id", "text_hash", "n", "component", "lowest"))

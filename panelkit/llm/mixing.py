@@ -156,8 +156,8 @@ def mix_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", sour
                   weights: Sequence[float] = (5.0, 2.0, 1.0), cap: float = 3.0) -> DataFrame:
     """Copies of every document in the mix.
 
-    Returns one row per input row: ``doc_id, source, size, source_size,
-    target, copies, taken`` (``taken = copies * size``; ``copies`` never
+    Returns one row per input row: ``doc_id, source, text_hash, size,
+    source_size, target, copies, taken`` (``taken = copies * size``; ``copies`` never
     exceeds ``cap``).  Size is the word count (null or empty text: 0 words,
     one copy, nothing taken).  A null source is a source of its own, last in
     order; null and repeated keys are allowed, equal rows may differ in
@@ -165,7 +165,7 @@ def mix_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", sour
     result.  Reruns agree.
     """
     rows = materialize(docs.select(
-        F.col(key).alias("doc_id"), F.col(source).alias("source"),
+        F.col(key).alias("doc_id"), F.col(source).alias("source"), F.xxhash64(text).alias("text_hash"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size")),
         "sized")
     cells0 = materialize(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "cells")
@@ -188,6 +188,6 @@ def mix_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", sour
     return (slots.join(known, F.col("source").eqNullSafe(F.col("_source")))
             .join(given.withColumnRenamed("size", "_size").withColumnRenamed("sid", "_sid"),
                   (F.col("sid") == F.col("_sid")) & (F.col("size") == F.col("_size")), "left")
-            .select("doc_id", "source", "size", "source_size", "target",
+            .select("doc_id", "source", "text_hash", "size", "source_size", "target",
                     count.cast("long").alias("copies"),
                     (count * F.col("size")).cast("long").alias("taken")))
