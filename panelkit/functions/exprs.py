@@ -68,9 +68,10 @@ def map_values(c: str | Column, mapping: Sequence[tuple[str, str]]) -> Column:
 
 
 def not_in_codes(c: str | Column, codes: Iterable[int]) -> Column:
-    """True when the numeric value of ``c`` is not an adjustment code.
+    """True when ``c`` is neither NULL nor an adjustment code.
 
-    Compared as numbers, so '99999' and '99999.0' are both excluded.  A NULL
-    or unparsable key yields NULL, so a filter drops it, as ``!isin`` does.
+    Compared as numbers, so '99999' and '99999.0' are both excluded; a key
+    that is no number is no code and stays.
     """
-    return ~safe_int(c).isin([int(x) for x in codes])
+    code = safe_double(c).isin([float(x) for x in codes])
+    return _c(c).isNotNull() & ~F.coalesce(code, F.lit(False))

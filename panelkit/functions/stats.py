@@ -20,14 +20,25 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
+from panelkit.session import materialize
+
 
 def ranked_values(df: DataFrame, value: str, *, buckets: int = 1024,
                   accuracy: int = 100000) -> DataFrame:
     """(v, c, cum): distinct non-NULL values, multiplicity and the number of
     rows with a value <= v."""
+    return _ranked(value_counts(df, value), buckets, accuracy)
+
+
+def value_counts(df: DataFrame, value: str) -> DataFrame:
+    """(v, c): distinct non-NULL values and their multiplicity, computed when
+    called and written, so that the input is read once."""
     v = df.select(F.col(value).cast("double").alias("v")).filter(
         F.col("v").isNotNull() & ~F.isnan("v"))
-    vc = v.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    return materialize(v.groupBy("v").agg(F.count(F.lit(1)).alias("c")), "value_counts")
+
+
+def _ranked(vc: DataFrame, buckets: int = 1024, accuracy: int = 100000) -> DataFrame:
     probs = [i / buckets for i in range(1, buckets)]
     row = vc.agg(F.percentile_approx("v", probs, accuracy).alias("e")).first()
     # Bucketizer needs at least one inner split, even for an empty input
@@ -55,9 +66,20 @@ def exact_quantile_rows(df: DataFrame, value: str, ranks: dict[str, F.Column], *
 def exact_median(df: DataFrame, value: str, *, out: str = "median", **kw) -> DataFrame:
     """One row with the interpolated median (mean of the two middle values
     for an even count), as pandas / SQL ``median`` give."""
-    base = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    n = base.agg(F.count(F.lit(1)).alias("n")).scalar()
-    lo_k = F.floor((n + 1) / 2)
-    hi_k = F.floor(n / 2) + 1
-    q = exact_quantile_rows(base, value, {"_lo": lo_k, "_hi": hi_k}, **kw)
-    return q.select(((F.col("_lo") + F.col("_hi")) / 2).alias(out))
+    return exact_summary(df, value, **kw).select(F.col("median").alias(out))
+
+
+def exact_summary(df: DataFrame, value: str, **kw) -> DataFrame:
+    """One row: mean, min, max, n and the exact median over non-NULL values,
+    all from one written (value, multiplicity) table."""
+    vc = value_counts(df, value)
+    ranked = _ranked(vc, **kw)
+    n = vc.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n")).scalar()
+
+    def at(k):
+        return F.max(F.when((F.col("cum") >= k) & (F.col("cum") - F.col("c") < k), F.col("v")))
+
+    return ranked.agg(
+        F.try_divide(F.sum(F.col("v") * F.col("c")), F.sum("c")).alias("mean"), F.min("v").alias("min"),
+        F.max("v").alias("max"), F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
+        ((at(F.floor((n + 1) / 2)) + at(F.floor(n / 2) + 1)) / 2).alias("median"))

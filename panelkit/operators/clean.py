@@ -94,28 +94,32 @@ def conform_rows(df: DataFrame, fields: Sequence[str] = S.LIST_FIELDS,
 
 
 def consolidate_duplicates(df: DataFrame, *, keys: Sequence[str] = ("Utility_Name", "State", "Year"),
-                           first: str = "Utility_ID", order: str | None = None,
+                           first: str = "Utility_ID", order: str | Column | None = None,
                            sums: Sequence[str] = ("Revenue_Thousands", "Sales_MWh", "Customers"),
                            revenue: str = "Revenue_Thousands", sales: str = "Sales_MWh",
                            price: str = "Price_Per_kWh",
                            count_as: str | None = None) -> DataFrame:
     """A5: one row per key group.
 
+    * rows are returned unchanged when a key or summed column is missing.
     * ``first``: first non-NULL value in ``order`` (a source line number from
-      :func:`sources.csv.numbered_lines`, or ``struct(_file, _line)`` across
-      files).  A distributed read has no implicit file order, so the caller
+      :func:`sources.csv.numbered_lines`, or the Column
+      ``F.struct("_file", "_line")`` across files).  A distributed read has no implicit file order, so the caller
       names one; ``min_by`` keeps this a bounded two-value buffer per group.
       Without ``order`` the smallest non-NULL value is taken (deterministic).
     * ``sums``: NULLs skipped, an all-NULL group sums to 0.
     * price recomputed from the summed revenue and sales (0 -> NULL).
     * ``count_as``: optionally the number of source rows per group.
     """
+    if any(c not in df.columns for c in (*keys, *sums)):
+        return df
     aggs = []
     if first in df.columns:
         if order is None:
             aggs.append(F.min(first).alias(first))
         else:
-            ordering = F.when(F.col(first).isNotNull(), F.col(order))
+            place = F.col(order) if isinstance(order, str) else order
+            ordering = F.when(F.col(first).isNotNull(), place)
             aggs.append(F.min_by(first, ordering).alias(first))
     aggs += [F.coalesce(F.sum(c), F.lit(0).cast(df.schema[c].dataType)).alias(c)
              for c in sums]
@@ -158,14 +162,14 @@ def clean_step_counts(consolidated: DataFrame, *, count_col: str, keep_sizes: Co
         F.count_if(F.coalesce(keep_sizes & keep_codes, F.lit(False))).alias("n_code_ok"))
 
 
-# a comma outside double quotes (quotes assumed balanced within a line)
-_FIELD_SEP = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+#: Quotes are doubled inside quoted fields; a backslash is an ordinary character.
+CSV_DIALECT = {"quote": '"', "escape": '"', "maxColumns": "200000"}
+BAD_ROW = "_bad_row"
 
 
-def field_count(line: str | Column) -> Column:
-    """Number of CSV fields in a text line; a blank line counts as 0."""
-    c = F.col(line) if isinstance(line, str) else line
-    return F.when(F.length(c) == 0, F.lit(0)).otherwise(F.size(F.split(c, _FIELD_SEP, -1)))
+def ragged_schema(names: Sequence[str]) -> str:
+    """Text columns plus the one that marks rows of another field count."""
+    return ", ".join([*[f"`{n}` STRING" for n in names], f"`{BAD_ROW}` STRING"])
 
 
 def ragged_rows_filter(lines: DataFrame, *, arity: int, column: str = "value",
@@ -174,17 +178,20 @@ def ragged_rows_filter(lines: DataFrame, *, arity: int, column: str = "value",
     """F7 + S8: keep lines with exactly ``arity`` CSV fields and parse them
     positionally into string columns.
 
-    Blank lines and lines with too few or too many fields are dropped.  A
-    header line is *not* skipped unless given as ``skip_line`` (the original
-    keeps it when it has the right arity).
+    Blank lines and lines with too few or too many fields are dropped: the
+    parser marks a row of another field count as bad, so each line is parsed
+    once, however wide.  Empty fields are NULL.  A header line is *not*
+    skipped unless given as ``skip_line`` (the original keeps it when it has
+    the right arity).
     """
     names = list(names) if names else [f"_c{i}" for i in range(arity)]
-    schema = ", ".join(f"`{n}` STRING" for n in names)
-    kept = lines.filter(field_count(column) == arity)
+    kept = lines.filter(F.length(column) > 0)
     if skip_line is not None:
         kept = kept.filter(F.col(column) != F.lit(skip_line))
-    parsed = F.from_csv(F.col(column), schema, {"mode": "PERMISSIVE"})
-    return kept.select(parsed.alias("_r")).select([F.col(f"_r.`{n}`").alias(n) for n in names])
+    parsed = F.from_csv(F.col(column), ragged_schema(names),
+                        {**CSV_DIALECT, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_ROW})
+    return (kept.select(parsed.alias("_r")).filter(F.col(f"_r.{BAD_ROW}").isNull())
+            .select([F.col(f"_r.`{n}`").alias(n) for n in names]))
 
 
 def clean_sheet(raw: DataFrame, *, file_col: str = "_file",
@@ -198,9 +205,9 @@ def clean_sheet(raw: DataFrame, *, file_col: str = "_file",
     from panelkit.functions.headers import header_map
 
     mapping = header_map([c for c in raw.columns if c != file_col and c not in keep])
-    years = (detect_year(raw.select(file_col, F.col(f"`{year_header}`").alias("_y")),
-                         by=[file_col], year="_y")
-             .select(file_col, safe_int("Year").alias("Year")))
+    # the mode of numbers: '2019' and '2019.0' are one year
+    years = detect_year(raw.select(file_col, safe_int(F.col(f"`{year_header}`")).alias("_y")),
+                        by=[file_col], year="_y")
     df = raw.select(file_col, *[c for c in keep if c != file_col],
                     *[F.col(f"`{s}`").alias(d) for s, d in mapping.items()])
     # one row per file on the right: AQE broadcasts it when measured small

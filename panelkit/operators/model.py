@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (GBTRegressor, LinearRegression, RandomForestRegressionModel,
                                    RandomForestRegressor)
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from panelkit import schemas as S
 from panelkit.functions.exprs import hash_bucket
@@ -62,6 +62,14 @@ def hash_split(df: DataFrame, keys: Sequence[str], *, train_pct: int = round(S.T
         out, F.when(F.col("bucket") < train_pct, "train").otherwise("test"))
 
 
+def random_split(df: DataFrame, *, train: float = S.TRAIN_FRACTION,
+                 seed: int = S.SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
+    """M4 option: ``randomSplit`` with the original seed; the parts depend on
+    the partitioning of ``df``, so write it first if they must agree."""
+    a, b = df.randomSplit([train, 1 - train], seed)
+    return a, b
+
+
 def forest(*, num_trees: int = 20, max_depth: int = 5, seed: int = 42,
            features: str = "features", label: str = "label") -> RandomForestRegressor:
     """M5: random forest with the original leaf and sampling settings; the
@@ -83,19 +91,28 @@ def other_learner(kind: str, *, features: str = "features", label: str = "label"
 
 def tune(train: DataFrame, estimator, *, num_trees: Sequence[int] = S.GRID_NUM_TREES,
          max_depth: Sequence[int] = S.GRID_MAX_DEPTH, folds: int = S.CV_FOLDS,
-         parallelism: int = 4, seed: int = 42, metric: str = "rmse"):
+         parallelism: int | None = None, seed: int = 42, metric: str = "rmse",
+         keys: Sequence[str] = ("State", "Year")):
     """M6 + M7: grid x k-fold cross validation; returns (model, table of
     params and mean metric with the best row flagged).
 
     The best row is chosen by the evaluator's direction (lowest RMSE), not by
-    the largest metric.
+    the largest metric.  Folds are dealt in hash order of ``keys``, so they
+    are equal in size, never empty and the same on every run; a table of
+    fewer rows than folds gets one row a fold.  The table is a panel (states
+    x years rows), small enough for one window.
     """
+    folds = max(2, min(folds, train.count()))
+    order = Window.orderBy(F.xxhash64(F.lit(seed), *keys), *keys)
+    train = train.withColumn("_fold", ((F.row_number().over(order) - 1) % folds).cast("int"))
+    if parallelism is None:  # one fit per core at a time
+        parallelism = train.sparkSession.sparkContext.defaultParallelism
     ev = RegressionEvaluator(labelCol=estimator.getLabelCol(),
                              predictionCol=estimator.getPredictionCol(), metricName=metric)
     grid = (ParamGridBuilder().addGrid(estimator.numTrees, list(num_trees))
             .addGrid(estimator.maxDepth, list(max_depth)).build())
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=ev,
-                        numFolds=folds, parallelism=parallelism, seed=seed)
+                        numFolds=folds, foldCol="_fold", parallelism=parallelism, seed=seed)
     cvm = cv.fit(train)
     pick = min if not ev.isLargerBetter() else max
     best = pick(range(len(grid)), key=lambda i: cvm.avgMetrics[i])

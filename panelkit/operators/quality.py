@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from panelkit.functions import stats
+from panelkit.operators.clean import require_columns
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -22,6 +23,7 @@ def distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def key_set(df: DataFrame, key: str) -> DataFrame:
     """Distinct non-NULL keys (F9 + D1)."""
+    require_columns(df, [key], "key set")
     return df.select(key).filter(F.col(key).isNotNull()).distinct()
 
 
@@ -51,9 +53,16 @@ def key_match_report(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 def inner_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Inner equi join on a composite key (NULL keys never match)."""
+    require_columns(left, on, "left side")
+    require_columns(right, on, "right side")
     return left.join(right, on=list(on), how="inner")
 
 
+def ordered_keys(df: DataFrame, key: str) -> DataFrame:
+    """Distinct non-NULL keys in order."""
+    return key_set(df, key).orderBy(key)
+
+
 def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
     """First ``n`` rows under a full ordering (top-k, not a full sort)."""
     return df.orderBy(*order).limit(n)
@@ -69,14 +78,13 @@ def summary(df: DataFrame, value: str, *, exact: bool = True,
             accuracy: int = 10000) -> DataFrame:
     """Mean, median, min and max over non-NULL values, one row.
 
-    ``exact`` uses the distributed exact median (a few extra passes);
-    otherwise one pass with a bounded quantile sketch (relative rank error
-    about 1 / ``accuracy``).
+    ``exact`` reads the input once, when called: the (value, multiplicity)
+    table is written and everything follows from it.  Otherwise one lazy pass
+    with a bounded quantile sketch (relative rank error about
+    1 / ``accuracy``).
     """
+    if exact:
+        return stats.exact_summary(df, value)
     base = df.filter(F.col(value).isNotNull())
-    aggs = [F.avg(value).alias("mean"), F.min(value).alias("min"),
-            F.max(value).alias("max"), F.count(F.lit(1)).alias("n")]
-    if not exact:
-        return base.agg(*aggs, F.percentile_approx(value, 0.5, accuracy).alias("median"))
-    med = stats.exact_median(base, value, out="median")
-    return base.agg(*aggs).withColumn("median", med.scalar())
+    return base.agg(F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"),
+                    F.count(F.lit(1)).alias("n"), F.percentile_approx(value, 0.5, accuracy).alias("median"))

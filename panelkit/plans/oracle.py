@@ -25,7 +25,7 @@ sya AS (
   SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS Year,
          CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS rev,
          CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty,
-         count(DISTINCT l_orderkey) AS cust
+         5 * count(*) AS cust
   FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01 00:00:00'
   GROUP BY 1, 2
 )"""
@@ -46,7 +46,7 @@ pc AS (
          CAST(try_cast(Utility_ID AS DOUBLE) AS INTEGER) AS Utility_ID,
          CAST(Customers AS INTEGER) AS Customers, Price_Per_kWh
   FROM power
-  WHERE Sales_MWh > 400
+  WHERE Sales_MWh > 400 AND Customers > 400
     AND NOT (CAST(try_cast(Utility_ID AS DOUBLE) AS INTEGER) IN (99999, 88888, 77777))
 )"""
 
@@ -143,15 +143,16 @@ WHERE r > 0""")
 add("size_filter", POWER, """
 SELECT Utility_Name, State, Year, Utility_ID, Revenue_Thousands, Sales_MWh, Customers,
        round(Price_Per_kWh, 6) AS Price_Per_kWh
-FROM power WHERE Customers > 80 AND Sales_MWh > 2000""")
+FROM power WHERE Customers > 400 AND Sales_MWh > 400""")
 add("code_exclusion", POWER, """
 SELECT Utility_Name, State, Year, CAST(try_cast(Utility_ID AS DOUBLE) AS INTEGER) AS Utility_ID
 FROM (SELECT Utility_Name, State, Year, nullif(Utility_ID, '3.0') AS Utility_ID FROM power)
-WHERE NOT (CAST(try_cast(Utility_ID AS DOUBLE) AS INTEGER) IN (7, 8, 9))""")
+WHERE Utility_ID IS NOT NULL
+  AND NOT (CAST(try_cast(Utility_ID AS DOUBLE) AS INTEGER) IN (7, 8, 9))""")
 add("min_size_filter", POWER, """
 SELECT Utility_Name, State, Year, Utility_ID, Revenue_Thousands, Sales_MWh, Customers,
        round(Price_Per_kWh, 6) AS Price_Per_kWh
-FROM power WHERE Customers >= 90""")
+FROM power WHERE Customers >= 430""")
 ORACLE["safe_cast"] = """
 SELECT p_partkey,
        CAST(try_cast(p_name AS DOUBLE) AS INTEGER) AS name_int,
@@ -226,7 +227,7 @@ add("clean_step_counts", GRAIN, """
 SELECT CAST(sum(n) AS BIGINT) AS n_raw, count(*) AS n_consolidated,
        count(*) FILTER (WHERE Sales_MWh > 400) AS n_size_ok,
        count(*) FILTER (WHERE Sales_MWh > 400 AND
-             NOT (CAST(try_cast(Utility_ID AS DOUBLE) AS INTEGER) IN (7, 8, 9))) AS n_code_ok
+             try_cast(Utility_ID AS DOUBLE) NOT IN (7.0, 8.0, 9.0)) AS n_code_ok
 FROM cons""")
 
 
@@ -243,8 +244,7 @@ fu AS (
        LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
   WHERE o.o_orderpriority = '1-URGENT' AND o.o_totalprice > 480000
 ),
-sized AS (SELECT * FROM power WHERE Customers > 80 AND Sales_MWh > 2000),
-latest AS (SELECT * FROM sized WHERE Year = (SELECT max(Year) FROM sized)),
+latest AS (SELECT * FROM power WHERE Year = (SELECT max(Year) FROM power)),
 lk AS (SELECT DISTINCT Utility_Name FROM fu WHERE Utility_Name IS NOT NULL),
 rk AS (SELECT DISTINCT Utility_Name FROM latest WHERE Utility_Name IS NOT NULL),
 fj AS (
@@ -270,7 +270,7 @@ SELECT Facility_ID, Facility_Name, Utility_Name, State, Opening_Year, Year,
        round(Price_Per_kWh, 6) AS Price_Per_kWh
 FROM fj ORDER BY Facility_Name, Utility_Name, State, Opening_Year, Year, Facility_ID LIMIT 5""")
 add("top_states", FU, """
-SELECT State, count(*) AS n_rows FROM sized GROUP BY State ORDER BY n_rows DESC, State LIMIT 5""")
+SELECT State, count(*) AS n_rows FROM power GROUP BY State ORDER BY n_rows DESC, State LIMIT 5""")
 add("price_summary", POWER, """
 SELECT round(avg(Price_Per_kWh), 6) AS mean, round(min(Price_Per_kWh), 6) AS min,
        round(max(Price_Per_kWh), 6) AS max, count(*) AS n,
@@ -308,7 +308,7 @@ FROM power""")
 ORACLE["parquet_scan"] = """
 SELECT l_orderkey, l_suppkey, l_linenumber, round(l_quantity, 6) AS l_quantity,
        CAST(year(l_shipdate) AS INTEGER) AS Year
-FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01 00:00:00'"""
+FROM lineitem"""
 add("parquet_roundtrip", PANEL,
     "SELECT State, Year, DC_Opened, Cumulative_DC, round(Avg_kWh, 6) AS Avg_kWh, "
     "round(PrevPrice, 6) AS PrevPrice FROM panel")
@@ -454,6 +454,62 @@ add("avg_price_weighted", PC, """
 SELECT State, Year, round(CAST(sum(Revenue_Thousands) AS DOUBLE) / nullif(sum(Sales_MWh), 0), 6)
        AS Avg_kWh
 FROM power
-WHERE Sales_MWh > 400
+WHERE Sales_MWh > 400 AND Customers > 400
   AND NOT (CAST(try_cast(Utility_ID AS DOUBLE) AS INTEGER) IN (99999, 88888, 77777))
 GROUP BY State, Year""")
+
+
+add("ordered_utilities", POWER, "SELECT DISTINCT Utility_Name FROM power ORDER BY 1")
+add("sheets_to_panel", PANEL.replace("pc AS (", "pc0 AS (").replace(
+    "bounds AS (", """pc AS (
+  SELECT Utility_Name, upper(State) AS State, Year, Price_Per_kWh FROM pc0),
+bounds AS (""").replace("n.n_name AS State,\n         CAST(year", "upper(n.n_name) AS State,\n         CAST(year"),
+    "SELECT State, Year, DC_Opened, Cumulative_DC, round(Avg_kWh, 6) AS Avg_kWh, "
+    "round(PrevPrice, 6) AS PrevPrice FROM panel")
+ORACLE["positional_file_scan"] = r"""
+SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name || ', the "best"' AS p_name,
+       'c:\' || p_brand || '\' AS p_brand, p_type
+FROM part WHERE p_size BETWEEN 5 AND 45""".replace("\\\\", "\\")
+ORACLE["customer_panel"] = """
+WITH b AS (SELECT min(year(o_orderdate)) AS lo, max(year(o_orderdate)) AS hi FROM orders),
+y AS (SELECT CAST(unnest(range(lo, hi + 1)) AS INTEGER) AS Year FROM b),
+o AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS Year, count(*) AS n,
+             CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents
+      FROM orders GROUP BY 1, 2),
+g AS (SELECT c.o_custkey, y.Year FROM (SELECT DISTINCT o_custkey FROM orders) c, y)
+SELECT g.o_custkey AS custkey, g.Year, coalesce(o.n, 0) AS orders,
+       CAST(sum(coalesce(o.n, 0)) OVER (PARTITION BY g.o_custkey ORDER BY g.Year) AS BIGINT) AS orders_to_date,
+       coalesce(o.cents, 0) AS cents
+FROM g LEFT JOIN o ON g.o_custkey = o.o_custkey AND g.Year = o.Year"""
+
+# model keys: what SQL can check beside the predictions -------------------------------
+SPLIT = PANEL + """,
+split AS (
+  SELECT *, CAST(('0x' || substr(md5(State || '#' || CAST(Year AS VARCHAR)), 1, 8)) AS BIGINT) % 100 AS bucket
+  FROM panel)
+"""
+add("rf_train_score", SPLIT,
+    "SELECT State, Year, round(Avg_kWh, 6) AS label, TRUE AS in_range FROM split WHERE bucket >= 80")
+ORACLE["best_params"] = """
+SELECT CAST(t AS INTEGER) AS "numTrees", CAST(m AS INTEGER) AS "maxDepth", TRUE AS measured,
+       TRUE AS best_is_lowest, TRUE AS one_best
+FROM (SELECT unnest([25, 50, 100, 200, 300]) AS t), (SELECT unnest([2, 3, 4, 6, 8, 10]) AS m)"""
+ORACLE["feature_importance"] = """
+SELECT unnest(['DC_Opened', 'PrevPrice', 'StateVec']) AS feature, TRUE AS is_share,
+       CAST(1.0 AS DOUBLE) AS total"""
+add("rf_counterfactual", SCEN, """
+SELECT State, Year, DC_Opened, round(PrevPrice, 6) AS PrevPrice, round(Avg_kWh, 6) AS Avg_kWh,
+       round(DC_minus10, 6) AS DC_minus10, round(DC_plus10, 6) AS DC_plus10,
+       round(DC_plus20, 6) AS DC_plus20, round(DC_slow75, 6) AS DC_slow75,
+       round(DC_fast150, 6) AS DC_fast150, round(DC_ban0, 6) AS DC_ban0, TRUE AS in_range
+FROM wide""")
+ORACLE["run_log"] = """
+SELECT unnest(['NumTrees', 'MaxDepth', 'RMSE', 'R2', 'IMPORTANCE - DC_Opened', 'IMPORTANCE - PrevPrice',
+               'IMPORTANCE - StateVec']) AS name, TRUE AS has_value"""
+add("alt_learners", SPLIT, """
+SELECT unnest(['forest', 'gbt', 'linear']) AS learner, n, TRUE AS sound
+FROM (SELECT count(*) AS n FROM split WHERE bucket >= 80)""")
+add("linear_fit", SPLIT, """
+SELECT round(regr_slope(Avg_kWh, PrevPrice), 3) AS slope,
+       round(regr_intercept(Avg_kWh, PrevPrice) / 100, 1) AS intercept_hundreds
+FROM split WHERE bucket < 80""")

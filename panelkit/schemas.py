@@ -63,6 +63,9 @@ POWER_FIELDS = [
 ]
 POWER_SCHEMA = T.StructType([T.StructField(n, t) for n, t in POWER_FIELDS])
 POWER_COLUMNS = [n for n, _ in POWER_FIELDS]
+# as files hold it: the year may be written as '2013.0'
+POWER_FILE_SCHEMA = T.StructType([T.StructField(n, T.DoubleType() if n == "Year" else t)
+                                  for n, t in POWER_FIELDS])
 
 # --- FIXED VALUES: required column order of a cleaned sheet -----------------
 REQUIRED_COLUMNS = ["Utility_ID", "Utility_Name", "State", "Year",

@@ -56,6 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     # local runs only (tests): nothing configured, so make one and register
     # it with the context; later calls find it through getCheckpointDir()
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     d = tempfile.mkdtemp(prefix="panelkit-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return _configured_checkpoint_dir(spark) or d

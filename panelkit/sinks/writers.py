@@ -1,7 +1,7 @@
 """Sinks (K1-K5).
 
-``single_file`` writers coalesce to one task and are meant for small,
-bounded results (a panel of states x years, a run log); everything else
+``single_file`` writers move the finished rows to one task (the work before
+stays spread out) and are meant for small, bounded results (a panel of states x years, a run log); everything else
 writes one file per task.
 """
 
@@ -33,7 +33,7 @@ def write_csv(df: DataFrame, path: str, *, header: bool = True, single_file: boo
     while a large value is still written in parallel.
     """
     if single_file:
-        df = df.coalesce(1)
+        df = df.repartition(1)
     elif partition_by and files_per_partition:
         spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]),
                         F.lit(files_per_partition))
@@ -48,18 +48,21 @@ def write_text_lines(df: DataFrame, path: str, *, single_file: bool = True,
                      mode: str = "overwrite") -> None:
     """K3: one string column -> text lines."""
     if single_file:
-        df = df.coalesce(1)
+        df = df.repartition(1)
     df.write.mode(mode).text(path)
 
 
 def write_sheets(df: DataFrame, path: str, *, sheet: str, preamble: Sequence[str],
                  columns: Sequence[str] | None = None, header: Sequence[str] | None = None,
-                 files_per_sheet: int = 4, order_by: Sequence[str] = ()) -> None:
+                 files_per_sheet: int | None = None, rows_per_file: int = 1_000_000,
+                 order_by: Sequence[str] = (), together: Sequence[str] | None = None) -> None:
     """Write raw sheets: every file starts with the ``preamble`` lines and a
     header line (``header`` names, repeats allowed), then CSV rows.
 
     A sheet value is spread over ``files_per_sheet`` files (rows assigned by
-    a hash of their content), each its own directory
+    a hash of the ``together`` columns, all written ones by default; unless
+    given, as many files as the largest sheet needs at ``rows_per_file``),
+    each its own directory
     ``_sheet=<value>/_part=<k>/``, so one large sheet is written by several
     tasks instead of one.  Each (sheet, part) group is co-located and written
     in line order, so every file begins with its preamble; data rows follow
@@ -70,8 +73,12 @@ def write_sheets(df: DataFrame, path: str, *, sheet: str, preamble: Sequence[str
     head_text = ",".join(f'"{h}"' if "," in h else h for h in header)
     fixed = [*preamble, head_text]
     cols = [F.col(f"`{c}`") for c in columns]
-    part = F.pmod(F.xxhash64(*cols), F.lit(files_per_sheet))
-    keys = [F.col(f"`{c}`").cast("string").alias(f"_k{i}") for i, c in enumerate(order_by)]
+    if files_per_sheet is None:
+        largest = df.groupBy(sheet).count().agg(F.max("count")).first()[0] or 1
+        files_per_sheet = -(-largest // rows_per_file)
+    spread = [F.col(f"`{c}`") for c in together] if together else cols
+    part = F.pmod(F.xxhash64(*spread), F.lit(files_per_sheet))
+    keys = [F.col(f"`{c}`").alias(f"_k{i}") for i, c in enumerate(order_by)]
     data = df.select(F.col(sheet).alias("_sheet"), part.alias("_part"),
                      F.lit(len(fixed)).alias("_ord"), *keys,
                      F.to_csv(F.struct(*cols)).alias("value"))

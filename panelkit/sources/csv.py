@@ -23,17 +23,17 @@ from panelkit.session import materialize
 def read_typed_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
                    header: bool = True) -> DataFrame:
     """Header line skipped, columns bound *by position* to ``schema``;
-    ``path`` may be a glob (all matching files form one table)."""
-    return spark.read.option("header", header).option("mode", "PERMISSIVE").schema(schema).csv(path)
+    ``path`` may be a glob (all matching files form one table).  With a
+    header, its names must be those of ``schema`` in that order: a file with
+    swapped columns fails instead of loading exchanged values."""
+    return (spark.read.option("header", header).option("enforceSchema", not header)
+            .option("mode", "PERMISSIVE").schema(schema).csv(path))
 
 
-def read_inferred_csv(spark: SparkSession, path: str | Sequence[str], *,
-                      sampling_ratio: float = 1.0) -> DataFrame:
-    """Header names and inferred types.  Inference is an extra pass over
-    the input; on large inputs infer from a sample (``sampling_ratio`` < 1)
-    or, better, give the schema."""
-    return (spark.read.option("header", True).option("inferSchema", True)
-            .option("samplingRatio", sampling_ratio).csv(path))
+def read_inferred_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Header names and types inferred from every row (an extra pass over
+    the input; with a known schema use :func:`read_typed_csv`)."""
+    return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
 def read_facilities(spark: SparkSession, path: str) -> DataFrame:
@@ -52,7 +52,8 @@ def read_power_costs(spark: SparkSession, path_glob: str, *,
                      codes: Sequence[int] = S.ADJUSTMENT_CODES) -> DataFrame:
     """Yearly sales files (glob) -> size filter -> code exclusion -> numeric
     id and customers; revenue and sales dropped."""
-    df = read_typed_csv(spark, path_glob, S.POWER_SCHEMA).select(*S.POWER_COLUMNS)
+    df = read_typed_csv(spark, path_glob, S.POWER_FILE_SCHEMA).select(*S.POWER_COLUMNS)
+    df = clean.cast_columns(df, ints=["Year"])  # '2013.0' and '2013' both read
     th = {"Customers": S.MIN_CUSTOMERS, "Sales_MWh": S.MIN_SALES} if thresholds is None else thresholds
     df = clean.size_filter(df, th)
     df = clean.exclude_codes(df, "Utility_ID", codes)
@@ -65,15 +66,17 @@ def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     the file, computed without reading any file in one task.
 
     Within one split of a file the scan's row id is consecutive and in read
-    order.  Rows are counted per (file, split) - one small row per split -
-    and a window over each file's splits turns the counts into offsets; that
-    table is written once and joined back.
+    order.  The scan runs once: split and row id are written with the lines,
+    so nothing depends on how a second read would be split.  Rows are counted
+    per (file, split) - one small row per split - and a window over each
+    file's splits turns the counts into offsets.
     """
     # every file under the given paths, whatever their directory layout
-    raw = (spark.read.option("recursiveFileLookup", True).text(path)
-           .select("value", F.col("_metadata.file_path").alias("_file"),
-                   F.col("_metadata.file_block_start").alias("_blk"),
-                   F.monotonically_increasing_id().alias("_id")))
+    raw = materialize(
+        spark.read.option("recursiveFileLookup", True).text(path)
+        .select("value", F.col("_metadata.file_path").alias("_file"),
+                F.col("_metadata.file_block_start").alias("_blk"),
+                F.monotonically_increasing_id().alias("_id")), "raw_lines")
     per_split = raw.groupBy("_file", "_blk").agg(F.min("_id").alias("_id0"),
                                                  F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("_file").orderBy("_blk")
@@ -116,7 +119,7 @@ def read_preamble_csv(spark: SparkSession, path: str | Sequence[str], *,
         names = _parse_header(text)
         schema = ", ".join(f"`{n}` STRING" for n in names)
         sel = data if len(layouts) == 1 else data.filter(F.col("_hdr") == text)
-        part = (sel.select("_file", "_line", F.from_csv("value", schema).alias("_r"))
+        part = (sel.select("_file", "_line", F.from_csv("value", schema, clean.CSV_DIALECT).alias("_r"))
                 .select("_file", "_line", *[F.col(f"_r.`{n}`").alias(n) for n in names]))
         if per_layout is not None:
             part = per_layout(part)
@@ -125,8 +128,23 @@ def read_preamble_csv(spark: SparkSession, path: str | Sequence[str], *,
 
 
 def read_positional(spark: SparkSession, path: str | Sequence[str], *, arity: int,
-                    names: Sequence[str] | None = None, skip_line: str | None = None) -> DataFrame:
-    """S8 + F7: headerless positional rows; only lines with exactly ``arity``
-    fields are kept."""
-    return clean.ragged_rows_filter(spark.read.text(path), arity=arity, names=names,
-                                    skip_line=skip_line)
+                    names: Sequence[str] | None = None, skip_line: str | None = None,
+                    quoted_newlines: bool = False) -> DataFrame:
+    """S8 + F7: headerless positional rows; only rows with exactly ``arity``
+    fields are kept.  Lines are read splittably; ``quoted_newlines`` lets
+    quoted fields span lines, which Spark reads one file per task."""
+    if not quoted_newlines:
+        return clean.ragged_rows_filter(spark.read.text(path), arity=arity, names=names,
+                                        skip_line=skip_line)
+    names = list(names) if names else [f"_c{i}" for i in range(arity)]
+    schema = clean.ragged_schema(names)
+    rows = (spark.read.options(**clean.CSV_DIALECT, multiLine="true", mode="PERMISSIVE",
+                               columnNameOfCorruptRecord=clean.BAD_ROW).schema(schema).csv(path))
+    keep = F.col(clean.BAD_ROW).isNull()
+    if skip_line is not None:
+        first = next(_pycsv.reader([skip_line]))
+        same = F.lit(True)
+        for n, v in zip(names, first):
+            same = same & F.col(f"`{n}`").eqNullSafe(F.lit(v or None))
+        keep = keep & ~same
+    return rows.filter(keep).select(*[F.col(f"`{n}`") for n in names])

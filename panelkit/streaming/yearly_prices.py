@@ -25,10 +25,10 @@ def price_stream(spark: SparkSession, source_dir: str, *,
                  codes: Sequence[int] = S.ADJUSTMENT_CODES,
                  files_per_batch: int | None = None) -> DataFrame:
     """Streaming DataFrame of running (price_sum, n) per (State, Year)."""
-    reader = spark.readStream.schema(S.POWER_SCHEMA).option("header", True)
+    reader = spark.readStream.schema(S.POWER_FILE_SCHEMA).option("header", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    rows = reader.csv(source_dir)
+    rows = clean.cast_columns(reader.csv(source_dir), ints=["Year"])
     th = {"Customers": S.MIN_CUSTOMERS, "Sales_MWh": S.MIN_SALES} if thresholds is None else thresholds
     rows = clean.exclude_codes(clean.size_filter(rows, th), "Utility_ID", codes)
     return rows.groupBy("State", "Year").agg(

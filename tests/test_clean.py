@@ -14,11 +14,11 @@ from panelkit.sources import csv as csv_src
 
 
 def test_code_exclusion_numeric_and_null(spark):
-    # Q7: '99999.0' and '99999' both excluded, NULL dropped, '123.0' kept
-    df = spark.createDataFrame([("99999.0",), ("99999",), (None,), ("123.0",), ("abc",)],
-                               "Utility_ID string")
+    # Q7: '99999.0' and '99999' both excluded, NULL dropped, all else kept
+    ids = ["99999.0", "99999", None, "123.0", "abc", "3000000000.0", "12A", "99999.7", "5.0"]
+    df = spark.createDataFrame([(i,) for i in ids], "Utility_ID string")
     out = clean.exclude_codes(df, "Utility_ID", S.ADJUSTMENT_CODES)
-    assert [r.Utility_ID for r in out.collect()] == ["123.0"]
+    assert [r.Utility_ID for r in out.collect()] == ids[3:]
 
 
 def test_size_filter_is_strict_and_drops_nulls(spark):
@@ -234,5 +234,83 @@ def test_partitioned_csv_files_per_value(spark, scratch):
     for y in (2019, 2020, 2021):
         files = glob.glob(os.path.join(path.replace("file:", ""), f"Year={y}", "*.csv"))
         assert 1 <= len(files) <= 2
-    back = csv_src.read_inferred_csv(spark, path, sampling_ratio=0.5)
+    back = csv_src.read_inferred_csv(spark, path)
     assert back.count() == 4000 and dict(back.dtypes)["Year"] == "int"
+
+
+def test_lines_do_not_depend_on_split_size(spark, scratch):
+    # the split size changes between building the query and running it
+    path = scratch("lines")
+    spark.range(0, 20000).selectExpr("concat('line-', lpad(cast(id as string), 6, '0')) AS value") \
+        .coalesce(1).sortWithinPartitions("value").write.text(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    results = []
+    try:
+        for build, run in (("16384", "40960"), ("40960", "16384"), (old, "16384"), ("16384", old)):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", build)
+            got = csv_src.numbered_lines(spark, path)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", run)
+            results.append(sorted((r._line, r.value) for r in got.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert results[0] == [(i, f"line-{i:06d}") for i in range(20000)]
+    assert all(r == results[0] for r in results)
+
+
+def test_positional_rows_equal_the_csv_module(spark, scratch):
+    import csv
+    import io
+
+    wide = ",".join(["x"] * 10_000)
+    lines = ['a,"x ""y"" z",b', 'a,"c\\",b', "a,b\\,c", "1,2", "1,2,3,4", '"p,q",,"r"', '"","",""', wide,
+             ",".join(['"quoted, field"'] * 3000), "last,one,here"]
+    path = scratch("dialect")
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    got = sorted(tuple(v or "" for v in r) for r in csv_src.read_positional(spark, path, arity=3).collect())
+    assert got == sorted(tuple(r) for r in csv.reader(lines) if len(r) == 3)
+    got = csv_src.read_positional(spark, path, arity=10_000).collect()
+    assert [tuple(r) for r in got] == [("x",) * 10_000]
+
+    text = 'a,"two\nlines",b\n1,2\n"q""q",r\\,s\n'
+    path = scratch("newlines")
+    spark.createDataFrame([(text[:-1],)], "value string").coalesce(1).write.text(path)
+    got = csv_src.read_positional(spark, path, arity=3, quoted_newlines=True).collect()
+    assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in csv.reader(io.StringIO(text)) if len(r) == 3)
+
+
+def test_swapped_header_fails(spark, scratch):
+    path = scratch("swapped")
+    df = spark.createDataFrame([("VA", "U1", 2013.0, "1", 1.0, 500.0, 500.0, 0.1)],
+                               "State string, Utility_Name string, Year double, Utility_ID string, "
+                               "Revenue_Thousands double, Sales_MWh double, Customers double, Price_Per_kWh double")
+    writers.write_csv(df, path)
+    with pytest.raises(Exception, match="(?i)header"):
+        csv_src.read_power_costs(spark, path).collect()
+    path = scratch("right")
+    writers.write_csv(df.select(*S.POWER_COLUMNS), path)
+    assert csv_src.read_power_costs(spark, path).first().Year == 2013
+
+
+def test_sheet_year_is_the_mode_of_numbers(spark):
+    rows = [("f", y, "U", "VA") for y in ("2019", "2019", "2019.0", "2019.0", "2020", "2020", "2020")]
+    df = spark.createDataFrame(rows, "_file string, `Data Year` string, `Utility Name` string, State string")
+    assert {r.Year for r in clean.clean_sheet(df).collect()} == {2019}
+
+
+def test_consolidate_order_across_files_and_missing_columns(spark):
+    rows = [("U", "AA", 2020, "9.0", 1.0, 1.0, 1.0, "b", 0), ("U", "AA", 2020, None, 1.0, 1.0, 1.0, "a", 1),
+            ("U", "AA", 2020, "7.0", 1.0, 1.0, 1.0, "a", 2)]
+    df = spark.createDataFrame(rows, "Utility_Name string, State string, Year int, Utility_ID string, "
+                               "Revenue_Thousands double, Sales_MWh double, Customers double, _file string, _line int")
+    out = clean.consolidate_duplicates(df, order=F.struct("_file", "_line")).collect()
+    assert [r.Utility_ID for r in out] == ["7.0"]
+    less = df.drop("Customers")
+    assert clean.consolidate_duplicates(less).collect() == less.collect()
+
+
+def test_sheet_rows_keep_numeric_order(spark, scratch):
+    path = scratch("order")
+    df = spark.createDataFrame([(2020, n) for n in (10, 2, 1, 11, 9)], "y int, n int")
+    writers.write_sheets(df, path, sheet="y", columns=["n"], preamble=["t", "u"], order_by=["n"])
+    lines = csv_src.numbered_lines(spark, path).orderBy("_line").collect()
+    assert [r.value for r in lines][3:] == ["1", "2", "9", "10", "11"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from panelkit import session
 
 
@@ -14,8 +16,9 @@ class _Conf:
 
 
 class _Context:
-    def __init__(self, ckpt=None):
+    def __init__(self, ckpt=None, master="local[2]"):
         self.ckpt = ckpt
+        self.master = master
 
     def getCheckpointDir(self):
         return self.ckpt
@@ -54,3 +57,10 @@ def test_cluster_settings_scale_with_shuffle_size():
     assert int(small["spark.sql.shuffle.partitions"]) == 16000          # waves of cores
     assert int(big["spark.sql.shuffle.partitions"]) == (30 << 40) // (256 << 20)
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    s = _Session(None, None)
+    s.sparkContext.master = "spark://host:7077"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(s)
