@@ -82,5 +82,5 @@ def apply_header_map(df: DataFrame, mapping: dict[str, str] | None = None) -> Da
     """Keep and rename the mapped columns (one projection)."""
     mapping = header_map(df.columns) if mapping is None else mapping
     if not mapping:
-        raise ValueError(f"no standard columns found in {df.columns[:10]}")
+        raise ValueError(f"no header rule matches any of the sheet's columns: {df.columns}")
     return df.select([F.col(f"`{src}`").alias(dst) for src, dst in mapping.items()])

@@ -10,8 +10,10 @@ so the shard of a window's minimizer is the only one that can hold a copy.
    two texts, or twice in one, can belong to a repeated window.
 2. Texts with such minimizers are cut into segments (runs of windows of one
    minimizer).  Equal segments are one entry with a mark that it occurs again.
-   Segments of a minimizer with very many different neighbourhoods (a widely
-   shared passage) are cut on into windows, dealt by window hash.
+   A shard holds all segments of its minimizers.  Where those of one
+   minimizer alone would outgrow a task's memory (``most_neighbours``
+   different ones of at most ``2 * window`` words, around a widely shared
+   passage), they are cut on into windows, dealt by window hash.
 3. Each shard indexes its distinct segments and searches those that occur
    once; the others are repeated as a whole.
 4. Intervals come back to their texts.  Equal texts are one throughout; all
@@ -156,7 +158,7 @@ def _merge(spans) -> list[tuple[int, int]]:
 
 
 def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = 35,
-                   shard_words: int = 400_000, most_neighbours: int = 1000) -> DataFrame:
+                   shard_words: int = 400_000, most_neighbours: int = 25_000) -> DataFrame:
     """Words of each document that lie in a window occurring elsewhere.
 
     Returns one row per input row: ``doc_id, n_words, n_removed, kept_sha256,

@@ -117,16 +117,6 @@ def scenario_delta(wide: DataFrame, *, keys: Sequence[str] = ("State", "Year"),
 
 def scenario_series(long: DataFrame, *, key: str = "State", value=None,
                     order: Sequence[str] = ("Scenario", "Year")) -> DataFrame:
-    """F8 + D6: the series of one key value, ordered (scenario, then year).
-
-    At scale one does not loop over keys: ``cluster_series`` lays every key's
-    series out contiguously instead.
-    """
+    """F8 + D6: the series of one key value, ordered (scenario, then year)."""
     sel = long.filter(F.col(key) == (value if isinstance(value, F.Column) else F.lit(value)))
     return sel.orderBy(*order)
-
-
-def cluster_series(long: DataFrame, *, key: str = "State",
-                   order: Sequence[str] = ("Scenario", "Year")) -> DataFrame:
-    """All series at once: hash-partitioned by key, sorted inside partitions."""
-    return long.repartition(key).sortWithinPartitions(key, *order)

@@ -315,7 +315,8 @@ def q_clean_step_counts(spark, d):
 # step 3: join validation and quality
 # --------------------------------------------------------------------------
 
-_FU_COLS = ["Facility_ID", "Facility_Name", "Utility_Name", "State", "Opening_Year"]
+_FU_COLS = [c for c in S.FACILITY_COLUMNS
+            if c in ("Facility_ID", "Facility_Name", "Utility_Name", "State", "Opening_Year")]
 
 
 def _fu(spark, d):
@@ -581,7 +582,7 @@ def training_table(spark, d) -> DataFrame:
     """Encoded panel with label and split, written once to the shared folder
     (it is re-read by every fold and grid point)."""
     t = ml.hash_split(_encoded(spark, d).withColumn("label", F.col("Avg_kWh")), ["State", "Year"])
-    return materialize(t, "training_table")
+    return materialize(t, "training_table", keep=True)  # outlives one query: see tuned()
 
 
 _TUNED: dict[tuple[str, str], tuple] = {}

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,12 +65,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return _configured_checkpoint_dir(spark) or d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused path under the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/panelkit-scratch/{name}-{uuid.uuid4().hex}"
+_scopes: list[list[str]] = []
 
 
-def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+def scratch_path(spark: SparkSession, name: str, *, keep: bool = False) -> str:
+    """A fresh, never reused path under the shared checkpoint folder; removed
+    with the innermost :func:`scratch_scope`, unless ``keep``."""
+    path = f"{ensure_checkpoint_dir(spark)}/panelkit-scratch/{name}-{uuid.uuid4().hex}"
+    if _scopes and not keep:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the scratch output made inside once the block ends (after the
+    results have been consumed; queries are lazy and read it until then)."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in made:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
+
+
+def materialize(df: DataFrame, name: str = "materialized", *, keep: bool = False) -> DataFrame:
     """Compute a small, reused intermediate once and continue from a copy
     written as parquet under the shared checkpoint folder.
 
@@ -80,7 +104,7 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     unpersisted DataFrame would compute the plan twice: once for the eager
     action and once more to write the checkpoint.)
     """
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name, keep=keep)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 

@@ -18,7 +18,7 @@ from panelkit.session import build_session  # noqa: E402
 
 
 def executed(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
+    df.collect()  # small results; a write would run (and finalise) another execution
     plan = df._jdf.queryExecution().executedPlan().toString()
     keep = []
     for line in plan.splitlines():

@@ -129,20 +129,3 @@ def test_saved_models_load_and_score_the_same(spark, scratch):
     a = {(r.State, r.Year): r.prediction for r in m.transform(enc).collect()}
     b = {(r.State, r.Year): r.prediction for r in again.collect()}
     assert a == b
-
-
-def test_cluster_series_groups_each_state(spark):
-    from pyspark.sql import functions as F
-
-    long = sc.scenario_long(sc.scenario_wide(_panel(spark), sc.linear_scorer()))
-    clustered = sc.cluster_series(long).withColumn("pid", F.spark_partition_id())
-    rows = clustered.collect()
-    parts = {}
-    for r in rows:
-        parts.setdefault(r.State, set()).add(r.pid)
-    assert all(len(p) == 1 for p in parts.values())          # one partition per state
-    by_pid = {}
-    for r in rows:                                           # collect keeps partition order
-        by_pid.setdefault(r.pid, []).append((r.State, r.Scenario, r.Year))
-    for seq in by_pid.values():
-        assert seq == sorted(seq)

@@ -115,6 +115,10 @@ def test_line_items_are_pre_aggregated_before_every_shuffle(spark):
         above = [ln for ln in plan[max(0, i - 6):i] if "Exchange" in ln or "HashAggregate" in ln]
         # nearest operator of interest above the scan is a partial aggregate
         assert above and "partial_" in above[-1], above
+        # a partial aggregate on nearly unique keys would reduce nothing
+        assert "l_orderkey" not in above[-1], above[-1]
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert roles.supplier_year_sales(roles._recent_lines(spark, SF)).count() < 0.05 * lines
 
 
 @needs_tables

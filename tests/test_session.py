@@ -59,6 +59,18 @@ def test_cluster_settings_scale_with_shuffle_size():
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
 
 
+def test_scratch_scope_removes_what_was_written(spark):
+    with session.scratch_scope(spark):
+        df = session.materialize(spark.range(5), "inside")
+        path = df.inputFiles()[0]
+        kept = session.materialize(spark.range(3), "kept", keep=True)
+        assert df.count() == 5
+    import os
+
+    assert not os.path.exists(path.replace("file://", ""))
+    assert kept.count() == 3
+
+
 def test_no_machine_local_folder_on_a_cluster():
     s = _Session(None, None)
     s.sparkContext.master = "spark://host:7077"
