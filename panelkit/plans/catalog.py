@@ -22,7 +22,7 @@ from panelkit.plans import roles
 from panelkit.session import materialize, materialize_all, scratch_path
 from panelkit.sinks import writers
 from panelkit.sources import csv as csv_src
-from panelkit.sources.tables import read_table
+from panelkit.sources.tables import read_parquet, read_table
 from panelkit.streaming import yearly_prices
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -463,7 +463,7 @@ def q_parquet_scan(spark, d):
 def q_parquet_roundtrip(spark, d):
     path = scratch_path(spark, "panel_parquet")
     writers.write_parquet(flagship(spark, d), path)
-    return spark.read.parquet(path)
+    return read_parquet(spark, path)
 
 
 @query("csv_roundtrip")
@@ -641,7 +641,7 @@ def q_rf_counterfactual(spark, d):
     write the scenario table as one CSV file with a header (K2)."""
     panel_path = scratch_path(spark, "panel_features")
     writers.write_parquet(flagship(spark, d), panel_path)
-    p = spark.read.parquet(panel_path)
+    p = read_parquet(spark, panel_path)
     stages = ml.feature_stages().fit(p)
     enc = stages.transform(p).withColumn("label", F.col("Avg_kWh"))
     chosen = tuned(spark, d)[2].filter("is_best").first()
