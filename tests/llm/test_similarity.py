@@ -147,6 +147,13 @@ def test_vector_links_equal_brute_force(spark, vectors):
         assert all(r.kept == (want[i] == i) for i, r in got.items())
 
 
+def test_pairs_are_found_over_empty_partitions(spark):
+    rows = [(0, [1.0, 0.1], 0), (1, [1.0, 0.11], 0), (2, [-1.0, 3.0], 0), (3, [1.0, 0.1], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embed_dedup.near_duplicates(df, window=1).collect())
+    assert got == [(0, 1, 0), (1, 1, 0), (2, 0, 2), (3, 0, 3)]
+
+
 def test_nearest_vectors(spark):
     x = RNG.normal(size=(3000, 24))
     x[100:140] = x[100]
