@@ -213,7 +213,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
             x, y = unpack(a, dim), unpack(b, dim)
             # sums in component order, the same for a pair wherever it is met
             dot, xx, yy = (np.cumsum(m, axis=1)[:, -1] if len(m) else np.empty(0) for m in (x * y, x * x, y * y))
-            score = np.clip(dot / (np.sqrt(xx) * np.sqrt(yy)), -1.0, 1.0)
+            both = xx * yy
+            length = np.where(np.isfinite(both) & (both > 0), np.sqrt(both), np.sqrt(xx) * np.sqrt(yy))
+            score = np.clip(dot / length, -1.0, 1.0)
             yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(score)],
                                              names=["query_id", "vec_id", "score"])
 
