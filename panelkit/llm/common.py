@@ -63,6 +63,18 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix64(acc)
 
 
+def bounded_batches(spark: SparkSession, max_bytes: int = 8 << 20) -> None:
+    """Bound the Arrow batches of this session by bytes, so that the memory of
+    a Python task does not depend on how long texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(max_bytes))
+
+
+def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
+    """``mapInArrow`` in batches of bounded bytes."""
+    bounded_batches(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def text_batches(batches, *cols):
     """(batch, python lists of the named columns) per Arrow batch."""
     for batch in batches:

@@ -15,10 +15,14 @@ coordinates and 21 matches a pair at 0.75 is missed with a chance of about
 * Skip: inside a posting, sets are ordered by size and only sizes within the
   threshold's ratio are merged.
 * Groups: emitting all pairs of a large group of near copies would be
-  quadratic.  First every set is tried against its best posting leader only;
-  confirmed links make components.  Then postings are merged for pairs of
-  *different* components alone, in blocks of bounded size, so no link that
-  could join two components is left out.
+  quadratic.  First every set is tried against its best posting leader only
+  (the leader is the set whose values are the most frequent, as the original
+  of many copies is); confirmed links make components.  Then postings are
+  merged for pairs of *different* components alone, in blocks of bounded
+  size.  Candidates are confirmed inside the block, where a link makes
+  further pairs of the two components superfluous: no link that could join
+  two components is left out, and a block emits fewer links than it has
+  components.
 
 Every link is confirmed by exact set similarity (64-bit shingle hashes).
 """
@@ -32,7 +36,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from panelkit.llm.common import gram_hashes, hash_words, text_batches
+from panelkit.llm.common import gram_hashes, hash_words, map_batches, text_batches
 from panelkit.llm.graph import components
 from panelkit.session import materialize
 
@@ -87,21 +91,27 @@ def _profiles(docs: DataFrame, key: str, text: str, coordinates: int) -> DataFra
                  pa.array([signature(s, coordinates) if len(s) else None for s in sets], pa.list_(pa.int64()))],
                 names=["doc_id", "text_hash", "n", "digest", "sig"])
 
-    return (docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
-                        F.col(text).alias("text"))
-            .mapInArrow(run, "doc_id long, text_hash long, n long, digest binary, sig array<long>"))
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+                       F.col(text).alias("text"))
+    return map_batches(rows, run, "doc_id long, text_hash long, n long, digest binary, sig array<long>")
 
 
 def _postings(reps: DataFrame, matches: int) -> DataFrame:
-    """``token, node``: the posted prefix of every set that can have a partner."""
+    """``token, node, weight, mask``: the posted prefix of every set that can
+    have a partner.  ``weight`` sums the frequencies of its values; bit k of
+    ``mask`` says that the value of coordinate k is posted."""
     tokens = reps.select("node", F.explode("sig").alias("token"))
     frequent = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1") \
         .withColumnRenamed("token", "_t")
     live = (tokens.join(frequent, F.col("token") == F.col("_t"))
             .groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("live"))
             .filter(F.size("live") >= matches))
-    prefix = F.slice("live", F.lit(1), F.size("live") - matches + 1)
-    return live.select("node", F.explode(prefix).alias("x")).select(F.col("x.token").alias("token"), "node")
+    prefix = F.transform(F.slice("live", F.lit(1), F.size("live") - matches + 1), lambda x: x["token"])
+    return (live.withColumn("prefix", prefix)
+            .select("node", F.expr("aggregate(live, 0L, (s, x) -> s + x.df)").alias("weight"),
+                    F.expr("aggregate(prefix, 0L, (s, x) -> s | shiftleft(1L, cast(x & 63 as int)))").alias("mask"),
+                    F.explode("prefix").alias("token"))
+            .select("token", "node", "weight", "mask"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -126,8 +136,9 @@ def _size_ok(n: str, m: str, percent: int):
 
 def _leader_pairs(posts: DataFrame, reps: DataFrame, matches: int, percent: int) -> DataFrame:
     """Each set with the posting leader it shares most coordinates with."""
-    leader = posts.groupBy("token").agg(F.min("node").alias("a")).withColumnRenamed("token", "_t")
-    stars = (posts.join(leader, F.col("token") == F.col("_t")).filter(F.col("a") < F.col("node"))
+    leader = posts.groupBy("token").agg(F.max(F.struct("weight", "node"))["node"].alias("a")) \
+        .withColumnRenamed("token", "_t")
+    stars = (posts.join(leader, F.col("token") == F.col("_t")).filter(F.col("a") != F.col("node"))
              .select("a", F.col("node").alias("b")).distinct())
     x = reps.select(F.col("node").alias("_a"), F.col("sig").alias("x"), F.col("n").alias("n"))
     y = reps.select(F.col("node").alias("_b"), F.col("sig").alias("y"), F.col("n").alias("m"))
@@ -138,16 +149,17 @@ def _leader_pairs(posts: DataFrame, reps: DataFrame, matches: int, percent: int)
             .groupBy("b").agg(F.max_by("a", "shared").alias("a")))
 
 
-def _cross_pairs(posts: DataFrame, reps: DataFrame, labels: DataFrame, matches: int, percent: int,
-                 block: int) -> DataFrame:
-    """Pairs of different components with enough collisions.
+_CELL = "token long, i int, j int, own int, node long, label long, n long, mask long, sig array<long>"
+
 
-    A posting's largest component ("in") is merged with the rest only; rows
-    are dealt into blocks and each pair of blocks is one group.
+def _cells(posts: DataFrame, reps: DataFrame, labels: DataFrame, block: int) -> DataFrame:
+    """Postings that hold several components, dealt into pairs of blocks.
+
+    A posting's largest component ("in") meets the rest only, not itself.
     """
     label = F.coalesce("component", "node")
     tagged = (posts.join(labels.withColumnRenamed("node", "_l"), F.col("node") == F.col("_l"), "left")
-              .select("token", "node", label.alias("label")))
+              .select("token", "node", "mask", label.alias("label")))
     by_label = tagged.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c"))
     stat = (by_label.groupBy("token").agg(F.sum("c").alias("all"), F.max(F.struct("c", "label")).alias("top"),
                                           F.count(F.lit(1)).alias("labels"))
@@ -167,33 +179,129 @@ def _cross_pairs(posts: DataFrame, reps: DataFrame, labels: DataFrame, matches:
     partners = (F.when(F.col("_no") == 0, F.array(F.lit(0)))
                 .when(F.col("_in"), F.sequence(out_from, out_to))
                 .otherwise(F.sequence(F.lit(0), out_to)))
-    cells = (dealt.withColumn("_p", F.explode(partners))
-             .select("token", "node", "label", "own", F.least("own", "_p").alias("i"),
-                     F.greatest("own", "_p").alias("j"))
-             .join(reps.select(F.col("node").alias("_n"), "n", "sig"), F.col("node") == F.col("_n"))
-             .select("token", "i", "j", "own", "node", "label", "n", "sig"))
-
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("n", kind="stable")
-        n, node, label = (pdf[c].to_numpy() for c in ("n", "node", "label"))
-        own, i, j = pdf["own"].to_numpy(), pdf["i"].iat[0], pdf["j"].iat[0]
-        sig = np.stack(pdf["sig"].to_list())
-        a, b = [], []
-        upto = np.searchsorted(n * percent, n * 100, side="right")  # sizes within the ratio
-        for r in range(len(n)):
-            s = slice(r + 1, upto[r])
-            ok = label[s] != label[r]
-            if i != j:
-                ok &= own[s] != own[r]
-            if ok.any():
-                at = np.flatnonzero(ok) + r + 1
-                at = at[(sig[at] == sig[r]).sum(axis=1) >= matches]
-                a += [node[r]] * len(at)
-                b += node[at].tolist()
-        low, high = np.minimum(a, b), np.maximum(a, b)
-        return pd.DataFrame({"a": low, "b": high}).astype("int64")
-
-    return cells.groupBy("token", "i", "j").applyInPandas(merge, "a long, b long").distinct()
+    return (dealt.withColumn("_p", F.explode(partners))
+            .select("token", "node", "mask", "label", "own", F.least("own", "_p").alias("i"),
+                    F.greatest("own", "_p").alias("j"))
+            .join(reps.select(F.col("node").alias("_n"), "n", "sig"), F.col("node") == F.col("_n"))
+            .select("token", "i", "j", "own", "node", "label", "n", "mask", "sig"))
+
+
+class _Lists:
+    """Inverted lists of the rows of a cell; ``counts(r)`` merges the lists of
+    row ``r`` into its number of shared values with every row."""
+
+    def __init__(self, rows: list[np.ndarray]):
+        sizes = np.array([len(x) for x in rows])
+        codes = np.unique(np.concatenate(rows), return_inverse=True)[1]
+        owner = np.repeat(np.arange(len(rows)), sizes)
+        order = np.argsort(codes, kind="stable")
+        self.members = owner[order]
+        ends = np.cumsum(np.bincount(codes))
+        starts = np.concatenate([[0], ends[:-1]])
+        self.row = np.concatenate([[0], np.cumsum(sizes)])
+        self.start, self.size = starts[codes], (ends - starts)[codes]
+
+    def counts(self, r: int) -> np.ndarray:
+        part = slice(self.row[r], self.row[r + 1])
+        start, size = self.start[part], self.size[part]
+        shared = size > 1  # a list of one holds the row itself
+        start, size = start[shared], size[shared]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.arange(total) + np.repeat(start - (ends - size), size)
+        return np.bincount(self.members[at], minlength=len(self.row) - 1)
+
+
+def _by_cell(pdf: pd.DataFrame):
+    """The cells of a bucket, as dicts of arrays (``at``: row numbers)."""
+    cols = {c: pdf[c].to_numpy() for c in ("token", "i", "j", "own", "node", "label", "n", "mask")}
+    sig = np.stack(pdf["sig"].to_list())
+    order = np.lexsort((cols["node"], cols["j"], cols["i"], cols["token"]))
+    key = np.stack([cols[c][order] for c in ("token", "i", "j")])
+    edges = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(axis=0), [True]]))
+    for s, e in zip(edges[:-1], edges[1:]):
+        at = order[s:e]
+        yield {"at": at, "sig": sig[at], **{c: v[at] for c, v in cols.items()}}
+
+
+def _candidates(cell: dict, matches: int, percent: int):
+    """(row, candidate rows after it) of a cell.
+
+    A pair counts in the one cell whose coordinate is the first that both
+    have posted and share, so that no pair is looked at twice.
+    """
+    n, label, own, mask, sig = (cell[c] for c in ("n", "label", "own", "mask", "sig"))
+    across = cell["i"][0] != cell["j"][0]
+    here = np.int64(1) << (cell["token"][0] & 63)
+    bit = np.int64(1) << np.arange(sig.shape[1], dtype=np.int64)
+    lists = _Lists(list(sig)) if len(n) > 48 else None
+    for r in range(len(n) - 1):
+        at = np.flatnonzero(label[r + 1:] != label[r]) + r + 1
+        if not len(at):
+            continue
+        at = at[lists.counts(r)[at] >= matches] if lists else at[(sig[at] == sig[r]).sum(axis=1) >= matches]
+        at = at[100 * np.minimum(n[at], n[r]) >= percent * np.maximum(n[at], n[r])]
+        if across:
+            at = at[own[at] != own[r]]
+        if len(at):
+            both = ((sig[at] == sig[r]) * bit).sum(axis=1) & mask[at] & mask[r]
+            at = at[(both & -both) == here]
+        if len(at):
+            yield r, at
+
+
+def _cross_links(posts: DataFrame, reps: DataFrame, labels: DataFrame, sets: DataFrame, matches: int,
+                 percent: int, block: int) -> DataFrame:
+    """Links ``a, b`` between different components."""
+
+    def involved(pdf: pd.DataFrame) -> pd.DataFrame:
+        hit = np.zeros(len(pdf), bool)
+        for cell in _by_cell(pdf):
+            for r, at in _candidates(cell, matches, percent):
+                hit[cell["at"][r]] = True
+                hit[cell["at"][at]] = True
+        return pdf[hit]
+
+    def confirm(pdf: pd.DataFrame) -> pd.DataFrame:
+        bodies, out = pdf["shingles"].tolist(), []
+        for cell in _by_cell(pdf):
+            shingles = [np.frombuffer(bodies[k], np.uint64) for k in cell["at"]]
+            out += _links_of(cell, shingles, matches, percent)
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    # many cells a call; a bucket holds few rows more than its largest cell
+    buckets = max(1, -(-posts.count() // 4096))
+    bucket = F.pmod(F.xxhash64("token", "i", "j"), F.lit(buckets)).alias("bucket")
+    few = materialize(_cells(posts, reps, labels, block).groupBy(bucket).applyInPandas(involved, _CELL), "cells")
+    return (few.join(sets.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n")).drop("_n")
+            .groupBy(bucket).applyInPandas(confirm, "a long, b long"))
+
+
+def _links_of(cell: dict, shingles: list[np.ndarray], matches: int, percent: int) -> list[tuple[int, int]]:
+    """Confirmed links of a cell, fewer than it has components."""
+    label, node = cell["label"].tolist(), cell["node"].tolist()
+    root = {x: x for x in label}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    lists, out = None, []
+    for r, at in _candidates(cell, matches, percent):
+        at = [k for k in at.tolist() if find(label[k]) != find(label[r])]
+        sure = len(at) > 8  # one merge of all lists instead of pair by pair
+        if sure:
+            lists = lists or _Lists(shingles)
+            size = np.array([len(shingles[k]) for k in at]) + len(shingles[r])
+            common = lists.counts(r)[at]
+            at = [k for k, ok in zip(at, 100 * common >= percent * (size - common)) if ok]
+        for k in at:
+            x, y = find(label[r]), find(label[k])
+            if x != y and (sure or similar(shingles[r], shingles[k], percent)):
+                root[max(x, y)] = min(x, y)
+                out.append((node[r], node[k]))
+    return out
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75,
@@ -265,9 +373,17 @@ def _classified(docs: DataFrame, key: str, text: str, percent: int, coordinates:
     stars = materialize(_leader_pairs(posts, near, matches, percent), "leader_pairs")
     links = materialize(_confirmed(stars, sets, percent), "links")
     labels = materialize(components(links), "components")
-    cross = materialize(_cross_pairs(posts, near, labels, matches, percent, block), "cross_pairs")
-    more = materialize(_confirmed(cross, sets, percent), "more_links")
-    final = components(links.union(more)).withColumnRenamed("node", "_n")
+    more = materialize(_cross_links(posts, near, labels, sets, matches, percent, block), "cross_links")
+    # the components so far stand for their members
+    of = labels.select(F.col("node").alias("_n"), "component")
+    joined = (more.join(of, F.col("a") == F.col("_n"), "left").select(F.coalesce("component", "a").alias("a"), "b")
+              .join(of, F.col("b") == F.col("_n"), "left").select("a", F.coalesce("component", "b").alias("b")))
+    second = materialize(components(joined), "merged")
+    known = labels.select(F.col("node").alias("_m"))
+    so_far = labels.select("node", F.col("component").alias("_c1")).union(
+        second.join(known, F.col("node") == F.col("_m"), "left_anti").select("node", F.col("node")))
+    final = (so_far.join(second.withColumnRenamed("node", "_n"), F.col("_c1") == F.col("_n"), "left")
+             .select(F.col("node").alias("_n"), F.coalesce("component", "_c1").alias("component")))
 
     named = materialize(reps.select("node", "digest", "first").join(final, F.col("node") == F.col("_n"), "left")
                         .select("digest", "first", F.coalesce("component", "node").alias("component")), "named")
