@@ -7,8 +7,9 @@ each counts as present or not.  FTRL-proximal learns with a rate per coordinate
 term that keeps most weights at exactly zero, so the model is a short list of
 (index, weight) that every task gets with its code.
 
-Fitting runs on a bounded sample (``max_train_rows``) of the labelled rows;
-features are extracted on the executors and only they reach the driver.
+Fitting runs on a bounded sample (``max_train_rows``) of the labelled rows, in
+one task that returns the nonzero weights; no text or feature reaches the
+driver.
 Scoring is one pass over whole texts without a shuffle.
 """
 
@@ -21,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelkit.llm.common import bounded_sample, hash_words, mix64, text_batches
+from panelkit.llm.common import bounded_batches, bounded_sample, hash_words, mix64, text_batches
 
 _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _BLANK = bytes.maketrans(_MARKS, b" " * len(_MARKS))
@@ -109,19 +110,33 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = Non
             yield pa.RecordBatch.from_arrays([pa.array([str(k) for k in keys]), pa.array(ys, pa.int32()),
                                               pa.array(ids, pa.binary())], names=["k", "y", "ids"])
 
-    # the sample is bounded by max_train_rows, so it may be broadcast
-    rows = (docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
+    bounded_batches(docs.sparkSession)
+
+    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
+        ys = pdf["y"].unique().tolist()
+        if len(ys) == 1:
+            return pd.DataFrame({"i": [-2], "w": [float(ys[0])]})
+        # an order that depends on the rows alone and mixes the classes
+        mixed = mix64(hash_words([k.encode() for k in pdf["k"]]))
+        order = sorted(range(len(pdf)), key=lambda r: (mixed[r], pdf["ids"].iat[r]))
+        examples = [(np.frombuffer(pdf["ids"].iat[r], "<u4"), int(pdf["y"].iat[r])) for r in order]
+        w, b = ftrl(examples, bits, **rates)
+        keep = np.flatnonzero(w)
+        return pd.DataFrame({"i": [-1, *keep], "w": [b, *w[keep]]})
+
+    # the sample is bounded by max_train_rows, so it may be broadcast, and
+    # its features fit one task
+    model = (docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
             .join(F.broadcast(marked), F.col("_id") == F.col("_key"))
             .select("_key", "_y", "_text")
-            .mapInArrow(features, "k string, y int, ids binary").collect())
-    # an order that depends on the keys alone and mixes the classes
-    rows = sorted(rows, key=lambda r: (int(mix64(hash_words([r["k"].encode()]))[0]), r["ids"]))
-    ys = {r["y"] for r in rows}
-    if len(ys) < 2:
-        return ToxicityModel(np.empty(0, np.int64), np.empty(0), 0.0, bits, float(ys.pop()) if ys else 0.5)
-    w, b = ftrl([(np.frombuffer(r["ids"], "<u4").astype(np.int64), r["y"]) for r in rows], bits, **rates)
-    keep = np.flatnonzero(w)
-    return ToxicityModel(keep, w[keep].astype(np.float32), float(b), bits)
+            .mapInArrow(features, "k string, y int, ids binary")
+            .withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(learn, "i long, w double").collect())
+    found = {r["i"]: r["w"] for r in model}
+    if -1 not in found:
+        return ToxicityModel(np.empty(0, np.int64), np.empty(0), 0.0, bits, found.get(-2, 0.5))
+    bias = found.pop(-1)
+    index = np.array(sorted(found), np.int64)
+    return ToxicityModel(index, np.array([found[i] for i in index.tolist()], np.float32), bias, bits)
 
 
 def toxicity_score(model: ToxicityModel, text: str = "text") -> Column:
