@@ -29,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from panelkit.llm.common import gram_hashes, hash_words, text_batches, words_of
+from panelkit.llm.common import gram_hashes, hash_words, map_batches, text_batches, words_of
 from panelkit.llm.fmindex import FMIndex, repeated_windows
 from panelkit.session import materialize
 
@@ -81,7 +81,8 @@ def _profiles(rows: DataFrame, window: int) -> DataFrame:
                  pa.array(mins, pa.list_(pa.int64())), pa.array(own, pa.list_(pa.int64()))],
                 names=["doc_id", "k", "n_words", "sha", "mins", "own"])
 
-    return rows.mapInArrow(run, "doc_id long, k long, n_words long, sha string, mins array<long>, own array<long>")
+    return map_batches(
+        rows, run, "doc_id long, k long, n_words long, sha string, mins array<long>, own array<long>")
 
 
 def _cut(texts: DataFrame, window: int) -> DataFrame:
