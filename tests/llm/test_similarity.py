@@ -83,7 +83,9 @@ def test_minhash_null_and_repeated_keys(spark):
 
 @pytest.mark.parametrize("neighbours", [1000, 3])
 def test_repeated_windows_equal_brute_force(spark, corpus, neighbours):
-    rows = corpus + [(905, corpus[3][1]), (905, corpus[3][1])] + [(950 + i, " ".join(VOCABULARY[:34 + i])) for i in range(4)]
+    loop = " ".join(VOCABULARY[:9] * 12)  # every gram of it comes again and again
+    rows = corpus + [(980 + i, f"{VOCABULARY[100 + i]} {loop} {' '.join(VOCABULARY[200 + i:220 + i])}") for i in range(8)]
+    rows += [(905, corpus[3][1]), (905, corpus[3][1])] + [(950 + i, " ".join(VOCABULARY[:34 + i])) for i in range(4)]
     window = 35
     words = [(t or "").encode().split() for _, t in rows]
     seen = Counter(tuple(w[i:i + window]) for w in words for i in range(len(w) - window + 1))
