@@ -3,7 +3,7 @@
 Every 2-, 3- and 4-byte gram of the lower-cased text (runs of white space as
 one space, a space at both ends) is hashed to an embedding; the mean goes
 through a linear softmax.  Embeddings and weights are trained together by
-stochastic gradient descent in numpy on a bounded sample.  Because the model
+stochastic gradient descent in numpy, in one task, on a bounded sample.  Because the model
 is linear behind the mean, prediction folds both into one table of scores by
 gram.  A held-back part of the sample sets the temperature of the softmax and
 the score below which a prediction is marked as rejected.
@@ -11,13 +11,14 @@ the score below which a prediction is marked as rejected.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import pickle
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelkit.llm.common import bounded_sample, hash_words, mix64
+from panelkit.llm.common import bounded_batches, bounded_sample, hash_words, mix64
 
 UNKNOWN = "und"
 _M = np.uint32(0x9E3779B1)
@@ -134,9 +135,18 @@ def fit_language_model(docs: DataFrame, usable: Column | None = None, key: str =
     rows = rows.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")) \
         .filter(F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}")) \
         .withColumn("h", F.xxhash64("k", "t"))
-    picked = bounded_sample(rows, "h", max_train_rows).collect()
-    picked = sorted(picked, key=lambda r: (int(mix64(hash_words([f"{r['h']}".encode()]))[0]), r["k"] or "", r["l"]))
-    return train([r["t"] for r in picked], [r["l"] for r in picked], **options)
+    bounded_batches(docs.sparkSession)
+
+    def learn(pdf: pd.DataFrame) -> pd.DataFrame:
+        # an order that depends on the rows alone and mixes the languages
+        pdf = pdf.assign(m=mix64(hash_words([f"{h}".encode() for h in pdf["h"]])), k=pdf["k"].fillna(""))
+        pdf = pdf.sort_values(["m", "k", "l"], kind="stable")
+        return pd.DataFrame({"model": [pickle.dumps(asdict(train(pdf["t"].tolist(), pdf["l"].tolist(), **options)))]})
+
+    # the sample is bounded by max_train_rows and is fitted in one task
+    model = (bounded_sample(rows, "h", max_train_rows).withColumn("_one", F.lit(0))
+             .groupBy("_one").applyInPandas(learn, "model binary").first())
+    return LanguageModel(**pickle.loads(model[0])) if model else train([], [], **options)
 
 
 def identify(model: LanguageModel, text: str = "text") -> Column:

@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from panelkit.llm.common import gapless_slots, text_batches, worker_store
+from panelkit.llm.common import gapless_slots, map_batches, text_batches, worker_store
 from panelkit.session import materialize
 
 PIECE_SCHEMA = ("doc_id long, text_crc32 long, start long, length long, ids_crc32 long, "
@@ -71,7 +71,7 @@ class WordTokenizer:
     early); later ones are encoded where they occur.
     """
 
-    def __init__(self, path: str, max_words: int = 900_000):
+    def __init__(self, path: str, max_words: int = 600_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already uses the cores
@@ -200,8 +200,8 @@ def token_pieces(docs: DataFrame, key: str, text: str, tokenizer_path: str, end_
                 [pa.array(c, t) for c, t in zip(cols, types)],
                 names=["doc_id", "text_crc32", "start", "length", "ids_crc32", "doc_tokens", "k"])
 
-    return (docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-            .mapInArrow(run, PIECE_SCHEMA))
+    return map_batches(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")),
+                       run, PIECE_SCHEMA)
 
 
 def _first_fit(capacity: int):
@@ -289,6 +289,6 @@ def read_sequences(docs: DataFrame, pieces: DataFrame, tokenizer_path: str, key:
             yield pa.RecordBatch.from_arrays([pa.array(s, pa.int64()), pa.array(o, pa.int64()),
                                               pa.array(i, pa.list_(pa.int32()))], names=["sequence_id", "offset", "ids"])
 
-    parts = joined.mapInArrow(run, "sequence_id long, offset long, ids array<int>")
+    parts = map_batches(joined, run, "sequence_id long, offset long, ids array<int>")
     ordered = F.sort_array(F.collect_list(F.struct("offset", "ids")))
     return parts.groupBy("sequence_id").agg(F.flatten(F.transform(ordered, lambda x: x["ids"])).alias("ids"))

@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelkit.llm.common import text_batches
+from panelkit.llm.common import map_batches, text_batches
 from panelkit.session import materialize
 
 #: Kinds in the order in which spans are listed.
@@ -162,9 +162,9 @@ def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
                 names=["doc_id", "text_hash", *(f"n_{k}" for k in KINDS), "base", "occ"])
 
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return (docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
-                        F.col(text).alias("text"))
-            .mapInArrow(run, f"doc_id long, text_hash long, {counts}, base string, occ {_OCC}"))
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+                       F.col(text).alias("text"))
+    return map_batches(rows, run, f"doc_id long, text_hash long, {counts}, base string, occ {_OCC}")
 
 
 def learn_patterns(found: DataFrame, rounds: int = 3, support: int = 5, prior: float = 1.0,
