@@ -260,9 +260,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", te
                  _first_fit(capacity),
                  "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
                  "slot long, bin long, offset long"))
-    total = base.agg(F.coalesce(F.sum("_full"), F.lit(0)).alias("_sum"))
-    loose = (loose.crossJoin(F.broadcast(total))  # one row: where the full sequences end
-             .select(*out, (F.col("_sum") + F.col("bin")).cast("long").alias("sequence_id"), "offset"))
+    end = base.agg(F.sum("_full")).first()[0] or 0  # the loose sequences follow the full ones
+    loose = loose.select(*out, (F.col("bin") + F.lit(end)).cast("long").alias("sequence_id"), "offset")
     return whole.unionByName(loose)
 
 
