@@ -12,11 +12,9 @@ so the shard of a window's minimizer is the only one that can hold a copy.
    minimizer).  Equal segments are one entry with a mark that it occurs again.
    A minimizer inside a widely shared passage has as many different
    neighbourhoods as texts hold the passage.  Where there are more than
-   ``most_neighbours``, its segments are trimmed to the words around the
-   minimizer that another segment shares (found next to each other in sorted
-   order): what is left of them is mostly the passage again.  Should a
-   minimizer still have too many, its segments are cut on into windows, dealt
-   by window hash.
+   ``most_neighbours``, its segments are cut on into windows, dealt by window
+   hash, so that no shard has to hold them all (at most ``window - 7`` rows a
+   segment).
 3. Each shard indexes its distinct segments and searches those that occur
    once; the others are repeated as a whole.
 4. Intervals come back to their texts.  Equal texts are one throughout; all
@@ -114,77 +112,6 @@ def _segments(rows) -> pa.RecordBatch:
                                       names=["key", "k", "start", "windows", "cid", "words"])
 
 
-def _shared_words(a: bytes, b: bytes) -> int:
-    """Common leading 8-byte words."""
-    n = min(len(a), len(b)) // 8
-    x, y = np.frombuffer(a, np.uint64, n), np.frombuffer(b, np.uint64, n)
-    differ = np.flatnonzero(x != y)
-    return int(differ[0]) if len(differ) else n
-
-
-def _trim(segments: DataFrame, window: int, left: bool) -> DataFrame:
-    """Segments without the words on one side of their minimizer that no other
-    segment of the minimizer shares; windows over such words occur once.
-
-    Sorted by the words on that side, read away from the minimizer, a segment
-    shares most with a neighbour.  The order is dealt out by range, however
-    common a minimizer is; the first and last segment of a range have a
-    neighbour elsewhere and stay whole, as do segments that hold the
-    minimizer more than once (they take part once for each place).
-    """
-
-    def sides(batches):
-        for batch, keys, bodies in text_batches(batches, "key", "words"):
-            row, kind, ctx = [], [], []
-            for i, (key, body) in enumerate(zip(keys, bodies)):
-                words = np.frombuffer(body, np.uint64)
-                hits = np.flatnonzero(gram_hashes(words, GRAM).view(np.int64) == key).tolist()
-                row += [i] * len(hits)
-                kind += [0] if len(hits) == 1 else [1] + [2] * (len(hits) - 1)
-                ctx += [(words[:h][::-1] if left else words[h + GRAM:]).tobytes() for h in hits]
-            out = batch.take(pa.array(row, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(kind, pa.int32()), pa.array(ctx, pa.binary())],
-                                             names=[*out.schema.names, "kind", "ctx"])
-
-    def cut(batches):
-        def done(row, best):
-            key, k, start, windows, cid, body, kind, ctx = row
-            if kind == 0 and best is not None and 8 * best < len(ctx):
-                gone = len(ctx) // 8 - best
-                windows -= gone
-                start, body = (start + gone, body[8 * gone:]) if left else (start, body[:-8 * gone])
-                cid = _hash_bytes(body)
-            return (key, k, start, windows, cid, body)
-
-        last, shared, first, rows = None, 0, True, []
-        names = ["key", "k", "start", "windows", "cid", "words", "kind", "ctx"]
-        for _, *cols in text_batches(batches, *names):
-            for row in zip(*cols):
-                if last is not None:
-                    same = _shared_words(last[7], row[7]) if last[0] == row[0] else 0
-                    if last[6] < 2:
-                        rows.append(done(last, None if first else max(shared, same)))
-                    first, shared = False, same
-                last = row
-            yield _segments([r for r in rows if r[3] > 0])
-            rows = []
-        if last is not None and last[6] < 2:
-            yield _segments([done(last, None)])
-
-    schema = f"{_SEGMENT}, kind int, ctx binary"  # 0: one place, 1: first of several, 2: another
-    parts = max(1, int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    order = ["key", "ctx", "k", "start"]
-    return (segments.select("key", "k", "start", "windows", "cid", "words").mapInArrow(sides, schema)
-            .repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(cut, _SEGMENT))
-
-
-def _busy(segments: DataFrame, most: int) -> DataFrame:
-    """Minimizers with more than ``most`` different segments."""
-    return materialize(
-        segments.select("key", "cid").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("c"))
-        .filter(F.col("c") > most).select(F.col("key").alias("_key")), "busy")
-
-
 def _split(segments: DataFrame, window: int) -> DataFrame:
     """Each window of the segments as a segment keyed by its own hash."""
 
@@ -259,15 +186,12 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     bodies = materialize(rows.join(wanted, (F.col("k") == F.col("_k")) & F.col("doc_id").eqNullSafe(F.col("_d")))
                          .select("k", "text", "wanted"), "bodies")
     found = materialize(_cut(bodies, window), "segments")
-    segments, on = found, F.col("key") == F.col("_key")
-    busy = _busy(found, most_neighbours)
-    if not busy.isEmpty():
-        shared = _trim(_trim(found.join(busy, on, "left_semi"), window, True), window, False)
-        segments = materialize(found.join(busy, on, "left_anti").unionByName(shared), "trimmed")
-        busy = _busy(segments, most_neighbours)
-        if not busy.isEmpty():
-            segments = materialize(segments.join(busy, on, "left_anti").unionByName(
-                _split(segments.join(busy, on, "left_semi"), window)), "pieces")
+    busy = (found.select("key", "cid").distinct().groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+            .filter(F.col("c") > most_neighbours).select(F.col("key").alias("_key")))
+    busy = materialize(busy, "busy")
+    segments = found.join(busy, F.col("key") == F.col("_key"), "left_anti").unionByName(
+        _split(found.join(busy, F.col("key") == F.col("_key"), "left_semi"), window))
+    segments = materialize(segments, "pieces") if not busy.isEmpty() else found
     at = F.xxhash64("k", "start")
     distinct = materialize(
         segments.groupBy("key", "cid").agg(F.first("words").alias("words"), F.first("windows").alias("windows"),
