@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 from collections import Counter
 
 import numpy as np
@@ -156,6 +157,26 @@ def test_pairs_are_found_over_empty_partitions(spark):
     assert got == [(0, 1, 0), (1, 1, 0), (2, 0, 2), (3, 0, 3)]
 
 
+@pytest.mark.parametrize("base", [0.9, 0.5])
+def test_pairs_are_found_around_a_common_mean(spark, base):
+    rng = np.random.default_rng(31)
+    axis = np.eye(64)[0]
+    x = rng.normal(size=(4000, 64))
+    x[:, 0] = 0
+    x = math.sqrt(base) * axis + math.sqrt(1 - base) * x / np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.normal(size=(300, 64))  # partners at cosine 0.94 of the first 300
+    side -= (side * x[:300]).sum(axis=1, keepdims=True) * x[:300]
+    pairs = 0.94 * x[:300] + math.sqrt(1 - 0.94 ** 2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    u = np.concatenate([x, pairs])
+    s = u @ u.T
+    links = [(a, b) for a, b in zip(*np.nonzero(s >= 0.93)) if a < b]
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(u)],
+                               "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in embed_dedup.near_duplicates(df).collect()}
+    assert {i: r.component_id for i, r in got.items()} == closure(range(len(u)), links)
+    assert sum(r.n_links for r in got.values()) == 2 * len(links)
+
+
 def test_nearest_vectors(spark):
     x = RNG.normal(size=(3000, 24))
     x[100:140] = x[100]
