@@ -604,38 +604,63 @@ def _label_range(t):
     return F.lit(r[0] - 1e-6), F.lit(r[1] + 1e-6)
 
 
-@query("rf_train_score")
-def q_rf_train_score(spark, d):
-    """Held-out rows scored by the tuned forest: label, and whether the
-    prediction is a mean of training labels."""
+# Each model job returns its whole result with the columns that SQL can check
+# beside it; the keys with SQL are its checkable columns.
+
+
+@query("rf_train_score_results")
+def q_rf_train_score_results(spark, d):
+    """Held-out rows scored by the tuned forest: label, prediction, and
+    whether the prediction is a mean of training labels."""
     t, m, _ = tuned(spark, d)
     return m.transform(t.filter(F.col("split") == "test")).select(
-        "State", "Year", "label", F.col("prediction").between(*_label_range(t)).alias("in_range"))
+        "State", "Year", "label", "prediction",
+        F.col("prediction").between(*_label_range(t)).alias("in_range"))
 
 
-@query("best_params")
-def q_best_params(spark, d):
-    """The full grid (5 x 6) and 4 folds: each point, whether its metric was
-    measured, and whether the flag marks the lowest metric and only it."""
+@query("rf_train_score")
+def q_rf_train_score(spark, d):
+    """Checkable columns of ``rf_train_score_results``."""
+    return q_rf_train_score_results(spark, d).drop("prediction")
+
+
+@query("best_params_results")
+def q_best_params_results(spark, d):
+    """The full grid (5 x 6) and 4 folds: each point with its mean metric and
+    the best flag, whether the metric was measured, and whether the flag marks
+    the lowest metric and only it."""
     table = tuned(spark, d)[2]
     low = table.agg(F.min("avg_metric")).scalar()
     return table.select(
-        "numTrees", "maxDepth", (F.col("avg_metric") >= 0).alias("measured"),
+        "numTrees", "maxDepth", "avg_metric", "is_best", (F.col("avg_metric") >= 0).alias("measured"),
         (~F.col("is_best") | (F.col("avg_metric") == low)).alias("best_is_lowest"),
         (table.agg(F.count_if("is_best")).scalar() == 1).alias("one_best"))
 
 
-@query("feature_importance")
-def q_feature_importance(spark, d):
-    """Inputs with an importance between 0 and 1; together they make 1."""
+@query("best_params")
+def q_best_params(spark, d):
+    """Checkable columns of ``best_params_results``."""
+    return q_best_params_results(spark, d).drop("avg_metric", "is_best")
+
+
+@query("feature_importance_results")
+def q_feature_importance_results(spark, d):
+    """Importance of each input, between 0 and 1; together they make 1."""
     t, m, _ = tuned(spark, d)
     rows = spark.createDataFrame(ml.grouped_importances(m, t), "feature string, importance double")
     total = rows.agg(F.round(F.sum("importance"), 6)).scalar()
-    return rows.select("feature", F.col("importance").between(0.0, 1.0).alias("is_share"), total.alias("total"))
+    return rows.select("feature", "importance", F.col("importance").between(0.0, 1.0).alias("is_share"),
+                       total.alias("total"))
 
 
-@query("rf_counterfactual")
-def q_rf_counterfactual(spark, d):
+@query("feature_importance")
+def q_feature_importance(spark, d):
+    """Checkable columns of ``feature_importance_results``."""
+    return q_feature_importance_results(spark, d).drop("importance")
+
+
+@query("rf_counterfactual_results")
+def q_rf_counterfactual_results(spark, d):
     """Train, save the feature stages and the forest (K6), load both back
     (S10, S11), score the written panel (K1 -> S3) under every scenario and
     write the scenario table as one CSV file with a header (K2)."""
@@ -661,15 +686,21 @@ def q_rf_counterfactual(spark, d):
     inside = F.lit(True)
     for c in sc.prediction_columns():
         inside = inside & F.col(c).between(r[0] - 1e-6, r[1] + 1e-6)
-    return back.withColumn("in_range", inside).drop(*sc.prediction_columns())
+    return back.withColumn("in_range", inside)
 
 
-@query("run_log")
-def q_run_log(spark, d):
+@query("rf_counterfactual")
+def q_rf_counterfactual(spark, d):
+    """Checkable columns of ``rf_counterfactual_results``."""
+    return q_rf_counterfactual_results(spark, d).drop(*sc.prediction_columns())
+
+
+@query("run_log_results")
+def q_run_log_results(spark, d):
     """Tuned parameters (lowest cross-validated RMSE), held-out RMSE and R2,
     and importances grouped per input, as text lines written to the shared
-    folder and read back.  Returned: each line's name, and whether a number
-    follows it."""
+    folder and read back: each line, its name, and whether a number follows
+    it."""
     t, best, table = tuned(spark, d)
     chosen = table.filter("is_best").first()
     met = ml.regression_metrics(best.transform(t.filter(F.col("split") == "test"))).first()
@@ -682,7 +713,13 @@ def q_run_log(spark, d):
     writers.write_text_lines(spark.createDataFrame([(x,) for x in lines], "value string"), path)
     parts = F.split("value", ": +")
     return spark.read.text(path).select(
-        parts[0].alias("name"), parts[1].try_cast("double").isNotNull().alias("has_value"))
+        "value", parts[0].alias("name"), parts[1].try_cast("double").isNotNull().alias("has_value"))
+
+
+@query("run_log")
+def q_run_log(spark, d):
+    """Checkable columns of ``run_log_results``."""
+    return q_run_log_results(spark, d).drop("value")
 
 
 # --------------------------------------------------------------------------
@@ -713,11 +750,11 @@ def q_diff_in_diff(spark, d):
     return effects.diff_in_diff(_full(spark, d))
 
 
-@query("alt_learners")
-def q_alt_learners(spark, d):
+@query("alt_learners_results")
+def q_alt_learners_results(spark, d):
     """The forest, gradient-boosted trees and linear regression on the same
-    deterministic split: held-out rows, and whether the metrics are sound
-    (0 <= mae <= rmse, r2 <= 1)."""
+    deterministic split: held-out rows, their metrics, and whether these are
+    sound (0 <= mae <= rmse, r2 <= 1)."""
     t = training_table(spark, d)
     train, test = t.filter(F.col("split") == "train"), t.filter(F.col("split") == "test")
     out = None
@@ -725,12 +762,18 @@ def q_alt_learners(spark, d):
     for name, est in (("forest", ml.forest(num_trees=chosen.numTrees, max_depth=chosen.maxDepth, seed=42)),
                       ("gbt", ml.other_learner("gbt")), ("linear", ml.other_learner("linear"))):
         m = ml.regression_metrics(est.fit(train).transform(test)).select(
-            F.lit(name).alias("learner"), "n",
+            F.lit(name).alias("learner"), "n", "rmse", "mae", "r2",
             ((F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse") + 1e-9) & (F.col("r2") <= 1)).alias("sound"))
         out = m if out is None else out.unionByName(m)
     return out
 
 
+@query("alt_learners")
+def q_alt_learners(spark, d):
+    """Checkable columns of ``alt_learners_results``."""
+    return q_alt_learners_results(spark, d).drop("rmse", "mae", "r2")
+
+
 @query("linear_fit")
 def q_linear_fit(spark, d):
     """The linear learner on one input: slope and intercept of price on the

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import math
+import os
 
+import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -129,3 +132,29 @@ def test_saved_models_load_and_score_the_same(spark, scratch):
     a = {(r.State, r.Year): r.prediction for r in m.transform(enc).collect()}
     b = {(r.State, r.Year): r.prediction for r in again.collect()}
     assert a == b
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="test tables not present")
+def test_model_queries_return_their_results(spark, monkeypatch):
+    from panelkit.plans import catalog
+
+    monkeypatch.setattr(catalog, "_TUNED", {})
+    monkeypatch.setattr(ml, "tune", functools.partial(ml.tune, num_trees=[5, 8], max_depth=[2, 3], folds=2))
+    got = {k: catalog.QUERIES[f"{k}_results"](spark, "/root/testdata/sf0.01").collect()
+           for k in ("rf_train_score", "best_params", "feature_importance", "rf_counterfactual",
+                     "run_log", "alt_learners")}
+    t, m, _ = catalog.tuned(spark, "/root/testdata/sf0.01")
+    want = {(r.State, r.Year): r.prediction for r in m.transform(t.filter("split = 'test'")).collect()}
+    assert want and {(r.State, r.Year): r.prediction for r in got["rf_train_score"]} == \
+        {k: pytest.approx(v, abs=1e-6) for k, v in want.items()}
+    best = [r for r in got["best_params"] if r.is_best]
+    assert len(best) == 1 and best[0].avg_metric == min(r.avg_metric for r in got["best_params"])
+    assert sum(r.importance for r in got["feature_importance"]) == pytest.approx(1, abs=1e-5)
+    assert all(r[c] > 0 for r in got["rf_counterfactual"] for c in sc.prediction_columns())
+    lines = [r.value for r in got["run_log"]]
+    assert f"NumTrees: {best[0].numTrees}" in lines and f"MaxDepth: {best[0].maxDepth}" in lines
+    assert len(lines) == 7
+    for r in got["alt_learners"]:
+        assert 0 < r.mae <= r.rmse and r.r2 <= 1
+    forest = next(r for r in got["alt_learners"] if r.learner == "forest")
+    assert forest.n == len(want)
