@@ -870,6 +870,50 @@ def q_customer_panel(spark, d):
                     F.col("Cumulative_DC").alias("orders_to_date"), "cents"))
 
 
+def customer_features(spark, d) -> DataFrame:
+    """The feature panel over whole tables: every order (any priority and
+    price) is an opening of its customer, every line item a sale to the
+    customer in its ship year, priced revenue / quantity."""
+    counts, prices = roles.customer_counts(spark, d), roles.customer_prices(spark, d)
+    return panel.build_panel(None, prices, key="custkey", counts=counts)
+
+
+@query("customer_features")
+def q_customer_features(spark, d):
+    """Customer panel with running total, price, lag and recent activity."""
+    return customer_features(spark, d)
+
+
+@query("customer_scenarios")
+def q_customer_scenarios(spark, d):
+    """Every scenario of the customer panel with the fixed linear score."""
+    return sc.scenario_wide(customer_features(spark, d), sc.linear_scorer(), keys=("custkey", "Year"))
+
+
+def customer_training(spark, d) -> DataFrame:
+    """Encoded customer panel with label and split.  The state is the
+    customer's nation: one-hot customers would grow with the data."""
+    cust = read_table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    p = (customer_features(spark, d).join(cust, F.col("custkey") == F.col("c_custkey"))
+         .join(read_table(spark, d, "nation").select("n_nationkey", "n_name"),
+               F.col("c_nationkey") == F.col("n_nationkey"))
+         .select("custkey", "Year", F.col("n_name").alias("State"), "DC_Opened", "Cumulative_DC",
+                 "Avg_kWh", "PrevPrice"))
+    p = materialize(p, "customer_features")
+    enc = ml.feature_stages().fit(p).transform(p).withColumn("label", F.col("Avg_kWh"))
+    return materialize(ml.hash_split(enc, ["custkey", "Year"]), "customer_training")
+
+
+@query("customer_forest")
+def q_customer_forest(spark, d):
+    """A forest (20 trees of depth 5) trained on the customer panel's training
+    rows; all rows with their split, prediction and every scenario."""
+    t = customer_training(spark, d)
+    m = ml.forest(seed=42).fit(t.filter(F.col("split") == "train"))
+    return sc.scenario_wide(t, sc.model_scorer(m), keys=("custkey", "Year"),
+                            carry=("State", "PrevPrice", "Avg_kWh", "split"))
+
+
 @query("avg_price_weighted")
 def q_avg_price_weighted(spark, d):
     """Q11 option: sales-weighted price per (state, year), sum(revenue) /

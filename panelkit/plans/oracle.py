@@ -482,6 +482,40 @@ SELECT g.o_custkey AS custkey, g.Year, coalesce(o.n, 0) AS orders,
        coalesce(o.cents, 0) AS cents
 FROM g LEFT JOIN o ON g.o_custkey = o.o_custkey AND g.Year = o.Year"""
 
+CUSTOMER = """
+fac AS (SELECT o_custkey AS custkey, CAST(year(o_orderdate) AS INTEGER) AS Opening_Year FROM orders),
+pc AS (
+  SELECT o.o_custkey AS custkey, CAST(year(l.l_shipdate) AS INTEGER) AS Year,
+         CAST(sum(CAST(round(l.l_extendedprice * 100) AS BIGINT)) AS BIGINT)
+           / nullif(CAST(sum(CAST(l.l_quantity AS BIGINT)) AS BIGINT), 0) AS Avg_kWh
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2),
+bounds AS (SELECT min(Year) AS lo, max(Year) AS hi FROM pc),
+grid AS (
+  SELECT c.custkey, y.Year FROM (SELECT DISTINCT custkey FROM fac) c,
+         (SELECT CAST(unnest(range(lo, hi + 1)) AS INTEGER) AS Year FROM bounds) y),
+filled AS (
+  SELECT g.custkey, g.Year, (SELECT lo FROM bounds) AS lo, coalesce(b.n, 0) AS DC_Opened, coalesce(p.n, 0) AS Pre_DC
+  FROM grid g
+       LEFT JOIN (SELECT custkey, Opening_Year, count(*) AS n FROM fac GROUP BY 1, 2) b
+         ON b.custkey = g.custkey AND b.Opening_Year = g.Year
+       LEFT JOIN (SELECT custkey, count(*) AS n FROM fac WHERE Opening_Year < (SELECT lo FROM bounds) GROUP BY 1) p
+         ON p.custkey = g.custkey),
+cum AS (
+  SELECT custkey, Year, DC_Opened,
+         CAST(Pre_DC + sum(DC_Opened) OVER (PARTITION BY custkey ORDER BY Year) AS BIGINT) AS Cumulative_DC
+  FROM filled),
+lagged AS (
+  SELECT c.*, p.Avg_kWh, lag(p.Avg_kWh) OVER (PARTITION BY c.custkey ORDER BY c.Year) AS PrevPrice
+  FROM cum c JOIN pc p ON p.custkey = c.custkey AND p.Year = c.Year WHERE p.Avg_kWh IS NOT NULL),
+rolled AS (
+  SELECT *, sum(DC_Opened) OVER (PARTITION BY custkey ORDER BY Year ROWS BETWEEN 3 PRECEDING AND 1 FOLLOWING) AS recent
+  FROM (SELECT * FROM lagged WHERE PrevPrice IS NOT NULL)),
+panel AS (SELECT custkey, Year, DC_Opened, Cumulative_DC, Avg_kWh, PrevPrice FROM rolled WHERE recent > 0)
+"""
+add("customer_features", CUSTOMER, """
+SELECT custkey, Year, DC_Opened, Cumulative_DC, round(Avg_kWh, 6) AS Avg_kWh, round(PrevPrice, 6) AS PrevPrice
+FROM panel""")
+
 # model keys: what SQL can check beside the predictions -------------------------------
 SPLIT = PANEL + """,
 split AS (

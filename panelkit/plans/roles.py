@@ -14,6 +14,8 @@ original inputs.
   line item as their utility (join validation).
 * duplicate-grain sales <- sales per (supplier, year, return flag), so one
   utility-year appears up to three times (consolidation).
+* customer openings and prices <- all orders and all line items, per customer
+  and year (the whole-table panel).
 * raw sheets and raw lists <- the sales or facility rows laid out like the
   original raw inputs (repeated header blocks, 10 positional fields).
 
@@ -99,6 +101,27 @@ def supplier_year_sales(lines: DataFrame, *, keys=("l_suppkey",)) -> DataFrame:
                  (F.count(F.lit(1)) * CUSTOMERS_PER_LINE).alias("cust")))
 
 
+def customer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(custkey, Opening_Year, n): every order, whatever its priority, price
+    and year."""
+    return (read_table(spark, sf_dir, "orders")
+            .groupBy(F.col("o_custkey").alias("custkey"), F.year("o_orderdate").alias("Opening_Year"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def customer_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(custkey, Year, Price_Per_kWh): every line item, in its ship year.
+
+    Line items are reduced per (order, year) before they meet the orders, and
+    per (customer, year) after.
+    """
+    lines = supplier_year_sales(read_table(spark, sf_dir, "lineitem"), keys=("l_orderkey",))
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("custkey"))
+    return (lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+            .groupBy("custkey", "Year").agg(F.sum("rev").alias("rev"), F.sum("qty").alias("qty"))
+            .select("custkey", "Year", F.try_divide(F.col("rev"), F.col("qty")).alias("Price_Per_kWh")))
+
+
 def _with_supplier(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     return (df.join(sup, df.l_suppkey == sup.s_suppkey)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from panelkit.operators import features, panel
@@ -95,3 +96,28 @@ def test_weighted_price_option(spark):
     df2 = df.withColumn("Sales", F.when(F.col("Rev") == 10.0, 300.0).otherwise(100.0))
     w2 = panel.avg_price(df2, weighted_by="Sales", revenue="Rev").collect()[0].Avg_kWh
     assert abs(w2 - 0.1) < 1e-12
+
+
+def test_customer_keys_use_whole_tables(spark):
+    import os
+
+    from panelkit import schemas as S
+    from panelkit.plans import catalog, roles
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables not present")
+    orders = spark.read.parquet(f"{sf}/orders.parquet").count()
+    assert roles.customer_counts(spark, sf).agg({"n": "sum"}).first()[0] == orders
+    base = {(r.custkey, r.Year): r for r in catalog.QUERIES["customer_features"](spark, sf).collect()}
+    wide = catalog.QUERIES["customer_scenarios"](spark, sf).collect()
+    assert {(r.custkey, r.Year) for r in wide} == set(base) and len(wide) == len(base)
+    for r in wide:
+        b = base[r.custkey, r.Year]
+        assert (r.DC_Opened, r.PrevPrice, r.Avg_kWh) == (b.DC_Opened, b.PrevPrice, b.Avg_kWh)
+        for name, factor in [("baseline", 1.0), *S.SCENARIOS]:
+            assert r[f"Pred_{name}"] == pytest.approx(b.PrevPrice + 0.001 * factor * b.DC_Opened, abs=2e-6)
+    rows = catalog.QUERIES["customer_forest"](spark, sf).collect()
+    assert len(rows) == len(base) > 100
+    assert {r.split for r in rows} == {"train", "test"}
+    assert all(r.Pred_baseline > 0 and r.Pred_ban0 > 0 for r in rows)
