@@ -39,11 +39,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group."""
+    """One document of each near-duplicate group; texts without words are no
+    duplicates and all their rows stay."""
     keep = materialize(representatives(docs), "keep")
     rows = _keyed(docs).join(keep, _same(keep), "left_semi")
-    if not keep.filter("rows > 1").isEmpty():  # repeated rows of a kept document
-        rows = rows.dropDuplicates(["_d", "_h"])
+    repeated = keep.filter("shingled and rows > 1")
+    if not repeated.isEmpty():  # repeated rows of a kept document
+        again = _same(repeated)
+        rows = rows.join(repeated, again, "left_anti").union(
+            rows.join(repeated, again, "left_semi").dropDuplicates(["_d", "_h"]))
     return rows.select("row.*")
 
 

@@ -324,17 +324,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
 
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75,
                     coordinates: int = 48, matches: int = 21, block: int = 1024) -> DataFrame:
-    """``doc_id, text_hash, rows``: the one document to keep of each
+    """``doc_id, text_hash, rows, shingled``: the one document to keep of each
     component (smallest key; a null key only where there is no other), and
-    every document without shingles.  ``rows`` counts the input rows of that
-    key and text."""
+    every document without shingles (all its rows; not ``shingled``).
+    ``rows`` counts the input rows of that key and text."""
     rows = materialize(
         _classified(docs, key, text, percent, coordinates, matches, block)
         .groupBy("component", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows")), "classified")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "rows")
     best = rows.filter("component is not null").groupBy("component").agg(F.min(order).alias("r"))
-    return best.select("r.doc_id", "r.text_hash", "r.rows").union(
-        rows.filter("component is null").select("doc_id", "text_hash", F.lit(1).cast("long")))
+    return best.select("r.doc_id", "r.text_hash", "r.rows", F.lit(True).alias("shingled")).union(
+        rows.filter("component is null").select("doc_id", "text_hash", "rows", F.lit(False)))
 
 
 def _classified(docs: DataFrame, key: str, text: str, percent: int, coordinates: int, matches: int,

@@ -135,6 +135,16 @@ def test_pipeline_keeps_rows_whole(spark):
         assert stage(spark, docs.limit(0), SF).collect() == []
 
 
+def test_rows_without_words_stay_beside_a_repeated_row(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    blank = [(None, None, "a"), (None, None, "b"), (None, None, "b"), (5, "", "a"), (5, "", "c"), (6, " \n", "a")]
+    schema = "doc_id long, text string, source string"
+    for more, kept in (([], []), ([(1, text, "a")] * 3, [(1, text, "a")])):
+        docs = spark.createDataFrame(blank + more, schema)
+        got = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+        assert Counter(map(tuple, got)) == Counter(blank + kept)
+
+
 def test_all_queries_are_registered():
     import __spark_entry__ as entry
 
