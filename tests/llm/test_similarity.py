@@ -177,6 +177,20 @@ def test_pairs_are_found_around_a_common_mean(spark, base):
     assert sum(r.n_links for r in got.values()) == 2 * len(links)
 
 
+def test_pairs_are_found_over_short_partitions(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(7, 16))
+    u = np.concatenate([x, x + rng.normal(scale=0.3, size=x.shape)])
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    links = [(a, b) for a, b in zip(*np.nonzero(u @ u.T >= 0.93)) if a < b]
+    assert len(links) > 3
+    nodes = spark.createDataFrame(
+        [(i, 0, v.astype("<f8").tobytes(), np.zeros(16).tobytes(), 1) for i, v in enumerate(u)],
+        "node long, label_no long, raw binary, centre binary, passes int")
+    got = embed_dedup._link_passes(nodes, 16, 16, 0.93).collect()  # 14 rows over 8 partitions
+    assert sorted({(min(r.a, r.b), max(r.a, r.b)) for r in got}) == links
+
+
 def test_nearest_vectors(spark):
     x = RNG.normal(size=(3000, 24))
     x[100:140] = x[100]
