@@ -120,8 +120,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
     Returns ``query_id, rank, vec_id, score``; a vector is no neighbour of
     the query of the same key; ties go to the smaller key; fewer than ``k``
     candidates: all of them.  Vectors that are null, empty, zero or hold null
-    or non-finite components take no part, nor do those of another length
-    than most of the sample, nor rows with a null key.  Repeated (key, vector)
+    or non-finite components take no part, nor do rows with a null key.
+    Neighbours have the length of the query; each length has its own forest.  Repeated (key, vector)
     rows count once; a query key with several vectors is several queries whose
     best ``k`` are merged.  An empty table gives an empty result.
     """
@@ -131,15 +131,41 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
         packed(vectors.filter(F.col(key).isNotNull()), key, vector, keep=k + 1)
         .groupBy("raw").agg(F.slice(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))), 1, k + 1)
                             .alias("ids")), "classes")
-    n = classes.count()
-    if not n:
+    widths = sorted(r[0] for r in classes.select(F.octet_length("raw")).distinct().collect())
+    if not widths:
         return spark.createDataFrame([], result)
+
+    def pack_query(batches):
+        for _, ids, vs in text_batches(batches, "id", "v"):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()),
+                 pa.array([(np.array(v, "<f8") + 0.0).tobytes() for v in vs], pa.binary())], names=["id", "raw"])
+
+    asked = materialize(
+        queries.filter(usable(vector) & F.col(key).isNotNull())
+        .select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+        .mapInArrow(pack_query, "id long, raw binary").distinct(), "queries")
+    scored = None
+    for width in widths:  # few: a length is a kind of embedding
+        same = F.octet_length("raw") == width
+        part = _scored(classes.filter(same), asked.filter(same), width, k, trees, leaf_rows, max_sample, recall, block)
+        scored = part if scored is None else scored.union(part)
+    # at most visits * k rows a query
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    return (scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+            .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
+
+
+def _scored(classes: DataFrame, asked: DataFrame, width: int, k: int, trees: int, leaf_rows: int,
+            max_sample: int, recall: float, block: int) -> DataFrame:
+    """``query_id, vec_id, score`` of the rows near each query, among packed
+    vectors of ``width`` bytes."""
+    n = classes.count()
+    dim = width // 8
     # the sample is bounded by max_sample rows of one vector each
     raws = [bytes(r.raw) for r in bounded_sample(classes, "raw", max_sample).select("raw").collect()]
-    lengths = np.array([len(r) for r in raws])
-    width = int(np.bincount(lengths).argmax())
-    dim = width // 8
-    sample = unit(unpack(sorted(r for r in raws if len(r) == width), dim))
+    sample = unit(unpack(sorted(raws) or [np.ones(dim).tobytes()], dim))
     depth = max(0, min(int(np.ceil(np.log2(n / leaf_rows))) if n > leaf_rows else 0,
                        int(np.log2(max(1, len(sample) / 8)))))
     forest = grow(sample, depth, trees if depth else 1)
@@ -149,10 +175,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
     def place(batches):
         f = forest  # bounded: trees * 2**depth planes travel with the code
         for _, raw, ids in text_batches(batches, "raw", "ids"):
-            hold = [i for i, r in enumerate(raw) if len(r) == width]
-            if not hold:
+            if not raw:
                 continue
-            raw, ids = [raw[i] for i in hold], [ids[i] for i in hold]
             leaf = f.leaves(unit(unpack(raw, dim)))
             for t in range(leaf.shape[1]):
                 yield pa.RecordBatch.from_arrays(
@@ -163,23 +187,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
     def visit(batches):
         f = forest  # bounded: trees * 2**depth planes travel with the code
         for _, raw, ids in text_batches(batches, "raw", "id"):
-            rows = [(t, x, r, d) for r, d in zip(raw, ids) if len(r) == width
+            rows = [(t, x, r, d) for r, d in zip(raw, ids)
                     for t, x in f.search(unit(unpack([r], dim))[0], visits)]
             t, x, r, d = list(zip(*rows)) or ((), (), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(t, pa.int32()), pa.array(x, pa.int64()),
                                               pa.array(r, pa.binary()), pa.array(d, pa.int64())],
                                              names=["tree", "leaf", "raw", "id"])
 
-    def pack_query(batches):
-        for _, ids, vs in text_batches(batches, "id", "v"):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()),
-                 pa.array([(np.array(v, "<f8") + 0.0).tobytes() for v in vs], pa.binary())], names=["id", "raw"])
-
-    asked = materialize(
-        queries.filter(usable(vector) & F.col(key).isNotNull())
-        .select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
-        .mapInArrow(pack_query, "id long, raw binary").distinct(), "queries")
     query_blocks = max(1, -(-asked.count() // block))
     cells = classes.mapInArrow(place, "tree int, leaf long, raw binary, ids array<long>").withColumn(
         "ib", F.pmod(F.xxhash64("raw"), F.lit(index_blocks))).withColumn(
@@ -205,8 +219,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
 
     near = (cells.groupBy(*keys).cogroup(visits_rows.groupBy(*keys))
             .applyInPandas(rank, "query_id long, vec_id long, raw binary").distinct())
-    vectors_of = asked.filter(F.octet_length("raw") == width).select(
-        F.col("id").alias("_id"), F.col("raw").alias("_q"))
+    vectors_of = asked.select(F.col("id").alias("_id"), F.col("raw").alias("_q"))
 
     def exact(batches):
         for batch, q, v, a, b in text_batches(batches, "query_id", "vec_id", "_q", "raw"):
@@ -219,10 +232,5 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
             yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(score)],
                                              names=["query_id", "vec_id", "score"])
 
-    scored = (near.join(vectors_of, F.col("query_id") == F.col("_id"))
-              .mapInArrow(exact, "query_id long, vec_id long, score double")
-              .groupBy("query_id", "vec_id").agg(F.max("score").alias("score")))
-    # at most visits * k rows a query
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    return (near.join(vectors_of, F.col("query_id") == F.col("_id"))
+            .mapInArrow(exact, "query_id long, vec_id long, score double"))

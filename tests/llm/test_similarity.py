@@ -187,7 +187,7 @@ def test_pairs_are_found_over_short_partitions(spark):
     nodes = spark.createDataFrame(
         [(i, 0, v.astype("<f8").tobytes(), np.zeros(16).tobytes(), 1) for i, v in enumerate(u)],
         "node long, label_no long, raw binary, centre binary, passes int")
-    got = embed_dedup._link_passes(nodes, 16, 16, 0.93).collect()  # 14 rows over 8 partitions
+    got = embed_dedup._link_passes(nodes, 16, 0.93).collect()  # 14 rows over 8 partitions
     assert sorted({(min(r.a, r.b), max(r.a, r.b)) for r in got}) == links
 
 
@@ -222,6 +222,26 @@ def test_few_candidates_are_all_returned(spark):
     assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == [(0, 1, 1), (0, 2, 50), (50, 1, 1), (50, 2, 0)]
 
 
+def test_every_vector_length_is_compared(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for dim, n in ((16, 12), (6, 5)):
+        for _ in range(n):
+            v = rng.normal(size=dim)
+            rows += [(len(rows), v.tolist(), 0), (len(rows) + 1, (v + rng.normal(scale=0.05, size=dim)).tolist(), 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    scores = {(i, j): np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b)
+              for (i, a, _), (j, b, _) in itertools.permutations(rows, 2) if len(a) == len(b)}
+    links = [p for p, s in scores.items() if s >= 0.93]
+    got = {r.vec_id: r for r in embed_dedup.near_duplicates(df).collect()}
+    assert {i: r.component_id for i, r in got.items()} == closure(range(len(rows)), links)
+    assert {i: r.n_links for i, r in got.items()} == {i: sum(a == i for a, _ in links) for i in range(len(rows))}
+    near = {(r.query_id, r["rank"]): r.vec_id for r in ann.nearest(df, df).collect()}
+    for i, v, _ in rows:
+        best = sorted((j for j, w, _ in rows if j != i and len(w) == len(v)), key=lambda j: -scores[i, j])[:5]
+        assert [near[i, k] for k in range(1, 6)] == best
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     vecs = spark.createDataFrame([], "vec_id long, embedding array<double>, label int")
