@@ -18,7 +18,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelkit.llm.common import bounded_batches, bounded_sample, hash_words, mix64
+from panelkit.llm.common import bounded_batches, hash_words, mix64
+from panelkit.session import materialize
 
 UNKNOWN = "und"
 _M = np.uint32(0x9E3779B1)
@@ -124,13 +125,30 @@ def train(texts: list[str], langs: list[str], bits: int = 16, dim: int = 16, epo
     return model
 
 
+def _per_language(rows: DataFrame, max_rows: int, least: int) -> DataFrame:
+    """About ``max_rows`` of ``rows`` at most, with about ``least`` of each
+    language ``l`` or all of a rarer one, by the hash ``h``."""
+    counts = materialize(rows.groupBy("l").agg(F.count(F.lit(1)).alias("_n")), "languages")
+    kinds, n = counts.agg(F.count(F.lit(1)), F.sum("_n")).first()
+    if not n or n <= max_rows:
+        return rows
+    floor = min(least, max_rows // kinds)
+    wanted = floor + (max_rows - floor * kinds) / n * F.col("_n")
+    share = counts.select(F.col("l").alias("_l"), (F.least(wanted / F.col("_n"), F.lit(1.0)) * (1 << 30)).alias("_keep"))
+    return (rows.join(share, F.col("l") == F.col("_l"))
+            .filter(F.pmod(F.xxhash64(F.lit("sample"), "h"), F.lit(1 << 30)) < F.col("_keep"))
+            .select(*rows.columns))
+
+
 def fit_language_model(docs: DataFrame, usable: Column | None = None, key: str = "doc_id",
                        text: str = "text", lang: str = "lang", max_train_rows: int = 5000,
-                       **options) -> LanguageModel:
+                       least: int = 200, **options) -> LanguageModel:
     """Fit on at most about ``max_train_rows`` documents with a language and a
-    letter in the text, chosen by a hash of key and text; ``usable`` (on the
-    key) says which may be learned from.  Without any, the model knows no
-    language and answers ``und``."""
+    letter in the text, chosen per language by a hash of key and text: about
+    ``least`` of each language (all of a rarer one; an equal share of the rows
+    where the languages are too many for that), the rest in proportion.
+    ``usable`` (on the key) says which may be learned from.  Without any, the
+    model knows no language and answers ``und``."""
     rows = docs if usable is None else docs.filter(usable)
     rows = rows.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t"), F.col(lang).alias("l")) \
         .filter(F.col("l").isNotNull() & F.col("t").rlike(r"\p{L}")) \
@@ -144,7 +162,7 @@ def fit_language_model(docs: DataFrame, usable: Column | None = None, key: str =
         return pd.DataFrame({"model": [pickle.dumps(asdict(train(pdf["t"].tolist(), pdf["l"].tolist(), **options)))]})
 
     # the sample is bounded by max_train_rows and is fitted in one task
-    model = (bounded_sample(rows, "h", max_train_rows).withColumn("_one", F.lit(0))
+    model = (_per_language(rows, max_train_rows, least).withColumn("_one", F.lit(0))
              .groupBy("_one").applyInPandas(learn, "model binary").first())
     return LanguageModel(**pickle.loads(model[0])) if model else train([], [], **options)
 

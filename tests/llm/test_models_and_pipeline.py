@@ -84,6 +84,15 @@ def test_bounded_sample_is_the_same_every_time(spark):
     assert 400 <= len(a) <= 600
 
 
+def test_rare_language_is_learned(spark):
+    rows = [(i, f"the words of text {i} are plain", "en") for i in range(12_000)]
+    rows += [(20_000 + i, f"τα λόγια του κειμένου {i} είναι απλά", "el") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit_language_model(docs, max_train_rows=300)
+    assert model.languages == ["el", "en"]
+    assert model.predict("είναι τα λόγια του κειμένου")[0] == "el"
+
+
 @needs_tables
 def test_pipeline_stages(spark, scratch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
