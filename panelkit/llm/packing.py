@@ -16,6 +16,7 @@ first fit on falling length in one small task.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -112,14 +113,22 @@ class WordTokenizer:
                 other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)))
         return [found[w] for w in words]
 
+    @staticmethod
+    def _apart(core: str) -> bool:
+        """Whether marks after these letters are tokenized by themselves: not
+        where the last letter is normalized into several characters, as a
+        combining one at the end joins the marks."""
+        return core.isalpha() and len(unicodedata.normalize("NFC", core[-1]).lower()) == 1
+
     def _learn(self) -> None:
         """Append the ids of the words listed as unseen.  A word of letters
-        followed by marks is its letters' ids and then its marks' ids."""
+        followed by marks is its letters' ids and then its marks' ids, where
+        the tokenizer parts them."""
         parts, new = [], {}
         for w in self.places.fresh:
             t = w.decode("utf-8", "replace")
             core = t.rstrip(".,;:!?")
-            if len(core) < len(t) and core.isalpha():
+            if len(core) < len(t) and self._apart(core):
                 parts.append((core, t[len(core):]))
                 new[core] = new[t[len(core):]] = None
             else:

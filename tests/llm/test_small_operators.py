@@ -224,6 +224,17 @@ def test_word_cache_equals_the_tokenizer():
         assert own.encode([t])[0].tolist() == tok.encode(t or "", add_special_tokens=False).ids
 
 
+def test_every_letter_alone_in_words_and_before_marks():
+    from tokenizers import Tokenizer
+
+    tok, own = Tokenizer.from_file(tokenizer_path()), packing.WordTokenizer(tokenizer_path())
+    texts = [f"{c} a{c}b x{c} {c}. x{c}, {c}; {c}: x{c}! {c}?" for c in map(chr, range(0x32000)) if c.isalpha()]
+    for at in range(0, len(texts), 8192):
+        part = texts[at:at + 8192]
+        for t, ids, e in zip(part, own.encode(part), tok.encode_batch_fast(part, add_special_tokens=False)):
+            assert ids.tolist() == e.ids, t
+
+
 @pytest.mark.parametrize("run", [
     pii.extract, sharding.shard_documents, mixing.mix_documents,
     lambda d: packing.pack_documents(d, tokenizer_path())])
