@@ -249,3 +249,11 @@ def test_empty_tables(spark):
     assert substring.repeated_spans(docs).collect() == []
     assert embed_dedup.near_duplicates(vecs).collect() == []
     assert ann.nearest(vecs, vecs).collect() == []
+
+
+def test_vectors_with_null_and_repeated_keys(spark):
+    a, b, c = [1.0, 0.0, 0.0], [1.0, 0.01, 0.0], [0.0, 0.0, 1.0]
+    rows = [(None, a, 0), (None, a, 0), (None, b, 0), (5, b, 0), (5, b, 0), (None, c, 0), (None, c, 1), (6, c, None)]
+    got = embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in got.collect()) == Counter(
+        [(None, 4, 5, False)] * 3 + [(5, 4, 5, True)] * 2 + [(None, 0, None, False)] * 2 + [(6, 0, 6, True)])
