@@ -2,8 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and applies one operator of
 ``panelkit.llm`` to all its predecessor kept.  All but the last return the
-columns of ``docs``.  Stages join their decisions back by document key and
-text hash; rows equal in both count as one document.
+columns of ``docs``.  Near-duplicate and personal-data decisions join back by
+document key and text hash, the mix by a fingerprint of the whole row.
 """
 
 from __future__ import annotations
@@ -32,7 +32,13 @@ def _same(other: DataFrame):
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below 0.5; learned from ``labels`` (held-out keys are
-    those of the toxicity query)."""
+    those of the toxicity query).
+
+    Every row is scored by its own text, whatever its key: repeated rows go or
+    stay together, null and empty texts have the score of a text without
+    features, a score of exactly 0.5 goes, very long texts are scored whole;
+    an empty table gives an empty one.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = fit_toxicity(docs, labels, usable=crc_mod("doc_id", 5) != 0)
     return docs.filter(toxicity_score(model) < 0.5)
@@ -52,7 +58,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by its kind; ``n_chars`` follows the text."""
+    """Personal data replaced by its kind; ``n_chars`` follows the text.
+    Null texts stay null (``n_chars`` too), rows are never joined or dropped by
+    key alone, an empty table gives an empty one."""
     more = materialize(extract(docs).filter(F.size("added") > 0).select("doc_id", "text_hash", "added")
                        .dropDuplicates(["doc_id", "text_hash"]), "added")
     none = F.lit(None).cast(more.schema["added"].dataType)
@@ -65,20 +73,37 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return rows.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
+def _fingerprint(docs: DataFrame):
+    """One string per row that is equal for rows equal in every column only
+    (128 bits; nulls count as values)."""
+    cells = [x for c in docs.columns for x in (docs[c].isNull(), docs[c])]
+    return F.concat(*[F.hex(F.xxhash64(F.lit(seed), *cells)) for seed in ("left", "right")])
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
-    mix = mix_documents(docs).groupBy("doc_id", "source", "text_hash").agg(
+    """Every document as often as the mix takes it.
+
+    Rows are told apart by all their columns, so rows of equal key, text and
+    source keep their own copies; only rows equal throughout share theirs.
+    Null and repeated keys, null, empty and very long texts are documents like
+    any other (without words: one copy); an empty table gives an empty one.
+    """
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), _fingerprint(docs).alias("_f"))
+    sized = rows.select(F.col("_f").alias("doc_id"), F.col("row")["text"].alias("text"),
+                        F.col("row")["source"].alias("source"))
+    mix = mix_documents(sized).groupBy("doc_id").agg(
         F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
     mix = materialize(mix.filter("copies > 0"), "mix")
-    rows = _keyed(docs).withColumn("_s", F.col("row")["source"])
-    if not mix.filter("rows > 1").isEmpty():  # their copies are given together
-        rows = rows.dropDuplicates(["_d", "_h", "_s"])
-    return (rows.join(mix, _same(mix) & F.col("_s").eqNullSafe(mix["source"]))
+    if not mix.filter("rows > 1").isEmpty():  # equal rows: their copies are given together
+        rows = rows.dropDuplicates(["_f"])
+    return (rows.join(mix, F.col("_f") == mix["doc_id"])
             .select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("row.*"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 4096 tokens."""
+    """Pieces of the documents in sequences of 4096 tokens.  A null or empty
+    text is one end token; keys may be null or repeated; an empty table gives
+    no piece."""
     return pack_documents(docs, tokenizer_path())
 
 
