@@ -139,7 +139,16 @@ def test_pipeline_keeps_rows_whole(spark):
     mixed = corpus_pipeline.mix_sources(spark, docs, SF)
     assert mixed.columns == docs.columns
     assert {r.doc_id for r in mixed.collect()} >= {2, 3}
-    for stage in (corpus_pipeline.drop_near_duplicates, corpus_pipeline.mask_personal_data,
+    copies = Counter((r.doc_id, r.row) for r in corpus_pipeline.mix_sources(
+        spark, spark.createDataFrame(
+            [(None, None, "en", "s", 1, "p"), (None, None, "de", "s", 1, "p"), (7, text, "en", "s", 40, "x"),
+             (7, text, "fr", "s", 40, "y"), (7, text, "fr", None, 40, "y"), (8, text, "en", "s", 40, "z"),
+             (8, text, "en", "s", 40, "z")], docs.schema), SF).collect())
+    assert copies[(None, "p")] == 2 and {(7, "x"), (7, "y"), (8, "z")} <= set(copies)
+    assert sum(copies.values()) == 7
+    unharmed = corpus_pipeline.drop_toxic(spark, docs, SF)
+    assert Counter((r.doc_id, r.row) for r in unharmed.collect()) == Counter((d, q) for d, *_, q in rows)
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_near_duplicates, corpus_pipeline.mask_personal_data,
                   corpus_pipeline.mix_sources, corpus_pipeline.pack):
         assert stage(spark, docs.limit(0), SF).collect() == []
 
