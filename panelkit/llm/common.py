@@ -88,6 +88,14 @@ def worker_store() -> dict:
     return module.__dict__.setdefault("store", {})
 
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def lower_ascii(text: Column) -> Column:
+    """The text with A-Z in lower case, everything else as it is."""
+    return F.translate(text, _UPPER, _UPPER.lower())
+
+
 def crc_mod(key: str, n: int) -> Column:
     """crc32 of the key's text modulo ``n`` (null key: null)."""
     return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(n))

@@ -73,7 +73,67 @@ ranked AS (
          vec_id, score FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
+_CELLS = "concat(" + ", ".join(
+    f"coalesce(strlen(CAST({{{c}}} AS VARCHAR)) || ':' || CAST({{{c}}} AS VARCHAR), '-')"
+    for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({_CELLS.format(doc_id='doc_id', source='source', lang='lang', n_chars='n_chars', text=text)})"
+
+
+# crc32 bit by bit: each byte, then eight shifts
+_CRC = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(
+    string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+
+OP11 = f"""
+WITH RECURSIVE leaves AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, {_leaf('text')} AS leaf,
+         CASE WHEN {_CRC} % 3 = 0 THEN
+           {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS tampered
+  FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+nodes(lang, level, pos, n, h) AS (
+  SELECT lang, 0, pos, n, leaf FROM placed
+  UNION ALL
+  SELECT lang, level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY lang, level, n, pos // 8),
+langs AS (
+  SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+over_nodes(level, pos, n, h) AS (
+  SELECT 0, pos, n, h FROM langs
+  UNION ALL
+  SELECT level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY pos))
+  FROM over_nodes WHERE n > 1 GROUP BY level, n, pos // 8),
+inner_fold(r, lang, level, pos, n, folded, proof) AS (
+  SELECT r, lang, 0, pos, n, coalesce(tampered, leaf), '' FROM placed
+  UNION ALL
+  SELECT f.r, f.lang, f.level + 1, f.pos // 8, (f.n + 7) // 8,
+         sha256(string_agg(CASE WHEN m.pos = f.pos THEN f.folded ELSE m.h END, '' ORDER BY m.pos)),
+         f.proof || string_agg(CASE WHEN m.pos = f.pos THEN '' ELSE m.h END, '' ORDER BY m.pos)
+  FROM inner_fold f JOIN nodes m
+    ON m.lang IS NOT DISTINCT FROM f.lang AND m.level = f.level AND m.pos // 8 = f.pos // 8
+  WHERE f.n > 1 GROUP BY f.r, f.lang, f.level, f.pos, f.n, f.folded, f.proof),
+outer_fold(r, level, pos, n, folded, proof) AS (
+  SELECT f.r, 0, l.pos, l.n, f.folded, f.proof
+  FROM inner_fold f JOIN langs l ON l.lang IS NOT DISTINCT FROM f.lang WHERE f.n = 1
+  UNION ALL
+  SELECT f.r, f.level + 1, f.pos // 8, (f.n + 7) // 8,
+         sha256(string_agg(CASE WHEN m.pos = f.pos THEN f.folded ELSE m.h END, '' ORDER BY m.pos)),
+         f.proof || string_agg(CASE WHEN m.pos = f.pos THEN '' ELSE m.h END, '' ORDER BY m.pos)
+  FROM outer_fold f JOIN over_nodes m ON m.level = f.level AND m.pos // 8 = f.pos // 8
+  WHERE f.n > 1 GROUP BY f.r, f.level, f.pos, f.n, f.folded, f.proof)
+SELECT p.doc_id, p.leaf, l.h AS subroot, t.h AS root, sha256(o.proof) AS proof_sha256, o.folded AS folded_root,
+       o.folded = t.h AS verified
+FROM placed p JOIN langs l ON l.lang IS NOT DISTINCT FROM p.lang
+JOIN outer_fold o ON o.r = p.r AND o.n = 1, (SELECT h FROM over_nodes WHERE n = 1) t"""
+
 ORACLE = {
+    "op11_butterfly_manifest": OP11,
     "op3_minhash_inverted_join": OP3,
     "op5_fm_substrings": OP5,
     "op6_sorted_projections": OP6,

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelkit.llm.common import read_documents
+from panelkit.llm.common import crc_mod, read_documents
 from panelkit.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,7 +58,6 @@ def op10_harmonic_packing(spark, sf_dir):
 @query
 def op7_ftrl_toxicity(spark, sf_dir):
     """Toxicity of all documents; rows with crc32(doc_id) mod 5 = 0 held out."""
-    from panelkit.llm.common import crc_mod
     from panelkit.llm.toxicity import fit_toxicity, toxicity_score
 
     docs = read_documents(spark, sf_dir, "doc_id", "text")
@@ -72,7 +71,6 @@ def op7_ftrl_toxicity(spark, sf_dir):
 @query
 def op9_subword_langid(spark, sf_dir):
     """Language of all documents; rows with crc32(doc_id) mod 3 = 1 held out."""
-    from panelkit.llm.common import crc_mod
     from panelkit.llm.langid import fit_language_model, identify
 
     docs = read_documents(spark, sf_dir, "doc_id", "text", "lang")
@@ -124,3 +122,20 @@ def op5_fm_substrings(spark, sf_dir):
 
     out = repeated_spans(read_documents(spark, sf_dir, "doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op11_butterfly_manifest(spark, sf_dir):
+    """Merkle proofs of all documents, checked against rows of which every
+    third (by crc32 of its doc_id) has its text lower-cased."""
+    from panelkit.llm.common import lower_ascii
+    from panelkit.llm.merkle import fold_proof, manifest, row_digest
+
+    cells = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = row_digest([lower_ascii(F.col(c)) if c == "text" else F.col(c) for c in cells])
+    out = manifest(read_documents(spark, sf_dir, *cells), cells,
+                   carry={"tampered": F.when(crc_mod("doc_id", 3) == 0, tampered)})
+    folded = fold_proof(F.coalesce("tampered", "leaf"), F.col("proof"), F.col("places"), F.col("counts"))
+    out = out.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"),
+                     folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
