@@ -132,7 +132,30 @@ SELECT p.doc_id, p.leaf, l.h AS subroot, t.h AS root, sha256(o.proof) AS proof_s
 FROM placed p JOIN langs l ON l.lang IS NOT DISTINCT FROM p.lang
 JOIN outer_fold o ON o.r = p.r AND o.n = 1, (SELECT h FROM over_nodes WHERE n = 1) t"""
 
+_WORDS12 = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+OP12 = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS12} AS w FROM documents),
+items AS (SELECT item_id, {_WORDS12} AS w FROM benchmark),
+asked AS (
+  SELECT DISTINCT item_id, list_slice(w, i, i + 9) AS s
+  FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM items WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT len(s) AS n FROM asked),
+places AS (
+  SELECT r, i, n, list_slice(w, i, i + n - 1) AS s
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, lengths WHERE len(w) >= n)),
+found AS (SELECT r, i, n, item_id FROM places JOIN asked USING (s)),
+hit AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + n)) AS p FROM found) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n, string_agg(x, ',' ORDER BY x) AS items
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM found) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(m.n, 0) AS n_items,
+       sha256(coalesce(m.items, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
+FROM docs d LEFT JOIN hit h ON h.r = d.r LEFT JOIN named m ON m.r = d.r"""
+
 ORACLE = {
+    "op12_positional_index": OP12,
     "op11_butterfly_manifest": OP11,
     "op3_minhash_inverted_join": OP3,
     "op5_fm_substrings": OP5,

@@ -139,3 +139,15 @@ def op11_butterfly_manifest(spark, sf_dir):
     out = out.select("doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"),
                      folded.alias("folded_root"))
     return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op12_positional_index(spark, sf_dir):
+    """Words of all documents inside 10-word windows of the benchmark's items."""
+    from panelkit.llm.decontamination import decontaminate
+
+    out = decontaminate(read_documents(spark, sf_dir, "doc_id", "text"),
+                        spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
