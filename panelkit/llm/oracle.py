@@ -154,7 +154,29 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit,
        sha256(coalesce(m.items, '')) AS items_sha256, h.n IS NOT NULL AS contaminated
 FROM docs d LEFT JOIN hit h ON h.r = d.r LEFT JOIN named m ON m.r = d.r"""
 
+OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id,
+         CAST(list_inner_product(a.v, c.v) AS BIGINT) AS s
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, s AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, s AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * s AND 100 * s <= 100 * positive_score
+QUALIFY rank <= 5"""
+
 ORACLE = {
+    "op13_anchor_tree": OP13,
     "op12_positional_index": OP12,
     "op11_butterfly_manifest": OP11,
     "op3_minhash_inverted_join": OP3,

@@ -151,3 +151,14 @@ def op12_positional_index(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
                       (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query
+def op13_anchor_tree(spark, sf_dir):
+    """Hard negatives of every vec_id divisible by 100, among all rows; the
+    label of every seventh row is moved on by one."""
+    from panelkit.llm.hard_negatives import hard_negatives
+
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
