@@ -68,9 +68,9 @@ def _slabs(wins: DataFrame, slab: int):
 
 
 def rarest_terms(tokens: DataFrame, wins: DataFrame, rare: int) -> DataFrame:
-    """``win, terms``: structs ``n, off, term`` of up to ``rare`` distinct terms
-    of each window, the rarest in the corpus first; windows with a term that
-    the corpus lacks are left out."""
+    """``win, terms``: structs ``n, off, term`` of ``rare`` distinct terms of each
+    window, the rarest in the corpus first (of fewer, the last is repeated);
+    windows with a term that the corpus lacks are left out."""
     places = wins.select("win", F.posexplode("words").alias("off", "word")).select(
         "win", "off", _term(F.col("word")).alias("term"))
     wanted = places.select("term").distinct()
@@ -80,8 +80,9 @@ def rarest_terms(tokens: DataFrame, wins: DataFrame, rare: int) -> DataFrame:
     ranked = (firsts.join(counts, "term", "left")
               .groupBy("win").agg(F.sort_array(F.collect_list(F.struct(
                   F.coalesce("n", F.lit(0)).alias("n"), "off", "term"))).alias("terms")))
-    return materialize(ranked.filter(F.col("terms")[0]["n"] > 0).select(
-        "win", F.slice("terms", 1, rare).alias("terms")), "rarest")
+    last = F.size("terms") - 1
+    firsts = F.array(*[F.get("terms", F.least(F.lit(k), last)) for k in range(rare)])
+    return materialize(ranked.filter(F.col("terms")[0]["n"] > 0).select("win", firsts.alias("terms")), "rarest")
 
 
 def postings(tokens: DataFrame, plan: DataFrame) -> DataFrame:
@@ -104,9 +105,8 @@ def intersected(index: DataFrame, plan: DataFrame, rare: int, slop: int = 0) ->
     lists = index.select(F.col("term").alias("_t"), F.col("row").alias("_r"), F.col("pos").alias("_p"),
                          F.floor(F.col("pos") / width).alias("_b"))
     for k in range(1, rare):
-        step = F.get("terms", F.lit(k))
-        more = found.filter(F.size("terms") > k).withColumn("_term", step["term"]) \
-            .withColumn("_need", F.col("start") + step["off"])
+        step = F.col("terms")[k]
+        more = found.withColumn("_term", step["term"]).withColumn("_need", F.col("start") + step["off"])
         same = (F.col("_term") == F.col("_t")) & (F.col("row") == F.col("_r"))
         if slop:
             more = more.withColumn("_bucket", F.explode(F.sequence(
@@ -116,7 +116,7 @@ def intersected(index: DataFrame, plan: DataFrame, rare: int, slop: int = 0) ->
             met = more.join(lists, near, "left_semi").drop("_bucket").dropDuplicates(["row", "start", "win"])
         else:
             met = more.join(lists, same & (F.col("_need") == F.col("_p")), "left_semi")
-        found = found.filter(F.size("terms") <= k).unionByName(met.select(*found.columns))
+        found = met.select(*found.columns)
     return found.select("row", "start", "win")
 
 
