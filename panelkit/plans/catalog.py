@@ -661,17 +661,14 @@ def q_feature_importance(spark, d):
 
 @query("rf_counterfactual_results")
 def q_rf_counterfactual_results(spark, d):
-    """Train, save the feature stages and the forest (K6), load both back
+    """Save the feature stages and the tuned forest (K6), load both back
     (S10, S11), score the written panel (K1 -> S3) under every scenario and
     write the scenario table as one CSV file with a header (K2)."""
     panel_path = scratch_path(spark, "panel_features")
     writers.write_parquet(flagship(spark, d), panel_path)
     p = read_parquet(spark, panel_path)
     stages = ml.feature_stages().fit(p)
-    enc = stages.transform(p).withColumn("label", F.col("Avg_kWh"))
-    chosen = tuned(spark, d)[2].filter("is_best").first()
-    train = materialize(ml.hash_split(enc, ["State", "Year"]).filter(F.col("split") == "train"), "train")
-    forest = ml.forest(num_trees=chosen.numTrees, max_depth=chosen.maxDepth, seed=42).fit(train)
+    t, forest, _ = tuned(spark, d)
     stages_path, model_path = scratch_path(spark, "feature_stages"), scratch_path(spark, "forest")
     stages.write().overwrite().save(stages_path)
     forest.write().overwrite().save(model_path)
@@ -682,10 +679,9 @@ def q_rf_counterfactual_results(spark, d):
     out_path = scratch_path(spark, "counterfactuals")
     writers.write_csv(wide, out_path, single_file=True)
     back = csv_src.read_typed_csv(spark, out_path, wide.schema)
-    r = train.agg(F.min("label"), F.max("label")).first()
     inside = F.lit(True)
     for c in sc.prediction_columns():
-        inside = inside & F.col(c).between(r[0] - 1e-6, r[1] + 1e-6)
+        inside = inside & F.col(c).between(*_label_range(t))
     return back.withColumn("in_range", inside)
 
 
@@ -755,13 +751,12 @@ def q_alt_learners_results(spark, d):
     """The forest, gradient-boosted trees and linear regression on the same
     deterministic split: held-out rows, their metrics, and whether these are
     sound (0 <= mae <= rmse, r2 <= 1)."""
-    t = training_table(spark, d)
+    t, forest, _ = tuned(spark, d)
     train, test = t.filter(F.col("split") == "train"), t.filter(F.col("split") == "test")
     out = None
-    chosen = tuned(spark, d)[2].filter("is_best").first()
-    for name, est in (("forest", ml.forest(num_trees=chosen.numTrees, max_depth=chosen.maxDepth, seed=42)),
-                      ("gbt", ml.other_learner("gbt")), ("linear", ml.other_learner("linear"))):
-        m = ml.regression_metrics(est.fit(train).transform(test)).select(
+    for name, model in (("forest", forest), ("gbt", ml.other_learner("gbt").fit(train)),
+                        ("linear", ml.other_learner("linear").fit(train))):
+        m = ml.regression_metrics(model.transform(test)).select(
             F.lit(name).alias("learner"), "n", "rmse", "mae", "r2",
             ((F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse") + 1e-9) & (F.col("r2") <= 1)).alias("sound"))
         out = m if out is None else out.unionByName(m)

@@ -5,12 +5,16 @@ from __future__ import annotations
 import functools
 import math
 import os
+import random
 
 import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from panelkit import schemas as S
+from panelkit.operators import forest_grid
 from panelkit.operators import model as ml
 from panelkit.operators import scenario as sc
 
@@ -158,3 +162,81 @@ def test_model_queries_return_their_results(spark, monkeypatch):
         assert 0 < r.mae <= r.rmse and r.r2 <= 1
     forest = next(r for r in got["alt_learners"] if r.learner == "forest")
     assert forest.n == len(want)
+
+
+def _training(spark, n=400):
+    rng = random.Random(5)
+    rows = [(f"s{i % 6}", 2000 + i, float(i % 9), rng.random(), 3.0 * (i % 6) + rng.random() + 0.2 * (i % 9))
+            for i in range(n)]
+    p = spark.createDataFrame(rows, "State string, Year int, DC_Opened double, PrevPrice double, label double")
+    return ml.feature_stages().fit(p).transform(p)
+
+
+def test_prefixes_of_a_forest(spark):
+    """The whole prefix is the model itself; shorter and shallower ones are
+    the means of its first trees, cut, followed by hand."""
+    t = _training(spark).withColumn("fold", F.lit(0))
+    m = ml.forest(num_trees=12, max_depth=6, seed=1).fit(t)
+    nodes = forest_grid.node_table(m)
+    got = forest_grid.prefix_predictions(t, nodes, ["State", "Year"], [1, 5, 12], [0, 1, 3, 6]).collect()
+    assert len(got) == 400 * 12
+    whole = {(r.State, r.Year): r.prediction for r in m.transform(t).collect()}
+    tree = {(r.tree, r.id): r for r in nodes.collect()}
+    assert any(r.categorical for r in tree.values()) and any(r.feature >= 0 and not r.categorical for r in tree.values())
+    x = {(r.State, r.Year): r.features.toArray() for r in t.collect()}
+
+    def follow(k, v, depth):
+        node = tree[k, 0]
+        while depth and node.feature >= 0:
+            z = v[node.feature]
+            left = z in node["values"] if node.categorical else z <= node["values"][0]
+            node, depth = tree[k, node.left if left else node.right], depth - 1
+        return node.prediction
+
+    for r in got:
+        key = (r.State, r.Year)
+        if (r.numTrees, r.maxDepth) == (12, 6):
+            assert r.prediction == pytest.approx(whole[key], rel=1e-12)
+        want = sum(follow(k, x[key], r.maxDepth) for k in range(r.numTrees)) / r.numTrees
+        assert r.prediction == pytest.approx(want, rel=1e-12)
+
+
+def test_cut_forest_equals_a_shallow_fit(spark):
+    """Same trees, same draws: a forest fitted at the smaller depth agrees on the first levels."""
+    t = _training(spark).withColumn("fold", F.lit(0))
+    deep, flat = (ml.forest(num_trees=8, max_depth=d, seed=3).fit(t) for d in (5, 1))
+    cut = forest_grid.prefix_predictions(t, forest_grid.node_table(deep), ["State", "Year"], [8], [1])
+    want = {(r.State, r.Year): r.prediction for r in flat.transform(t).collect()}
+    assert {(r.State, r.Year): pytest.approx(r.prediction) for r in cut.collect()} == want
+
+
+def test_nested_grid_fits_once_a_fold(spark, monkeypatch):
+    t = _training(spark)
+    fits = []
+    fit = RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, *a: fits.append(self) or fit(self, *a))
+    m, table = ml.tune(t, ml.forest(seed=3), num_trees=[3, 6, 9], max_depth=[1, 2, 4], folds=4)
+    rows = table.collect()
+    assert len(fits) == 5 and len(rows) == 9
+    best = [r for r in rows if r.is_best]
+    assert len(best) == 1 and best[0].avg_metric == min(r.avg_metric for r in rows)
+    assert (m.getNumTrees, m.getOrDefault("maxDepth")) == (best[0].numTrees, best[0].maxDepth)
+    # the largest point is its own fit: equal to fitting it separately
+    _, apart = ml.tune(t, ml.forest(seed=3), num_trees=[9], max_depth=[4], folds=4, nested=False)
+    assert apart.first().avg_metric == pytest.approx(
+        next(r.avg_metric for r in rows if (r.numTrees, r.maxDepth) == (9, 4)), rel=1e-9)
+    # the others differ by their draws only
+    _, others = ml.tune(t, ml.forest(seed=3), num_trees=[3, 6, 9], max_depth=[1, 2, 4], folds=4, nested=False)
+    near = {(r.numTrees, r.maxDepth): r.avg_metric for r in others.collect()}
+    for r in rows:
+        assert r.avg_metric == pytest.approx(near[r.numTrees, r.maxDepth], rel=0.35)
+
+
+@pytest.mark.parametrize("metric", ["rmse", "mse", "mae", "r2"])
+def test_nested_metrics_equal_the_evaluator(spark, metric):
+    t = _training(spark, 80).withColumn("_fold", (F.col("Year") % 2).cast("int"))
+    est = ml.forest(num_trees=4, max_depth=3, seed=1)
+    got = forest_grid.nested_grid(t, est, num_trees=[4], max_depth=[3], keys=["State", "Year"], metric=metric).first()
+    ev = RegressionEvaluator(metricName=metric)
+    want = [ev.evaluate(est.fit(t.filter(f"_fold <> {k}")).transform(t.filter(f"_fold = {k}"))) for k in (0, 1)]
+    assert got.avg_metric == pytest.approx(sum(want) / 2, rel=1e-9)
