@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from panelkit import schemas as S
 from panelkit.functions import headers
 from panelkit.functions.exprs import not_in_codes, safe_double, safe_int
-from panelkit.operators import clean, effects, features, panel, quality
+from panelkit.operators import clean, effects, features, ordered, panel, quality
 from panelkit.operators import model as ml
 from panelkit.operators import scenario as sc
 from panelkit.plans import roles
@@ -916,3 +916,39 @@ def q_avg_price_weighted(spark, d):
     p = clean.exclude_codes(clean.size_filter(_power(spark, d), SIZES),
                             "Utility_ID", S.ADJUSTMENT_CODES)
     return panel.avg_price(p, weighted_by="Sales_MWh", revenue="Revenue_Thousands")
+
+
+# --------------------------------------------------------------------------
+# windows and dictionaries wider than a task
+# --------------------------------------------------------------------------
+
+
+@query("line_item_series")
+def q_line_item_series(spark, d):
+    """All line items as one series per return flag, by ship date: running
+    quantity, previous price and rolling quantity (3 before, 1 after)."""
+    lines = read_table(spark, d, "lineitem").select(
+        "l_returnflag", "l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.col("l_quantity").cast("bigint").alias("quantity"),
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"))
+    return ordered.long_windows(
+        lines, ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "quantity", "cents"],
+        series=["l_returnflag"],
+        running={"quantity_to_date": "quantity"}, lags={"previous_cents": ("cents", 1)},
+        rolling={"rolling_quantity": "quantity"}).drop("l_shipdate")
+
+
+@query("customer_index")
+def q_customer_index(spark, d):
+    """Frequency index of every customer with an order: no label list on the
+    driver, whatever the number of customers."""
+    return ordered.frequency_index(read_table(spark, d, "orders").select("o_custkey"), "o_custkey")
+
+
+@query("customer_one_hot")
+def q_customer_one_hot(spark, d):
+    """Orders with the index of their customer as sparse one-hot slots; the
+    dictionary is that of the customers of finished orders, so some are unseen."""
+    orders = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    known = ordered.frequency_index(orders.filter("o_orderstatus = 'F'"), "o_custkey")
+    return ordered.wide_one_hot(ordered.encode(orders, known, "o_custkey"), known, ["o_orderkey"])

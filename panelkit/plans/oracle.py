@@ -547,3 +547,37 @@ add("linear_fit", SPLIT, """
 SELECT round(regr_slope(Avg_kWh, PrevPrice), 3) AS slope,
        round(regr_intercept(Avg_kWh, PrevPrice) / 100, 1) AS intercept_hundreds
 FROM split WHERE bucket < 80""")
+
+add("customer_scenarios", CUSTOMER + """,
+wide AS (
+  SELECT custkey, Year, DC_Opened, PrevPrice, Avg_kWh, s.*
+  FROM panel, LATERAL (SELECT
+    PrevPrice + 0.001::DOUBLE * DC_Opened AS Pred_baseline,
+    DC_Opened * 0.9::DOUBLE AS DC_minus10, PrevPrice + 0.001::DOUBLE * (DC_Opened * 0.9::DOUBLE) AS Pred_minus10,
+    DC_Opened * 1.1::DOUBLE AS DC_plus10, PrevPrice + 0.001::DOUBLE * (DC_Opened * 1.1::DOUBLE) AS Pred_plus10,
+    DC_Opened * 1.2::DOUBLE AS DC_plus20, PrevPrice + 0.001::DOUBLE * (DC_Opened * 1.2::DOUBLE) AS Pred_plus20,
+    DC_Opened * 0.75::DOUBLE AS DC_slow75, PrevPrice + 0.001::DOUBLE * (DC_Opened * 0.75::DOUBLE) AS Pred_slow75,
+    DC_Opened * 1.5::DOUBLE AS DC_fast150, PrevPrice + 0.001::DOUBLE * (DC_Opened * 1.5::DOUBLE) AS Pred_fast150,
+    DC_Opened * 0.0::DOUBLE AS DC_ban0, PrevPrice + 0.001::DOUBLE * (DC_Opened * 0.0::DOUBLE) AS Pred_ban0) s)
+""", "SELECT custkey, Year, DC_Opened, round(COLUMNS('(PrevPrice|Avg_kWh|Pred_.*|DC_[a-z].*)'), 6) FROM wide")
+
+# windows and dictionaries wider than a task ------------------------------------------
+ORACLE["line_item_series"] = """
+WITH lines AS (
+  SELECT l_returnflag, l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+         CAST(l_quantity AS BIGINT) AS quantity, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem)
+SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, quantity, cents,
+       CAST(sum(quantity) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS quantity_to_date,
+       lag(cents) OVER w AS previous_cents,
+       CAST(sum(quantity) OVER (w ROWS BETWEEN 3 PRECEDING AND 1 FOLLOWING) AS BIGINT) AS rolling_quantity
+FROM lines
+WINDOW w AS (PARTITION BY l_returnflag
+             ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, quantity, cents)"""
+ORACLE["customer_index"] = """
+SELECT o_custkey, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, o_custkey) - 1 AS "index"
+FROM orders GROUP BY o_custkey"""
+ORACLE["customer_one_hot"] = """
+SELECT o_orderkey, slot, 1.0::DOUBLE AS value
+FROM orders JOIN (
+  SELECT o_custkey, row_number() OVER (ORDER BY count(*) DESC, o_custkey) - 1 AS slot
+  FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey) USING (o_custkey)"""
