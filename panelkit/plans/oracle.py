@@ -559,7 +559,9 @@ wide AS (
     DC_Opened * 0.75::DOUBLE AS DC_slow75, PrevPrice + 0.001::DOUBLE * (DC_Opened * 0.75::DOUBLE) AS Pred_slow75,
     DC_Opened * 1.5::DOUBLE AS DC_fast150, PrevPrice + 0.001::DOUBLE * (DC_Opened * 1.5::DOUBLE) AS Pred_fast150,
     DC_Opened * 0.0::DOUBLE AS DC_ban0, PrevPrice + 0.001::DOUBLE * (DC_Opened * 0.0::DOUBLE) AS Pred_ban0) s)
-""", "SELECT custkey, Year, DC_Opened, round(COLUMNS('(PrevPrice|Avg_kWh|Pred_.*|DC_[a-z].*)'), 6) FROM wide")
+""", # doubles half way between two rounded values go up in decimal, as in Spark
+"SELECT custkey, Year, DC_Opened, "
+    "CAST(round(CAST(COLUMNS('(PrevPrice|Avg_kWh|Pred_.*|DC_[a-z].*)') AS DECIMAL(28, 10)), 6) AS DOUBLE) FROM wide")
 
 # windows and dictionaries wider than a task ------------------------------------------
 ORACLE["line_item_series"] = """
