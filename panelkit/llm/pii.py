@@ -2,26 +2,38 @@
 
 One pass over the texts finds the *base* entities (mail addresses, IP
 addresses, card and phone numbers) and every other identifier-like token
-(a digit or ``@`` in it), each with its lexical context.  The rest works on
-that small table, never on texts.
+(a digit or ``@`` in it), each with its lexical context.
 
 Base entities are the seeds.  A pattern is a context: the two words before, or
-the word on each side, digits folded.  Patterns and instances (distinct
-strings) form a graph; rounds alternate between
-
-* pattern confidence for a kind: the confidence of its instances as that kind,
-  summed, over (distinct instances + ``prior``), with at least ``support``
-  trusted instances;
-* instance confidence: noisy-or over its accepted patterns; seeds stay at 1.
-
-Tokens that stand in an accepted pattern become spans of its kind.  Counting
-distinct instances keeps copies of a document from voting repeatedly.
+the word on each side, whole, digits folded.  An instance is what stands in a
+pattern's slot: a token, or between the words of a two-sided pattern also a run
+of two; of any length and made of any characters, without the punctuation at
+its ends.  Patterns and instances (distinct strings) form a graph; rounds
+alternate between
+
+* patterns: those that ``support`` trusted instances vouch for are looked up
+  in all texts, so that everything in their slots counts; their confidence for
+  a kind is the confidence of their instances as that kind, summed, over
+  (distinct instances + ``prior``);
+* instances: noisy-or over their accepted patterns (seeds stay at 1); those
+  that are not identifier-like are looked up in all texts for their other
+  contexts.
+
+What stands in an accepted pattern, and overlaps no base entity, becomes a span
+of its kind.  Counting distinct instances keeps copies of a document from
+voting repeatedly.  A lookup sends a bitmap of fixed size to every task and
+joins what passes it exactly, so its cost does not depend on how many patterns
+or instances there are.
 """
 
 from __future__ import annotations
 
+import bisect
+import functools
 import re
+import zlib
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -39,7 +51,8 @@ _DIGIT = re.compile(r"[0-9]")
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9]++(?:[ -][0-9]++)*+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_TOKEN = re.compile(r"[^\s]*[0-9@][^\s]*")
+_TOKENS = re.compile(r"\S+")
+_LIKELY = re.compile(r"[0-9@]")
 _EDGES = "\"'.,;:!?()[]{}<>|*#$%&=-"
 _FOLD = re.compile(r"[0-9]+")
 
@@ -106,43 +119,170 @@ def join_spans(spans) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans)
 
 
+def _folded(w: str) -> str:
+    return _FOLD.sub("0", w.strip(_EDGES).lower())
+
+
+_folded_once = functools.lru_cache(maxsize=1 << 17)(_folded)
+
+
 def _word(w: str) -> str:
-    return _FOLD.sub("0", w.strip(_EDGES).lower())[:32]
+    return _folded_once(w) if len(w) <= 64 else _folded(w)
+
+
+class _Tokens:
+    """White-space tokens of a text, for the words around a span."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.spans = [m.span() for m in _TOKENS.finditer(text)]
+        self.starts = [s for s, _ in self.spans]
+
+    def word(self, i: int) -> str:
+        if 0 <= i < len(self.spans):
+            s, e = self.spans[i]
+            return _word(self.text[s:e])
+        return ""
+
+    def context(self, start: int, end: int) -> tuple[str, str]:
+        """The two patterns of a span; empty where words are missing.  What is
+        glued to a span, up to the next punctuation, counts as a word."""
+        i = bisect.bisect_right(self.starts, start) - 1
+        j = bisect.bisect_left(self.starts, end) - 1
+        one, two = self._glued(start - 1, self.spans[i][0] - 1, -1), self.word(i - 1)
+        if not one:
+            one, two = two, self.word(i - 2)
+        right = self._glued(end, self.spans[j][1], 1) or self.word(j + 1)
+        return _patterns(two, one, right)
 
+    def _glued(self, at: int, stop: int, step: int) -> str:
+        text = self.text
+        while at != stop and text[at] in _EDGES:
+            at += step
+        last = at
+        while last != stop and text[last] not in _EDGES:
+            last += step
+        return _word(text[at:last] if step > 0 else text[last + 1:at + 1])
 
-def _context(text: str, start: int, end: int) -> tuple[str, str]:
-    """The two patterns of a span; empty where words are missing."""
-    before = text[max(0, start - 200):start].split()
-    after = text[end:end + 100].split(None, 1)
-    one = _word(before[-1]) if before else ""
-    two = _word(before[-2]) if len(before) > 1 else ""
-    right = _word(after[0]) if after else ""
-    return (f"{two} {one} _" if one and two else "", f"{one} _ {right}" if one and right else "")
+
+def _patterns(two: str, one: str, right: str) -> tuple[str, str]:
+    return f"{two} {one} _" if one and two else "", f"{one} _ {right}" if one and right else ""
+
+
+def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    t = text[start:end]
+    return start + len(t) - len(t.lstrip(_EDGES)), end - (len(t) - len(t.rstrip(_EDGES)))
+
+
+class _Taken:
+    """Base spans merged, to be asked about spans of rising start."""
+
+    def __init__(self, base):
+        self.runs, self.at = [], 0
+        for s, e in sorted((s, e) for _, s, e in base):
+            if self.runs and s < self.runs[-1][1]:
+                self.runs[-1][1] = max(e, self.runs[-1][1])
+            else:
+                self.runs.append([s, e])
+
+    def overlaps(self, start: int, end: int) -> bool:
+        while self.at < len(self.runs) and self.runs[self.at][1] <= start:
+            self.at += 1
+        return any(s < end for s, _ in self.runs[self.at:self.at + 1])
 
 
 def occurrences(text: str | None, base: list[tuple[int, int, int]]) -> list[dict]:
     """Base entities and other identifier-like tokens with their contexts."""
     if not text or not (base or "@" in text or _DIGIT.search(text)):
         return []
-    taken = sorted((s, e) for _, s, e in base)
+    tokens, taken = _Tokens(text), _Taken(base)
     spots = [(k, s, e) for k, s, e in base]
-    i = 0
-    for m in _TOKEN.finditer(text):
-        s, e = m.span()
-        t = m.group()
-        e -= len(t) - len(t.rstrip(_EDGES))
-        s += len(t) - len(t.lstrip(_EDGES))
-        while i < len(taken) and taken[i][1] <= s:
-            i += 1
-        if 3 <= e - s <= 64 and not any(a < e and s < b for a, b in taken[i:i + 4]):
+    for start, end in tokens.spans:
+        if not _LIKELY.search(text, start, end):
+            continue
+        s, e = _trimmed(text, start, end)
+        if s < e and not taken.overlaps(s, e):
             spots.append((-1, s, e))
     out = []
     for k, s, e in spots:
-        p, q = _context(text, s, e)
+        p, q = tokens.context(s, e)
         out.append({"kind": k, "start": s, "stop": e, "item": text[s:e].lower(), "p": p, "q": q})
     return out
 
 
+BITS = 1 << 20
+
+
+def _bit(s: str) -> int:
+    return zlib.crc32(s.encode("utf-8", "replace")) % BITS
+
+
+def _bitmap(strings: DataFrame, column: str):
+    """Bits of the crc32 of all values: one fixed-size array."""
+    bit = F.crc32(F.col(column).cast("binary")) % BITS
+    rows = strings.select(bit.alias("b")).groupBy(F.floor(F.col("b") / 32768).alias("k")).agg(
+        F.bitmap_construct_agg((F.col("b") % 32768).cast("long")).alias("bits")).collect()  # at most BITS / 32768 rows
+    out = np.zeros(BITS // 32768, "V4096")
+    for r in rows:
+        out[r.k] = bytes(r.bits).ljust(4096, b"\0")
+    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
+
+
+def slots(text: str | None, ones, patterns, items) -> list[dict]:
+    """Tokens, and runs of two, that may stand in one of ``patterns`` or be one
+    of ``items`` (bitmaps; ``ones`` has the patterns' words before the slot)."""
+    if not text:
+        return []
+    tokens, out, taken = _Tokens(text), [], None
+    one = two = ""
+    for i in range(len(tokens.spans)):
+        two, one = one, tokens.word(i - 1)
+        framed = bool(one) and ones[_bit(one)]
+        if not framed and items is None:
+            continue
+        for n in (1, 2):
+            if i + n > len(tokens.spans):
+                break
+            s, e = _trimmed(text, tokens.spans[i][0], tokens.spans[i + n - 1][1])
+            if s >= e:
+                continue
+            p, q = _patterns(two if n == 1 else "", one, tokens.word(i + n))
+            item = text[s:e].lower()
+            if (framed and (p and patterns[_bit(p)] or q and patterns[_bit(q)])) or \
+                    (items is not None and items[_bit(item)]):
+                taken = taken or _Taken(base_spans(text))
+                if not taken.overlaps(s, e):
+                    out.append({"kind": -1, "start": s, "stop": e, "item": item, "p": p, "q": q})
+    return out
+
+
+def lookup(docs: DataFrame, patterns: DataFrame, items: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, start, stop, item, pattern`` of everything in the
+    slot of one of ``patterns`` (``pattern``), and of all contexts of ``items``
+    (``item``); once for equal documents."""
+    ones = _bitmap(patterns.select(F.regexp_extract("pattern", r"(\S+) _", 1).alias("one")), "one")
+    wanted = _bitmap(patterns, "pattern")
+    known = None if items.isEmpty() else _bitmap(items, "item")
+
+    def run(batches):
+        occ_type = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("stop", pa.int32()),
+                                       ("item", pa.string()), ("p", pa.string()), ("q", pa.string())]))
+        for batch, texts in text_batches(batches, "text"):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([slots(t, ones, wanted, known) for t in texts], occ_type)],
+                names=["doc_id", "text_hash", "occ"])
+
+    found = map_batches(docs, run, f"doc_id long, text_hash long, occ {_OCC}").select(
+        "doc_id", "text_hash", F.explode("occ").alias("o"))
+    each = found.select("doc_id", "text_hash", "o.start", "o.stop", "o.item",
+                        F.explode(F.array("o.p", "o.q")).alias("pattern")).filter("pattern <> ''").distinct()
+    each = materialize(each, "maybe")
+    sure = each.join(patterns.select(F.col("pattern").alias("_p")), F.col("pattern") == F.col("_p"), "left_semi")
+    if known is not None:
+        sure = sure.union(each.join(items.select(F.col("item").alias("_i")), F.col("item") == F.col("_i"), "left_semi"))
+    return materialize(sure.distinct(), "slots")
+
+
 _OCC = "array<struct<kind:int,start:int,stop:int,item:string,p:string,q:string>>"
 
 
@@ -167,24 +307,51 @@ def scan(docs: DataFrame, key: str, text: str) -> DataFrame:
     return map_batches(rows, run, f"doc_id long, text_hash long, {counts}, base string, occ {_OCC}")
 
 
-def learn_patterns(found: DataFrame, rounds: int = 3, support: int = 5, prior: float = 1.0,
-                   accept: float = 0.8) -> DataFrame:
-    """``pattern, kind, confidence`` of the accepted patterns."""
+def learn_patterns(found: DataFrame, docs: DataFrame, rounds: int = 3, support: int = 5, prior: float = 1.0,
+                   accept: float = 0.8) -> tuple[DataFrame, DataFrame | None]:
+    """``pattern, kind, confidence`` of the accepted patterns, and what
+    :func:`lookup` found (None: no lookup was needed)."""
     occ = found.select(F.explode("occ").alias("o")).select("o.*")
-    edges = materialize(
+    first = materialize(
         occ.select("kind", "item", F.explode(F.array("p", "q")).alias("pattern")).filter("pattern <> ''")
         .groupBy("pattern", "item").agg(F.max("kind").alias("kind")), "edges")
-    seeds = edges.filter("kind >= 0").groupBy("item").agg(F.max("kind").alias("_kind")) \
+    seeds = first.filter("kind >= 0").groupBy("item").agg(F.max("kind").alias("_kind")) \
         .select(F.col("item").alias("_item"), "_kind", F.lit(1.0).alias("_conf"))
-    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("items")).withColumnRenamed("pattern", "_p")
-    trusted = seeds
+    likely = first.select("item").distinct()
+    trusted, edges, seen, met = seeds, first, None, None
+    patterns = first.select("pattern", F.lit(0).alias("kind"), F.lit(1.0).alias("confidence")).filter("false")
+
+    def strength():
+        return (edges.select("pattern", "item").join(trusted, F.col("item") == F.col("_item"))
+                .groupBy("pattern", F.col("_kind").alias("kind")).agg(F.sum("_conf").alias("trust"))
+                .filter(F.col("trust") >= support))
+
+    def confident(vouched):
+        sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("items")).withColumnRenamed("pattern", "_p")
+        return (vouched.join(sizes, F.col("pattern") == F.col("_p"))
+                .withColumn("confidence", F.col("trust") / (F.col("items") + prior))
+                .filter(F.col("confidence") >= accept).select("pattern", "kind", "confidence"))
+
     for _ in range(rounds):
-        strength = (edges.select("pattern", "item").join(trusted, F.col("item") == F.col("_item"))
-                    .groupBy("pattern", F.col("_kind").alias("kind")).agg(F.sum("_conf").alias("trust")))
-        patterns = materialize(
-            strength.filter(F.col("trust") >= support).join(sizes, F.col("pattern") == F.col("_p"))
-            .withColumn("confidence", F.col("trust") / (F.col("items") + prior))
-            .filter(F.col("confidence") >= accept).select("pattern", "kind", "confidence"), "patterns")
+        # more instances only lower a confidence: patterns below it now stay below
+        asked = materialize(confident(strength()).select("pattern").distinct(), "asked")
+        new_items = trusted.select(F.col("_item").alias("item")).join(likely, "item", "left_anti")
+        if seen is not None:
+            fresh = asked.join(seen.withColumnRenamed("pattern", "_p"), F.col("pattern") == F.col("_p"), "left_anti")
+        else:
+            fresh = asked
+        if not fresh.isEmpty() or not new_items.isEmpty():
+            more = lookup(docs, fresh, new_items)
+            met = more if met is None else met.union(more)
+            edges = materialize(
+                first.union(met.select("pattern", "item", F.lit(-1).alias("kind")))
+                .groupBy("pattern", "item").agg(F.max("kind").alias("kind")), "edges")
+            likely = materialize(likely.union(new_items).distinct(), "looked_up")
+            seen = asked if seen is None else materialize(seen.union(fresh), "seen")
+        # accepted only with all that stands in their slots
+        full = strength() if seen is None else strength().join(
+            seen.withColumnRenamed("pattern", "_p"), F.col("pattern") == F.col("_p"), "left_semi")
+        patterns = materialize(confident(full), "patterns")
         if patterns.isEmpty():
             break
         doubt = F.exp(F.sum(F.log1p(-F.least(F.col("confidence"), F.lit(0.999999)))))
@@ -196,7 +363,7 @@ def learn_patterns(found: DataFrame, rounds: int = 3, support: int = 5, prior: f
                .groupBy("item").agg(F.max(F.struct("conf", "kind")).alias("b"))
                .select(F.col("item").alias("_item"), F.col("b.kind").alias("_kind"), F.col("b.conf").alias("_conf")))
         trusted = materialize(seeds.union(new), "instances")
-    return patterns
+    return patterns, met
 
 
 def extract(docs: DataFrame, key: str = "doc_id", text: str = "text", **learning) -> DataFrame:
@@ -205,23 +372,28 @@ def extract(docs: DataFrame, key: str = "doc_id", text: str = "text", **learning
     Returns one row per input row: ``doc_id, text_hash, n_email, n_ip, n_card,
     n_phone, base`` (base spans as ``kind:start:end`` joined by commas),
     ``added`` (array of structs ``kind, start, stop`` from contexts) and
-    ``spans`` (base and added, joined likewise, in order).  A null or empty
-    text has none; keys may be null or repeated; other columns are ignored;
-    an empty table gives an empty result.
+    ``spans`` (base and added, joined likewise, in order).  Spans from contexts
+    may be of any length and overlap each other (a token and a run of two), but
+    no base span.  A null or empty text has none; keys may be null or repeated;
+    very long texts and tokens are read whole; other columns are ignored; an
+    empty table gives an empty result.
     """
-    found = materialize(scan(docs, key, text).withColumn("row", F.monotonically_increasing_id()), "found")
-    patterns = learn_patterns(found, **learning)
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+                       F.col(text).alias("text"))
+    found = materialize(scan(rows, "doc_id", "text"), "found")
+    patterns, met = learn_patterns(found, rows, **learning)
     best = patterns.groupBy("pattern").agg(F.max(F.struct("confidence", "kind")).alias("b")) \
         .select(F.col("pattern").alias("_p"), F.col("b.kind").alias("_kind"), F.col("b.confidence").alias("_conf"))
-    loose = (found.select("row", F.explode("occ").alias("o")).filter("o.kind < 0")
-             .select("row", "o.start", "o.stop", F.explode(F.array("o.p", "o.q")).alias("pattern")))
+    loose = (found.select("doc_id", "text_hash", F.explode("occ").alias("o")).filter("o.kind < 0")
+             .select("doc_id", "text_hash", "o.start", "o.stop", F.explode(F.array("o.p", "o.q")).alias("pattern")))
+    if met is not None:
+        loose = loose.union(met.select("doc_id", "text_hash", "start", "stop", "pattern"))
     added = (loose.join(best, F.col("pattern") == F.col("_p"))
-             .groupBy("row", "start", "stop").agg(F.max(F.struct("_conf", "_kind")).alias("b"))
-             .groupBy("row").agg(F.sort_array(F.collect_list(
-                 F.struct(F.col("b._kind").alias("kind"), "start", "stop"))).alias("added"))
-             .withColumnRenamed("row", "_row"))
+             .groupBy("doc_id", "text_hash", "start", "stop").agg(F.max(F.struct("_conf", "_kind")).alias("b"))
+             .groupBy(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).agg(F.sort_array(F.collect_list(
+                 F.struct(F.col("b._kind").alias("kind"), "start", "stop"))).alias("added")))
     none = F.array().cast("array<struct<kind:int,start:int,stop:int>>")
-    return (found.join(added, F.col("row") == F.col("_row"), "left")
+    return (found.join(added, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")), "left")
             .withColumn("added", F.coalesce("added", none))
             .withColumn("spans", F.when(F.size("added") == 0, F.col("base")).otherwise(_all_spans()))
             .select("doc_id", "text_hash", *(f"n_{k}" for k in KINDS), "base", "added", "spans"))

@@ -73,9 +73,51 @@ def test_base_spans_on_joined_entities(parts):
     assert pii.base_spans("".join(parts)) == plain_spans("".join(parts))
 
 
+def test_instances_of_any_length_and_form(spark):
+    """In learned contexts: 200 characters, letters only, two words; a long
+    word beside the slot; frames that mostly hold other things are dropped."""
+    long_id, cue = "x" * 120 + "7" + "y" * 79, "identifier" * 9
+    rows = [(i, f"please write to user{i}@mail.org for help", "s") for i in range(30)]
+    rows += [(100 + i, f"the {cue} +1 (017) 555-77{i:02d} ends", "s") for i in range(12)]
+    rows += [(200 + i, f"they went with u{i}@mail.org again", "s") for i in range(6)]
+    rows += [(300 + i, f"they went with {w} again", "s") for i, w in enumerate(WORDS)]
+    rows += [(400, f"Please write to {long_id}, for help", "s"), (401, "please write to ("+"secretname) for help", "s"),
+             (402, "so write to jane.doe at-host for help", "s"), (403, f"the {cue} nonumber ends", "s"),
+             (None, "please write to secretname for help", "s"), (404, "ask secretname today", "s")]
+    got = {r.doc_id: r for r in pii.extract(documents(spark, rows)).collect()}
+    spans = {d: [(pii.KINDS[x.kind], t[x.start:x.stop]) for x in got[d].added] for d, t, _ in rows}
+    assert spans[400] == [("email", long_id)] and spans[401] == [("email", "secretname")]
+    assert ("email", "jane.doe at-host") in spans[402] and spans[403] == [("phone", "nonumber")]
+    assert spans[None] == [("email", "secretname")] and spans[404] == []
+    assert all(spans[300 + i] == [] for i in range(len(WORDS))) and spans[5] == []
+
+
+def test_instances_vouch_for_new_contexts(spark):
+    """Names met in a learned frame make another frame known, which then finds
+    names that no seed stands beside."""
+    names = [f"name{c}" for c in "abcdefghijkl"]
+    rows = [(i, f"please write to user{i}@mail.org for help", "s") for i in range(80)]
+    rows += [(100 + i, f"please write to {n} for help", "s") for i, n in enumerate(names)]
+    rows += [(200 + i, f"account of {n} closed", "s") for i, n in enumerate(names)] + [(300, "account of newone closed", "s")]
+    got = {r.doc_id: r.spans for r in pii.extract(documents(spark, rows)).collect()}
+    assert got[300] == "email:11:17" and got[205] == "email:11:16"
+
+
+def test_base_spans_keep_contexts_away():
+    text = "a b x1@y.org-7 c 1.2.3.4.5 d"
+    base = pii.base_spans(text)
+    merged = pii._Taken(base + [(0, 4, 6), (1, 4, 30)])
+    assert merged.runs[0][1] == 30 and merged.overlaps(29, 40) and not merged.overlaps(30, 31)
+    for o in pii.occurrences(text, base):
+        assert o["kind"] >= 0 or not any(s < o["stop"] and o["start"] < e for _, s, e in base)
+
+
 def test_long_runs_take_linear_time():
     for c in ("a", "1", "1 ", "1.", "+1", "@a", "a@"):
-        pii.base_spans(c * 200_000)
+        pii.occurrences(c * 100_000, pii.base_spans(c * 100_000))
+    everything = np.ones(pii.BITS, bool)
+    pii.slots("word " * 50_000, everything, everything, None)
+    pii.slots("w" * 200_000, everything, everything, everything)
 
 
 def test_contexts_find_unseen_identifiers(spark):
