@@ -29,7 +29,6 @@ or instances there are.
 from __future__ import annotations
 
 import bisect
-import functools
 import re
 import zlib
 
@@ -38,7 +37,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelkit.llm.common import map_batches, text_batches
+from panelkit.llm.common import map_batches, text_batches, worker_store
 from panelkit.session import materialize
 
 #: Kinds in the order in which spans are listed.
@@ -123,11 +122,16 @@ def _folded(w: str) -> str:
     return _FOLD.sub("0", w.strip(_EDGES).lower())
 
 
-_folded_once = functools.lru_cache(maxsize=1 << 17)(_folded)
-
-
-def _word(w: str) -> str:
-    return _folded_once(w) if len(w) <= 64 else _folded(w)
+def _word(w: str, known: dict | None = None) -> str:
+    """Folded word; ``known`` keeps up to 131072 short ones for the worker."""
+    if known is None or len(w) > 64:
+        return _folded(w)
+    x = known.get(w)
+    if x is None:
+        if len(known) >= 1 << 17:
+            known.clear()
+        x = known[w] = _folded(w)
+    return x
 
 
 class _Tokens:
@@ -137,11 +141,12 @@ class _Tokens:
         self.text = text
         self.spans = [m.span() for m in _TOKENS.finditer(text)]
         self.starts = [s for s, _ in self.spans]
+        self.known = worker_store().setdefault("folded words", {})
 
     def word(self, i: int) -> str:
         if 0 <= i < len(self.spans):
             s, e = self.spans[i]
-            return _word(self.text[s:e])
+            return _word(self.text[s:e], self.known)
         return ""
 
     def context(self, start: int, end: int) -> tuple[str, str]:
