@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from panelkit import schemas as S
 from panelkit.functions import headers
 from panelkit.functions.exprs import not_in_codes, safe_double, safe_int
-from panelkit.operators import clean, effects, features, ordered, panel, quality
+from panelkit.operators import clean, effects, features, ordered, panel, quality, sketches
 from panelkit.operators import model as ml
 from panelkit.operators import scenario as sc
 from panelkit.plans import roles
@@ -952,3 +952,49 @@ def q_customer_one_hot(spark, d):
     orders = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     known = ordered.frequency_index(orders.filter("o_orderstatus = 'F'"), "o_custkey")
     return ordered.wide_one_hot(ordered.encode(orders, known, "o_custkey"), known, ["o_orderkey"])
+
+
+# --------------------------------------------------------------------------
+# stored sketches
+# --------------------------------------------------------------------------
+
+
+@query("key_sketch_report_results")
+def q_key_sketch_report_results(spark, d):
+    """Orders with a returned line against orders with an accepted line, from
+    key sketches written per ship year: estimates and bounds beside the exact
+    counts, and whether each estimate is inside its bound."""
+    lines = read_table(spark, d, "lineitem").select("l_orderkey", "l_returnflag", F.year("l_shipdate").alias("year"))
+    sides = [lines.filter(F.col("l_returnflag") == f) for f in ("R", "A")]
+    report = sketches.sketch_match_report(*[sketches.key_sketches(s, "l_orderkey", ["year"]) for s in sides])
+    names = ["n_left", "n_right", "n_matched", "n_missing"]
+    exact = quality.key_match_report(*sides, "l_orderkey").select(F.struct(*names)).scalar()
+    return report.withColumn("_x", exact).select(
+        *[F.col("_x")[n].alias(n) for n in names],
+        *[(F.abs(F.col(n) - F.col("_x")[n]) <= F.col(f"{n}_bound")).alias(f"{n}_inside") for n in names],
+        *[F.col(n).alias(f"{n}_estimate") for n in names], *[f"{n}_bound" for n in names])
+
+
+@query("key_sketch_report")
+def q_key_sketch_report(spark, d):
+    """Checkable columns of ``key_sketch_report_results``."""
+    out = q_key_sketch_report_results(spark, d)
+    return out.drop(*[c for c in out.columns if c.endswith(("_estimate", "_bound"))])
+
+
+@query("price_sketch_results")
+def q_price_sketch_results(spark, d):
+    """Median line price per return flag and in total, merged from quantile
+    sketches written per (flag, ship year), with its exact rank."""
+    lines = read_table(spark, d, "lineitem").select(
+        "l_returnflag", F.year("l_shipdate").alias("year"), F.col("l_extendedprice").alias("price"))
+    stored = sketches.value_sketches(lines, "price", ["l_returnflag", "year"])
+    per_flag = sketches.rank_check(lines, "price", sketches.merged_quantiles(stored, ["l_returnflag"]), ["l_returnflag"])
+    total = sketches.rank_check(lines, "price", sketches.merged_quantiles(stored))
+    return per_flag.unionByName(total, allowMissingColumns=True)
+
+
+@query("price_sketch")
+def q_price_sketch(spark, d):
+    """Checkable columns of ``price_sketch_results``."""
+    return q_price_sketch_results(spark, d).select("l_returnflag", "n", "inside")

@@ -583,3 +583,15 @@ SELECT o_orderkey, slot, 1.0::DOUBLE AS value
 FROM orders JOIN (
   SELECT o_custkey, row_number() OVER (ORDER BY count(*) DESC, o_custkey) - 1 AS slot
   FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey) USING (o_custkey)"""
+
+# stored sketches: exact counts; the estimates must lie inside their bounds -------------
+ORACLE["key_sketch_report"] = """
+WITH l AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'R'),
+r AS (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'A')
+SELECT (SELECT count(*) FROM l) AS n_left, (SELECT count(*) FROM r) AS n_right,
+       (SELECT count(*) FROM l JOIN r USING (k)) AS n_matched,
+       (SELECT count(*) FROM l ANTI JOIN r USING (k)) AS n_missing,
+       TRUE AS n_left_inside, TRUE AS n_right_inside, TRUE AS n_matched_inside, TRUE AS n_missing_inside"""
+ORACLE["price_sketch"] = """
+SELECT l_returnflag, count(*) AS n, TRUE AS inside FROM lineitem WHERE l_extendedprice IS NOT NULL
+GROUP BY GROUPING SETS ((l_returnflag), ())"""
