@@ -94,13 +94,13 @@ def scratch_scope(spark: SparkSession):
 
 
 def materialize(df: DataFrame, name: str = "materialized", *, keep: bool = False) -> DataFrame:
-    """Compute a small, reused intermediate once and continue from a copy
-    written as parquet under the shared checkpoint folder.
+    """Compute a reused intermediate once and continue from a copy written as
+    parquet under the shared checkpoint folder.
 
-    Used for aggregates whose size is bounded by the key space (states x
-    years), never for raw rows: every later branch reads the written copy
-    instead of re-running the scans, and a lost executor cannot force the
-    upstream work to run again.  (A reliable ``checkpoint()`` of an
+    Every later branch reads the written copy instead of re-running the scans,
+    and a lost executor cannot force the upstream work to run again.  The panel
+    operators write aggregates bounded by the key space (states x years); the
+    corpus operators and those over long series also write rows.  (A reliable ``checkpoint()`` of an
     unpersisted DataFrame would compute the plan twice: once for the eager
     action and once more to write the checkpoint.)
     """
@@ -126,9 +126,9 @@ def cluster_settings(largest_shuffle_bytes: int, total_cores: int, *,
                      target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a large cluster, sized from the biggest shuffle.
 
-    In these jobs the biggest shuffle is the line-item aggregation on
-    (supplier, year, order) before the distinct count, roughly a third of
-    the scanned line-item bytes.  Start with enough shuffle partitions that
+    In the panel jobs the line items are reduced in every task before they
+    are shuffled; the corpus operators shuffle up to about four times their
+    input.  Start with enough shuffle partitions that
     each holds ``target_partition_bytes`` (and at least a few waves of the
     cluster's cores); AQE then coalesces small ones, splits skewed ones and
     switches joins to broadcast only when a side is measured small.
