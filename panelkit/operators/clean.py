@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from panelkit import schemas as S
 from panelkit.functions.exprs import (normalize_key, normalize_name, not_in_codes,
@@ -155,11 +155,38 @@ def clean_step_counts(consolidated: DataFrame, *, count_col: str, keep_sizes: Co
     groups, groups passing the size filter, groups passing size and code
     filters.
     """
-    return consolidated.agg(
-        F.sum(count_col).alias("n_raw"),
-        F.count(F.lit(1)).alias("n_consolidated"),
-        F.count_if(F.coalesce(keep_sizes, F.lit(False))).alias("n_size_ok"),
-        F.count_if(F.coalesce(keep_sizes & keep_codes, F.lit(False))).alias("n_code_ok"))
+    return consolidated.agg(*_step_counts(count_col, keep_sizes, keep_codes))
+
+
+def _step_counts(count_col: str, keep_sizes: Column, keep_codes: Column) -> list[Column]:
+    return [F.sum(count_col).alias("n_raw"),
+            F.count(F.lit(1)).alias("n_consolidated"),
+            F.count_if(F.coalesce(keep_sizes, F.lit(False))).alias("n_size_ok"),
+            F.count_if(F.coalesce(keep_sizes & keep_codes, F.lit(False))).alias("n_code_ok")]
+
+
+STEP_COUNTS = ("n_raw", "n_consolidated", "n_size_ok", "n_code_ok")
+
+
+def observed_step_counts(consolidated: DataFrame, *, count_col: str, keep_sizes: Column,
+                         keep_codes: Column) -> tuple[DataFrame, Observation]:
+    """A10 without a pass of its own: the rows of ``consolidated``, and the
+    counts of :func:`clean_step_counts`, which are there (``.get``) once the rows
+    have been written.
+
+    Write the returned rows straight away, with no shuffle in between: the
+    counts then belong to the tasks of the writing stage, each counted once,
+    even when executors are lost and earlier stages run again.
+    """
+    seen = Observation()
+    return consolidated.observe(seen, *_step_counts(count_col, keep_sizes, keep_codes)), seen
+
+
+def observed_row(spark: SparkSession, seen: Observation) -> DataFrame:
+    """The observed counts as one row (an empty table: no raw rows, as in the aggregate)."""
+    got = seen.get
+    return spark.createDataFrame([tuple(got[n] for n in STEP_COUNTS)],
+                                 ", ".join(f"{n} long" for n in STEP_COUNTS))
 
 
 #: Quotes are doubled inside quoted fields; a backslash is an ordinary character.
@@ -214,6 +241,13 @@ def clean_sheet(raw: DataFrame, *, file_col: str = "_file",
     df = df.join(years, on=file_col, how="left")
     if file_col not in keep:
         df = df.drop(file_col)
+    return clean_mapped(df, keep=keep)
+
+
+def clean_mapped(df: DataFrame, *, keep: Sequence[str] = ()) -> DataFrame:
+    """Sheet rows under their target names, with ``Year`` -> the required
+    8-column layout: numbers coerced, price recomputed, names and states
+    normalized, missing columns added as NULL."""
     df = cast_columns(df, doubles=[c for c in ("Revenue_Thousands", "Sales_MWh", "Customers")
                                    if c in df.columns])
     if "Revenue_Thousands" in df.columns and "Sales_MWh" in df.columns:

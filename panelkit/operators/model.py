@@ -9,6 +9,7 @@ executor cannot force a recomputation of it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -178,6 +179,63 @@ def regression_metrics(df: DataFrame, *, label: str = "label", prediction: str =
         "mean_label")
 
 
+def _poisson_steps(limit: int = 12) -> list[int]:
+    """Where a uniform 32-bit draw passes from one Poisson(1) count to the next."""
+    return [round(math.exp(-1) * sum(1 / math.factorial(j) for j in range(k + 1)) * (1 << 32)) for k in range(limit)]
+
+
+def bootstrap_metrics(df: DataFrame, keys: Sequence[str], *, label: str = "label", prediction: str = "prediction",
+                      replicates: int = 40) -> DataFrame:
+    """M8 + X3 once per bootstrap replicate: ``replicate, n, rmse, mae, r2,
+    rmse_share_of_mean``.
+
+    A row counts Poisson(1) times in a replicate.  The count is drawn from md5 of
+    its ``keys`` and the replicate, so reruns agree, whatever the partitions, and
+    the rows never move: each task reduces its rows to one line a replicate.
+    Rows with a NULL label or prediction are left out; rows of equal keys (null
+    keys are text ``-``) share their draws.
+    """
+    key = F.concat_ws("#", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in keys])
+    err = F.col(prediction) - F.col(label)
+    rows = df.filter(F.col(label).isNotNull() & F.col(prediction).isNotNull()).select(
+        key.alias("_k"), F.col(label).cast("double").alias("_y"), err.cast("double").alias("_e"))
+    # four draws of 32 bits from each digest
+    rows = rows.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit((replicates - 1) // 4))))
+    rows = rows.withColumn("_m", F.md5(F.concat_ws("#", "_k", F.col("_b").cast("string"))))
+    rows = rows.withColumn("_j", F.explode(F.array(*[F.lit(j) for j in range(4)])))
+    rows = rows.withColumn("_u", F.conv(F.substring("_m", F.col("_j") * 8 + 1, F.lit(8)), 16, 10).cast("bigint"))
+    w = F.lit(0)
+    for step in _poisson_steps():
+        w = w + (F.col("_u") >= step).cast("int")
+    rows = rows.select((F.col("_b") * 4 + F.col("_j")).alias("replicate"), w.alias("w"), "_y", "_e")
+    sums = rows.filter(F.col("replicate") < replicates).groupBy("replicate").agg(
+        F.sum("w").alias("n"), F.sum(F.col("w") * F.col("_e") * F.col("_e")).alias("sse"),
+        F.sum(F.col("w") * F.abs("_e")).alias("sae"), F.sum(F.col("w") * F.col("_y")).alias("sy"),
+        F.sum(F.col("w") * F.col("_y") * F.col("_y")).alias("syy"))
+    mean = lambda c: F.try_divide(F.col(c), F.col("n"))
+    return sums.select(
+        "replicate", "n", F.sqrt(mean("sse")).alias("rmse"), mean("sae").alias("mae"),
+        (1 - F.try_divide(F.col("sse"), F.col("syy") - F.col("sy") * mean("sy"))).alias("r2"),
+        F.try_divide(F.sqrt(mean("sse")), mean("sy")).alias("rmse_share_of_mean"))
+
+
+INTERVAL_METRICS = ("rmse", "mae", "r2", "rmse_share_of_mean")
+
+
+def error_intervals(df: DataFrame, keys: Sequence[str], *, label: str = "label", prediction: str = "prediction",
+                    replicates: int = 200, level: float = 0.95) -> DataFrame:
+    """``metric, value, low, high``: each error figure with the percentile
+    interval of its bootstrap replicates."""
+    reps = bootstrap_metrics(df, keys, label=label, prediction=prediction, replicates=replicates)
+    point = regression_metrics(df, label=label, prediction=prediction)
+    long = lambda d: d.select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in INTERVAL_METRICS])).alias("m")).select("m.*")
+    cut = (1 - level) / 2
+    spans = long(reps).groupBy("metric").agg(F.percentile("value", F.lit(cut)).alias("low"),
+                                             F.percentile("value", F.lit(1 - cut)).alias("high"))
+    return long(point).join(spans, "metric")
+
+
 def load_feature_stages(path: str) -> PipelineModel:
     """Saved feature stages (indexer, encoder, assembler)."""
     return PipelineModel.load(path)

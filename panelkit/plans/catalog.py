@@ -998,3 +998,83 @@ def q_price_sketch_results(spark, d):
 def q_price_sketch(spark, d):
     """Checkable columns of ``price_sketch_results``."""
     return q_price_sketch_results(spark, d).select("l_returnflag", "n", "inside")
+
+
+# --------------------------------------------------------------------------
+# sheets of many layouts in one scan, counts seen while writing
+# --------------------------------------------------------------------------
+
+
+def layout_sheets(spark, d) -> str:
+    """Folder of raw yearly sheets over every line item, in four layouts:
+    as published, state first, blocks turned round after a notes column, and
+    totals by name."""
+    path = scratch_path(spark, "layout_sheets")
+    sheet = roles.raw_sheet(materialize(roles.sales_grain(spark, d, every_line=True), "sheet_grain"),
+                            carry=("src_order",))
+    cols = [c for c in sheet.columns if c != "src_order"]
+    sheet = sheet.withColumns({"_sheet_year": F.col("`Data Year`"), "Notes": F.lit('kept, "as is"')})
+    ids, values = cols[:4], cols[4:]
+    blocks = [values[i:i + 3] for i in range(0, len(values), 3)]
+    bare = lambda c: re.sub(r"\.\d+$", "", c)
+    named = {c: f"{n} Total" for c, n in zip(blocks[-1], ("Revenue", "Sales", "Customers"))}
+    layouts = [(cols, [bare(c) for c in cols]),
+               (order := [ids[3], *ids[:3], *values], [bare(c) for c in order]),
+               (order := [*ids, "Notes", *[c for b in blocks for c in reversed(b)]], [bare(c) for c in order]),
+               (order := [*blocks[-1], *ids], [named.get(c, c) for c in order])]
+    for i, (columns, header) in enumerate(layouts):
+        writers.write_sheets(sheet.filter(F.pmod("_sheet_year", F.lit(len(layouts))) == i), f"{path}/layout{i}",
+                             sheet="_sheet_year", columns=columns, header=header,
+                             together=["Utility Name"], order_by=["Utility Name", "src_order"],
+                             preamble=["Utility sales by sector (test export)", f"layout {i}"])
+    return path
+
+
+@query("layout_consolidation")
+def q_layout_consolidation(spark, d):
+    """Sheets of four layouts read in one scan, cleaned and consolidated."""
+    rows = csv_src.read_sheets(spark, layout_sheets(spark, d), keep=("_file", "_line"))
+    return clean.consolidate_duplicates(rows, order=F.struct("_file", "_line"))
+
+
+@query("observed_step_counts")
+def q_observed_step_counts(spark, d):
+    """Counts of the cleaning steps, seen while the cleaned sheets are written
+    as yearly files."""
+    rows = csv_src.read_sheets(spark, layout_sheets(spark, d), keep=("_file", "_line"))
+    cons = clean.consolidate_duplicates(rows, order=F.struct("_file", "_line"), count_as="_n")
+    rows, seen = clean.observed_step_counts(
+        cons, count_col="_n", keep_sizes=F.col("Sales_MWh") > S.MIN_SALES,
+        keep_codes=not_in_codes("Utility_ID", TEST_CODES))
+    writers.write_csv(rows.select(*S.POWER_COLUMNS).withColumn("_y", F.col("Year")),
+                      scratch_path(spark, "observed_years"), partition_by=["_y"])
+    return clean.observed_row(spark, seen)
+
+
+# --------------------------------------------------------------------------
+# error intervals and two-way effects over whole tables
+# --------------------------------------------------------------------------
+
+
+@query("bootstrap_errors")
+def q_bootstrap_errors(spark, d):
+    """Errors of the "price = previous price" baseline on the customer panel
+    in each of 40 bootstrap replicates."""
+    m = ml.bootstrap_metrics(customer_features(spark, d), ["custkey", "Year"], label="Avg_kWh",
+                             prediction="PrevPrice")
+    # cents in the hundred thousands: six places exceed what a sum in another order keeps
+    return m.withColumns({"rmse": F.round("rmse", 3), "mae": F.round("mae", 3)})
+
+
+@query("error_intervals")
+def q_error_intervals(spark, d):
+    """The same errors on all rows, with 95 % intervals from 200 replicates."""
+    panel_rows = materialize(customer_features(spark, d), "customer_features")
+    m = ml.error_intervals(panel_rows, ["custkey", "Year"], label="Avg_kWh", prediction="PrevPrice")
+    return m.withColumns({c: F.round(c, 4) for c in ("value", "low", "high")})
+
+
+@query("two_way_effect")
+def q_two_way_effect(spark, d):
+    """Price on running order count, with effects of customer and year."""
+    return effects.two_way_effect(customer_features(spark, d), key="custkey", exposure="Cumulative_DC")

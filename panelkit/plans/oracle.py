@@ -8,6 +8,8 @@ Rules: integer sums are cast back to BIGINT (DuckDB widens to HUGEINT),
 
 from __future__ import annotations
 
+import math
+
 ORACLE: dict[str, str] = {}
 
 FAC = """
@@ -595,3 +597,77 @@ SELECT (SELECT count(*) FROM l) AS n_left, (SELECT count(*) FROM r) AS n_right,
 ORACLE["price_sketch"] = """
 SELECT l_returnflag, count(*) AS n, TRUE AS inside FROM lineitem WHERE l_extendedprice IS NOT NULL
 GROUP BY GROUPING SETS ((l_returnflag), ())"""
+
+
+# sheets of many layouts over every line item ---------------------------------------------
+EVERY = GRAIN.replace("FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01 00:00:00'", "FROM lineitem")
+add("layout_consolidation", EVERY, """
+SELECT Utility_Name, State, Year, Utility_ID,
+       CAST(Revenue_Thousands AS DOUBLE) AS Revenue_Thousands,
+       CAST(Sales_MWh AS DOUBLE) AS Sales_MWh, CAST(Customers AS DOUBLE) AS Customers,
+       round(Revenue_Thousands / nullif(Sales_MWh, 0), 6) AS Price_Per_kWh
+FROM cons""")
+add("observed_step_counts", EVERY, """
+SELECT CAST(sum(n) AS BIGINT) AS n_raw, count(*) AS n_consolidated,
+       count(*) FILTER (WHERE Sales_MWh > 400) AS n_size_ok,
+       count(*) FILTER (WHERE Sales_MWh > 400 AND
+             try_cast(Utility_ID AS DOUBLE) NOT IN (7.0, 8.0, 9.0)) AS n_code_ok
+FROM cons""")
+
+# bootstrap replicates and two-way effects on the customer panel ---------------------------
+POISSON = " + ".join(
+    f"CAST(u >= {round(math.exp(-1) * sum(1 / math.factorial(j) for j in range(k + 1)) * (1 << 32))} AS INTEGER)"
+    for k in range(12))
+ERRORS = "n, sqrt(sse / n) AS rmse, sae / n AS mae, 1 - sse / (syy - sy * sy / n) AS r2, sqrt(sse / n) / (sy / n) AS rmse_share_of_mean"
+
+
+def _replicates(count: int) -> str:
+    return CUSTOMER + f""",
+draws AS (
+  SELECT CAST(r AS INTEGER) AS replicate, Avg_kWh AS y, PrevPrice - Avg_kWh AS e,
+         CAST('0x' || substr(md5(CAST(custkey AS VARCHAR) || '#' || CAST(Year AS VARCHAR) || '#'
+              || CAST(r // 4 AS VARCHAR)), CAST(8 * (r % 4) + 1 AS BIGINT), 8) AS BIGINT) AS u
+  FROM panel, (SELECT unnest(range({count})) AS r)),
+sums AS (
+  SELECT replicate, CAST(sum(w) AS BIGINT) AS n, sum(w * e * e) AS sse, sum(w * abs(e)) AS sae,
+         sum(w * y) AS sy, sum(w * y * y) AS syy
+  FROM (SELECT *, {POISSON} AS w FROM draws) GROUP BY replicate),
+reps AS (SELECT replicate, {ERRORS} FROM sums)"""
+
+
+add("bootstrap_errors", _replicates(40), """
+SELECT replicate, n, round(rmse, 3) AS rmse, round(mae, 3) AS mae, round(r2, 6) AS r2,
+       round(rmse_share_of_mean, 6) AS rmse_share_of_mean
+FROM reps""")
+add("error_intervals", _replicates(200) + f""",
+point AS (SELECT {ERRORS} FROM (
+  SELECT count(*) AS n, sum((PrevPrice - Avg_kWh) ** 2) AS sse, sum(abs(PrevPrice - Avg_kWh)) AS sae,
+         sum(Avg_kWh) AS sy, sum(Avg_kWh * Avg_kWh) AS syy FROM panel)),
+long AS (UNPIVOT (SELECT rmse, mae, r2, rmse_share_of_mean FROM reps)
+         ON rmse, mae, r2, rmse_share_of_mean INTO NAME metric VALUE v),
+points AS (UNPIVOT (SELECT rmse, mae, r2, rmse_share_of_mean FROM point)
+           ON rmse, mae, r2, rmse_share_of_mean INTO NAME metric VALUE v)""", """
+SELECT metric, round(any_value(p.v), 4) AS value, round(quantile_cont(l.v, 0.025), 4) AS low,
+       round(quantile_cont(l.v, 0.975), 4) AS high
+FROM long l JOIN points p USING (metric) GROUP BY metric""")
+
+
+def _two_way(rounds: int = 60) -> str:
+    steps = ["t0 AS MATERIALIZED (SELECT DISTINCT Year, 0.0::DOUBLE AS gy, 0.0::DOUBLE AS gx FROM two)"]
+    for i in range(rounds):
+        steps += [f"k{i} AS MATERIALIZED (SELECT custkey, avg(y - gy) AS ay, avg(x - gx) AS ax "
+                  f"FROM two JOIN t{i} USING (Year) GROUP BY custkey)",
+                  f"t{i + 1} AS MATERIALIZED (SELECT Year, avg(y - ay) AS gy, avg(x - ax) AS gx "
+                  f"FROM two JOIN k{i} USING (custkey) GROUP BY Year)"]
+    return CUSTOMER + ",\ntwo AS MATERIALIZED (SELECT custkey, Year, Avg_kWh AS y, " \
+        "CAST(Cumulative_DC AS DOUBLE) AS x FROM panel),\n" + ",\n".join(steps) + f""",
+ends AS (SELECT custkey, avg(y - gy) AS ay, avg(x - gx) AS ax FROM two JOIN t{rounds} USING (Year) GROUP BY custkey),
+rest AS (SELECT custkey, y - gy - ay AS y, x - gx - ax AS x FROM two JOIN t{rounds} USING (Year) JOIN ends USING (custkey)),
+per_key AS (SELECT custkey, count(*) AS n, sum(x * y) AS xy, sum(x * x) AS xx FROM rest GROUP BY custkey),
+fit AS (SELECT sum(xy) / sum(xx) AS e FROM per_key)"""
+
+
+add("two_way_effect", _two_way(), """
+SELECT CAST(sum(n) AS BIGINT) AS n, count(*) AS n_keys, (SELECT count(*) FROM t0) AS n_times,
+       round(max(e), 6) AS effect, round(sqrt(sum((xy - e * xx) ** 2)) / sum(xx), 6) AS std_error
+FROM per_key, fit""")

@@ -153,13 +153,15 @@ def power_costs(power: DataFrame) -> DataFrame:
     return df.drop("Revenue_Thousands", "Sales_MWh")
 
 
-def sales_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rows with duplicates: sales at (supplier, year, return flag) grain.
+def sales_grain(spark: SparkSession, sf_dir: str, *, every_line: bool = False) -> DataFrame:
+    """Raw rows with duplicates: sales at (supplier, year, return flag) grain,
+    of the recent line items or of every one.
 
     The id is NULL on 'A' rows and differs between 'N' ('<key>.0') and 'R'
     ('<key>.9') rows, so "first non-NULL id in flag order" has work to do.
     """
-    agg = supplier_year_sales(_recent_lines(spark, sf_dir), keys=("l_suppkey", "l_returnflag"))
+    lines = read_table(spark, sf_dir, "lineitem") if every_line else _recent_lines(spark, sf_dir)
+    agg = supplier_year_sales(lines, keys=("l_suppkey", "l_returnflag"))
     return (_with_supplier(spark, sf_dir, agg)
             .select(F.col("s_name").alias("Utility_Name"),
                     F.col("n_name").alias("State"),

@@ -15,7 +15,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from panelkit import schemas as S
-from panelkit.functions.headers import dedupe_names
+from panelkit.functions.exprs import safe_int
+from panelkit.functions.headers import dedupe_names, header_map
 from panelkit.operators import clean
 from panelkit.session import materialize
 
@@ -127,6 +128,59 @@ def read_preamble_csv(spark: SparkSession, path: str | Sequence[str], *,
     return out
 
 
+def sheet_sources(names: Sequence[str]) -> dict[str, str]:
+    """Target column -> column of a sheet with these header names, by the
+    header rules; the year column under ``_y``."""
+    if S.YEAR_HEADER not in names:
+        raise ValueError(f"no column {S.YEAR_HEADER!r} in the sheet header: {list(names)}")
+    return {dst: src for src, dst in header_map(names).items()} | {"_y": S.YEAR_HEADER}
+
+
+def read_layouts(spark: SparkSession, path: str | Sequence[str], *, targets: Sequence[str],
+                 sources: Callable[[list[str]], dict[str, str]] = sheet_sources,
+                 skip: int = S.SHEET_PREAMBLE_LINES) -> DataFrame:
+    """S7 + P17 for any number of layouts in one scan: ``_file``, ``_line`` and
+    the ``targets`` as text, NULL where a layout lacks one.
+
+    Every line is parsed once, to an array as wide as the widest header.  A small
+    table says, for each layout (distinct header line), which field holds which
+    target (``sources``: header names -> target -> header name); it reaches the
+    lines through the file they come from, and each target is picked by
+    position.  The plan has one scan and one parse however many layouts there are.
+    On the driver: the distinct header lines.
+    """
+    lines = numbered_lines(spark, path)
+    heads = materialize(lines.filter(F.col("_line") == skip)
+                        .select("_file", F.col("value").alias("_hdr")), "sheet_headers")
+    layouts = {r["_hdr"]: _parse_header(r["_hdr"]) for r in heads.select("_hdr").distinct().collect()}
+    if not layouts:
+        raise ValueError(f"no header line found in {path}")
+    at = []
+    for text, names in layouts.items():
+        held = sources(names)
+        at.append((text, *[names.index(held[t]) if t in held else None for t in targets]))
+    positions = spark.createDataFrame(at, ", ".join(["_hdr string", *[f"`_at_{t}` int" for t in targets]]))
+    # one row per file on the right; AQE broadcasts it when measured small
+    rows = (lines.filter((F.col("_line") > skip) & (F.length("value") > 0))
+            .join(heads.join(positions, "_hdr").drop("_hdr"), on="_file", how="inner"))
+    width = max(len(names) for names in layouts.values())
+    schema = ", ".join(f"_c{i} STRING" for i in range(width))
+    parsed = rows.withColumn("_r", F.from_csv("value", schema, clean.CSV_DIALECT))
+    fields = parsed.withColumn("_f", F.array(*[F.col(f"_r._c{i}") for i in range(width)]))
+    return fields.select("_file", "_line", *[F.get("_f", F.col(f"`_at_{t}`")).alias(t) for t in targets])
+
+
+def read_sheets(spark: SparkSession, path: str | Sequence[str], *, keep: Sequence[str] = (),
+                skip: int = S.SHEET_PREAMBLE_LINES) -> DataFrame:
+    """Raw sheets of any number of layouts, cleaned as by
+    :func:`clean.clean_sheet`, in one scan; ``keep``: ``_file``, ``_line``."""
+    names = [c for c in S.REQUIRED_COLUMNS if c not in ("Year", "Price_Per_kWh")]
+    raw = read_layouts(spark, path, targets=[*names, "_y"], skip=skip)
+    years = clean.detect_year(raw.select("_file", safe_int(F.col("_y")).alias("_y")), by=["_file"], year="_y")
+    df = raw.drop("_y").join(years, on="_file", how="left")
+    return clean.clean_mapped(df.select(*dict.fromkeys([*keep, *names, "Year"])), keep=keep)
+
+
 def read_positional(spark: SparkSession, path: str | Sequence[str], *, arity: int,
                     names: Sequence[str] | None = None, skip_line: str | None = None,
                     quoted_newlines: bool = False) -> DataFrame:
