@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by a forest of random-projection trees.
 
-Trees are fitted on a bounded sample: each node splits its points at the
+Trees are fitted in one task on a sample bounded by rows and bytes: each node splits its points at the
 median of their projections on the line between two local centres.  Every row
 is then placed in one leaf of each tree.  A query walks all trees through one
 priority queue, ordered by how far it lies on the wrong side of the planes on
@@ -8,9 +8,10 @@ the way, and visits a fixed number of leaves; the rows of those leaves are
 ranked by exact cosine.  The number of leaves is the smallest that reaches
 ``recall`` on held queries within the sample, by brute force.
 
-Leaves are groups of bounded size: leaf rows and the queries that visit a leaf
-are both dealt into blocks, and each pair of blocks is one small matrix
-product.  Equal vectors are indexed once with their smallest keys, which is
+The rows of a leaf and the queries that visit it are counted first; a leaf
+with many of either is dealt into blocks by its own counts, and each pair of
+blocks is one small matrix product, which returns keys and exact scores only.
+A leaf that nobody visits is not shuffled.  Equal vectors are indexed once with their smallest keys, which is
 all that a top-k list can use of them.
 """
 
@@ -113,8 +114,8 @@ def calibrate(forest: Forest, units: np.ndarray, k: int, recall: float, held: in
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_id", vector: str = "embedding",
-            trees: int = 8, leaf_rows: int = 512, max_sample: int = 65_536, recall: float = 0.98,
-            block: int = 4096) -> DataFrame:
+            trees: int = 8, leaf_rows: int = 512, max_sample: int = 65_536, sample_bytes: int = 64 << 20,
+            recall: float = 0.98, block: int = 4096) -> DataFrame:
     """The ``k`` nearest of ``vectors`` by cosine for each row of ``queries``.
 
     Returns ``query_id, rank, vec_id, score``; a vector is no neighbour of
@@ -148,7 +149,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
     scored = None
     for width in widths:  # few: a length is a kind of embedding
         same = F.octet_length("raw") == width
-        part = _scored(classes.filter(same), asked.filter(same), width, k, trees, leaf_rows, max_sample, recall, block)
+        part = _scored(classes.filter(same), asked.filter(same), width, k, trees, leaf_rows, max_sample, sample_bytes,
+                       recall, block)
         scored = part if scored is None else scored.union(part)
     # at most visits * k rows a query
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
@@ -157,80 +159,106 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, key: str = "vec_
             .select("query_id", "rank", "vec_id", "score"))
 
 
+def _fit(classes: DataFrame, n: int, dim: int, k: int, trees: int, leaf_rows: int, max_sample: int,
+         sample_bytes: int, recall: float) -> Forest:
+    """The forest of ``n`` packed vectors, grown and calibrated in one task on a
+    sample bounded by rows and bytes.  Its planes, one row a tree, are no more
+    bytes than the sample's."""
+    most = max(8, min(max_sample, sample_bytes // (8 * dim)))
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        sample = unit(unpack(sorted(map(bytes, pdf["raw"])), dim))
+        depth = max(0, min(int(np.ceil(np.log2(n / leaf_rows))) if n > leaf_rows else 0,
+                           int(np.log2(max(1, len(sample) / 8)))))
+        f = grow(sample, depth, trees if depth else 1)
+        f.visits = calibrate(f, sample, k, recall)
+        return pd.DataFrame({"tree": range(len(f.normals)), "depth": depth, "visits": f.visits,
+                             "normals": [m.tobytes() for m in f.normals],
+                             "offsets": [o.tobytes() for o in f.offsets]})
+
+    grown = (bounded_sample(classes, "raw", most).select("raw").withColumn("_one", F.lit(0)).groupBy("_one")
+             .applyInPandas(fit, "tree int, depth int, visits int, normals binary, offsets binary")
+             .orderBy("tree").collect())
+    if not grown:  # the hash sample of a few vectors may be empty
+        return Forest(np.zeros((1, 0, dim)), np.zeros((1, 0)), 0, 1)
+    return Forest(np.stack([np.frombuffer(r.normals, "<f8").reshape(-1, dim) for r in grown]),
+                  np.stack([np.frombuffer(r.offsets, "<f8") for r in grown]), grown[0].depth, grown[0].visits)
+
+
+def _leaf_loads(placed: DataFrame, asked: DataFrame, block: int) -> DataFrame:
+    """``_cell, _ibs, _qbs``: the visited leaves, and into how many blocks their
+    rows and their visitors are dealt.  At most one row a leaf of the forest."""
+    rows = placed.select(F.explode("cells").alias("_cell")).groupBy("_cell").agg(F.count(F.lit(1)).alias("_rows"))
+    visitors = asked.select(F.explode("cells").alias("_cell")).groupBy("_cell").agg(F.count(F.lit(1)).alias("_asking"))
+    blocks = lambda c: F.ceil(F.col(c) / block).cast("long")
+    return materialize(rows.join(visitors, "_cell").select("_cell", blocks("_rows").alias("_ibs"),
+                                                           blocks("_asking").alias("_qbs")), "leaf_loads")
+
+
 def _scored(classes: DataFrame, asked: DataFrame, width: int, k: int, trees: int, leaf_rows: int,
-            max_sample: int, recall: float, block: int) -> DataFrame:
+            max_sample: int, sample_bytes: int, recall: float, block: int) -> DataFrame:
     """``query_id, vec_id, score`` of the rows near each query, among packed
     vectors of ``width`` bytes."""
-    n = classes.count()
     dim = width // 8
-    # the sample is bounded by max_sample rows of one vector each
-    raws = [bytes(r.raw) for r in bounded_sample(classes, "raw", max_sample).select("raw").collect()]
-    sample = unit(unpack(sorted(raws) or [np.ones(dim).tobytes()], dim))
-    depth = max(0, min(int(np.ceil(np.log2(n / leaf_rows))) if n > leaf_rows else 0,
-                       int(np.log2(max(1, len(sample) / 8)))))
-    forest = grow(sample, depth, trees if depth else 1)
-    visits = calibrate(forest, sample, k, recall)
-    index_blocks = max(1, -(-n // (block << depth)))
+    forest = _fit(classes, classes.count(), dim, k, trees, leaf_rows, max_sample, sample_bytes, recall)
 
     def place(batches):
-        f = forest  # bounded: trees * 2**depth planes travel with the code
+        f = forest  # no larger than the sample; travels with the code
         for _, raw, ids in text_batches(batches, "raw", "ids"):
             if not raw:
                 continue
-            leaf = f.leaves(unit(unpack(raw, dim)))
-            for t in range(leaf.shape[1]):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(raw), t), pa.int32()), pa.array(leaf[:, t], pa.int64()),
-                     pa.array(raw, pa.binary()), pa.array(ids, pa.list_(pa.int64()))],
-                    names=["tree", "leaf", "raw", "ids"])
+            cells = f.leaves(unit(unpack(raw, dim))) + (np.arange(len(f.normals)) << f.depth)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(raw, pa.binary()), pa.array(ids, pa.list_(pa.int64())),
+                 pa.array(list(cells), pa.list_(pa.int64()))], names=["raw", "ids", "cells"])
 
     def visit(batches):
-        f = forest  # bounded: trees * 2**depth planes travel with the code
+        f = forest
         for _, raw, ids in text_batches(batches, "raw", "id"):
-            rows = [(t, x, r, d) for r, d in zip(raw, ids)
-                    for t, x in f.search(unit(unpack([r], dim))[0], visits)]
-            t, x, r, d = list(zip(*rows)) or ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(t, pa.int32()), pa.array(x, pa.int64()),
-                                              pa.array(r, pa.binary()), pa.array(d, pa.int64())],
-                                             names=["tree", "leaf", "raw", "id"])
-
-    query_blocks = max(1, -(-asked.count() // block))
-    cells = classes.mapInArrow(place, "tree int, leaf long, raw binary, ids array<long>").withColumn(
-        "ib", F.pmod(F.xxhash64("raw"), F.lit(index_blocks))).withColumn(
-        "qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))))
-    visits_rows = asked.mapInArrow(visit, "tree int, leaf long, raw binary, id long").withColumn(
-        "qb", F.pmod(F.xxhash64("id"), F.lit(query_blocks))).withColumn(
-        "ib", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(index_blocks - 1).cast("long"))))
-    keys = ["tree", "leaf", "ib", "qb"]
-
-    def rank(cell: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+            cells = [[(t << f.depth) + x for t, x in f.search(unit(unpack([r], dim))[0], f.visits)] for r in raw]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(raw, pa.binary()), pa.array(ids, pa.int64()), pa.array(cells, pa.list_(pa.int64()))],
+                names=["raw", "id", "cells"])
+
+    placed = materialize(classes.mapInArrow(place, "raw binary, ids array<long>, cells array<long>"), "placed")
+    asking = materialize(asked.mapInArrow(visit, "raw binary, id long, cells array<long>"), "asking")
+    # one row a leaf: at most trees * 2**depth, which the sample bounds
+    loads = F.broadcast(_leaf_loads(placed, asking, block))
+    upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    cells = (placed.withColumn("_cell", F.explode("cells")).join(loads, "_cell")  # leaves without visitors fall away
+             .select("_cell", "raw", "ids", F.pmod(F.xxhash64("raw"), F.col("_ibs")).alias("_ib"), upto("_qbs").alias("_qb")))
+    visits = (asking.withColumn("_cell", F.explode("cells")).join(loads, "_cell")
+              .select("_cell", "raw", "id", F.pmod(F.xxhash64("id"), F.col("_qbs")).alias("_qb"), upto("_ibs").alias("_ib")))
+    keys = ["_cell", "_ib", "_qb"]
+
+    def rank(cell: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(cell) and len(asking):
-            base = unit(unpack(cell["raw"], dim))
-            ids, raws = cell["ids"].tolist(), cell["raw"].tolist()
-            scores = unit(unpack(asking["raw"], dim)) @ base.T
+        if len(cell) and len(asks):
+            base, ids = unpack(cell["raw"], dim), cell["ids"].tolist()
+            of, units = unpack(asks["raw"], dim), unit(base)
             most = min(k + 1, len(base))
-            for q, s in zip(asking["id"], scores):
-                # every class that ties with the (k+1)-th best stays in
-                edge = np.partition(s, len(s) - most)[len(s) - most]
-                found = [(-s[j], d, j) for j in np.flatnonzero(s >= edge) for d in ids[j] if d != q]
-                out += [(q, d, raws[j]) for _, d, j in heapq.nsmallest(k, found)]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "raw"])
-
-    near = (cells.groupBy(*keys).cogroup(visits_rows.groupBy(*keys))
-            .applyInPandas(rank, "query_id long, vec_id long, raw binary").distinct())
-    vectors_of = asked.select(F.col("id").alias("_id"), F.col("raw").alias("_q"))
-
-    def exact(batches):
-        for batch, q, v, a, b in text_batches(batches, "query_id", "vec_id", "_q", "raw"):
-            x, y = unpack(a, dim), unpack(b, dim)
-            # sums in component order, the same for a pair wherever it is met
-            dot, xx, yy = (np.cumsum(m, axis=1)[:, -1] if len(m) else np.empty(0) for m in (x * y, x * x, y * y))
-            both = xx * yy
-            length = np.where(np.isfinite(both) & (both > 0), np.sqrt(both), np.sqrt(xx) * np.sqrt(yy))
-            score = np.clip(dot / length, -1.0, 1.0)
-            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(score)],
-                                             names=["query_id", "vec_id", "score"])
-
-    return (near.join(vectors_of, F.col("query_id") == F.col("_id"))
-            .mapInArrow(exact, "query_id long, vec_id long, score double"))
+            for lo in range(0, len(of), 512):
+                part = of[lo:lo + 512]
+                at = []
+                for i, (q, s) in enumerate(zip(asks["id"].iloc[lo:lo + 512], unit(part) @ units.T)):
+                    # every class that ties with the (k+1)-th best stays in
+                    edge = np.partition(s, len(s) - most)[len(s) - most]
+                    found = [(-s[j], d, j) for j in np.flatnonzero(s >= edge) for d in ids[j] if d != q]
+                    at += [(i, q, d, j) for _, d, j in heapq.nsmallest(k, found)]
+                if at:
+                    i, q, d, j = zip(*at)
+                    out.append(pd.DataFrame({"query_id": q, "vec_id": d,
+                                             "score": _cosines(part[list(i)], base[list(j)])}))
+        return pd.concat(out) if out else pd.DataFrame(columns=["query_id", "vec_id", "score"])
+
+    return cells.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInPandas(
+        rank, "query_id long, vec_id long, score double")
+
+
+def _cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Cosine of each row of ``x`` and that of ``y``, summed in component
+    order: the same for a pair wherever it is met."""
+    dot, xx, yy = (np.cumsum(m, axis=1)[:, -1] for m in (x * y, x * x, y * y))
+    both = xx * yy
+    length = np.where(np.isfinite(both) & (both > 0), np.sqrt(both), np.sqrt(xx) * np.sqrt(yy))
+    return np.clip(dot / length, -1.0, 1.0)

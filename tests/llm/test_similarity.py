@@ -216,6 +216,45 @@ def test_nearest_vectors(spark):
     assert [r.vec_id for r in by[100]] == [101, 102, 103, 104, 105]
 
 
+def test_nearest_is_the_same_in_small_blocks(spark):
+    x = RNG.normal(size=(1200, 16))
+    x[300:700] = x[300] + RNG.normal(scale=1e-3, size=(400, 16))  # one busy leaf in each tree
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = df.filter("vec_id % 3 = 0")
+    rows = lambda block: {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in ann.nearest(
+        df, asked, leaf_rows=100, block=block).collect()}
+    assert rows(37) == rows(4096)
+
+
+def test_forest_leaves_out_most_of_clustered_vectors(spark):
+    centres = RNG.normal(size=(60, 32))
+    x = centres[RNG.integers(60, size=6000)] + RNG.normal(scale=0.25, size=(6000, 32))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    packed = ann.packed(df, "vec_id", "embedding")
+    forest = ann._fit(packed, 6000, 32, 5, 8, 100, 65_536, 64 << 20, 0.98)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    place, hits, share = forest.leaves(u), 0, []
+    for q in range(0, 6000, 50):
+        seen = np.zeros(6000, bool)
+        for t, leaf in forest.search(u[q], forest.visits):
+            seen |= place[:, t] == leaf
+        s = u @ u[q]
+        s[q] = -2
+        hits += seen[np.argsort(-s)[:5]].sum()
+        share.append(seen.mean())
+    assert hits >= 0.97 * 600 and np.mean(share) < 0.3
+    # a sample bounded by bytes, and one too small to hold any plane
+    assert ann._fit(packed, 6000, 32, 5, 8, 100, 65_536, 500 * 256, 0.98).depth <= 6
+    assert ann._fit(packed.limit(3), 3, 32, 5, 8, 100, 65_536, 64 << 20, 0.98).depth == 0
+
+
+def test_a_query_key_with_several_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0]), (3, [-1.0, 0.5]), (3, [-1.0, 0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["rank"], r.vec_id) for r in ann.nearest(df, df.filter("vec_id = 0")).collect())
+    assert got == [(1, 1), (2, 2), (3, 3)]
+
+
 def test_few_candidates_are_all_returned(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (50, [0.0, 1.0])], "vec_id long, embedding array<double>")
     got = ann.nearest(df, df.filter("vec_id % 50 = 0")).collect()
