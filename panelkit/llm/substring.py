@@ -19,6 +19,11 @@ so the shard of a window's minimizer is the only one that can hold a copy.
    once; the others are repeated as a whole.
 4. Intervals come back to their texts.  Equal texts are one throughout; all
    windows of a text with copies are repeated.
+
+Texts and segments are told apart by 128-bit digests.  Words are 64-bit hashes:
+two windows that differ count as equal only where every word in which they
+differ collides.  A segment has at most ``MOST_WINDOWS`` windows; a longer run
+(periodic text) is several, and each window lies in one of them.
 """
 
 from __future__ import annotations
@@ -36,7 +41,8 @@ from panelkit.session import materialize
 
 GRAM = 8
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
-_SEGMENT = "key long, k long, start long, windows int, cid long, words binary"
+MOST_WINDOWS = 256  # of a segment; only periodic text has longer runs of one minimizer
+_SEGMENT = "key long, k binary, start long, windows int, cid binary, words binary"
 
 
 def minimizers(words: np.ndarray, window: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
@@ -57,10 +63,15 @@ def sha_of(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _hash_bytes(b: bytes) -> int:
-    from xxhash import xxh3_64_intdigest
+def _digest(b: bytes) -> bytes:
+    from xxhash import xxh3_128_digest
+
+    return xxh3_128_digest(b)
+
 
-    return int(np.uint64(xxh3_64_intdigest(b)).view(np.int64))
+def _key_of(digest: bytes) -> int:
+    """64 bits of a digest, to deal by."""
+    return int.from_bytes(digest[:8], "little", signed=True)
 
 
 def _profiles(rows: DataFrame, window: int) -> DataFrame:
@@ -83,7 +94,7 @@ def _profiles(rows: DataFrame, window: int) -> DataFrame:
                 names=["doc_id", "k", "n_words", "sha", "mins", "own"])
 
     return map_batches(
-        rows, run, "doc_id long, k long, n_words long, sha string, mins array<long>, own array<long>")
+        rows, run, "doc_id long, k binary, n_words long, sha string, mins array<long>, own array<long>")
 
 
 def _cut(texts: DataFrame, window: int) -> DataFrame:
@@ -97,9 +108,11 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
                 low, _ = minimizers(words, window)
                 edges = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1], [True]]))
                 keep = np.isin(low[edges[:-1]].view(np.int64), np.array(want, np.int64))
-                for s, e in zip(edges[:-1][keep].tolist(), edges[1:][keep].tolist()):
-                    body = words[s:e + window - 1].tobytes()
-                    rows.append((int(low[s:s + 1].view(np.int64)[0]), k, s, e - s, _hash_bytes(body), body))
+                for first, end in zip(edges[:-1][keep].tolist(), edges[1:][keep].tolist()):
+                    for s in range(first, end, MOST_WINDOWS):
+                        e = min(end, s + MOST_WINDOWS)
+                        body = words[s:e + window - 1].tobytes()
+                        rows.append((int(low[s:s + 1].view(np.int64)[0]), k, s, e - s, _digest(body), body))
             yield _segments(rows)
 
     return texts.select("k", "text", "wanted").mapInArrow(run, _SEGMENT)
@@ -107,7 +120,7 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
 
 def _segments(rows) -> pa.RecordBatch:
     cols = list(zip(*rows)) or [()] * 6
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+    types = [pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
                                       names=["key", "k", "start", "windows", "cid", "words"])
 
@@ -121,8 +134,8 @@ def _split(segments: DataFrame, window: int) -> DataFrame:
             for k, s, n, body in zip(ks, starts, counts, bodies):
                 for i in range(n):
                     part = body[8 * i:8 * (i + window)]
-                    h = _hash_bytes(part)
-                    rows.append((h, k, s + i, 1, h, part))
+                    h = _digest(part)
+                    rows.append((_key_of(h), k, s + i, 1, h, part))
             yield _segments(rows)
 
     return segments.mapInArrow(run, _SEGMENT)
@@ -144,7 +157,8 @@ def _search(window: int):
         for i, hit in zip(once, hits):
             edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
             out += [(pdf["key"].iat[i], pdf["cid"].iat[i], a, b - 1) for a, b in zip(edge[::2], edge[1::2])]
-        return pd.DataFrame(out, columns=["key", "cid", "first", "last"]).astype("int64")
+        return pd.DataFrame(out, columns=["key", "cid", "first", "last"]).astype(
+            {"key": "int64", "first": "int64", "last": "int64"})
 
     return run
 
@@ -170,7 +184,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     (and repeated rows) count as occurrences of each other.  Null keys are
     allowed; other columns are ignored; an empty table gives an empty result.
     """
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("k"),
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("k"),
                        F.col(text).alias("text"))
     profiles = materialize(_profiles(rows, window), "profiles")
     texts = materialize(
@@ -199,7 +213,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     total = distinct.agg(F.sum(F.octet_length("words") / 8)).first()[0] or 0
     shards = max(1, -(-int(total) // shard_words))
     searched = (distinct.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-                .groupBy("shard").applyInPandas(_search(window), "key long, cid long, first long, last long"))
+                .groupBy("shard").applyInPandas(_search(window), "key long, cid binary, first long, last long"))
     whole = distinct.filter("again").select("key", "cid", F.lit(0).cast("long"), (F.col("windows") - 1).cast("long"))
     runs = materialize(searched.union(whole), "runs").select(
         F.col("key").alias("_key"), F.col("cid").alias("_cid"), "first", "last")
@@ -224,13 +238,13 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", win
                 gone.append(len(words) - len(kept))
                 spans_.append([{"start": s, "stop": e} for s, e in merged])
             span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([pa.array(ks, pa.int64()), pa.array(sha, pa.string()),
+            yield pa.RecordBatch.from_arrays([pa.array(ks, pa.binary()), pa.array(sha, pa.string()),
                                               pa.array(gone, pa.int64()), pa.array(spans_, span)],
                                              names=["k", "kept", "gone", "cut"])
 
     changed = (bodies.select("k", "text").dropDuplicates(["k"]).join(spans, F.col("k") == F.col("_k"))
                .select("k", "text", "spans")
-               .mapInArrow(remove, "k long, kept string, gone long, cut array<struct<start:long,stop:long>>"))
+               .mapInArrow(remove, "k binary, kept string, gone long, cut array<struct<start:long,stop:long>>"))
     copied = texts.filter((F.col("copies") > 1) & (F.col("n_words") >= window)).select(
         "k", F.lit(_EMPTY_SHA).alias("kept"), F.col("n_words").alias("gone"),
         F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("stop"))).alias("cut"))

@@ -104,6 +104,23 @@ def test_repeated_windows_equal_brute_force(spark, corpus, neighbours):
     assert all(sum(s.stop - s.start for s in r.spans) == r.n_removed for r in got)
 
 
+def test_periodic_texts_and_null_keys(spark, monkeypatch):
+    own = [f"x{i}" for i in range(50)]
+    texts = [["a"] * 900, ["a"] * 340 + own, own[:20] + ["a"] * 33 + own[20:], ["b", "c"] * 400, ["c", "b"] * 36,
+             ["d", "e", "f"] * 11 + ["d"], ["g"] * 35, None]
+    rows = [(None if i % 3 == 0 else i, " ".join(t) if t else t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    windows = Counter(tuple(t[i:i + 35]) for t in texts if t for i in range(len(t) - 34))
+    want = Counter()
+    for (d, _), t in zip(rows, texts):
+        gone = {j for i in range(len(t or []) - 34) if windows[tuple(t[i:i + 35])] > 1 for j in range(i, i + 35)}
+        want[d, len(t or []), len(gone)] += 1
+    for most, neighbours in ((256, 1000), (10, 1000), (64, 2)):
+        monkeypatch.setattr(substring, "MOST_WINDOWS", most)
+        got = substring.repeated_spans(docs, most_neighbours=neighbours).collect()
+        assert Counter((r.doc_id, r.n_words, r.n_removed) for r in got) == want
+
+
 def test_fm_index_counts_and_matches():
     for _ in range(40):
         texts = [RNG.integers(1, 4, RNG.integers(1, 16)) for _ in range(RNG.integers(1, 8))]
