@@ -8,6 +8,7 @@ so that results compare across engines regardless of summation order.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -1078,3 +1079,32 @@ def q_error_intervals(spark, d):
 def q_two_way_effect(spark, d):
     """Price on running order count, with effects of customer and year."""
     return effects.two_way_effect(customer_features(spark, d), key="custkey", exposure="Cumulative_DC")
+
+
+# --------------------------------------------------------------------------
+# co-located tables
+# --------------------------------------------------------------------------
+
+
+def bucketed_orders(spark, d):
+    """Orders and line items bucketed alike by order key (few lines an order),
+    into as many buckets as a shuffle has partitions."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    orders = read_table(spark, d, "orders").select(F.col("o_orderkey").alias("orderkey"), "o_custkey")
+    lines = read_table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("orderkey"), "l_suppkey",
+        F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"))
+    run = uuid.uuid4().hex
+    return [writers.write_bucketed(df, f"panelkit_{name}_{run}", ["orderkey"], buckets,
+                                   path=scratch_path(spark, f"bucketed_{name}"))
+            for name, df in (("orders", orders), ("lines", lines))]
+
+
+@query("colocated_order_lines")
+def q_colocated_order_lines(spark, d):
+    """Lines, suppliers and revenue of every order with a line, from bucketed
+    tables: join and aggregate without a shuffle."""
+    orders, lines = bucketed_orders(spark, d)
+    return (quality.colocated_join(orders, lines, ["orderkey"]).groupBy("orderkey", "o_custkey")
+            .agg(F.count(F.lit(1)).alias("n_lines"), F.min("l_suppkey").alias("first_supplier"),
+                 F.sum("cents").alias("cents")))

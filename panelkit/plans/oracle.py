@@ -671,3 +671,9 @@ add("two_way_effect", _two_way(), """
 SELECT CAST(sum(n) AS BIGINT) AS n, count(*) AS n_keys, (SELECT count(*) FROM t0) AS n_times,
        round(max(e), 6) AS effect, round(sqrt(sum((xy - e * xx) ** 2)) / sum(xx), 6) AS std_error
 FROM per_key, fit""")
+
+# co-located tables
+ORACLE["colocated_order_lines"] = """
+SELECT o_orderkey AS orderkey, o_custkey, count(*) AS n_lines, min(l_suppkey) AS first_supplier,
+       CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2"""

@@ -21,6 +21,27 @@ def write_parquet(df: DataFrame, path: str, *, partition_by: Sequence[str] = (),
     w.parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, *,
+                   path: str | None = None) -> DataFrame:
+    """K1, co-located: a parquet table of the session catalog, hash-dealt by
+    ``keys`` into ``buckets`` sorted files, and that table read back.
+
+    Tables written with the same ``buckets`` and keys of the same type join
+    (:func:`quality.colocated_join`) and aggregate on them without a shuffle; the one
+    shuffle is paid here.  A bucket is read by one task, so choose
+    ``buckets`` by the table's size and keys whose rows are few (an order's lines); a
+    key that may hold a large share of the rows is to be reduced first or left
+    to a shuffled join, whose skew Spark splits at run time.  ``path``: an
+    external table there, else in the warehouse.
+    """
+    w = (df.repartition(buckets, *[F.col(f"`{k}`") for k in keys]).write.mode("overwrite").format("parquet")
+         .bucketBy(buckets, *keys).sortBy(*keys))
+    if path is not None:
+        w = w.option("path", path)
+    w.saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def write_csv(df: DataFrame, path: str, *, header: bool = True, single_file: bool = False,
               partition_by: Sequence[str] = (), files_per_partition: int | None = None,
               mode: str = "overwrite") -> None:
