@@ -202,10 +202,10 @@ def test_pairs_are_found_over_short_partitions(spark):
     links = [(a, b) for a, b in zip(*np.nonzero(u @ u.T >= 0.93)) if a < b]
     assert len(links) > 3
     nodes = spark.createDataFrame(
-        [(i, 0, v.astype("<f8").tobytes(), np.zeros(16).tobytes(), 1) for i, v in enumerate(u)],
-        "node long, label_no long, raw binary, centre binary, passes int")
-    got = embed_dedup._link_passes(nodes, 16, 0.93).collect()  # 14 rows over 8 partitions
-    assert sorted({(min(r.a, r.b), max(r.a, r.b)) for r in got}) == links
+        [(i, 0, v.astype("<f8").tobytes(), np.zeros(16).tobytes(), 1, 16, 0.0) for i, v in enumerate(u)],
+        "node long, label_no long, raw binary, centre binary, passes int, window int, spread double")
+    got = embed_dedup._link_passes(nodes, 0.93, 16).collect()  # 14 rows over 8 partitions
+    assert closure(range(14), [(r.a, r.b) for r in got]) == closure(range(14), links)
 
 
 def test_nearest_vectors(spark):
