@@ -326,9 +326,10 @@ def _fu(spark, d):
 
 def _latest_power(spark, d):
     """The cleaned sales file of the latest year (one yearly file, as the
-    original validation reads)."""
+    original validation reads), without utilities below the size thresholds."""
     p = _power(spark, d)
-    return p.filter(F.col("Year") == p.agg(F.max("Year")).scalar())
+    return clean.size_filter(p.filter(F.col("Year") == p.agg(F.max("Year")).scalar()),
+                             {"Customers": S.MIN_CUSTOMERS, "Sales_MWh": S.MIN_SALES})
 
 
 def _fu_join(spark, d):
@@ -1011,7 +1012,7 @@ def layout_sheets(spark, d) -> str:
     as published, state first, blocks turned round after a notes column, and
     totals by name."""
     path = scratch_path(spark, "layout_sheets")
-    sheet = roles.raw_sheet(materialize(roles.sales_grain(spark, d, every_line=True), "sheet_grain"),
+    sheet = roles.raw_sheet(materialize(roles.sales_grain(spark, d), "sheet_grain"),
                             carry=("src_order",))
     cols = [c for c in sheet.columns if c != "src_order"]
     sheet = sheet.withColumns({"_sheet_year": F.col("`Data Year`"), "Notes": F.lit('kept, "as is"')})

@@ -16,10 +16,9 @@ FAC = """
 fac AS (
   SELECT CAST(o.o_orderkey AS VARCHAR) AS Facility_ID, c.c_name AS Facility_Name,
          c.c_mktsegment AS Operator, n.n_name AS State,
-         CAST(year(o.o_orderdate) AS INTEGER) AS Opening_Year, o.o_totalprice AS Capacity_MW
+         CAST(year(o.o_orderdate) - 1 AS INTEGER) AS Opening_Year, o.o_totalprice AS Capacity_MW
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
        JOIN nation n ON c.c_nationkey = n.n_nationkey
-  WHERE o.o_orderpriority = '1-URGENT' AND o.o_totalprice > 480000
 )"""
 
 SYA = """
@@ -28,7 +27,7 @@ sya AS (
          CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS rev,
          CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS qty,
          5 * count(*) AS cust
-  FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01 00:00:00'
+  FROM lineitem
   GROUP BY 1, 2
 )"""
 
@@ -238,15 +237,16 @@ FU = POWER + """,
 fu AS (
   SELECT CAST(o.o_orderkey AS VARCHAR) AS Facility_ID, c.c_name AS Facility_Name,
          n.n_name AS State, s.s_name AS Utility_Name,
-         CAST(year(o.o_orderdate) AS INTEGER) AS Opening_Year
+         CAST(year(o.o_orderdate) - 1 AS INTEGER) AS Opening_Year
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
        JOIN nation n ON c.c_nationkey = n.n_nationkey
        LEFT JOIN (SELECT l_orderkey, l_suppkey FROM lineitem WHERE l_linenumber = 1) l
               ON o.o_orderkey = l.l_orderkey
        LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  WHERE o.o_orderpriority = '1-URGENT' AND o.o_totalprice > 480000
 ),
-latest AS (SELECT * FROM power WHERE Year = (SELECT max(Year) FROM power)),
+latest AS (
+  SELECT * FROM power
+  WHERE Year = (SELECT max(Year) FROM power) AND Sales_MWh > 400 AND Customers > 400),
 lk AS (SELECT DISTINCT Utility_Name FROM fu WHERE Utility_Name IS NOT NULL),
 rk AS (SELECT DISTINCT Utility_Name FROM latest WHERE Utility_Name IS NOT NULL),
 fj AS (
@@ -600,14 +600,13 @@ GROUP BY GROUPING SETS ((l_returnflag), ())"""
 
 
 # sheets of many layouts over every line item ---------------------------------------------
-EVERY = GRAIN.replace("FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01 00:00:00'", "FROM lineitem")
-add("layout_consolidation", EVERY, """
+add("layout_consolidation", GRAIN, """
 SELECT Utility_Name, State, Year, Utility_ID,
        CAST(Revenue_Thousands AS DOUBLE) AS Revenue_Thousands,
        CAST(Sales_MWh AS DOUBLE) AS Sales_MWh, CAST(Customers AS DOUBLE) AS Customers,
        round(Revenue_Thousands / nullif(Sales_MWh, 0), 6) AS Price_Per_kWh
 FROM cons""")
-add("observed_step_counts", EVERY, """
+add("observed_step_counts", GRAIN, """
 SELECT CAST(sum(n) AS BIGINT) AS n_raw, count(*) AS n_consolidated,
        count(*) FILTER (WHERE Sales_MWh > 400) AS n_size_ok,
        count(*) FILTER (WHERE Sales_MWh > 400 AND

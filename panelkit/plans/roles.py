@@ -1,9 +1,10 @@
 """Test-table roles: how the driver's TPC-H-ish tables play the parts of the
 original inputs.
 
-* facility openings  <- urgent, large orders: state = customer's nation,
-  opening year = order year, capacity = order total, id = order key.
-* utility-year sales <- line items from 1996 on, grouped per (supplier, ship
+* facility openings  <- every order: state = customer's nation,
+  opening year = the year before the order, so some precede the first sales;
+  capacity = order total, id = order key.
+* utility-year sales <- every line item, grouped per (supplier, ship
   year): utility = supplier, state = supplier's nation, revenue = summed
   extended price in integer cents, sales = summed quantity, customers = five
   for each line item (a supplier-year has about 85 lines, so the original
@@ -19,7 +20,7 @@ original inputs.
 * raw sheets and raw lists <- the sales or facility rows laid out like the
   original raw inputs (repeated header blocks, 10 positional fields).
 
-Every role filters on raw columns right after the scan (pushed to parquet) and
+Every role reads its whole table and
 aggregates line items per (supplier, year) *before* joining the dimension
 tables, so the joins see suppliers x years rows, not line items.  Join
 strategies are left to AQE, which broadcasts only sides measured small at run
@@ -34,22 +35,21 @@ from panelkit import schemas as S
 from panelkit.operators import clean
 from panelkit.sources.tables import read_table
 
-URGENT = "1-URGENT"
-LARGE_ORDER = 480000
 CUSTOMERS_PER_LINE = 5
-SALES_SINCE = "1996-01-01 00:00:00"
-SALES_SINCE_YEAR = 1996
 
 
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
 
+def _opened(date: str):
+    return F.year(date) - 1
+
+
 def facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facility rows: Facility_ID, Facility_Name, Operator, State,
     Opening_Year (int), Capacity_MW (double)."""
     orders = (read_table(spark, sf_dir, "orders")
-              .filter((F.col("o_orderpriority") == URGENT) & (F.col("o_totalprice") > LARGE_ORDER))
               .select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"))
     cust = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
@@ -59,33 +59,27 @@ def facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("c_name").alias("Facility_Name"),
                     F.col("c_mktsegment").alias("Operator"),
                     F.col("n_name").alias("State"),
-                    F.year("o_orderdate").alias("Opening_Year"),
+                    _opened("o_orderdate").alias("Opening_Year"),
                     F.col("o_totalprice").alias("Capacity_MW")))
 
 
 def facility_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(State, Opening_Year, n, Capacity_MW) without joining every order.
 
-    Urgent orders are first reduced per (customer, year) - partial
+    Orders are first reduced per (customer, year) - partial
     aggregation, so a customer holding a third of the orders becomes at most
     one row per year before any shuffle - then joined to customer and nation
     and summed per (state, year).  Same result as
     ``event_counts(facilities(...))``; the joins see customers x years rows.
     """
     orders = (read_table(spark, sf_dir, "orders")
-              .filter((F.col("o_orderpriority") == URGENT) & (F.col("o_totalprice") > LARGE_ORDER))
-              .groupBy("o_custkey", F.year("o_orderdate").alias("Opening_Year"))
-              .agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("Capacity_MW")))
+              .groupBy("o_custkey", _opened("o_orderdate").alias("Opening_Year"))
+              .agg(F.count(F.lit(1)).alias("n"), F.sum(_cents("o_totalprice")).alias("cents")))
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return (orders.join(cust, orders.o_custkey == cust.c_custkey)
             .join(_nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
             .groupBy(F.col("n_name").alias("State"), "Opening_Year")
-            .agg(F.sum("n").alias("n"), F.sum("Capacity_MW").alias("Capacity_MW")))
-
-
-def _recent_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (read_table(spark, sf_dir, "lineitem")
-            .filter(F.col("l_shipdate") >= F.lit(SALES_SINCE).cast("timestamp_ntz")))
+            .agg(F.sum("n").alias("n"), (F.sum("cents") / 100).alias("Capacity_MW")))
 
 
 def _cents(c: str):
@@ -132,7 +126,7 @@ def utility_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Utility-year rows in the sales-file layout (F-UTL), one per
     (supplier, year): Utility_Name, State, Year, Utility_ID ('<key>.0'),
     Revenue_Thousands, Sales_MWh, Customers (bigint), Price_Per_kWh."""
-    agg = supplier_year_sales(_recent_lines(spark, sf_dir))
+    agg = supplier_year_sales(read_table(spark, sf_dir, "lineitem"))
     return (_with_supplier(spark, sf_dir, agg)
             .select(F.col("s_name").alias("Utility_Name"),
                     F.col("n_name").alias("State"),
@@ -153,15 +147,13 @@ def power_costs(power: DataFrame) -> DataFrame:
     return df.drop("Revenue_Thousands", "Sales_MWh")
 
 
-def sales_grain(spark: SparkSession, sf_dir: str, *, every_line: bool = False) -> DataFrame:
-    """Raw rows with duplicates: sales at (supplier, year, return flag) grain,
-    of the recent line items or of every one.
+def sales_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows with duplicates: sales at (supplier, year, return flag) grain.
 
     The id is NULL on 'A' rows and differs between 'N' ('<key>.0') and 'R'
     ('<key>.9') rows, so "first non-NULL id in flag order" has work to do.
     """
-    lines = read_table(spark, sf_dir, "lineitem") if every_line else _recent_lines(spark, sf_dir)
-    agg = supplier_year_sales(lines, keys=("l_suppkey", "l_returnflag"))
+    agg = supplier_year_sales(read_table(spark, sf_dir, "lineitem"), keys=("l_suppkey", "l_returnflag"))
     return (_with_supplier(spark, sf_dir, agg)
             .select(F.col("s_name").alias("Utility_Name"),
                     F.col("n_name").alias("State"),
@@ -211,13 +203,11 @@ def facility_utilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     order's first line item (NULL when the order has no line 1).
 
     The line-item side is reduced to line 1 at the scan; the join is on the
-    order key, so Spark can also prune it with a runtime filter built from the
-    (small) urgent-order side.  Facility rows are the output here, so they
+    order key.  Facility rows are the output here, so they
     cannot be pre-aggregated; a customer holding many of them is split by
     AQE's skew-join handling.
     """
     orders = (read_table(spark, sf_dir, "orders")
-              .filter((F.col("o_orderpriority") == URGENT) & (F.col("o_totalprice") > LARGE_ORDER))
               .select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"))
     first_line = (read_table(spark, sf_dir, "lineitem").filter(F.col("l_linenumber") == 1)
                   .select("l_orderkey", "l_suppkey"))
@@ -231,5 +221,5 @@ def facility_utilities(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("c_name").alias("Facility_Name"),
                     F.col("n_name").alias("State"),
                     F.col("s_name").alias("Utility_Name"),
-                    F.year("o_orderdate").alias("Opening_Year"),
+                    _opened("o_orderdate").alias("Opening_Year"),
                     F.col("o_totalprice").alias("Capacity_MW")))
