@@ -1,4 +1,4 @@
-"""Stored, mergeable sketches of keys and values.
+"""Stored, mergeable sketches of keys and values.
 
 A sketch is a few kilobytes per group, whatever the group holds.  It is
 written once per part of the data (a year, a state) and merged upwards, so a
@@ -6,7 +6,8 @@ report over more parts, or after new ones, rereads sketches and no rows.
 
 * keys: theta sketches, with intersection and difference, for the match
   report of two key sets;
-* values: quantile (KLL) sketches, for medians per group and in total.
+* values: quantile (KLL) sketches, for medians per group and in total;
+* frequent keys: bounded counters in each task, merged, and an exact recount.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ from panelkit.session import materialize
 
 KEY_LOG2 = 12  # a key sketch keeps about 4096 hashes; fewer keys are counted exactly
 VALUE_K = 400
+COUNTERS = 4096  # keys a task counts for the most frequent ones
+BUCKETS = 1 << 16  # hash buckets that bound the counts of all other keys
+PROBED = 64  # largest buckets whose keys are counted to learn what the n-th key needs
 DEVIATIONS = 4  # width of a stated bound in standard errors
 
 
@@ -92,3 +96,44 @@ def rank_check(df: DataFrame, value: str, quantiles: DataFrame, by: Sequence[str
                                (F.count_if(F.col(value) <= F.col("_q")) / F.count(F.lit(1))).alias("high"))
     e = rank_error()
     return out.withColumn("inside", (F.col("low") <= quantile + e) & (F.col("high") >= quantile - e))
+
+
+def heavy_hitters(df: DataFrame, key: str, n: int = 5, out: str = "n_rows", counters: int = COUNTERS,
+                  buckets: int = BUCKETS, probed: int = PROBED) -> DataFrame:
+    """A7 on a key of any width: ``key, out`` of the ``n`` most frequent keys,
+    exactly, ties by key (null is a key and comes first).
+
+    Frequent-item counters give the hot keys, at most ``counters``.  These are
+    counted exactly, and all others by hash bucket, in one pass that shuffles
+    one row a counter and bucket from each task.  No key outside the hot ones
+    has more rows than its bucket, so once the ``n``-th count among the hot keys
+    and those of the ``probed`` largest buckets is known, only keys of buckets
+    that reach it are counted one by one.  Where some keys stand out, few
+    buckets do; where all keys have about as many rows, most do, and the work
+    is that of a plain count.  An empty table gives no rows.
+    """
+    rows = df.select(F.col(key).alias("_k")).withColumn(
+        "_b", F.pmod(F.xxhash64("_k"), F.lit(buckets)).cast("int"))
+    met = rows.agg(F.expr(f"approx_top_k(_k, {counters}, {counters})").alias("_t"))
+    hot = materialize(met.select(F.explode("_t").alias("_t")).select(
+        F.col("_t.item").alias("_h"), F.lit(True).alias("_hot")), "hot_keys")
+    # at most `counters` and `buckets` rows are broadcast
+    marked = rows.join(F.broadcast(hot), F.col("_k").eqNullSafe(F.col("_h")), "left")
+    counted = materialize(
+        marked.groupBy(F.when(F.col("_hot"), F.col("_k")).alias("_k"),
+                       F.when(F.col("_hot").isNull(), F.col("_b")).alias("_b"))
+        .agg(F.count(F.lit(1)).alias(out)), "hot_and_buckets")
+    hits, sums = counted.filter("_b IS NULL").select("_k", out), counted.filter("_b IS NOT NULL")
+
+    def recount(chosen: DataFrame) -> DataFrame:
+        of = chosen.select(F.col("_b").alias("_c"))
+        return (marked.filter(F.col("_hot").isNull()).join(F.broadcast(of), F.col("_b") == F.col("_c"))
+                .groupBy("_k").agg(F.count(F.lit(1)).alias(out)))
+
+    best = [F.col(out).desc(), F.col("_k").asc()]
+    known = hits.union(recount(sums.orderBy(F.col(out).desc(), "_b").limit(probed)))
+    needed = materialize(known.orderBy(*best).limit(n).agg(
+        F.when(F.count(F.lit(1)) == n, F.min(out)).otherwise(0).alias("_least")), "needed")
+    reach = sums.filter(F.col(out) >= needed.select("_least").scalar())
+    return (hits.union(recount(reach)).orderBy(*best).limit(n)
+            .select(F.col("_k").alias(key), out))

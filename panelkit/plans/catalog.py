@@ -1002,6 +1002,12 @@ def q_price_sketch(spark, d):
     return q_price_sketch_results(spark, d).select("l_returnflag", "n", "inside")
 
 
+@query("heavy_orders")
+def q_heavy_orders(spark, d):
+    """A7 on a key as wide as the orders: the five orders with most lines."""
+    return sketches.heavy_hitters(read_table(spark, d, "lineitem"), "l_orderkey")
+
+
 # --------------------------------------------------------------------------
 # sheets of many layouts in one scan, counts seen while writing
 # --------------------------------------------------------------------------

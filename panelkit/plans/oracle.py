@@ -599,6 +599,10 @@ SELECT l_returnflag, count(*) AS n, TRUE AS inside FROM lineitem WHERE l_extende
 GROUP BY GROUPING SETS ((l_returnflag), ())"""
 
 
+ORACLE["heavy_orders"] = """
+SELECT l_orderkey, count(*) AS n_rows FROM lineitem GROUP BY 1 ORDER BY n_rows DESC, l_orderkey LIMIT 5"""
+
+
 # sheets of many layouts over every line item ---------------------------------------------
 add("layout_consolidation", GRAIN, """
 SELECT Utility_Name, State, Year, Utility_ID,

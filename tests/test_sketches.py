@@ -48,3 +48,20 @@ def test_merged_medians_have_a_bounded_rank_error(spark):
 def test_sketches_of_nothing(spark):
     df = spark.createDataFrame([], "k long, v double, part long")
     assert sketches.merged_quantiles(sketches.value_sketches(df, "v", ["part"]), ["part"]).collect() == []
+
+
+@pytest.mark.parametrize("skew", ["skewed", "flat", "few"])
+def test_heavy_hitters_equal_exact_counts(spark, skew):
+    k = {"skewed": F.when(F.col("id") % 3 == 0, F.col("id") % 6).otherwise(F.col("id")),
+         "flat": F.col("id") % 9_001, "few": F.col("id") % 3}[skew]
+    df = spark.range(40_000).select(F.when(F.col("id") % 50 != 7, k).alias("k"), F.lit(1).alias("_k"))
+    for n, buckets in ((5, 1 << 16), (5, 16), (1, 256)):
+        got = sketches.heavy_hitters(df, "k", n, counters=64, buckets=buckets, probed=4)
+        assert got.columns == ["k", "n_rows"]
+        assert list(map(tuple, got.collect())) == list(map(tuple, quality.top_values(df, "k", n).collect()))
+
+
+def test_heavy_hitters_of_texts_and_of_nothing(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("a",), (None,), (None,), ("b",), ("",), ("x" * 5000,)], "k string")
+    assert [r.k for r in sketches.heavy_hitters(df, "k", 4).collect()] == [None, "a", "b", ""]
+    assert sketches.heavy_hitters(df.limit(0), "k").collect() == []
