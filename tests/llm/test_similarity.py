@@ -194,6 +194,50 @@ def test_pairs_are_found_around_a_common_mean(spark, base):
     assert sum(r.n_links for r in got.values()) == 2 * len(links)
 
 
+def test_passes_follow_from_the_sample():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(512, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    plan = lambda u, rows: embed_dedup.plan_passes(u, u.mean(axis=0), rows, embed_dedup.WINDOWS, 0.93, 1e-4)
+    assert plan(x[:50], 50)[:2] == (1, 64) and plan(x, 1024)[:2] == (1, 1024)
+    for rows in (5_000, 100_000, 10_000_000):  # a falling share of all pairs
+        passes, window, _ = plan(x, rows)
+        assert passes > 0 and passes * 1.5 * window < 1.5 * rows / 2 / (1 if rows < 10_000 else 4)
+    y = 0.5 ** 0.5 * np.eye(64)[0] + 0.5 ** 0.5 * x
+    y[0] = np.eye(64)[0]  # one vector at the mean does not turn the label over to all pairs
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    assert plan(y, 1_000_000)[0] > 0
+    copies = np.concatenate([x[:256], x[:1] + rng.normal(scale=0.005, size=(256, 64))])  # nor does a group of copies
+    copies /= np.linalg.norm(copies, axis=1, keepdims=True)
+    assert plan(copies, 1_000_000)[0] > 0
+
+
+def test_all_joined_rows_of_a_block_stay_joined():
+    rng = np.random.default_rng(4)
+    for share in (0.0, 0.02, 0.2, 1.0):
+        hit = rng.random((20, 35)) < share
+        a, b = np.arange(20), np.arange(100, 135)
+        pairs = np.concatenate([np.empty((0, 2), np.int64), *embed_dedup._joined(hit, a, b)])
+        assert len(pairs) < 56
+        want = closure([*a, *b], [(a[i], b[j]) for i, j in zip(*np.nonzero(hit))])
+        assert closure([*a, *b], [tuple(map(int, p)) for p in pairs]) == want
+
+
+def test_pairs_at_the_threshold_are_decided_in_double_precision(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(200, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = 0.93 + np.where(np.arange(200) % 2, 1e-9, -1e-9)[:, None]  # below single precision
+    rows = np.stack([x, cosine * x + np.sqrt(1 - cosine ** 2) * side], 1).reshape(-1, 32)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(rows)],
+                               "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in embed_dedup.near_duplicates(df).collect()}
+    assert [got[2 * i + 1].component_id == 2 * i for i in range(200)] == [i % 2 == 1 for i in range(200)]
+
+
 def test_pairs_are_found_over_short_partitions(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(7, 16))
