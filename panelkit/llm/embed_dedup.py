@@ -9,13 +9,15 @@ are compared again on the vectors as they came.  Of the pairs of one block, as
 many are kept as join its linked rows.  The links of all passes together are
 closed to components.
 
-Window and number of passes are measured for each label on a bounded sample:
-how many bits leave no more than half a window of unlinked rows beside a
-sampled vector, and how likely a partner at the threshold shares them.  Of the
-windows, the one that moves and compares least for the wanted recall is taken;
-a label no larger than the largest window needs one pass.  Only a label
-so crowded (all its vectors hardly farther apart than the threshold) that its
-passes would compare ``CROWDED`` times as many pairs as it has is compared
+Window and number of passes are measured for each label on all its rows, from
+the codes alone: how many bits a row shares with those just outside its window,
+so that whoever shares more is inside, and how likely a partner at the
+threshold does.  Of the windows, the one that moves and compares least for the
+wanted recall is taken; a label no larger than the largest window needs one
+pass.  Every row is then measured in all the passes its label got: a pair of
+which one row is sure enough to see its partners needs nothing more.  The rows
+left, each too crowded to be sure (in a label whose vectors are all hardly
+farther apart than the threshold, every one), are compared with each other
 exactly, in blocks.
 
 A bounded window cannot see every member of a large group.  So the links
@@ -43,25 +45,61 @@ BITS = 60
 WINDOWS = (64, 256, 1024)
 MOVED = 500  # what it costs to hash, sort and send a row once, in compared pairs
 CROWDED = 8
+NEVER = 1 << 30
 
 
-def plan_passes(units: np.ndarray, centre: np.ndarray, rows: int, windows: tuple[int, ...], threshold: float,
-                miss: float, trials: int = 8) -> tuple[int, int, float]:
-    """Passes, window and spread of the passes' centres, by which a pair at
-    the threshold stays unseen with probability ``miss``, as a mean over the
-    places of a sample (``units``) of a label's ``rows``; no passes: the label
-    is too crowded for them."""
+def plan_passes(units: np.ndarray | None, centre: np.ndarray, rows: int, windows: tuple[int, ...],
+                threshold: float, miss: float, trials: int = 8,
+                needs: list[tuple[np.ndarray, np.ndarray]] | None = None) -> tuple[int, int, float]:
+    """Passes, window and spread of the passes' centres that cost a label of
+    ``rows`` vectors least; no passes: the label is too crowded for them.
+
+    ``needs`` has, for each window, passes and how many rows need that many
+    until a pair at the threshold stays unseen with probability ``miss``.
+    Without it they are worked out for places held in memory (``units``),
+    taken to stand for all rows.  Rows that need more passes than the label
+    gets are compared exactly, a pair at ``CROWDED`` times its cost.
+    """
     if rows <= max(windows):
         return 1, min(w for w in windows if w >= rows), 0.0
-    m0 = units - centre
-    scale = 0.5 * math.sqrt((m0 * m0).sum(axis=1).mean())
-    apart = math.sqrt(2 - 2 * threshold)
-    linked = units @ units.T >= threshold
-    unseen = np.zeros((len(windows), len(m0)))  # log of the chance that a pass misses the partner
+    scale = 0.5 * math.sqrt(max(0.0, 1 - centre @ centre))  # half the unit vectors' deviation
+    if needs is None:
+        needs = [(_needed(log, miss), np.full(len(log), rows / len(log)))
+                 for log in _places(units - centre, units @ units.T >= threshold, rows, windows, scale,
+                                    threshold, trials)]
+    best = CROWDED * _exact_cost(rows), (0, 0, 0.0)
+    for (passes, count), w in zip(needs, windows):
+        order = np.argsort(passes)
+        passes, left = passes[order], np.maximum(rows - np.cumsum(count[order]), 0)
+        cost = passes * (rows * (MOVED + 1.5 * w)) + CROWDED * _exact_cost(left)
+        cost = np.where(passes < NEVER, cost, np.inf)
+        at = int(cost.argmin())
+        best = min(best, (float(cost[at]), (int(passes[at]), w, scale)), key=lambda x: x[0])
+    return best[1]
+
+
+def _exact_cost(rows, block: int = 1024):
+    """What it costs to send ``rows`` in pairs of blocks and compare them all."""
+    return rows * (rows / 2 + MOVED * np.ceil(rows / block))
+
+
+def _needed(log: np.ndarray, miss: float) -> np.ndarray:
+    """Passes after which a pair stays unseen with probability ``miss``, if
+    each misses it with probability ``exp(log)``; rounded up to six binary digits."""
+    passes = np.ceil(math.log(miss) / np.minimum(log, -1e-9))
+    step = 2.0 ** np.maximum(np.floor(np.log2(passes)) - 5, 0)
+    return np.minimum(np.ceil(passes / step) * step, NEVER).astype(np.int64)
+
+
+def _places(m0: np.ndarray, linked: np.ndarray, rows: int, windows: tuple[int, ...], scale: float,
+            threshold: float, trials: int) -> np.ndarray:
+    """Log of the chance that a pass misses a place's partner, for each window,
+    if the places (``m0``, around the mean) stand for ``rows``."""
+    unseen = np.zeros((len(windows), len(m0)))
     for p in range(trials):
-        m = m0 - scale * _jitter(units.shape[1], p)
+        m = m0 - scale * _jitter(m0.shape[1], p)
         r = np.maximum(np.sqrt((m * m).sum(axis=1)), 1e-300)
-        same = 1 - 2 * np.arcsin(apart / (2 * np.maximum(r, apart / math.sqrt(2)))) / math.pi
+        same = _same(r, threshold)
         m /= r[:, None]
         agree = 1 - np.arccos(np.clip(m @ m.T, -1, 1)) / math.pi
         agree[linked] = 0.0  # rows of one component do not crowd each other out
@@ -76,38 +114,165 @@ def plan_passes(units: np.ndarray, centre: np.ndarray, rows: int, windows: tuple
                 waits[k] &= ~free
             if not waits.any():
                 break
-    best = (0, 0, 0.0)
-    for log, w in zip(unseen, windows):
-        most = int(CROWDED * rows / 2 / (1.5 * w))
-        lo, hi = 1, max(1, most)
-        if np.exp(hi * log).mean() > miss:
-            continue
-        while lo < hi:
-            mid = (lo + hi) // 2
-            lo, hi = (lo, mid) if np.exp(mid * log).mean() <= miss else (mid + 1, hi)
-        if not best[0] or lo * (MOVED + 1.5 * w) < best[0] * (MOVED + 1.5 * best[1]):
-            best = (lo, w, scale)
-    return best
-
-
-def _measured(nodes: DataFrame, windows: tuple[int, ...], threshold: float, miss: float,
-              sample: int = 512) -> DataFrame:
-    """``label_no, centre, passes, window, spread`` of each label, from about
-    ``sample`` rows of it."""
-    sizes = nodes.groupBy("label_no").agg(F.count(F.lit(1)).alias("rows")).withColumnRenamed("label_no", "_l")
-    dealt = F.pmod(F.xxhash64(F.lit("sample"), "raw"), F.lit(1 << 30))
-    some = (nodes.join(sizes, F.col("label_no") == F.col("_l"))
-            .filter(dealt * F.col("rows") < sample * (1 << 30)).select("label_no", "rows", "raw"))
-
-    def measure(pdf: pd.DataFrame) -> pd.DataFrame:
-        u = _units(pdf["raw"].tolist())
-        centre = u.mean(axis=0)
-        passes, window, spread = plan_passes(u, centre, int(pdf["rows"].iat[0]), windows, threshold, miss)
-        return pd.DataFrame({"label_no": pdf["label_no"].iloc[:1], "centre": [centre.tobytes()],
-                             "passes": [passes], "window": [window], "spread": [spread]})
-
-    return some.groupBy("label_no").applyInPandas(
-        measure, "label_no long, centre binary, passes int, window int, spread double")
+    return unseen
+
+
+def _same(r: np.ndarray, threshold: float) -> np.ndarray:
+    """Chance that a partner at the threshold is on the same side of a random
+    plane through a centre at distance ``r``."""
+    apart = math.sqrt(2 - 2 * threshold)
+    return 1 - 2 * np.arcsin(apart / (2 * np.maximum(r, apart / math.sqrt(2)))) / math.pi
+
+
+def _planned(nodes: DataFrame, windows: tuple[int, ...], threshold: float, miss: float,
+             trials: int = 8) -> DataFrame:
+    """``nodes`` with ``rows, centre, passes, window, spread`` of their label, from
+    all rows of it: their mean, and their crowding in ``trials`` passes."""
+    centres = "label_no long, rows long, centre binary"
+
+    def add(batches):
+        for _, label, raw in text_batches(batches, "label_no", "raw"):
+            label = np.array(label, np.int64)
+            for no in np.unique(label):
+                u = _units([raw[i] for i in np.flatnonzero(label == no)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([no], pa.int64()), pa.array([len(u)], pa.int64()),
+                     pa.array([u.sum(axis=0).tobytes()], pa.binary())], names=["label_no", "rows", "centre"])
+
+    def mean(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = int(pdf["rows"].sum())  # sums in one order, so that reruns agree
+        total = unpack(sorted(pdf["centre"]), len(pdf["centre"].iat[0]) // 8).sum(axis=0)
+        return pd.DataFrame({"label_no": pdf["label_no"].iloc[:1], "rows": [rows],
+                             "centre": [(total / rows).tobytes()]})
+
+    labels = materialize(nodes.select("label_no", "raw").mapInArrow(add, centres)
+                         .groupBy("label_no").applyInPandas(mean, centres), "centres")
+
+    def plan(pdf: pd.DataFrame) -> pd.DataFrame:
+        centre = np.frombuffer(pdf["centre"].iat[0], "<f8")
+        needs = [(g["need"].to_numpy(np.int64), g["count"].to_numpy(float))
+                 for g in (pdf[pdf["k"] == k] for k in range(len(windows)))]
+        passes, window, spread = plan_passes(None, centre, int(pdf["rows"].iat[0]), windows, threshold, miss,
+                                             needs=needs)
+        return pdf[["label_no", "rows", "centre"]].iloc[:1].assign(passes=passes, window=window, spread=spread)
+
+    def of_label(df: DataFrame, plans: DataFrame) -> DataFrame:
+        return df.join(plans.withColumnRenamed("label_no", "_l"), F.col("label_no") == F.col("_l")).drop("_l")
+
+    large = labels.filter(F.col("rows") > max(windows))
+    fits = F.array_min(F.filter(F.array(*map(F.lit, windows)), lambda w: w >= F.col("rows")))
+    plans = labels.filter(F.col("rows") <= max(windows)).select(
+        "label_no", "rows", "centre", F.lit(1).alias("passes"), fits.cast("int").alias("window"),
+        F.lit(0.0).alias("spread"))
+    if not large.isEmpty():
+        def spread(centre: pd.Series) -> pd.Series:
+            return centre.map(lambda c: 0.5 * math.sqrt(max(0.0, 1 - (np.frombuffer(c, "<f8") ** 2).sum())))
+
+        tried = large.select("label_no", "centre", F.lit(trials).alias("passes"), F.lit(0).alias("window"),
+                             F.pandas_udf(spread, "double")("centre").alias("spread"))
+
+        def need(batches):
+            for batch in batches:
+                if not len(batch):
+                    continue
+                label = batch.column(0).to_numpy()
+                for k in range(len(windows)):
+                    needed = _needed(batch.column(k + 1).to_numpy() / trials, miss)
+                    (no, needed), count = np.unique(np.stack([label, needed]), axis=1, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(no), pa.array(np.full(len(no), k), pa.int32()), pa.array(needed),
+                         pa.array(count, pa.int64())], names=["label_no", "k", "need", "count"])
+
+        needs = (_unseen(of_label(nodes, tried), threshold, windows)
+                 .select("label_no", *(f"log{k}" for k in range(len(windows))))
+                 .mapInArrow(need, "label_no long, k int, need long, count long")
+                 .groupBy("label_no", "k", "need").agg(F.sum("count").alias("count")))
+        plans = plans.union(of_label(needs, large).groupBy("label_no").applyInPandas(
+            plan, f"{centres}, passes int, window int, spread double"))
+    return of_label(nodes, materialize(plans, "plans"))
+
+
+def _unseen(nodes: DataFrame, threshold: float, windows: tuple[int, ...] = (),
+            reach: int = max(WINDOWS)) -> DataFrame:
+    """``node, label_no, log0, log1, ..``: log of the chance that all ``passes``
+    of a row miss its partner at the threshold, for each of ``windows``, or
+    for the row's own ``window`` (``reach`` at most).
+
+    In the order of a pass, rows that share more bits with a row than those a
+    window before and behind it lie between the two.  Next to the ends of a
+    partition its first and last row stand for those outside, which share no
+    more: there the chance comes out too large, never too small.
+    """
+    bounded_batches(nodes.sparkSession)
+    reach = max(windows, default=reach)
+    names = [*SORTED, "window", "same"]
+
+    def project(batches):
+        for dim, label, node, passes, window, spread, _, around in _unpacked(batches):
+            far = (around * around).sum(axis=1)
+            for p in range(passes.max()):
+                at = np.flatnonzero(passes > p)
+                shift = _jitter(dim, p)
+                r2 = far[at] - 2 * spread[at] * (around[at] @ shift) + spread[at] ** 2 * (shift @ shift)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), p), pa.int32()), pa.array(label[at]),
+                     pa.array(_code(around[at], spread[at], dim, p)), pa.array(node[at]), pa.array(window[at]),
+                     pa.array(_same(np.sqrt(np.maximum(r2, 0)), threshold))], names=names)
+
+    def measure(batches):
+        held, done = None, 0
+
+        def logs(hi):
+            at = np.arange(done, hi)
+            pas, label, code = (held[c] for c in ("pass", "label_no", "code"))
+
+            def shared(to):
+                x = code[at] ^ code[to]
+                high, low = np.frexp((x >> 30).astype(float))[1], np.frexp((x & (1 << 30) - 1).astype(float))[1]
+                return np.where((pas[at] == pas[to]) & (label[at] == label[to]),
+                                BITS - np.where(high > 0, high + 30, low), -1)
+
+            for w in windows or (held["window"][at],):
+                bits = 1 + np.maximum(shared(np.maximum(at - w, 0)), shared(np.minimum(at + w, len(code) - 1)))
+                chance = np.where(bits > BITS, 0.0, held["same"][at] ** bits)
+                yield pa.array(np.log1p(-np.minimum(chance, 1 - 1e-12)))
+
+        def measured(hi):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(held["node"][done:hi]), pa.array(held["label_no"][done:hi]), *logs(hi)],
+                names=["node", "label_no", *cols])
+
+        for batch in batches:
+            new = {c: batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in names}
+            held = new if held is None else {c: np.concatenate([held[c], new[c]]) for c in names}
+            if len(held["node"]) - reach > done:
+                yield measured(len(held["node"]) - reach)
+                done = len(held["node"]) - reach
+            cut = max(0, done - reach)
+            held, done = {c: v[cut:] for c, v in held.items()}, done - cut
+        if held is not None and len(held["node"]) > done:
+            yield measured(len(held["node"]))
+
+    cols = [f"log{k}" for k in range(len(windows) or 1)]
+    rows = nodes.select("node", "label_no", "raw", "centre", "passes", "window", "spread")
+    ends = nodes.sparkSession.range(2).select(  # nothing lies before the first and after the last row
+        F.when(F.col("id") == 0, -1).otherwise(NEVER).cast("int").alias("pass"), F.lit(0).cast("long").alias("label_no"),
+        F.lit(0).cast("long").alias("code"), F.lit(-1).cast("long").alias("node"), F.lit(0).alias("window"),
+        F.lit(0.0).alias("same"))
+    coded = rows.mapInArrow(project, "pass int, label_no long, code long, node long, window int, same double")
+    few = (rows.agg(F.sum("passes")).first()[0] or 0) // (16 * reach)  # partitions with few rows beside their ends
+    logs = _ranged(coded.union(ends), few).mapInArrow(
+        measure, "node long, label_no long, " + ", ".join(f"{c} double" for c in cols))
+    return logs.filter("node >= 0").groupBy("node", "label_no").agg(*(F.sum(c).alias(c) for c in cols))
+
+
+def _crowded(planned: DataFrame, threshold: float, miss: float, reach: int) -> DataFrame:
+    """Rows that do not see their partners surely enough in their passes."""
+    passed = planned.filter((F.col("passes") > 0) & (F.col("rows") > F.col("window")))
+    if passed.isEmpty():  # each label lies in one window or takes no pass
+        return planned.filter("passes = 0")
+    left = _unseen(passed, threshold, reach=reach).filter(F.col("log0") > math.log(miss)).select(F.col("node").alias("_n"))
+    return planned.filter("passes = 0").union(planned.join(left, F.col("node") == F.col("_n")).drop("_n"))
 
 
 def _units(raw) -> np.ndarray:
@@ -146,10 +311,39 @@ def _joined(hit: np.ndarray, a: np.ndarray, b: np.ndarray):
             yield np.stack([np.full(len(front), a[first]), a[front]], 1)
 
 
+def _code(around: np.ndarray, spread: np.ndarray, dim: int, p: int) -> np.ndarray:
+    """Bits of pass ``p`` as one number; ``around``: vectors less their label's centre."""
+    planes = _planes(dim, p)
+    bits = around @ planes > np.outer(spread, _jitter(dim, p) @ planes)
+    return bits.astype(np.int64) @ (np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64))
+
+
+def _unpacked(batches):
+    """Of each batch and length of vectors: the length, ``label_no, node, passes,
+    window, spread``, unit vectors, and these less their label's centre."""
+    for _, node, label, raw, centre, passes, window, spread in text_batches(
+            batches, "node", "label_no", "raw", "centre", "passes", "window", "spread"):
+        node, label, passes = np.array(node, np.int64), np.array(label, np.int64), np.array(passes)
+        window, spread = np.array(window, np.int32), np.array(spread)
+        sizes = np.array([len(r) // 8 for r in raw])
+        for dim in np.unique(sizes):
+            of = np.flatnonzero(sizes == dim)
+            u = unit(unpack([raw[i] for i in of], dim))
+            yield (dim, label[of], node[of], passes[of], window[of], spread[of], u,
+                   u - unpack([centre[i] for i in of], dim))
+
+
 SORTED = ["pass", "label_no", "code", "node"]
 CARRIED = [*SORTED, "window", "unit"]
 
 
+def _ranged(rows: DataFrame, most: int | None = None) -> DataFrame:
+    """Rows in the order of their passes, in ``most`` partitions at most."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, parts if most is None else min(parts, most))
+    return rows.repartitionByRange(parts, *SORTED).sortWithinPartitions(*SORTED)
+
+
 def _near_pairs(cols: dict, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows no farther apart than their label's window in the given
     order: those that join all linked rows, and those too close to the
@@ -182,32 +376,18 @@ def _link_passes(nodes: DataFrame, threshold: float, reach: int = max(WINDOWS))
     bounded_batches(nodes.sparkSession)
 
     def project(batches):
-        for _, node, label, raw, centre, passes, window, spread in text_batches(
-                batches, "node", "label_no", "raw", "centre", "passes", "window", "spread"):
-            if not node:
-                continue
-            node, label, passes = np.array(node, np.int64), np.array(label, np.int64), np.array(passes)
-            window, spread = np.array(window, np.int32), np.array(spread)
-            sizes = np.array([len(r) // 8 for r in raw])
-            for dim in np.unique(sizes):
-                of = np.flatnonzero(sizes == dim)
-                u = unit(unpack([raw[i] for i in of], dim))
-                packs = pa.array([x.tobytes() for x in u.astype("<f4")], pa.binary())
-                u -= unpack([centre[i] for i in of], dim)
-                for p in range(passes[of].max()):
-                    at = np.flatnonzero(passes[of] > p)
-                    planes = _planes(dim, p)
-                    bits = u[at] @ planes > np.outer(spread[of][at], _jitter(dim, p) @ planes)
-                    code = bits.astype(np.int64) @ (np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), p), pa.int32()), pa.array(label[of][at]), pa.array(code),
-                         pa.array(node[of][at]), pa.array(window[of][at]), packs.take(pa.array(at))], names=CARRIED)
+        for dim, label, node, passes, window, spread, u, around in _unpacked(batches):
+            packs = pa.array([x.tobytes() for x in u.astype("<f4")], pa.binary())
+            for p in range(passes.max()):
+                at = np.flatnonzero(passes > p)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), p), pa.int32()), pa.array(label[at]),
+                     pa.array(_code(around[at], spread[at], dim, p)), pa.array(node[at]), pa.array(window[at]),
+                     packs.take(pa.array(at))], names=CARRIED)
 
     # a label's rows are of one length (label_no holds it)
     carried = "pass int, label_no long, code long, node long, window int, unit binary"
-    rows = nodes.mapInArrow(project, carried)
-    parts = max(1, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = rows.repartitionByRange(parts, *SORTED).sortWithinPartitions(*SORTED)
+    ranged = _ranged(nodes.mapInArrow(project, carried))
     types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
     links = "a long, b long, sure boolean"
 
@@ -372,13 +552,9 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     else:
         nodes = classes.withColumn("label_no", F.xxhash64("label", F.octet_length("raw")))
         windows = (window,) if window else WINDOWS
-        measured = materialize(_measured(nodes, windows, threshold, miss), "measured") \
-            .withColumnRenamed("label_no", "_l")
-        # a label of which the sample has no row is compared exactly
-        planned = (nodes.join(measured, F.col("label_no") == F.col("_l"), "left")
-                   .withColumn("passes", F.coalesce("passes", F.lit(0))))
+        planned = _planned(nodes, windows, threshold, miss)
         links = _link_passes(planned.filter("passes > 0"), threshold, max(windows)) \
-            .union(_all_links(planned.filter("passes = 0"), threshold, block))
+            .union(_all_links(_crowded(planned, threshold, miss, max(windows)), threshold, block))
         comp = materialize(components(links), "components")
         members = nodes.join(comp.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node")) \
             .select("component", "node", "n", "raw", "first")

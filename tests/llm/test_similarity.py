@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from panelkit.llm import ann, embed_dedup, minhash, substring
 from panelkit.llm.fmindex import FMIndex, repeated_windows
@@ -212,6 +213,63 @@ def test_passes_follow_from_the_sample():
     assert plan(copies, 1_000_000)[0] > 0
 
 
+def _with_partners(x, cosine, rng):
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(axis=1, keepdims=True) * x
+    return cosine * x + math.sqrt(1 - cosine ** 2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+
+
+def test_a_crowd_that_a_sample_misses_is_planned_for(spark):
+    rng = np.random.default_rng(37)
+    x = rng.normal(size=(1000, 64))
+    crowd = np.eye(64)[0] + 0.42 * rng.normal(size=(4000, 64)) / 8  # near each other, mostly not linked
+    x, crowd = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (x, crowd))
+    crowd = np.concatenate([crowd, _with_partners(crowd[:1000], 0.932, rng)])
+    # the crowd avoids the rows that a hash of the vector would have chosen
+    packs = spark.createDataFrame([(i, bytearray((v + 0.0).astype("<f8").tobytes())) for i, v in enumerate(crowd)],
+                                  "i int, raw binary")
+    rate = 512 / 5000
+    kept = [r.i for r in packs.filter(F.pmod(F.xxhash64(F.lit("sample"), "raw"), F.lit(1 << 30)) > rate * (1 << 30))
+            .select("i").collect()]
+    u = np.concatenate([x, crowd[sorted(kept)]])
+    s = u @ u.T
+    links = [(a, b) for a, b in zip(*np.nonzero(s >= 0.93)) if a < b]
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(u)],
+                               "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in embed_dedup.near_duplicates(df).collect()}
+    assert {i: r.component_id for i, r in got.items()} == closure(range(len(u)), links)
+
+
+@pytest.mark.parametrize("n", [700, 16_000])  # in one partition, in several
+def test_every_row_is_measured_in_all_its_passes(spark, n):
+    rng = np.random.default_rng(38)
+    u = rng.normal(size=(n, 8))
+    u[:200] = u[0] + 0.01 * u[:200]
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    nodes = spark.createDataFrame(
+        [(i, i % 2, v.astype("<f8").tobytes(), np.zeros(8).tobytes(), 3, 16, 0.5) for i, v in enumerate(u)],
+        "node long, label_no long, raw binary, centre binary, passes int, window int, spread double")
+    got = {r.node: r.log0 for r in embed_dedup._unseen(nodes, 0.93).collect()}
+    both = {r.node: (r.log0, r.log1) for r in embed_dedup._unseen(nodes, 0.93, (16, 1024)).collect()}
+    want = np.zeros(n)
+    for label in (0, 1):
+        ids = np.arange(label, n, 2)
+        for p in range(3):
+            code = embed_dedup._code(u[ids], np.full(len(ids), 0.5), 8, p)
+            same = embed_dedup._same(np.linalg.norm(u[ids] - 0.5 * embed_dedup._jitter(8, p), axis=1), 0.93)
+            text = sorted((f"{c:060b}", i, s) for c, i, s in zip(code.tolist(), ids.tolist(), same))
+            for at, (c, i, s) in enumerate(text):
+                ends = [text[e][0] for e in (at - 16, at + 16) if 0 <= e < len(text)]
+                bits = max(1 + next((k for k in range(60) if c[k] != e[k]), 60) for e in ends) if ends else 0
+                want[i] += math.log1p(-s ** bits) if bits <= 60 else 0
+    logs = np.array([got[i] for i in range(n)])
+    assert all(both[i][1] < both[i][0] + 1e-9 for i in range(n))
+    for found in (logs, np.array([both[i][0] for i in range(n)])):
+        assert (found > want - 1e-6).all()  # less sure beside the ends of partitions, never surer
+        assert np.isclose(found, want).mean() > (0.99 if n == 16_000 else 1 - 1e-9)
+    assert (logs[:200] > math.log(1e-4)).all()
+
+
 def test_all_joined_rows_of_a_block_stay_joined():
     rng = np.random.default_rng(4)
     for share in (0.0, 0.02, 0.2, 1.0):
