@@ -7,11 +7,14 @@ the columns it is given by name and ignores all others.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import sys
 import types
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from panelkit.session import materialize
@@ -63,16 +66,42 @@ def gram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     return mix64(acc)
 
 
-def bounded_batches(spark: SparkSession, max_bytes: int = 8 << 20) -> None:
+def bounded_batches(spark: SparkSession, max_bytes: int = 2 << 20) -> None:
     """Bound the Arrow batches of this session by bytes, so that the memory of
-    a Python task does not depend on how long texts are."""
+    a Python task does not depend on how long texts are.  A batch is held
+    several times (buffers of the JVM and of Python, Python objects)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(max_bytes))
 
 
 def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
-    """``mapInArrow`` in batches of bounded bytes."""
+    """``mapInArrow`` in batches of bounded bytes.  A task begins without the
+    caches of other operators and gives back what it no longer needs."""
     bounded_batches(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
+
+
+def tidy(run):
+    """``run`` over a task's batches in a worker that holds the caches of
+    ``run``'s own module only, and returns free memory when it ends: a worker
+    lives on beside the executor's heap while other stages run."""
+
+    @functools.wraps(run)
+    def tidied(batches):
+        worker_store(run.__module__)
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return tidied
+
+
+def release_memory() -> None:
+    """Give free memory that Arrow and the C library keep back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
 
 
 def text_batches(batches, *cols):
@@ -81,11 +110,16 @@ def text_batches(batches, *cols):
         yield batch, *(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in cols)
 
 
-def worker_store() -> dict:
-    """A dict that lives as long as this Python process (a Spark worker is
-    reused by later tasks), for caches that only save time."""
+def worker_store(owner: str) -> dict:
+    """A dict for caches of ``owner`` (a module) that only save time.  It lives
+    in this Python process (a Spark worker is reused by later tasks) until
+    another owner asks: caches of several operators never add up."""
     module = sys.modules.setdefault("_corpus_worker", types.ModuleType("_corpus_worker"))
-    return module.__dict__.setdefault("store", {})
+    stores = module.__dict__.setdefault("stores", {})
+    if owner not in stores:
+        stores.clear()
+        stores[owner] = {}
+    return stores[owner]
 
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

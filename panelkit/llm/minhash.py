@@ -126,8 +126,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     left = sets.select(F.col("node").alias("_a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("node").alias("_b"), F.col("shingles").alias("y"))
-    return (pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
-            .select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
+    both = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b"))
+    return map_batches(both.select("a", "b", "x", "y"), run, "a long, b long")
 
 
 def _size_ok(n: str, m: str, percent: int):
@@ -364,10 +364,10 @@ def _classified(docs: DataFrame, key: str, text: str, percent: int, coordinates:
               .select("node", "digest", F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")))
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
                         F.col(text).alias("text"))
+    found = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")))
     sets = materialize(
-        texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")))
-        .select("node", "digest", "text").mapInArrow(load, "node long, shingles binary").dropDuplicates(["node"]),
-        "shingles")
+        map_batches(found.select("node", "digest", "text"), load, "node long, shingles binary")
+        .dropDuplicates(["node"]), "shingles")
 
     near = reps.join(posts.select(F.col("node").alias("_p")).distinct(), F.col("node") == F.col("_p"), "left_semi")
     stars = materialize(_leader_pairs(posts, near, matches, percent), "leader_pairs")

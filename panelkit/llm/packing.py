@@ -62,14 +62,24 @@ class _Places(dict):
         return n
 
 
+def _grown(x: np.ndarray, size: int) -> np.ndarray:
+    """The array with room for ``size`` values and a quarter more."""
+    if size <= len(x):
+        return x
+    out = np.empty(size + size // 4, x.dtype)
+    out[:len(x)] = x
+    return out
+
+
 class WordTokenizer:
     """Token ids of texts through a cache of words.
 
     Valid for tokenizers that never join text across ASCII white space, drop
     it, and fold ASCII case (``word_bpe_49k.json`` does all three): the ids of
     a text are then the ids of its words in order.  The first ``max_words``
-    words met are kept for the life of the Python worker (frequent words come
-    early); later ones are encoded where they occur.
+    words met (at most 8 ids each on average) are kept by the Python worker
+    for its later tasks (frequent words come early); other words are encoded
+    where they occur.
     """
 
     def __init__(self, path: str, max_words: int = 600_000):
@@ -81,14 +91,14 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.max_words = max_words
         self.places = _Places()
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.lengths = np.zeros(1 << 16, np.int64)
-        self.flat = np.zeros(1 << 18, np.uint32)
+        self.starts = np.empty(0, np.uint32)
+        self.lengths = np.empty(0, np.uint32)
+        self.flat = np.empty(0, np.uint32)
         self.words = self.used = 0
 
     @classmethod
     def of_worker(cls, path: str) -> "WordTokenizer":
-        store = worker_store()
+        store = worker_store(__name__)
         if (cls.__name__, path) not in store:
             store[(cls.__name__, path)] = cls(path)
         return store[(cls.__name__, path)]
@@ -144,10 +154,8 @@ class WordTokenizer:
         ids = [known[p[0]] if len(p) == 1 else known[p[0]] + known[p[1]] for p in parts]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         n, m = self.words + len(ids), self.used + int(sizes.sum())
-        while n > len(self.starts):
-            self.starts, self.lengths = (np.resize(x, 2 * len(x)) for x in (self.starts, self.lengths))
-        while m > len(self.flat):
-            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        self.starts, self.lengths = _grown(self.starts, n), _grown(self.lengths, n)
+        self.flat = _grown(self.flat, m)
         ends = self.used + np.cumsum(sizes)
         self.starts[self.words:n], self.lengths[self.words:n] = ends - sizes, sizes
         self.flat[self.used:m] = np.fromiter(chain.from_iterable(ids), np.uint32, m - self.used)
@@ -163,11 +171,11 @@ class WordTokenizer:
         at = np.fromiter(map(places.__getitem__, chain.from_iterable(parts)), np.int64, int(counts.sum()))
         if places.fresh:
             self._learn()
-        lengths = self.lengths[at]
+        lengths = self.lengths[at].astype(np.int64)
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.flat[np.arange(total) + np.repeat(self.starts[at] - (ends - lengths), lengths)]
-        if self.words > self.max_words:  # full: keep what was there before
+        if self.words > self.max_words or self.used > 8 * self.max_words:  # full: keep what was there before
             for w in places.fresh:
                 del places[w]
             self.words, self.used = words, used

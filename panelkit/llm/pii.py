@@ -141,7 +141,7 @@ class _Tokens:
         self.text = text
         self.spans = [m.span() for m in _TOKENS.finditer(text)]
         self.starts = [s for s, _ in self.spans]
-        self.known = worker_store().setdefault("folded words", {})
+        self.known = worker_store(__name__).setdefault("folded words", {})
 
     def word(self, i: int) -> str:
         if 0 <= i < len(self.spans):

@@ -15,6 +15,7 @@ Scoring is one pass over whole texts without a shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelkit.llm.common import bounded_batches, bounded_sample, hash_words, mix64, text_batches
+from panelkit.llm.common import bounded_batches, bounded_sample, hash_words, map_batches, mix64, text_batches, tidy
 
 _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _BLANK = bytes.maketrans(_MARKS, b" " * len(_MARKS))
@@ -110,8 +111,6 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = Non
             yield pa.RecordBatch.from_arrays([pa.array([str(k) for k in keys]), pa.array(ys, pa.int32()),
                                               pa.array(ids, pa.binary())], names=["k", "y", "ids"])
 
-    bounded_batches(docs.sparkSession)
-
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         ys = pdf["y"].unique().tolist()
         if len(ys) == 1:
@@ -126,10 +125,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = Non
 
     # the sample is bounded by max_train_rows, so it may be broadcast, and
     # its features fit one task
-    model = (docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
+    rows = (docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
             .join(F.broadcast(marked), F.col("_id") == F.col("_key"))
-            .select("_key", "_y", "_text")
-            .mapInArrow(features, "k string, y int, ids binary")
+            .select("_key", "_y", "_text"))
+    model = (map_batches(rows, features, "k string, y int, ids binary")
             .withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(learn, "i long, w double").collect())
     found = {r["i"]: r["w"] for r in model}
     if -1 not in found:
@@ -143,8 +142,8 @@ def toxicity_score(model: ToxicityModel, text: str = "text") -> Column:
     """Probability of label 1 for a text column (null scores as empty)."""
 
     @F.pandas_udf("double")
-    def run(parts: "pd.Series") -> "pd.Series":  # noqa: UP037
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         score = model.scorer()
-        return pd.Series([score(t) for t in parts], dtype="float64")
+        yield from tidy(lambda texts: (pd.Series([score(t) for t in part], dtype="float64") for part in texts))(parts)
 
     return run(F.col(text))

@@ -5,14 +5,16 @@ tables."""
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from panelkit.llm import mixing, packing, pii, sharding
+from panelkit.llm import common, mixing, packing, pii, sharding
 from panelkit.llm.queries import tokenizer_path
 
 SCHEMA = "doc_id long, text string, source string, size long, shard string, slot string, k string, _b string"
@@ -282,3 +284,50 @@ def test_every_letter_alone_in_words_and_before_marks():
     lambda d: packing.pack_documents(d, tokenizer_path())])
 def test_empty_tables(spark, run):
     assert run(documents(spark, [])).collect() == []
+
+
+def test_word_cache_is_bounded_in_words_and_ids():
+    own = packing.WordTokenizer(tokenizer_path())
+    own.encode([" ".join(f"w{i}q" for i in range(70_000))])
+    tables = own.starts.nbytes + own.lengths.nbytes + own.flat.nbytes
+    assert own.words == 70_000 and tables < 1.3 * 4 * (2 * own.words + own.used)
+    few = packing.WordTokenizer(tokenizer_path(), max_words=50)
+    few.encode(["ab"])
+    few.encode(["qz7" * 500])  # one word of more ids than the cache may hold
+    assert (few.words, list(few.places)) == (1, [b"ab"]) and few.used <= 8 * 50
+
+
+def test_a_worker_keeps_the_caches_of_one_operator():
+    common.worker_store("one")["words"] = 1
+    assert common.worker_store("one") == {"words": 1}
+    assert common.worker_store("two") == {} and common.worker_store("one") == {}
+
+
+def test_tasks_run_on_small_batches_and_tidy_up(spark):
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([len(batch)])], names=["bytes", "rows"])
+
+    docs = spark.range(64, numPartitions=1).selectExpr("repeat('x', 200000) AS text")
+    sizes = common.map_batches(docs, run, "bytes long, rows long").collect()
+    assert sum(r["rows"] for r in sizes) == 64 and max(r["bytes"] for r in sizes) < 3 << 20
+
+    calls = []
+    freed = common.tidy(lambda batches: iter(batches))
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(common, "release_memory", lambda: calls.append(1))
+        assert list(freed([1, 2])) == [1, 2] and calls == [1]
+
+
+def test_a_task_drops_the_caches_of_other_operators(spark):
+    def fill(batches):
+        common.worker_store("other")["words"] = 1
+        yield from batches
+
+    def seen(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(["other" in sys.modules["_corpus_worker"].stores])], names=["kept"])
+
+    rows = spark.range(1, numPartitions=1)
+    rows.mapInArrow(fill, "id long").collect()
+    assert [r["kept"] for r in common.map_batches(rows, seen, "kept boolean").collect()] == [False]
